@@ -5,8 +5,10 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+import zipfile
 import zlib
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +19,21 @@ WORD = r"[^\x20\x09-\x0D]+"
 WORD_BYTES = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once for a Spark context: their Python need not have it installed."""
+    context = spark.sparkContext
+    if not getattr(context, "_deltaloom_shipped", False):
+        package = Path(__file__).resolve().parent.parent
+        archive = Path(tempfile.mkdtemp(prefix="deltaloom-")) / "deltaloom.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for file in sorted(package.rglob("*.py")):
+                out.write(file, file.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        context._deltaloom_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -35,6 +51,7 @@ def scratch(spark: SparkSession) -> str:
 def written(df: DataFrame, path: str | None = None) -> DataFrame:
     """The rows of df as a Parquet table in the shared folder, so that later steps neither compute them again nor
     lose them with an executor."""
+    ship(df.sparkSession)
     path = path or scratch(df.sparkSession)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

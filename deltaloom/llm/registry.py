@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from deltaloom.llm import chat, mixing, simhash
+from deltaloom.llm import chat, mixing, packing, simhash
 
 OP3_SQL = r"""
 WITH turns AS (
@@ -27,6 +27,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_chat_formatting": chat.op3_chat_formatting,
         "op4_simhash": simhash.op4_simhash,
+        "op6_packing": packing.op6_packing,
         "op8_mixing": mixing.op8_mixing,
     }
 
