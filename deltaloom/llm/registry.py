@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from deltaloom.llm import chat, mixing, ngrams, packing, simhash
+from deltaloom.llm import chat, mixing, ngrams, packing, simhash, suffixes
 
 OP3_SQL = r"""
 WITH turns AS (
@@ -28,6 +28,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_chat_formatting": chat.op3_chat_formatting,
         "op4_simhash": simhash.op4_simhash,
         "op6_packing": packing.op6_packing,
+        "op7_suffix_dedup": suffixes.op7_suffix_dedup,
         "op8_mixing": mixing.op8_mixing,
         "op10_lm_scoring": ngrams.op10_lm_scoring,
     }
