@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from deltaloom.llm import chat, mixing, ngrams, packing, simhash, suffixes, toxicity
+from deltaloom.llm import chat, language, mixing, ngrams, packing, simhash, suffixes, toxicity
 
 OP3_SQL = r"""
 WITH turns AS (
@@ -26,6 +26,7 @@ FROM turns GROUP BY conv_id
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": toxicity.op1_toxicity,
+        "op2_language_id": language.op2_language_id,
         "op3_chat_formatting": chat.op3_chat_formatting,
         "op4_simhash": simhash.op4_simhash,
         "op6_packing": packing.op6_packing,
