@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from deltaloom.llm import chat, language, mixing, ngrams, packing, simhash, suffixes, toxicity
+from deltaloom.llm import chat, language, mixing, ngrams, packing, simhash, suffixes, toxicity, vectors
 
 OP3_SQL = r"""
 WITH turns AS (
@@ -22,6 +22,18 @@ SELECT conv_id, count(*) AS n_turns,
 FROM turns GROUP BY conv_id
 """
 
+OP9_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(64 * CAST(x AS DOUBLE))) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM scored)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM ranked WHERE n <= 20
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
@@ -29,12 +41,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_language_id": language.op2_language_id,
         "op3_chat_formatting": chat.op3_chat_formatting,
         "op4_simhash": simhash.op4_simhash,
+        "op5_ann": vectors.op5_ann,
         "op6_packing": packing.op6_packing,
         "op7_suffix_dedup": suffixes.op7_suffix_dedup,
         "op8_mixing": mixing.op8_mixing,
+        "op9_ball_tree": vectors.op9_ball_tree,
         "op10_lm_scoring": ngrams.op10_lm_scoring,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_formatting": OP3_SQL}
+    return {"op3_chat_formatting": OP3_SQL, "op9_ball_tree": OP9_SQL}
