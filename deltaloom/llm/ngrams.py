@@ -98,26 +98,30 @@ class EliasFano:
         if not self.n:
             return np.full(len(values), -1)
         high, low = (values >> np.uint64(self.bits)).astype(np.int64), values & np.uint64((1 << self.bits) - 1)
-        size = len(self.high) * 64
         zeros = np.arange(len(self.ones)) * 64 - self.ones
-        inside = high < size - int(self.ones[-1])
-        begin = np.zeros(len(values), np.int64)
-        some = inside & (high > 0)
-        k = high[some] - 1
-        word = np.searchsorted(zeros, k, "right") - 1
-        begin[some] = word * 64 + _select(~self.high[word], k - zeros[word]) + 1
-        found, live, at = np.full(len(values), -1), np.flatnonzero(inside), begin
-        while len(live):
-            place = at[live]
-            live = live[(self.high[np.minimum(place >> 6, len(self.high) - 1)] >> (place & 63).astype(np.uint64) & np.uint64(1) == 1) & (place < size)]
-            index = at[live] - high[live]
-            here = self.lows(index)
-            hit = here == low[live]
-            found[live[hit]] = index[hit]
-            live = live[here < low[live]]
-            at[live] += 1
+        inside = np.flatnonzero(high < len(self.high) * 64 - int(self.ones[-1]))
+        high, low = high[inside], low[inside]
+        begin, end = self._bucket(high - 1, zeros) if len(high) else high, self._bucket(high, zeros) if len(high) else high
+        at, stop = begin.copy(), end.copy()
+        live = np.flatnonzero(at < stop)
+        while len(live):  # the first of the bucket that is not less
+            middle = (at[live] + stop[live]) >> 1
+            less = self.lows(middle) < low[live]
+            at[live[less]] = middle[less] + 1
+            stop[live[~less]] = middle[~less]
+            live = live[at[live] < stop[live]]
+        found, some = np.full(len(values), -1), np.flatnonzero(at < end)
+        some = some[self.lows(at[some]) == low[some]]
+        found[inside[some]] = at[some]
         return found
 
+    def _bucket(self, high: np.ndarray, zeros: np.ndarray) -> np.ndarray:
+        """How many values have at most these high bits."""
+        out, some = np.zeros(len(high), np.int64), np.flatnonzero(high >= 0)
+        word = np.searchsorted(zeros, high[some], "right") - 1
+        out[some] = word * 64 + _select(~self.high[word], high[some] - zeros[word]) - high[some]
+        return out
+
 
 def _select(words: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """The place of the one with this rank in each word, by halves."""
@@ -178,7 +182,7 @@ def mapped(arrays: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], object
         file.write(b"\0" * (-at % 8))
         at += -at % 8
     file.flush()
-    whole = np.memmap(file.name, np.uint8, "r") if at else np.empty(0, np.uint8)
+    whole = np.memmap(file.name, np.uint8, "r").view(np.ndarray) if at else np.empty(0, np.uint8)
     return {k: whole[a : a + v.nbytes].view(v.dtype) for k, (a, v) in parts.items()}, file
 
 
