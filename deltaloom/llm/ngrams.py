@@ -225,14 +225,13 @@ def blocks(docs: DataFrame, most_bytes: int) -> DataFrame:
 
 
 def pairs_of(row: pd.Series, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """A block's distinct bigrams: the number of the first and second word, the training count, the place of each of
+    """A block's distinct bigrams in order of their numbers: the number of the first and second word, the training count, the place of each of
     the block's tokens among them, and their places in the vocabulary, packed."""
     tokens = restored(row["tokens"]).astype(np.int64)
     lengths = np.asarray(row["lengths"], np.int64)
-    vocabulary = np.frombuffer(row["vocabulary"], "<u8")
     before = np.empty_like(tokens)
     before[1:] = tokens[:-1]
-    before[np.cumsum(lengths) - lengths] = np.searchsorted(vocabulary, END)
+    before[np.cumsum(lengths) - lengths] = 0  # the end, whose hash is the least
     packed, place = np.unique(before.astype(np.uint64) << np.uint64(32) | tokens.astype(np.uint64), return_inverse=True)
     trained = np.repeat(~np.asarray(row["held"], bool), lengths)
     counts = np.bincount(place[trained], minlength=len(packed)).astype(np.uint64)
@@ -306,7 +305,7 @@ def numbered(words: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(numbers), np.concatenate([restored(x) for x in words["totals"]])
 
 
-def score(docs: DataFrame, held: object = None, mu: float = 500.0, block_bytes: int = 16 << 20, part_blocks: int = 4) -> DataFrame:
+def score(docs: DataFrame, held: object = None, mu: float = 500.0, block_bytes: int = 12 << 20, part_blocks: int = 4) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each of docs (doc_id, text).
 
     held: a boolean column, true where a row isn't learned from. There is a word part for each part_blocks blocks, and
@@ -376,7 +375,7 @@ def score(docs: DataFrame, held: object = None, mu: float = 500.0, block_bytes:
             )
         return pd.concat(out)
 
-    own = made.groupBy("block")
+    own = made.select("block", "docs", "lengths", "held", "tokens").groupBy("block")
     asked = own.cogroup(words.groupBy("block")).applyInPandas(ask, "part bigint, block bigint, first binary, second binary, counts binary, left binary, right binary")
     answers = written(asked.groupBy("part").applyInPandas(answer, "block bigint, part bigint, codes binary"))
     both = words.select("block", F.struct("part", "numbers", "totals").alias("word"), F.lit(None).cast("struct<part:bigint,codes:binary>").alias("reply")).unionByName(
