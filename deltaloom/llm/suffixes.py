@@ -234,7 +234,7 @@ def sorted_entries(row: pd.Series, flags: np.ndarray, length: int) -> dict[str,
     at, near, far, flag = at[live], near[live], far[live], flag[live]
     # rows: suffix (zeros beyond what the nearest window reaches), reach, bytes before
     rows = np.zeros((len(at), length + 2 + far_most), np.uint8)
-    step = 1 << 15
+    step = 1 << 13
     padded = np.concatenate([np.zeros(far_most, np.uint8), text.data, np.zeros(length, np.uint8)])
     for a in range(0, len(at), step):
         b = slice(a, a + step)
@@ -354,7 +354,7 @@ def settle(frame: pd.DataFrame, length: int) -> pd.DataFrame:
     return pd.DataFrame({"block": frame["block"], "part": frame["part"], "masks": [squeezed(out[a:b]) for a, b in zip(begins[:-1], begins[1:], strict=True)]})
 
 
-def deduplicated(docs: DataFrame, length: int = 100, block_bytes: int = 8 << 20, part_blocks: int = 4, hot: int = 2000, sample: int = 20_000, texts: bool = False) -> DataFrame:
+def deduplicated(docs: DataFrame, length: int = 100, block_bytes: int = 4 << 20, part_blocks: int = 8, hot: int = 20_000, sample: int = 20_000, texts: bool = False) -> DataFrame:
     """doc_id, tag, n_bytes, n_removed, n_spans, kept_sha256 and, if texts, kept (bytes) for each of docs (doc_id, text).
 
     tag is a column of docs that is carried along (null if there is none). Anchors that occur hot times or more are
