@@ -68,6 +68,11 @@ def hashes_at(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return _mixed(h)
 
 
+def exchanged_hashes(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """What is exchanged of these hashes, mixed again: anchors have small ones, which would crowd into few parts."""
+    return _mixed(hashes_at(data, at) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1)) >> np.uint64(64 - HASH_BITS)
+
+
 def anchors(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The anchors of documents that lie end to end in data, each with its least and most distance from the start of
     its windows. Chunks overlap by a window, so each window is seen in one."""
@@ -162,7 +167,7 @@ def blocks(docs: DataFrame, length: int, most_bytes: int) -> DataFrame:
             raw = b"".join(x[2] for x in held)
             data, lengths = np.frombuffer(raw, np.uint8), [len(x[2]) for x in held]
             at, near, far = anchors(data, np.cumsum(lengths), length)
-            hashes, times = np.unique(hashes_at(data, at) >> np.uint64(64 - HASH_BITS), return_counts=True)
+            hashes, times = np.unique(exchanged_hashes(data, at), return_counts=True)
             row = [(part << 32) + count, [x[0] for x in held], [x[1] for x in held], lengths, zstandard.ZstdCompressor(level=1).compress(raw)]
             row += [squeezed(np.diff(at, prepend=0)), squeezed(near), squeezed(far), squeezed(np.diff(hashes, prepend=np.uint64(0))), squeezed(times)]
             held, size, count = [], 0, count + 1
@@ -229,7 +234,7 @@ def sorted_entries(row: pd.Series, flags: np.ndarray, length: int) -> dict[str,
     at = np.cumsum(restored(row["places"]), dtype=np.uint64).astype(np.int64)
     near, far = restored(row["near"]).astype(np.int64), restored(row["far"]).astype(np.int64)
     hashes = np.cumsum(restored(row["hashes"]), dtype=np.uint64)
-    flag = flags[np.searchsorted(hashes, hashes_at(text.data, at) >> np.uint64(64 - HASH_BITS))] if len(at) else np.empty(0, np.int64)
+    flag = flags[np.searchsorted(hashes, exchanged_hashes(text.data, at))] if len(at) else np.empty(0, np.int64)
     live = flag > 0
     at, near, far, flag = at[live], near[live], far[live], flag[live]
     # rows: suffix (zeros beyond what the nearest window reaches), reach, bytes before
