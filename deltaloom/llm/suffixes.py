@@ -168,7 +168,7 @@ def blocks(docs: DataFrame, length: int, most_bytes: int) -> DataFrame:
             data, lengths = np.frombuffer(raw, np.uint8), [len(x[2]) for x in held]
             at, near, far = anchors(data, np.cumsum(lengths), length)
             hashes, times = np.unique(exchanged_hashes(data, at), return_counts=True)
-            row = [(part << 32) + count, [x[0] for x in held], [x[1] for x in held], lengths, zstandard.ZstdCompressor(level=1).compress(raw)]
+            row = [(part << 32) + count, [x[0] for x in held], [x[1] for x in held], lengths, zstandard.ZstdCompressor(level=4).compress(raw)]
             row += [squeezed(np.diff(at, prepend=0)), squeezed(near), squeezed(far), squeezed(np.diff(hashes, prepend=np.uint64(0))), squeezed(times)]
             held, size, count = [], 0, count + 1
             kinds = [pa.int64(), *[pa.list_(pa.int64())] * 3, *[pa.binary()] * 6]
@@ -233,8 +233,7 @@ def sorted_entries(row: pd.Series, flags: np.ndarray, length: int) -> dict[str,
     text, far_most = Text(row), length - GRAM
     at = np.cumsum(restored(row["places"]), dtype=np.uint64).astype(np.int64)
     near, far = restored(row["near"]).astype(np.int64), restored(row["far"]).astype(np.int64)
-    hashes = np.cumsum(restored(row["hashes"]), dtype=np.uint64)
-    flag = flags[np.searchsorted(hashes, exchanged_hashes(text.data, at))] if len(at) else np.empty(0, np.int64)
+    flag = flags[np.unique(exchanged_hashes(text.data, at), return_inverse=True)[1]] if len(at) else np.empty(0, np.int64)
     live = flag > 0
     at, near, far, flag = at[live], near[live], far[live], flag[live]
     # rows: suffix (zeros beyond what the nearest window reaches), reach, bytes before
@@ -378,7 +377,7 @@ def deduplicated(docs: DataFrame, length: int = 100, block_bytes: int = 4 << 20,
             told = [restored(x) for x in flags.sort_values("part")["flags"]]
             e = sorted_entries(row, np.concatenate([np.empty(0, np.uint64), *told]).astype(np.int64), length)
             string = np.ascontiguousarray(e["rows"][:, : length + 1])
-            pack = zstandard.ZstdCompressor(level=1).compress
+            pack = zstandard.ZstdCompressor(level=4).compress
             lcp = shared_prefixes(string)
             tails = string[np.arange(length + 1) >= lcp[:, None]]
             picked = string[:: max(1, len(string) // 64)]
@@ -391,7 +390,7 @@ def deduplicated(docs: DataFrame, length: int = 100, block_bytes: int = 4 << 20,
 
     kept = ["at", "near", "far", "entry", "first", "number", "of", "off", "window", "window_first"]
     schema = "block bigint, entries bigint, sample array<binary>, " + ", ".join(f"{c} binary" for c in ("shared", "tails", "rest", "keys", "own", "offset", *kept))
-    runs = written(made.select("block", "docs", "lengths", "bytes", "places", "near", "far", "hashes").groupBy("block").cogroup(flags.groupBy("block")).applyInPandas(sort, schema))
+    runs = written(made.select("block", "docs", "lengths", "bytes", "places", "near", "far").groupBy("block").cogroup(flags.groupBy("block")).applyInPandas(sort, schema))
     entries = runs.agg(F.sum("entries")).first()[0] or 0
     parts = max(12, -(-entries // 50_000))
     picked = runs.select(F.explode("sample").alias("key")).select("key", F.xxhash64("key").alias("h")).orderBy("h").limit(sample).select("key").collect()
@@ -400,7 +399,7 @@ def deduplicated(docs: DataFrame, length: int = 100, block_bytes: int = 4 << 20,
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = ["part", "block", "shared", "tails", "rest", "keys", "own", "offset"]
-        pack, unpack = zstandard.ZstdCompressor(level=1).compress, zstandard.ZstdDecompressor().decompress
+        pack, unpack = zstandard.ZstdCompressor(level=4).compress, zstandard.ZstdDecompressor().decompress
         for batch in chunks(batches, 1):
             row = {c: batch[c][0].as_py() for c in ("block", "shared", "tails", "rest", "keys", "own", "offset")}
             lcp = restored(row["shared"]).astype(np.int64)
