@@ -76,7 +76,7 @@ def exchanged_hashes(data: np.ndarray, at: np.ndarray) -> np.ndarray:
 def anchors(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The anchors of documents that lie end to end in data, each with its least and most distance from the start of
     its windows. Chunks overlap by a window, so each window is seen in one."""
-    wide, size, found = length - GRAM + 1, 1 << 19, []
+    wide, size, found = length - GRAM + 1, 1 << 17, []
     for at in range(0, max(0, len(data) - length + 1), size):
         part = data[at : at + size + length - 1]
         key = gram_hashes(part) >> np.uint64(20) << np.uint64(20) | np.arange(len(part) - GRAM + 1, dtype=np.uint64)
@@ -86,14 +86,11 @@ def anchors(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray
         least = np.minimum(key[: len(key) - (wide - width)], key[wide - width :]) if wide > width else key
         start = np.arange(at, at + len(least), dtype=np.int64)
         good = start + length <= ends[np.searchsorted(ends, start, "right")]
-        found.append(np.stack([start[good], (least[good] & np.uint64((1 << 20) - 1)).astype(np.int64) + at]))
-    if not found or not sum(x.shape[1] for x in found):
-        none = np.empty(0, np.int64)
-        return none, none, none
-    start, anchor = np.concatenate(found, 1)
-    begin = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
-    last = np.append(begin[1:], len(anchor)) - 1
-    return anchor[begin], anchor[begin] - start[last], anchor[begin] - start[begin]
+        start, anchor = start[good], (least[good] & np.uint64((1 << 20) - 1)).astype(np.int64) + at
+        begin = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]])) if len(anchor) else start
+        last = np.append(begin[1:], len(anchor)) - 1 if len(anchor) else start
+        found.append(np.stack([anchor[begin], anchor[begin] - start[last], anchor[begin] - start[begin]]))
+    return tuple(np.concatenate([np.empty((3, 0), np.int64), *found], 1))
 
 
 def merged(runs: list[list[bytes]], shared: list[list[int]]) -> tuple[list[int], list[int]]:
