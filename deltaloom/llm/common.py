@@ -37,6 +37,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Paths of scratch tables in the order of their making, for those who want them gone.
+made_paths: list[str] = []
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes scratch tables, whose readers must be done."""
+    for text in paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(text)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch(spark: SparkSession) -> str:
     """A fresh path in the folder that the cluster shares (spark.checkpoint.dir).
 
@@ -45,7 +56,8 @@ def scratch(spark: SparkSession) -> str:
     if not root:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="deltaloom-"))
         root = spark.sparkContext.getCheckpointDir()
-    return f"{root.rstrip('/')}/deltaloom-{uuid.uuid4().hex}"
+    made_paths.append(f"{root.rstrip('/')}/deltaloom-{uuid.uuid4().hex}")
+    return made_paths[-1]
 
 
 def written(df: DataFrame, path: str | None = None) -> DataFrame:
@@ -53,7 +65,7 @@ def written(df: DataFrame, path: str | None = None) -> DataFrame:
     lose them with an executor."""
     ship(df.sparkSession)
     path = path or scratch(df.sparkSession)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("parquet.block.size", 32 << 20).parquet(path)  # rows may be large: small row groups
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

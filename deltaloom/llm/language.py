@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deltaloom.llm.common import chunks, learned_from, table, written
+from deltaloom.llm.common import chunks, learned_from, ship, table, written
 
 UNKNOWN = "und"
 BUCKETS = 1 << 15
@@ -161,18 +161,23 @@ def predict(docs: DataFrame, model: Model, keep: str = "doc_id bigint, held_out
                 found.append(UNKNOWN if p is None or p[best] < threshold else model.languages[best])
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in names), pa.array(found, pa.string()), pa.array(sure, pa.float64())], [*names, "lang_pred", "score"])
 
+    ship(docs.sparkSession)
     return docs.select(*names, "text").mapInArrow(run, f"{keep}, lang_pred string, score double")
 
 
 def identified(docs: DataFrame) -> DataFrame:
     """docs without those that language ID rejects: texts without letters, and texts less sure than the calibrated
-    threshold. All columns stay."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    kept = written(docs.select(row, F.monotonically_increasing_id().alias("tag")))
-    named = kept.select(F.col("row.doc_id").cast("long").alias("doc_id"), F.col("row.lang").cast("string").alias("lang"), F.col("row.text").cast("string").alias("text"), "tag")
-    model = fit(named)
-    told = predict(named, model, "tag bigint", model.threshold).where(F.col("lang_pred") != UNKNOWN).select("tag")
-    return kept.join(told, "tag", "left_semi").select("row.*")
+    threshold. All columns stay; one pass."""
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    model, at = fit(named), docs.columns.index("text")
+    ship(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            sure = [model.probabilities(text) for text in batch.column(at).to_pylist()]
+            yield batch.filter(pa.array([p is not None and float(p.max()) >= model.threshold for p in sure], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -76,7 +76,8 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int =
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, block_words: int = 16, shard_words: int = 250_000, most_shards: int = 4096, seed: int = SEED) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken for each row of docs (doc_id, source, text).
+    """doc_id, source, size, source_size, target, taken for each row of docs (doc_id, source, text), and tag, a number
+    that is carried along, if docs has it.
 
     A source has a shard for each shard_words words or 5000 rows, most_shards at most, so neither the shards of a source
     nor the documents of a shard pile up; documents are dealt to shards by a seeded hash."""
@@ -88,6 +89,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, blo
             F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("-")).alias("key"),
             F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
             order.alias("_order"),
+            (F.col("tag") if "tag" in docs.columns else F.lit(0).cast("long")).alias("tag"),
         )
     )
     sources = sized.groupBy("key").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_rows"))
@@ -105,7 +107,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, blo
     quotas = sainte_lague(shards, ["key"], ["_shard"], F.col("_size"), F.col("_blocks")).select(
         "key", "_shard", "_size", F.least(F.col("won") * block_words, F.col("_size") * cap).alias("_words")
     )
-    stream = Window.partitionBy("key", "_shard").orderBy("_order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    stream = Window.partitionBy("key", "_shard").orderBy("_order", "doc_id", "size", "tag").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("size").over(stream), F.lit(0))
     passes = F.when(F.col("_size") > 0, F.floor(F.col("_words") / F.col("_size"))).otherwise(F.lit(0)).cast("long")
     return (
@@ -113,7 +115,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, blo
         .withColumns({"_before": before, "_passes": passes})
         .withColumn("_rest", F.col("_words") - F.col("_passes") * F.col("_size"))
         .select(
-            "doc_id", "source", "size", "source_size", "target",
+            "doc_id", *["tag"] * ("tag" in docs.columns), "source", "size", "source_size", "target",
             (F.col("_passes") * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), F.col("_rest") - F.col("_before")))).cast("long").alias("taken"),
         )
     )
@@ -123,11 +125,11 @@ def mixed_documents(docs: DataFrame, **options: object) -> DataFrame:
     """docs with each row as often as the mix takes it, to the nearest whole copy; all columns stay.
 
     Rows are told apart by an own number written with them, so repeated ids are no matter."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    kept = written(docs.select(row, F.col("source"), F.col("text"), F.monotonically_increasing_id().alias("doc_id")))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    kept = written(docs.select(row, F.monotonically_increasing_id().alias("tag")))
     copies = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(F.lit(0)).cast("int")
-    plan = mix(kept, **options).select("doc_id", copies.alias("_copies")).where("_copies > 0")
-    return kept.select("doc_id", "_row").join(plan, "doc_id").select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).select("_row.*")
+    plan = mix(kept.select("tag", *[F.col(f"row.{c}").alias(c) for c in ("doc_id", "source", "text")]), **options).select("tag", copies.alias("copies")).where("copies > 0")
+    return kept.join(plan, "tag").select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*")
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deltaloom.llm.common import WORD_BYTES, chunks, learned_from, lower_ascii, table, utf8, written
+from deltaloom.llm.common import WORD_BYTES, chunks, learned_from, lower_ascii, ship, table, utf8, written
 
 #: The hash that stands for the end of a document.
 END = np.uint64(0)
@@ -221,6 +221,7 @@ def blocks(docs: DataFrame, most_bytes: int) -> DataFrame:
         if keys:
             yield block()
 
+    ship(docs.sparkSession)
     return docs.mapInArrow(run, BLOCKS)
 
 

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deltaloom.llm.common import chunks, table, written
+from deltaloom.llm.common import chunks, ship, table, written
 
 END = 0
 #: Below this code point both tokenizer libraries class characters alike; texts with others, or with the special
@@ -121,6 +121,7 @@ def pieces(docs: DataFrame, most: int, flush: int = 200_000, json_path: str | No
         if held:
             yield packed()
 
+    ship(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, PIECES)
 
 

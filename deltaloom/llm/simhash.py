@@ -24,8 +24,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from deltaloom.llm.common import WORD_BYTES, chunks, lower_ascii, starts_of, table, utf8, written
+from deltaloom.llm.common import WORD_BYTES, chunks, lower_ascii, ship, starts_of, table, utf8, written
 from deltaloom.llm.graph import components
 
 SEED = 42
@@ -54,15 +55,18 @@ def _majority(hashes: list[int]) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int) -> DataFrame:
-    """docs (key, text) as (key, fp): the fingerprint in a signed long."""
+    """docs (text and others) with fp, the fingerprint in a signed long, and without text."""
+    ship(docs.sparkSession)
+    at = docs.columns.index("text")
+    schema = T.StructType([*(f for f in docs.schema if f.name != "text"), T.StructField("fp", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            found = np.fromiter((fingerprint(t, words) for t in batch["text"].to_pylist()), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch["key"], pa.array(found.view(np.int64))], ["key", "fp"])
+            found = np.fromiter((fingerprint(t, words) for t in batch.column(at).to_pylist()), np.uint64, batch.num_rows)
+            rest = [batch.column(i) for i in range(batch.num_columns) if i != at]
+            yield pa.RecordBatch.from_arrays([*rest, pa.array(found.view(np.int64))], schema.names)
 
-    kind = docs.select("key").schema[0].dataType.simpleString()
-    return docs.select("key", "text").mapInArrow(run, f"key {kind}, fp bigint")
+    return docs.mapInArrow(run, schema)
 
 
 class Ring:
@@ -184,6 +188,7 @@ def links(distinct: DataFrame, bits: int, segments: int) -> DataFrame:
                     pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
                     yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy().view(np.int64)), pa.array(pairs[:, 1].copy().view(np.int64))], ["a", "b"])
 
+    ship(distinct.sparkSession)
     spread_out = distinct.select("fp").mapInArrow(spread, "key bigint, fp bigint")
     return spread_out.repartition("key").sortWithinPartitions("key").mapInArrow(meet, "a bigint, b bigint")
 
@@ -194,7 +199,8 @@ def _with_end(batches: Iterator) -> Iterator:
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, bits: int = 2, segments: int = 3) -> DataFrame:
-    """(key, fp, component) for docs (key, text): component is the smallest key reachable. key is any type with an order."""
+    """docs (key, text and others) with fp and component, the smallest key reachable, and without text. key is any type
+    with an order."""
     marked = written(fingerprints(docs, words))
     distinct = written(marked.groupBy("fp").agg(F.min("key").alias("key")))
     labels = components(links(distinct, bits, segments))
@@ -208,9 +214,7 @@ def without_near_duplicates(docs: DataFrame, words: int = 5, bits: int = 7, segm
     """docs with one row of each group of near duplicates, the one of the smallest doc_id; all columns stay."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.monotonically_increasing_id().alias("n")).alias("key")
-    kept = written(docs.select(key, row))
-    first = near_duplicates(kept.select("key", F.col("row.text").alias("text")), words, bits, segments).where("key = component").select(F.col("key.n").alias("n"))
-    return kept.join(first, kept["key.n"] == first["n"], "left_semi").select("row.*")
+    return near_duplicates(docs.select(key, F.col("text"), row), words, bits, segments).where("key = component").select("row.*")
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

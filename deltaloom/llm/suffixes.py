@@ -33,8 +33,9 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from deltaloom.llm.common import chunks, table, utf8, written
+from deltaloom.llm.common import chunks, ship, table, utf8, written
 from deltaloom.llm.ngrams import _runs, _word_part, restored, squeezed
 
 GRAM = 48
@@ -75,7 +76,7 @@ def exchanged_hashes(data: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 def anchors(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The anchors of documents that lie end to end in data, each with its least and most distance from the start of
-    its windows. Chunks overlap by a window, so each window is seen in one."""
+    its windows. Chunks overlap by a window, so each window is seen in one; an anchor with windows in two comes twice."""
     wide, size, found = length - GRAM + 1, 1 << 17, []
     for at in range(0, max(0, len(data) - length + 1), size):
         part = data[at : at + size + length - 1]
@@ -149,11 +150,12 @@ def _differ(a: bytes, b: bytes, known: int) -> int:
     return known + left - ((int.from_bytes(a[known:], "big") ^ int.from_bytes(b[known:], "big")).bit_length() + 7) // 8
 
 
-BLOCKS = "block bigint, docs array<bigint>, tags array<bigint>, lengths array<bigint>, bytes binary, places binary, near binary, far binary, hashes binary, times binary"
+BLOCKS = "block bigint, docs array<bigint>, rest binary, lengths array<bigint>, bytes binary, places binary, near binary, far binary, hashes binary, times binary"
 
 
 def blocks(docs: DataFrame, length: int, most_bytes: int) -> DataFrame:
-    """docs (doc_id, tag, text) as blocks of so many bytes at most, or one document, with their anchors."""
+    """docs (doc_id, text, row) as blocks of so many bytes at most, or one document, with their anchors. row is a struct
+    that is carried along."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, count, held, size = TaskContext.get().partitionId(), 0, [], 0
@@ -161,26 +163,29 @@ def blocks(docs: DataFrame, length: int, most_bytes: int) -> DataFrame:
         def block() -> pa.RecordBatch:
             nonlocal held, size, count
             held.sort(key=lambda x: (x[0] is None, x[0] or 0, x[2]))
+            rows = pa.Table.from_batches([x[1] for x in held])
             raw = b"".join(x[2] for x in held)
             data, lengths = np.frombuffer(raw, np.uint8), [len(x[2]) for x in held]
             at, near, far = anchors(data, np.cumsum(lengths), length)
             hashes, times = np.unique(exchanged_hashes(data, at), return_counts=True)
-            row = [(part << 32) + count, [x[0] for x in held], [x[1] for x in held], lengths, zstandard.ZstdCompressor(level=4).compress(raw)]
+            row = [(part << 32) + count, [x[0] for x in held], packed_rows(rows), lengths, zstandard.ZstdCompressor(level=4).compress(raw)]
             row += [squeezed(np.diff(at, prepend=0)), squeezed(near), squeezed(far), squeezed(np.diff(hashes, prepend=np.uint64(0))), squeezed(times)]
             held, size, count = [], 0, count + 1
-            kinds = [pa.int64(), *[pa.list_(pa.int64())] * 3, *[pa.binary()] * 6]
+            kinds = [pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64()), *[pa.binary()] * 6]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], [c.split()[0] for c in BLOCKS.split(", ")])
 
         for batch in chunks(batches, 64):
-            for key, tag, text in zip(*(batch[c].to_pylist() for c in ("doc_id", "tag", "text")), strict=True):
+            rows = batch.select(["row"])
+            for i, (key, text) in enumerate(zip(*(batch[c].to_pylist() for c in ("doc_id", "text")), strict=True)):
                 raw = utf8(text)
                 if held and size + len(raw) > most_bytes:
                     yield block()
-                held.append((key, tag, raw))
+                held.append((key, rows.slice(i, 1), raw))
                 size += len(raw)
         if held:
             yield block()
 
+    ship(docs.sparkSession)
     return docs.mapInArrow(run, BLOCKS)
 
 
@@ -206,6 +211,14 @@ def repeated_hashes(made: DataFrame, parts: int, hot: int) -> DataFrame:
     return asked.groupBy("part").applyInPandas(count, "block bigint, part bigint, flags binary")
 
 
+def packed_rows(rows: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    rows = rows.combine_chunks()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(rows)
+    return sink.getvalue().to_pybytes()
+
+
 class Text:
     """A block read back: its bytes and the documents in them."""
 
@@ -356,14 +369,16 @@ def settle(frame: pd.DataFrame, length: int) -> pd.DataFrame:
 
 
 def deduplicated(docs: DataFrame, length: int = 100, block_bytes: int = 4 << 20, part_blocks: int = 8, hot: int = 20_000, sample: int = 20_000, texts: bool = False) -> DataFrame:
-    """doc_id, tag, n_bytes, n_removed, n_spans, kept_sha256 and, if texts, kept (bytes) for each of docs (doc_id, text).
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if texts, kept (bytes) for each of docs (doc_id, text), and
+    row, a struct of docs that is carried along, if there is one.
 
-    tag is a column of docs that is carried along (null if there is none). Anchors that occur hot times or more are
-    sorted window by window. At most sample keys, those of least hash, choose the splitters."""
+    Anchors that occur hot times or more are sorted window by window. At most sample keys, those of least hash, choose
+    the splitters."""
     if not GRAM < length <= GRAM + 63:
         raise ValueError(f"length must be {GRAM + 1} to {GRAM + 63}")
-    tag = F.col("tag").cast("long") if "tag" in docs.columns else F.lit(None).cast("long")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), tag.alias("tag"), F.col("text").cast("string").alias("text"))
+    carried = "row" in docs.columns
+    row = F.col("row") if carried else F.struct(F.lit(0).alias("none"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), row.alias("row"))
     made = written(blocks(rows, length, block_bytes))
     many = made.count()
     flags = repeated_hashes(made, max(6, -(-many // part_blocks)), hot)
@@ -424,14 +439,17 @@ def deduplicated(docs: DataFrame, length: int = 100, block_bytes: int = 4 << 20,
     settled = exchanged.groupBy("part").applyInPandas(lambda frame: settle(frame.sort_values("block"), length), "block bigint, part bigint, masks binary")
     answers = settled.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("part", "masks"))).alias("answers"))
     told = runs.select("block", *kept).join(answers, "block", "left")
-    whole = "doc_id bigint, tag bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary" * texts
+    whole = T.StructType([T.StructField(n, k) for n, k in (("doc_id", T.LongType()), ("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()), ("kept_sha256", T.StringType()))])
+    if texts:
+        whole = whole.add("kept", T.BinaryType())
+    if carried:
+        whole = whole.add(docs.schema["row"])
 
-    def remove(key: tuple, own: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+    def remove(own: pa.Table, told: pa.Table) -> pa.Table:
         out = []
-        for (_, row), (_, e) in zip(own.iterrows(), told.iterrows(), strict=True):
+        for row, e in zip(own.to_pylist(), told.to_pylist(), strict=True):
             text = Text(row)
-            parts_of = e["answers"] if e["answers"] is not None else []
-            masks = np.concatenate([np.empty(0, np.uint64), *(restored(x["masks"]) for x in parts_of)])
+            masks = np.concatenate([np.empty(0, np.uint64), *(restored(x["masks"]) for x in e["answers"] or [])])
             e = {c: restored(e[c]).astype(np.int64) for c in kept}
             gone = np.zeros(len(text.data) + 1, bool)
             number = e["number"][e["entry"]] - 1 if len(e["entry"]) else e["entry"]
@@ -448,36 +466,43 @@ def deduplicated(docs: DataFrame, length: int = 100, block_bytes: int = 4 << 20,
                 gone[(source[e["of"]] - e["off"])[again]] = True
             seen = np.concatenate([[0], np.cumsum(gone[:-1], dtype=np.int32)])
             covered = seen[1:] > seen[np.maximum(np.arange(1, len(seen)) - length, 0)]
-            for key_, tag_, a, n in zip(row["docs"], row["tags"], text.begins.tolist(), text.lengths.tolist(), strict=True):
+            columns = {f.name: [] for f in whole}
+            for key, a, n in zip(row["docs"], text.begins.tolist(), text.lengths.tolist(), strict=True):
                 here = covered[a : a + n]
                 removed = int(here.sum())
                 left = text.raw[a : a + n] if not removed else text.data[a : a + n][~here].tobytes()
                 spans = int(here[:1].sum()) + int((here[1:] & ~here[:-1]).sum()) if removed else 0
-                out.append((None if key_ is None or key_ != key_ else int(key_), None if tag_ is None or tag_ != tag_ else int(tag_), n, removed, spans, hashlib.sha256(left).hexdigest(), *([left] if texts else [])))
-        frame = pd.DataFrame(out, columns=[c.split()[0] for c in whole.split(", ")])
-        return frame.astype({"doc_id": "Int64", "tag": "Int64"})
+                for name, value in zip(columns, (key, n, removed, spans, hashlib.sha256(left).hexdigest(), left), strict=False):
+                    if name != "row":
+                        columns[name].append(value)
+            types = {"kept_sha256": pa.string(), "kept": pa.binary()}
+            made = {n: pa.array(v, types.get(n, pa.int64())) for n, v in columns.items() if n != "row"}
+            if carried:
+                made["row"] = pa.ipc.open_stream(row["rest"]).read_all()["row"]
+            out.append(pa.table(made))
+        return pa.concat_tables(out)
 
-    base = made.select("block", "docs", "tags", "lengths", "bytes").groupBy("block")
-    return base.cogroup(told.groupBy("block")).applyInPandas(remove, whole)
+    base = made.select("block", "docs", "lengths", "bytes", *["rest"] * carried).groupBy("block")
+    return base.cogroup(told.groupBy("block")).applyInArrow(remove, whole)
 
 
 def without_repeats(docs: DataFrame, **options: object) -> DataFrame:
-    """docs with texts that lack what repeats; n_chars follows the text; all columns and rows stay.
+    """docs with texts that lack what repeats; n_chars follows the text; all columns and rows stay. A null text that lacks
+    nothing becomes an empty one.
 
     Characters that lose some of their bytes go altogether."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    kept = written(docs.select(row, F.monotonically_increasing_id().alias("tag")))
-    given = kept.select(F.col("row.doc_id").alias("doc_id"), "tag", F.col("row.text").alias("text"))
-    left = deduplicated(given, texts=True, **options).where("n_removed > 0").select("tag", F.col("kept"))
+    rest = [c for c in docs.columns if c != "text"]
+    given = docs.select("doc_id", "text", F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in rest]).alias("row"))
+    left = deduplicated(given, texts=True, **options).select("row", "kept", "n_removed")
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            yield pa.RecordBatch.from_arrays([batch["tag"], pa.array([x.decode("utf-8", "ignore") for x in batch["kept"].to_pylist()], pa.string())], ["tag", "now"])
+            yield pa.RecordBatch.from_arrays([batch["row"], pa.array([x.decode("utf-8", "ignore") for x in batch["kept"].to_pylist()], pa.string()), batch["n_removed"]], ["row", "now", "n_removed"])
 
-    now = left.mapInArrow(decode, "tag bigint, now string")
-    out = kept.join(now, "tag", "left")
-    fields = [F.coalesce("now", "row.text").alias(c) if c == "text" else F.when(F.col("now").isNull(), F.col("row.n_chars")).otherwise(F.length("now")).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
-    return out.select(*fields)
+    out = left.mapInArrow(decode, T.StructType([left.schema["row"], T.StructField("now", T.StringType()), left.schema["n_removed"]]))
+    count = F.when(F.col("n_removed") == 0, F.col("row.n_chars")).otherwise(F.length("now")) if "n_chars" in rest else None
+    made = {"text": F.col("now"), "n_chars": count}
+    return out.select(*[made.get(c, F.col(f"row.`{c}`") if c not in made else None).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deltaloom.llm.common import chunks, learned_from, table, written
+from deltaloom.llm.common import chunks, learned_from, ship, table, written
 
 TOKEN = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 #: Words with a digit, symbol or dot between or before letters, which may hide a lexicon word.
@@ -199,6 +199,7 @@ def feature_rows(docs: DataFrame, keep: str, lexicon: Lexicon) -> DataFrame:
             rows = [features(t, lexicon) for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in names), pa.array(rows, pa.list_(pa.float64()))], [*names, "x"])
 
+    ship(docs.sparkSession)
     return docs.select(*names, "text").mapInArrow(run, f"{keep}, x array<double>")
 
 
@@ -220,6 +221,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
         seen = list(set().union(*counts))
         return pd.DataFrame({"gram": pd.Series(seen, dtype=object)} | {f"n{i}": np.array([c[g] for g in seen], np.int64) for i, c in enumerate(counts)})
 
+    ship(docs.sparkSession)
     each = docs.select("text", "y", "half").mapInPandas(run, "gram string, n0 bigint, n1 bigint, n2 bigint, n3 bigint")
     return each.groupBy("gram").agg(*[F.sum(f"n{i}").alias(f"n{i}") for i in range(4)]).where("n1 + n3 >= 3")
 
@@ -271,6 +273,7 @@ def score(docs: DataFrame, model: Model, keep: str = "doc_id bigint, held_out bo
             x = np.array([features(t, model.lexicon) for t in batch["text"].to_pylist()], float).reshape(-1, len(FEATURES))
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in names), pa.array(model.score(x))], [*names, "score"])
 
+    ship(docs.sparkSession)
     return docs.select(*names, "text").mapInArrow(run, f"{keep}, score double")
 
 

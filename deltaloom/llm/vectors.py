@@ -19,11 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from deltaloom.llm.common import chunks, table, written
+from deltaloom.llm.common import chunks, ship, table, written
 
 
 def usable(rows: DataFrame, zero: bool) -> DataFrame:
     """rows (vec_id, embedding) that take part, as vec_id bigint and v array<double>; zero: whether zero vectors do."""
+    ship(rows.sparkSession)
     v = F.col("embedding").cast("array<double>")
     good = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0) & good)
