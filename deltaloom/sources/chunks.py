@@ -87,8 +87,8 @@ def backfilled(snapshot: DataFrame, log: DataFrame, keys: Sequence[str], low: Co
     snapshot: plain rows. log: a changelog. low and high may be columns of the log (a chunk's own marks)."""
     row = F.struct(*[F.col(f"`{c}`") for c in snapshot.columns])
     low, high = (x if isinstance(x, Column) else F.lit(x) for x in (low, high))
-    kind = snapshot.select(row.alias("r")).schema[0].dataType
-    base = snapshot.select(F.lit("INSERT").alias("op"), F.lit(None).cast(kind).alias("before"), row.alias("after"), F.lit(-(1 << 62)).cast("bigint").alias("seq"))
+    kind = T.StructType([T.StructField(f.name, f.dataType) for f in snapshot.schema])
+    base = snapshot.select(F.lit("INSERT").alias("op"), F.lit(None).cast(kind).alias("before"), row.cast(kind).alias("after"), F.lit(-(1 << 62)).cast("bigint").alias("seq"))
     between = log.where((F.col("seq") >= low) & (F.col("seq") <= high)).select("op", F.col("before").cast(kind).alias("before"), F.col("after").cast(kind).alias("after"), "seq")
     return materialized(base.unionByName(between), keys)
 
