@@ -10,6 +10,13 @@ Fingerprints are compared once each, however many documents carry one. A bucket
 its pairs connect, not its pairs: a leader takes all it links to, and only what the largest such group lacks is
 compared with everything. So a large ball of near copies costs a bucket no more than its size times its outliers.
 
+For a similarity of shingle sets, as the pipeline's stage takes, 64 bits tell too little: two texts of similarity 0.8 share
+each bit with probability 0.85. So without_near_duplicates uses 1024 bits, the first 64 being the fingerprint above, on a
+ring of 102 segments of 10 bits. Fingerprints meet where two consecutive segments agree (a chain of cumulative difference
+zero, in which texts of similarity 0.8 meet with a chance of 0.95, of 0.85 with 0.99), must keep the proportional budget
+of the chain of the first 64 bits, and then the full one. What the 64-bit links join at 3 bits is joined before and not
+compared again, so a ball of near copies yields no pairs.
+
 Defined results: a null or empty text has fingerprint zero and is linked like any other; rows with equal ids each have
 their own fingerprint, and ids don't link; a null id is never the smallest unless its component has no other; an empty
 table gives an empty one; other columns play no part.
@@ -30,41 +37,60 @@ from deltaloom.llm.common import WORD_BYTES, chunks, lower_ascii, ship, starts_o
 from deltaloom.llm.graph import components
 
 SEED = 42
+WIDE, SEGMENT = 1024, 10
 #: Runs up to this length are compared by shifting columns, longer ones by leaders.
 SHORT_RUN = 64
 
 
-def fingerprint(text: object, words: int) -> int:
-    """The fingerprint of a text over its shingles of so many words, as an unsigned integer."""
+def shingle_hashes(text: object, words: int) -> np.ndarray:
+    """XXH64 of each shingle of so many words, of the whole text if it has fewer."""
     found = WORD_BYTES.findall(lower_ascii(utf8(text)))
-    if not found:
-        return 0
     if len(found) <= words:
-        return _majority([xxhash.xxh64_intdigest(b" ".join(found), SEED)])
+        return np.array([xxhash.xxh64_intdigest(b" ".join(found), SEED)] if found else [], np.uint64)
     joined, at = b" ".join(found), starts_of(np.fromiter(map(len, found), np.int64, len(found)) + 1)
     digest = xxhash.xxh64_intdigest
-    return _majority([digest(joined[a:b], SEED) for a, b in zip(at[:-words].tolist(), (at[words:] - 1).tolist(), strict=True)])
+    return np.array([digest(joined[a:b], SEED) for a, b in zip(at[:-words].tolist(), (at[words:] - 1).tolist(), strict=True)], np.uint64)
+
+
+def majority(values: np.ndarray) -> np.ndarray:
+    """The bits set in over half the rows of values (n, words), as words."""
+    ones, rows = np.zeros(64 * values.shape[1], np.int64), values.view(np.uint8).reshape(len(values), -1)
+    for at in range(0, len(rows), 255):  # so many bits fit a byte
+        ones += np.add.reduce(np.unpackbits(rows[at : at + 255], axis=1, bitorder="little"), axis=0, dtype=np.uint8)
+    return np.packbits(2 * ones > len(values), bitorder="little").view("<u8")
 
 
-def _majority(hashes: list[int]) -> int:
-    values, ones = np.array(hashes, "<u8"), np.zeros(64, np.int64)
-    for at in range(0, len(values), 1 << 15):
-        part = values[at : at + (1 << 15)]
-        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(values), bitorder="little").view("<u8")[0])
+def fingerprint(text: object, words: int) -> int:
+    """The fingerprint of a text over its shingles of so many words, as an unsigned integer."""
+    return int(majority(shingle_hashes(text, words)[:, None])[0])
+
 
+def wide_fingerprint(text: object, words: int) -> bytes:
+    """WIDE bits, from WIDE / 64 mixes of the shingles' hashes; the first 64 are the fingerprint."""
+    h = shingle_hashes(text, words)
+    mixes = np.empty((len(h), WIDE // 64), np.uint64)
+    mixes[:, 0] = h
+    for j in range(1, mixes.shape[1]):
+        m = (h ^ np.uint64(0x9E3779B97F4A7C15 * (2 * j + 1) % (1 << 64))) * np.uint64(0xBF58476D1CE4E5B9)
+        m = (m ^ m >> np.uint64(29)) * np.uint64(0x94D049BB133111EB)
+        mixes[:, j] = m ^ m >> np.uint64(32)
+    return majority(mixes).tobytes()
 
-def fingerprints(docs: DataFrame, words: int) -> DataFrame:
-    """docs (text and others) with fp, the fingerprint in a signed long, and without text."""
+
+def fingerprints(docs: DataFrame, words: int, wide: bool = False) -> DataFrame:
+    """docs (text and others) with fp, the fingerprint in a signed long or wide in a binary, and without text."""
     ship(docs.sparkSession)
     at = docs.columns.index("text")
-    schema = T.StructType([*(f for f in docs.schema if f.name != "text"), T.StructField("fp", T.LongType())])
+    schema = T.StructType([*(f for f in docs.schema if f.name != "text"), T.StructField("fp", T.BinaryType() if wide else T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            found = np.fromiter((fingerprint(t, words) for t in batch.column(at).to_pylist()), np.uint64, batch.num_rows)
-            rest = [batch.column(i) for i in range(batch.num_columns) if i != at]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(found.view(np.int64))], schema.names)
+            texts = batch.column(at).to_pylist()
+            if wide:
+                found = pa.array([wide_fingerprint(t, words) for t in texts], pa.binary())
+            else:
+                found = pa.array(np.fromiter((fingerprint(t, words) for t in texts), np.uint64, batch.num_rows).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(batch.num_columns) if i != at), found], schema.names)
 
     return docs.mapInArrow(run, schema)
 
@@ -210,11 +236,71 @@ def near_duplicates(docs: DataFrame, words: int = 3, bits: int = 2, segments: in
     return marked.join(owned, "fp")
 
 
-def without_near_duplicates(docs: DataFrame, words: int = 5, bits: int = 7, segments: int = 4) -> DataFrame:
-    """docs with one row of each group of near duplicates, the one of the smallest doc_id; all columns stay."""
+def similar_pairs(rows: DataFrame, limit: int) -> DataFrame:
+    """Candidate pairs (a, b) among distinct rows (id, fp wide, label) of different labels whose chains agree."""
+    share = limit / WIDE
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, 1024):
+            wide = np.frombuffer(b"".join(batch["fp"].to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+            bits = np.unpackbits(wide, axis=1, bitorder="little")[:, : WIDE // SEGMENT * SEGMENT].reshape(batch.num_rows, -1, SEGMENT)
+            segments = bits.astype(np.int64) @ (1 << np.arange(SEGMENT))
+            keys = (np.arange(segments.shape[1]) << 2 * SEGMENT) | segments << SEGMENT | np.roll(segments, -1, 1)
+            many, first = keys.shape[1], np.ascontiguousarray(wide[:, :8]).view(np.int64).ravel()
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), *(pa.array(np.repeat(np.asarray(c), many)) for c in (batch["id"], first, batch["label"]))], ["key", "id", "head", "label"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = [np.empty(0, np.int64)] * 4
+        for batch in _with_end(batches):
+            if batch is not None:
+                held = [np.concatenate([h, np.asarray(batch[c])]) for h, c in zip(held, ("key", "id", "head", "label"), strict=True)]
+            cut = len(held[0]) if batch is None else int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0
+            if cut:
+                key, own, head, label = (h[:cut] for h in held)
+                held = [h[cut:] for h in held]
+                a, b = [], []
+                head, budget = head.view(np.uint64), int(64 * share) + 8
+                for shift in range(1, cut):
+                    at = np.flatnonzero(key[shift:] == key[:-shift])
+                    if not len(at):
+                        break
+                    at = at[(label[at] != label[at + shift]) & (np.bitwise_count(head[at] ^ head[at + shift]) <= budget)]
+                    a.append(own[at])
+                    b.append(own[at + shift])
+                pairs = np.stack([np.concatenate(a), np.concatenate(b)], 1) if a else np.empty((0, 2), np.int64)
+                if len(pairs):
+                    pairs = np.unique(np.sort(pairs, 1), axis=0)
+                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
+
+    spread_out = rows.select("id", "fp", "label").mapInArrow(spread, "key bigint, id bigint, head bigint, label bigint")
+    return spread_out.repartition("key").sortWithinPartitions("key").mapInArrow(meet, "a bigint, b bigint").distinct()
+
+
+def without_near_duplicates(docs: DataFrame, words: int = 5, limit: int = 165) -> DataFrame:
+    """docs with one row of each group of near duplicates, the one of the smallest doc_id; all columns stay.
+
+    limit is the most bits of WIDE that a link may differ in: about WIDE * acos(2s / (1 + s)) / pi for shingle sets of
+    similarity s, 155 for 0.8, and a standard deviation more."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.monotonically_increasing_id().alias("n")).alias("key")
-    return near_duplicates(docs.select(key, F.col("text"), row), words, bits, segments).where("key = component").select("row.*")
+    marked = written(fingerprints(docs.select(key, F.col("text"), row), words, wide=True))
+    distinct = written(marked.groupBy("fp").agg(F.min("key").alias("key")).withColumn("id", F.xxhash64("fp")).withColumn("head", F.conv(F.hex(F.reverse(F.substr("fp", F.lit(1), F.lit(8)))), 16, -10).cast("bigint")))
+    close = components(links(distinct.select(F.col("head").alias("fp")).distinct(), 3, 4))
+    labelled = written(distinct.join(close.select(F.col("node").alias("head"), "label"), "head", "left").withColumn("label", F.coalesce("label", "head")).select("id", "fp", "label", "key"))
+    pairs = similar_pairs(labelled, limit)
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, 4096):
+            x, y = (np.frombuffer(b"".join(batch[c].to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("x", "y"))
+            yield batch.select(["a", "b"]).filter(pa.array(np.bitwise_count(x ^ y).sum(1) <= limit))
+
+    sided = lambda i, v, u: labelled.select(F.col("id").alias(i), F.col("fp").alias(v), F.col("label").alias(u))
+    both = pairs.join(sided("a", "x", "p"), "a").join(sided("b", "y", "q"), "b")
+    edges = both.select(F.col("p").alias("a"), F.col("q").alias("b"), "x", "y").mapInArrow(check, "a bigint, b bigint")
+    joined = components(edges).select("node", F.col("label").alias("root"))
+    rooted = labelled.join(joined, labelled["label"] == joined["node"], "left").withColumn("root", F.coalesce("root", "label"))
+    kept = rooted.groupBy("root").agg(F.min("key").alias("first")).select("first")
+    return marked.join(kept, marked["key"] == kept["first"], "left_semi").select("row.*")
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
