@@ -54,7 +54,7 @@ def shingle_hashes(text: object, words: int) -> np.ndarray:
 
 def majority(values: np.ndarray) -> np.ndarray:
     """The bits set in over half the rows of values (n, words), as words."""
-    ones, rows = np.zeros(64 * values.shape[1], np.int64), values.view(np.uint8).reshape(len(values), -1)
+    ones, rows = np.zeros(64 * values.shape[1], np.int64), values.view(np.uint8).reshape(len(values), 8 * values.shape[1])
     for at in range(0, len(rows), 255):  # so many bits fit a byte
         ones += np.add.reduce(np.unpackbits(rows[at : at + 255], axis=1, bitorder="little"), axis=0, dtype=np.uint8)
     return np.packbits(2 * ones > len(values), bitorder="little").view("<u8")
