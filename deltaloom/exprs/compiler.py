@@ -87,10 +87,13 @@ class Compiler:
     # operators
 
     def _and(self, a: tuple, b: tuple) -> Column:
-        return self.column(a) & self.column(b)
+        x, y = self.column(a), self.column(b)
+        # where b may fail it mustn't be looked at for nothing; elsewhere a plain AND, which Spark can split and push
+        return F.when(~x, F.lit(False)).otherwise(x & y) if may_fail(b) else x & y
 
     def _or(self, a: tuple, b: tuple) -> Column:
-        return self.column(a) | self.column(b)
+        x, y = self.column(a), self.column(b)
+        return F.when(x, F.lit(True)).otherwise(x | y) if may_fail(b) else x | y
 
     def _not(self, a: tuple) -> Column:
         return ~self.column(a)
@@ -119,9 +122,13 @@ class Compiler:
     def _like(self, a: tuple, pattern: tuple, escape: tuple | None) -> Column:
         if escape is None:
             return F.rlike(self.column(a), self.column(pattern))
+        if is_null(pattern) or is_null(escape):
+            return F.lit(None).cast("boolean")
         return F.like(self.column(a), self.column(pattern), F.lit(self.constant(escape)))
 
     def _similar(self, a: tuple, pattern: tuple, escape: tuple | None) -> Column:
+        if is_null(pattern) or escape is not None and is_null(escape):
+            return F.lit(None).cast("boolean")
         return F.rlike(self.column(a), F.lit(similar_regex(self.constant(pattern), self.constant(escape) if escape else None)))
 
     def constant(self, tree: tuple) -> str:
@@ -156,7 +163,7 @@ class Compiler:
             # a zero divisor fails the query, as integers do; Spark's own % and div keep the dividend's sign
             return (F.call_function("div", x.cast("bigint"), y.cast("bigint")) if op == "/" else x % y).cast(kind)
         if isinstance(kind, T.DecimalType):
-            x, y = x.cast(K.digits(p)), y.cast(K.digits(q))
+            x, y = (c if isinstance(t, T.DecimalType) else c.cast(K.digits(t)) for c, t in ((x, p), (y, q)))
             out = {"+": F.try_add, "-": F.try_subtract, "*": F.try_multiply, "/": F.try_divide, "%": F.try_mod}[op](x, y)
             return out.try_cast(kind)
         x, y = x.cast(kind), y.cast(kind)
@@ -218,6 +225,23 @@ class Compiler:
             raise ParseError(f"{name} doesn't take {len(args)} arguments") from wrong
 
 
+def is_null(tree: tuple) -> bool:
+    return tree == ("literal", None) or tree[0] == "cast" and is_null(tree[1])
+
+
+def may_fail(tree: object) -> bool:
+    """Whether evaluating a tree can fail a query: integer division, strict parsing, user functions."""
+    if not isinstance(tree, tuple | list):
+        return False
+    if tree and tree[0] == "arithmetic" and tree[1] in "/%":
+        return True
+    if tree and tree[0] == "cast" and isinstance(tree[2], tuple) and tree[2][0] == "TIMESTAMP":
+        return True
+    if tree and tree[0] == "call" and str(tree[1]).upper() in ("TO_TIMESTAMP", "TO_TIMESTAMP_LTZ", "PARSE_JSON", "SUBSTRING"):
+        return True
+    return any(may_fail(x) for x in tree)
+
+
 def wrapped(value: Column, kind: T.DataType) -> Column:
     """An exact integer in a decimal, in two's complement of the type."""
     bits = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}[type(kind)]

@@ -208,13 +208,11 @@ class Parser:
                 raise self.fail("an interval's length")
             self.at += 1
             unit = self.unit()
-            if self.take("TO"):
-                self.unit()
-                raise ParseError(f"intervals of several units aren't supported: {self.text!r}")
             if self.take("("):
                 self.at += 1
                 self.need(")")
-            return ("interval", -int(number) if negative else int(number), unit)
+            length, unit = interval(number, unit, self.unit() if self.take("TO") else None)
+            return ("interval", -length if negative else length, unit)
         if word in ("DATE", "TIMESTAMP", "TIME") and self.tokens[self.at + 1][0] == "string":
             self.at += 2
             return ("temporal", word, self.tokens[self.at - 1][1])
@@ -314,6 +312,30 @@ class Parser:
         return ("call", word, args)
 
 
+#: The units of a clock, largest first, in microseconds.
+CLOCK = (("DAY", 86_400_000_000), ("HOUR", 3_600_000_000), ("MINUTE", 60_000_000), ("SECOND", 1_000_000))
+
+
+def interval(text: str, unit: str, last: str | None) -> tuple[int, str]:
+    """An interval's length in one unit: its own, MONTH for years and months, MICROSECOND for days to seconds."""
+    sign, body = (-1, text.strip()[1:]) if text.strip().startswith("-") else (1, text.strip())
+    if last is None and re.fullmatch(r"\d+", body):
+        return sign * int(body), unit
+    if (unit, last) == ("YEAR", "MONTH") and (m := re.fullmatch(r"(\d+)-(\d+)", body)):
+        return sign * (12 * int(m[1]) + int(m[2])), "MONTH"
+    names = [n for n, _ in CLOCK]
+    if unit in names and (last or unit) in names:
+        parts = re.split(r"[ :]", body)
+        wanted = CLOCK[names.index(unit) : names.index(last or unit) + 1]
+        if len(parts) == len(wanted) and all(re.fullmatch(r"\d+(\.\d{1,9})?" if n == "SECOND" else r"\d+", p) for p, (n, _) in zip(parts, wanted, strict=True)):
+            total = 0
+            for p, (_, size) in zip(parts, wanted, strict=True):
+                whole, _, rest = p.partition(".")
+                total += int(whole) * size + int((rest + "000000")[:6])
+            return sign * total, "MICROSECOND"
+    raise ParseError(f"not an interval: {text!r} {unit}{' TO ' + last if last else ''}")
+
+
 def parse_expression(text: str) -> tuple:
     parser = Parser(text)
     tree = parser.expression()

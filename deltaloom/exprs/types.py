@@ -21,10 +21,15 @@ def rank(kind: T.DataType) -> int:
     return next((i for i, t in enumerate(order) if isinstance(kind, t)), -1)
 
 
+def capped(precision: int, scale: int) -> T.DecimalType:
+    precision = min(MOST_DIGITS, max(1, precision))
+    return T.DecimalType(precision, min(scale, precision))
+
+
 def digits(kind: T.DataType) -> T.DecimalType:
     """The decimal that holds an integer type."""
     if isinstance(kind, T.DecimalType):
-        return kind
+        return capped(kind.precision, kind.scale)
     return T.DecimalType({T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}[type(kind)], 0)
 
 
@@ -50,18 +55,17 @@ def arithmetic_type(op: str, a: T.DataType, b: T.DataType) -> T.DataType:
         whole = x.precision - x.scale + y.scale
         precision = whole + scale
         if precision > MOST_DIGITS:
-            scale = max(min(scale, MOST_DIGITS - whole), min(scale, 6), 0)
+            scale = max(MOST_DIGITS - whole, 0)
     else:
         scale = max(x.scale, y.scale)
         precision = min(x.precision - x.scale, y.precision - y.scale) + scale
-    precision = min(MOST_DIGITS, max(1, precision))
-    return T.DecimalType(precision, min(scale, precision))
+    return capped(precision, scale)
 
 
 def named(name: str, args: list[int]) -> T.DataType:
     """The Spark type of a type name in a cast."""
     if name in ("DECIMAL", "DEC", "NUMERIC"):
-        return T.DecimalType(args[0] if args else 10, args[1] if len(args) > 1 else 0)
+        return capped(args[0] if args else 10, args[1] if len(args) > 1 else 0)
     if name not in SIMPLE:
         raise ValueError(f"can't cast to {name}")
     return SIMPLE[name]

@@ -31,6 +31,12 @@ def cast(c: Column, source: T.DataType, target: T.DataType) -> Column:
 
 def text_of(c: Column, source: T.DataType) -> Column:
     """Dates and times as ISO texts, a timestamp with T between them and no trailing zeros."""
+    if is_zoned(source):
+        local = F.convert_timezone(F.lit("UTC"), c["zone"], F.convert_timezone(F.current_timezone(), F.lit("UTC"), c["ts"].cast("timestamp_ntz")))
+        minutes = F.timestamp_diff("MINUTE", F.convert_timezone(F.current_timezone(), F.lit("UTC"), c["ts"].cast("timestamp_ntz")), local)
+        sign = F.when(minutes < 0, "-").otherwise("+")
+        offset = F.when(minutes == 0, "Z").otherwise(F.format_string("%s%02d:%02d", sign, F.floor(F.abs(minutes) / 60), F.abs(minutes) % 60))
+        return F.concat(text_of(local, T.TimestampNTZType()), offset)
     if isinstance(source, T.TimestampNTZType | T.TimestampType):
         return F.replace(c.cast("string"), F.lit(" "), F.lit("T"))
     return F.base64(c) if isinstance(source, T.BinaryType) else c.cast("string")
@@ -64,10 +70,19 @@ def decimal(c: Column, source: T.DataType, target: T.DecimalType) -> Column:
     return F.round(c.try_cast(T.DecimalType(38, min(18, target.scale + 10))), target.scale).try_cast(target)
 
 
+def is_zoned(kind: T.DataType) -> bool:
+    """Whether a type stands for a timestamp with its own zone."""
+    return isinstance(kind, T.StructType) and kind.names == ["ts", "zone"]
+
+
 def stamp(c: Column, source: T.DataType) -> Column:
     """A timestamp; a text that isn't one fails the query."""
     if isinstance(source, T.StringType):
         return F.replace(c, F.lit("T"), F.lit(" ")).cast("timestamp_ntz")
+    if is_zoned(source):
+        return c["ts"].cast("timestamp_ntz")
+    if isinstance(source, T.NullType):
+        return c.cast("timestamp_ntz")
     if isinstance(source, T.DateType | T.TimestampType | T.TimestampNTZType):
         return c.cast("timestamp_ntz")
     raise ValueError(f"can't cast {source.simpleString()} to timestamp")

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from deltaloom.exprs.types import INTEGERS
+from deltaloom.exprs.types import INTEGERS, MOST_DIGITS, capped
 from deltaloom.functions import temporal as D
+from deltaloom.functions.casts import is_zoned
 
 FUNCTIONS: dict[str, Callable[..., Column]] = {}
 
@@ -159,6 +162,8 @@ def overlay(compiler, trees, c, part, begin, length=None):
 @function("POSITION", "LOCATE")
 def position(compiler, trees, seek, c, begin=None):
     begin = F.lit(1) if begin is None else F.greatest(begin.cast("int"), F.lit(1))
+    if isinstance(compiler.type_of(c), T.BinaryType):  # bytes as characters
+        seek, c = F.decode(seek, "ISO-8859-1"), F.decode(c, "ISO-8859-1")
     return F.when(F.length(seek) == 0, F.when(c.isNotNull(), F.lit(1))).otherwise(F.call_function("locate", seek, c, begin))
 
 
@@ -224,7 +229,7 @@ def uuid(compiler, trees, c=None):
 @function("ABS")
 def absolute(compiler, trees, c):
     kind = compiler.type_of(c)
-    return F.abs(c).cast(kind)
+    return F.abs(c).try_cast(capped(kind.precision, kind.scale)) if isinstance(kind, T.DecimalType) else F.abs(c).cast(kind)
 
 
 @function("CEIL", "CEILING")
@@ -241,7 +246,10 @@ def floor(compiler, trees, c):
 def rounded(compiler, trees, c, places=None):
     kind = compiler.type_of(c)
     out = F.call_function("round", c, F.lit(0) if places is None else places)
-    return out if isinstance(kind, T.DecimalType) else out.cast(kind)
+    if not isinstance(kind, T.DecimalType):
+        return out.cast(kind)
+    made = compiler.type_of(out)
+    return out.try_cast(capped(made.precision, made.scale)) if made.precision > MOST_DIGITS else out
 
 
 # conditions
@@ -290,7 +298,9 @@ for _name, _unit in (("YEAR", "YEAR"), ("QUARTER", "QUARTER"), ("MONTH", "MONTH"
 
 @function("TIMESTAMPADD", "TIMESTAMP_ADD")
 def timestampadd(compiler, trees, unit, n, c):
-    return D.shifted(c, compiler.type_of(c), n, trees[0][1])
+    kind = compiler.type_of(c)
+    moved = D.shifted(c, kind, n, trees[0][1])
+    return F.date_trunc("MILLISECOND", moved).cast(kind) if isinstance(kind, T.TimestampType | T.TimestampNTZType) else moved
 
 
 @function("TIMESTAMPDIFF", "TIMESTAMP_DIFF")
@@ -312,6 +322,8 @@ def date_format_tz(compiler, trees, c, *rest):
 @function("TO_DATE")
 def to_date(compiler, trees, c, pattern=None):
     kind = compiler.type_of(c)
+    if is_zoned(kind):
+        return F.convert_timezone(F.current_timezone(), c["zone"], c["ts"].cast("timestamp_ntz")).cast("date")
     if isinstance(kind, T.TimestampType):
         return F.convert_timezone(F.current_timezone(), F.lit("UTC"), c.cast("timestamp_ntz")).cast("date")
     if isinstance(kind, T.StringType):
@@ -357,9 +369,28 @@ def date_add(compiler, trees, c, days):
 # JSON
 
 
+@F.pandas_udf("string")
+def last_of_each_key(texts: pd.Series) -> pd.Series:
+    """JSON texts with the last value of each key; what isn't JSON stays for the parser to reject."""
+
+    def one(text: str | None) -> str | None:
+        try:
+            return None if text is None else json.dumps(json.loads(text), ensure_ascii=False)
+        except ValueError:
+            return text
+
+    return texts.map(one)
+
+
 def parsed(made: Callable) -> Callable:
-    """An empty text is NULL. Whether a key may repeat is the session's setting (spark.sql.variant.allowDuplicateKeys)."""
-    return lambda compiler, trees, c, duplicates=None: made(F.when(c != "", c))
+    """An empty text is NULL. Keys may repeat only if asked for (a second argument TRUE): the last one counts."""
+
+    def run(compiler, trees, c, duplicates=None):
+        c = text(compiler, c)
+        repeat = duplicates is not None and trees[1] == ("literal", True)
+        return made(F.when(c != "", last_of_each_key(c) if repeat else c))
+
+    return run
 
 
 FUNCTIONS["PARSE_JSON"], FUNCTIONS["TRY_PARSE_JSON"] = parsed(F.parse_json), parsed(F.try_parse_json)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MONTHS = {"MONTH": 1, "QUARTER": 3, "YEAR": 12, "DECADE": 120, "CENTURY": 1200}
-MICROS = {"MILLISECOND": 1_000, "SECOND": 1_000_000, "MINUTE": 60_000_000, "HOUR": 3_600_000_000, "DAY": 86_400_000_000, "WEEK": 604_800_000_000}
+MICROS = {"MICROSECOND": 1, "MILLISECOND": 1_000, "SECOND": 1_000_000, "MINUTE": 60_000_000, "HOUR": 3_600_000_000, "DAY": 86_400_000_000, "WEEK": 604_800_000_000}
 DAY = MICROS["DAY"]
 
 
