@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from deltaloom.exprs.types import INTEGERS, MOST_DIGITS, capped
 from deltaloom.functions import temporal as D
 from deltaloom.functions.casts import is_zoned
+from deltaloom.package import ship
 
 FUNCTIONS: dict[str, Callable[..., Column]] = {}
 
@@ -369,9 +370,9 @@ def date_add(compiler, trees, c, days):
 # JSON
 
 
-@F.pandas_udf("string")
-def last_of_each_key(texts: pd.Series) -> pd.Series:
+def last_of_each_key(c: Column) -> Column:
     """JSON texts with the last value of each key; what isn't JSON stays for the parser to reject."""
+    ship()
 
     def one(text: str | None) -> str | None:
         try:
@@ -379,7 +380,11 @@ def last_of_each_key(texts: pd.Series) -> pd.Series:
         except ValueError:
             return text
 
-    return texts.map(one)
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(one)
+
+    run.__annotations__ = {"texts": pd.Series, "return": pd.Series}
+    return F.pandas_udf(run, "string")(c)
 
 
 def parsed(made: Callable) -> Callable:

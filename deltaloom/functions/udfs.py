@@ -13,6 +13,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from deltaloom.package import ship
+
 PYTHON_TYPES = {str: T.StringType(), int: T.LongType(), float: T.DoubleType(), bool: T.BooleanType(), bytes: T.BinaryType()}
 
 
@@ -66,6 +68,7 @@ def scalar(kind: type, options: Mapping[str, str] | None = None) -> Callable:
     options = dict(options or {})
 
     def call(*cols: Column, types: list[T.DataType]) -> Column:
+        ship()
         evaluate = chosen(kind, types)
         name, returns = evaluate.__name__, result_type(kind, evaluate)
 

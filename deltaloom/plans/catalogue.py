@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deltaloom.catalog import Schema, TableId
+from deltaloom.functions.udfs import scalar
 from deltaloom.operators import changelog, route
+from deltaloom.operators.evolve import coerced
 from deltaloom.operators.transform import Transform, TransformRule, transform_rows
+from deltaloom.sinks import formats
 from deltaloom.sources import chunks as C
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -312,6 +315,120 @@ def enriched_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("o_orderkey", "o_totalprice", "c_name", "n_name")
 
 
+transformed(
+    "interval_compound", "orders", "o_orderkey, o_orderdate + INTERVAL '1 02:03:04' DAY TO SECOND AS a, o_orderdate - INTERVAL '1-2' YEAR TO MONTH AS b, TIMESTAMPADD(WEEK, 2, o_orderdate) AS c", "o_orderdate + INTERVAL '1' DAY > TO_TIMESTAMP('1995-06-01 00:00:00')",
+    "SELECT o_orderkey, o_orderdate + INTERVAL '1 day 02:03:04' AS a, o_orderdate - INTERVAL 14 MONTH AS b, o_orderdate + INTERVAL 14 DAY AS c FROM orders WHERE o_orderdate + INTERVAL 1 DAY > TIMESTAMP '1995-06-01 00:00:00'",
+)
+transformed(
+    "array_access", "embeddings", "vec_id, embedding[1] AS first, embedding[vec_id % 3 + 1] AS some, embedding[0] AS none, embedding[9999] AS gone", None,
+    "SELECT vec_id, embedding[1] AS first, embedding[vec_id % 3 + 1] AS some, CAST(NULL AS FLOAT) AS none, CAST(NULL AS FLOAT) AS gone FROM embeddings",
+)
+transformed(
+    "short_circuit", "orders", "o_orderkey, o_orderkey % 3 = 0 OR 7 / (o_orderkey % 3) > 3 AS a", "NOT (o_orderkey % 2 = 0 AND 5 / (o_orderkey % 2 + 1) = 4)",
+    "SELECT o_orderkey, o_orderkey % 3 = 0 OR 7 // nullif(o_orderkey % 3, 0) > 3 AS a FROM orders WHERE NOT (o_orderkey % 2 = 0 AND 5 // (o_orderkey % 2 + 1) = 4)",
+)
+
+
+@query(
+    CHANGES_SQL
+    + """SELECT op, CAST(seq AS BIGINT) AS seq, CASE op WHEN 'DELETE' THEN user_id END AS b_user_id, CASE op WHEN 'DELETE' THEN p_event_id END AS b_event_id, CASE op WHEN 'DELETE' THEN p_type END AS b_event_type, CASE op WHEN 'DELETE' THEN p_value END AS b_value,
+      CASE WHEN op <> 'DELETE' THEN user_id END AS a_user_id, CASE WHEN op <> 'DELETE' THEN event_id END AS a_event_id, CASE WHEN op <> 'DELETE' THEN event_type END AS a_event_type, CASE WHEN op <> 'DELETE' THEN value END AS a_value FROM changes"""
+)
+def upsert_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flat(changelog.upserts(user_changes(spark, sf_dir)))
+
+
+@query(CHANGES_SQL + "SELECT op, CAST(seq AS BIGINT) AS seq, CASE WHEN op <> 'DELETE' THEN event_id END AS event_id FROM changes WHERE seq >= 5")
+def startup_specific_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.started(user_changes(spark, sf_dir), "specific-offset", 3, skip_events=2).select("op", "seq", "after.event_id")
+
+
+@query("SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'ods.even_copy' ELSE 'ods.app_odd' END AS table_id, o_orderkey FROM orders")
+def route_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A replace symbol, and capture groups under FIRST_MATCH."""
+    orders = read(spark, sf_dir, "orders").select("o_orderkey")
+    rules = [route.RouteRule("app.even", "ods.<>_copy", "<>"), route.RouteRule(r"(app).(\.*)", "ods.$1_$2"), route.RouteRule(r"app.\.*", "never.seen")]
+    out = None
+    for name, rest in (("even", 0), ("odd", 1)):
+        for sink in route.targets(TableId.parse(f"app.{name}"), rules, "FIRST_MATCH"):
+            one = orders.where(F.col("o_orderkey") % 2 == rest).select(F.lit(str(sink)).alias("table_id"), "o_orderkey")
+            out = one if out is None else out.unionByName(one)
+    return out
+
+
+SIDES_SQL = """CASE WHEN op <> 'INSERT' THEN {'user_id': user_id, 'event_id': p_event_id, 'event_type': p_type} END AS b, CASE WHEN op <> 'DELETE' THEN {'user_id': user_id, 'event_id': event_id, 'event_type': event_type} END AS a"""
+
+
+def narrow_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ruled(spark, sf_dir, projection="user_id, event_id, event_type")
+
+
+@query(
+    CHANGES_SQL
+    + f"""SELECT CAST(seq AS BIGINT) AS seq, CAST(to_json({{'before': b, 'after': a, 'op': CASE op WHEN 'INSERT' THEN 'c' WHEN 'UPDATE' THEN 'u' ELSE 'd' END, 'source': {{'db': 'public', 'table': 'events'}}}}) AS VARCHAR) AS value,
+      'app.public.events,' || user_id AS key FROM (SELECT *, {SIDES_SQL} FROM changes)"""
+)
+def debezium_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = TableId.parse("app.public.events")
+    return formats.message_key(formats.debezium_json(narrow_changes(spark, sf_dir), table), table, ["user_id"], "csv").select("seq", "key", "value")
+
+
+@query(
+    CHANGES_SQL
+    + f"""SELECT CAST(seq AS BIGINT) AS seq, CAST(to_json({{'old': CASE op WHEN 'UPDATE' THEN [b] END, 'data': [CASE op WHEN 'DELETE' THEN b ELSE a END], 'type': op, 'database': 'public', 'table': 'events', 'pkNames': ['user_id']}}) AS VARCHAR) AS value
+      FROM (SELECT *, {SIDES_SQL} FROM changes)"""
+)
+def canal_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return formats.canal_json(narrow_changes(spark, sf_dir), TableId.parse("app.public.events"), ["user_id"]).select("seq", "value")
+
+
+@query("SELECT CAST(floor((o_orderkey - (SELECT min(o_orderkey) FROM orders)) / 500) AS BIGINT) AS chunk_id, count(*) AS n FROM orders GROUP BY 1")
+def chunk_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = read(spark, sf_dir, "orders")
+    low = orders.agg(F.min("o_orderkey").alias("low"))  # one row
+    return orders.crossJoin(F.broadcast(low)).groupBy(C.even_chunk_of(F.col("o_orderkey"), F.col("low"), 500).alias("chunk_id")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(CHANGES_SQL + "SELECT op, CAST(seq AS BIGINT) AS seq, user_id FROM changes WHERE seq > CASE WHEN user_id < 50 THEN 10 WHEN user_id < 90 THEN 20 ELSE 30 END")
+def log_after_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of the log once each chunk's own high mark has been read."""
+    marks = spark.createDataFrame([(None, 50, 10), (50, 90, 20), (90, None, 30)], "low bigint, high bigint, high_mark bigint")
+    return C.after_snapshot(user_changes(spark, sf_dir), marks, "user_id").select("op", "seq", F.coalesce("after.user_id", "before.user_id").alias("user_id"))
+
+
+@query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
+def skip_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A replay that repeats each third row's update still leaves the table as it is."""
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    row = F.struct("o_orderkey", "o_orderstatus", "o_totalprice")
+    again = orders.where("o_orderkey % 3 = 0").select(F.lit("UPDATE").alias("op"), row.alias("before"), row.alias("after"), F.lit(1).cast("bigint").alias("seq"))
+    return changelog.materialized(C.replayed(orders, again), ["o_orderkey"])
+
+
+@query("SELECT c_custkey, c_name || '!' AS loud, c_custkey + 7 AS more FROM customer")
+def user_defined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A class's overloads, in Arrow batches."""
+    return transform_rows(read(spark, sf_dir, "customer"), "c_custkey, shift(c_name) AS loud, SHIFT(c_custkey) AS more", udfs={"shift": scalar(Shift, {"n": "7"})})
+
+
+class Shift:
+    def open(self, options: dict) -> None:
+        self.n = int(options["n"])
+
+    def eval(self, x: int) -> int:
+        return None if x is None else x + self.n
+
+    def eval_text(self, x: str) -> str:
+        return None if x is None else x + "!"
+
+
+@query("SELECT o_orderkey, CAST(o_totalprice AS VARCHAR) AS o_totalprice, CAST(NULL AS DATE) AS extra, CAST(o_custkey AS DOUBLE) AS o_custkey FROM (SELECT o_orderkey, o_custkey, CAST(o_totalprice AS DECIMAL(12, 2)) AS o_totalprice FROM orders)")
+def coerced_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_totalprice").cast("decimal(12,2)"))
+    target = Schema.of(("o_orderkey", "BIGINT"), ("o_totalprice", "STRING"), ("extra", "DATE"), ("o_custkey", "DOUBLE"))
+    return orders.select(coerced(F.struct("*"), Schema.from_spark(orders.schema), target).alias("r")).select("r.*")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -93,6 +93,15 @@ def backfilled(snapshot: DataFrame, log: DataFrame, keys: Sequence[str], low: Co
     return materialized(base.unionByName(between), keys)
 
 
+def replayed(snapshot: DataFrame, log: DataFrame) -> DataFrame:
+    """A snapshot without backfill: its rows as inserts, then all of the log. A change may come twice, with its row and
+    by itself, so a sink by key is needed."""
+    row = F.struct(*[F.col(f"`{c}`") for c in snapshot.columns])
+    kind = T.StructType([T.StructField(f.name, f.dataType) for f in snapshot.schema])
+    base = snapshot.select(F.lit("INSERT").alias("op"), F.lit(None).cast(kind).alias("before"), row.cast(kind).alias("after"), F.lit(-(1 << 62)).cast("bigint").alias("seq"))
+    return base.unionByName(log.select("op", F.col("before").cast(kind).alias("before"), F.col("after").cast(kind).alias("after"), "seq"))
+
+
 def after_snapshot(log: DataFrame, marks: DataFrame, key: str) -> DataFrame:
     """The log's changes that no chunk has: those past the high mark of the chunk that their key is in.
 
