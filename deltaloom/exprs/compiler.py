@@ -7,6 +7,8 @@ schema and from Spark's own analysis of the partial columns, so nothing is run."
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,6 +52,23 @@ class Compiler:
     def column(self, tree: tuple) -> Column:
         return getattr(self, f"_{tree[0]}")(*tree[1:])
 
+    def passing(self, tree: tuple) -> Column:
+        """A condition that is true where the tree is; elsewhere it may be NULL."""
+        if tree[0] in ("and", "or") and not may_fail(tree):
+            x, y = self.passing(tree[1]), self.passing(tree[2])
+            return x & y if tree[0] == "and" else x | y
+        if tree[0] == "compare" and not may_fail(tree):
+            x, y = self.column(tree[2]), self.column(tree[3])
+            if tree[1] == "<>":
+                nulls = [c.isNull() for c, t in ((x, tree[2]), (y, tree[3])) if t[0] not in ("number", "string")]
+                return functools.reduce(operator.or_, nulls, x != y)
+            return {"=": x == y, "<": x < y, "<=": x <= y, ">": x > y, ">=": x >= y}[tree[1]]
+        if tree[0] == "between" and not may_fail(tree):
+            return self.column(tree[1]).between(self.column(tree[2]), self.column(tree[3]))
+        if tree[0] == "in" and tree[2] and not may_fail(tree):
+            return self.column(tree[1]).isin([self.column(x) for x in tree[2]])
+        return self.column(tree)
+
     # leaves
 
     def _literal(self, value: object) -> Column:
@@ -302,13 +321,15 @@ def compile_projection(compiler: Compiler, text: str | None, hidden: set[str] =
 
 
 def compile_filter(compiler: Compiler, text: str | None) -> Column | None:
-    """The filter, null when it is empty; a NULL outcome counts as false."""
+    """The filter, None when it is empty. A NULL outcome of it counts as false, so comparisons at its top need no guard
+    against NULL and can be pushed to the scan."""
     if not text or not text.strip():
         return None
-    c = compiler.compile(text)
-    if not isinstance(compiler.type_of(c), T.BooleanType | T.NullType):
+    tree = parse_expression(text)
+    c = compiler.passing(tree)
+    if not isinstance(compiler.type_of(compiler.column(tree)), T.BooleanType | T.NullType):
         raise ParseError(f"a filter must be BOOLEAN: {text}")
-    return false_if_null(c.cast("boolean"))
+    return c.cast("boolean") if isinstance(compiler.type_of(c), T.NullType) else c
 
 
 __all__ = ["Compiler", "compile_filter", "compile_projection", "referenced"]

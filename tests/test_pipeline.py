@@ -55,6 +55,16 @@ def test_output_schema_without_rows(spark):
     assert referenced_columns(TransformRule("x", "id, UPPER(name) AS n", "n = 'A' AND age > 3"), USERS) == ["id", "name", "age"]
 
 
+def test_filters_reach_the_scan(spark, tmp_path):
+    spark.range(100).selectExpr("id", "if(id % 7 = 0, null, id) as x", "'a' as s").write.parquet(f"{tmp_path}/t")
+    rows = spark.read.parquet(f"{tmp_path}/t")
+    out = transform_rows(rows, "id, x + 1 AS y", "x > 5 AND s <> 'b' AND (id IN (8, 9, 20) OR id BETWEEN 30 AND 40)")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(x,5)" in plan and "ReadSchema: struct<id:bigint,x:bigint,s:string>" in plan
+    assert sorted(r["id"] for r in out.collect()) == [8, 9, 20, 30, 31, 32, 33, 34, 36, 37, 38, 39, 40]
+    assert transform_rows(rows, "id", "x <> 3").count() == 99
+
+
 def test_wrong_sides_fail(spark):
     with pytest.raises(Exception, match="wrong sides"):
         users(spark, [["DELETE", None, [1, "x", 2]]]).collect()
