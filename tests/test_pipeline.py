@@ -6,15 +6,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from deltaloom.catalog import Change, Column, Schema, TableId, Type
-from deltaloom.functions.udfs import scalar
+from deltaloom.functions.udfs import registered, scalar
 from deltaloom.operators import changelog, route
 from deltaloom.operators.evolve import Registry, SchemaEvolution, coerced
 from deltaloom.operators.transform import Transform, TransformRule, options_of, referenced_columns, transform_rows
-from deltaloom.plans.definition import DefinitionError, parse
+from deltaloom.plans.definition import DefinitionError, ModelDef, parse
 from deltaloom.plans.planner import run
 from deltaloom.sinks import formats
 from deltaloom.sinks.registry import open_sink
 from deltaloom.sources import chunks
+from deltaloom.sources.metrics import newly_added, observed
 from deltaloom.sources.registry import control_change, control_row, log_events, open_source
 from deltaloom.sources.selectors import Selectors
 from deltaloom.streaming.runtime import file_stream, start
@@ -55,6 +56,20 @@ def test_output_schema_without_rows(spark):
     assert referenced_columns(TransformRule("x", "id, UPPER(name) AS n", "n = 'A' AND age > 3"), USERS) == ["id", "name", "age"]
 
 
+def test_metrics(spark):
+    out, seen = observed(users(spark, ROWS), "snapshot")
+    assert out.count() == 6
+    assert seen.get == {"rows": 6, "inserts": 3, "updates": 2, "replaces": 0, "deletes": 1, "last_seq": 5}
+    a, b = TableId.parse("a.b"), TableId.parse("a.c")
+    assert newly_added([a], [b, a]) == [b]
+
+
+def test_models(spark):
+    made = registered((), (ModelDef("chat", "LocalChat", {"prompt": "> "}), ModelDef("embed", "LocalEmbedding", {"dimensions": "4"})))
+    got = transform_rows(spark.sql("select 'hello' a union all select ''"), "chat(a) AS c, EMBED(a) AS e", udfs=made).orderBy("c").collect()
+    assert [r["c"] for r in got] == ["> ", "> hello"] and got[0]["e"] == [] and len(got[1]["e"]) == 4
+
+
 def test_filters_reach_the_scan(spark, tmp_path):
     spark.range(100).selectExpr("id", "if(id % 7 = 0, null, id) as x", "'a' as s").write.parquet(f"{tmp_path}/t")
     rows = spark.read.parquet(f"{tmp_path}/t")
