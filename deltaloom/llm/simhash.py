@@ -14,8 +14,8 @@ For a similarity of shingle sets, as the pipeline's stage takes, 64 bits tell to
 each bit with probability 0.85. So without_near_duplicates uses 1024 bits, the first 64 being the fingerprint above, on a
 ring of 102 segments of 10 bits. Fingerprints meet where two consecutive segments agree (a chain of cumulative difference
 zero, in which texts of similarity 0.8 meet with a chance of 0.95, of 0.85 with 0.99), must keep the proportional budget
-of the chain of the first 64 bits, and then the full one. What the 64-bit links join at 3 bits is joined before and not
-compared again, so a ball of near copies yields no pairs.
+of the chain of the first 128 bits, and then the full one. What links of the first 64 bits join is joined before, and of
+two joined groups a bucket yields its closest pair only, so a ball of near copies doesn't yield its pairs.
 
 Defined results: a null or empty text has fingerprint zero and is linked like any other; rows with equal ids each have
 their own fingerprint, and ids don't link; a null id is never the smallest unless its component has no other; an empty
@@ -33,11 +33,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from deltaloom.llm.common import WORD_BYTES, chunks, lower_ascii, ship, starts_of, table, utf8, written
+from deltaloom.llm.common import WORD_BYTES, chunks, lower_ascii, release, ship, starts_of, table, utf8, written
 from deltaloom.llm.graph import components
 
 SEED = 42
 WIDE, SEGMENT = 1024, 10
+#: Buckets of wide fingerprints beyond this are reduced before rows are compared.
+LONG_BUCKET = 256
 #: Runs up to this length are compared by shifting columns, longer ones by leaders.
 SHORT_RUN = 64
 
@@ -190,6 +192,25 @@ def bucket_links(keys: np.ndarray, values: np.ndarray, ring: Ring) -> tuple[np.n
     return np.concatenate([none, *a]), np.concatenate([none, *b])
 
 
+def forest(pairs: np.ndarray) -> np.ndarray:
+    """Of pairs of values those that join what the ones before don't."""
+    root: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = root[up]
+            x = root[x]
+        return x
+
+    keep = np.zeros(len(pairs), bool)
+    for i, (a, b) in enumerate(pairs.tolist()):
+        x, y = top(a), top(b)
+        if x != y:
+            root[y] = x
+            keep[i] = True
+    return pairs[keep]
+
+
 def links(distinct: DataFrame, bits: int, segments: int) -> DataFrame:
     """Links (a, b) among distinct fingerprints (fp) that connect all pairs at most bits apart, and no others."""
     ring = Ring(bits, segments)
@@ -211,7 +232,7 @@ def links(distinct: DataFrame, bits: int, segments: int) -> DataFrame:
                 a, b = bucket_links(keys[:cut], values[:cut], ring)
                 keys, values = keys[cut:], values[cut:]
                 if len(a):
-                    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
+                    pairs = forest(np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0))
                     yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy().view(np.int64)), pa.array(pairs[:, 1].copy().view(np.int64))], ["a", "b"])
 
     ship(distinct.sparkSession)
@@ -236,9 +257,49 @@ def near_duplicates(docs: DataFrame, words: int = 3, bits: int = 2, segments: in
     return marked.join(owned, "fp")
 
 
+def closest(key: np.ndarray, own: np.ndarray, head: np.ndarray, label: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of whole buckets, sorted by key: for each two labels of a bucket their closest pair within the budget, as ids.
+
+    Labels stand for texts that are linked already. A bucket of over LONG_BUCKET rows keeps a row for each label; if
+    there are still as many, a leader takes all within the budget and only leaders are compared."""
+    edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
+    keep, a, b = np.ones(len(key), bool), [], []
+    for k in np.flatnonzero(np.diff(edge) > LONG_BUCKET).tolist():
+        rows = np.arange(edge[k], edge[k + 1])
+        keep[rows] = False
+        rest = rows[np.unique(label[rows], return_index=True)[1]]
+        while len(rest) > LONG_BUCKET:
+            hit = np.bitwise_count(head[rest] ^ head[rest[0]]).sum(1) <= budget
+            a.append(np.full(int(hit.sum()) - 1, rest[0]))
+            b.append(rest[hit][1:])
+            keep[rest[0]] = True
+            rest = rest[~hit]
+        keep[rest] = True
+    at = np.flatnonzero(keep)
+    near, shift = key[at], 1
+    while shift < len(at):
+        same = np.flatnonzero(near[shift:] == near[:-shift])
+        if not len(same):
+            break
+        x, y = at[same], at[same + shift]
+        good = (label[x] != label[y]) & (np.bitwise_count(head[x] ^ head[y]).sum(1) <= budget)
+        a.append(x[good])
+        b.append(y[good])
+        shift += 1
+    none = np.empty(0, np.int64)
+    x, y = np.concatenate([none, *a]), np.concatenate([none, *b])
+    low, high = np.minimum(label[x], label[y]), np.maximum(label[x], label[y])
+    order = np.lexsort((np.bitwise_count(head[x] ^ head[y]).sum(1), high, low, key[x]))
+    x, y, low, high = x[order], y[order], low[order], high[order]
+    first = np.ones(len(x), bool)
+    first[1:] = (key[x][1:] != key[x][:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+    return own[x[first]], own[y[first]]
+
+
 def similar_pairs(rows: DataFrame, limit: int) -> DataFrame:
     """Candidate pairs (a, b) among distinct rows (id, fp wide, label) of different labels whose chains agree."""
-    share = limit / WIDE
+    budget = limit * 128 // WIDE + 8
+    columns = ["key", "id", "h0", "h1", "label"]
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, 1024):
@@ -246,58 +307,60 @@ def similar_pairs(rows: DataFrame, limit: int) -> DataFrame:
             bits = np.unpackbits(wide, axis=1, bitorder="little")[:, : WIDE // SEGMENT * SEGMENT].reshape(batch.num_rows, -1, SEGMENT)
             segments = bits.astype(np.int64) @ (1 << np.arange(SEGMENT))
             keys = (np.arange(segments.shape[1]) << 2 * SEGMENT) | segments << SEGMENT | np.roll(segments, -1, 1)
-            many, first = keys.shape[1], np.ascontiguousarray(wide[:, :8]).view(np.int64).ravel()
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), *(pa.array(np.repeat(np.asarray(c), many)) for c in (batch["id"], first, batch["label"]))], ["key", "id", "head", "label"])
+            head = np.ascontiguousarray(wide[:, :16]).view(np.int64)
+            rest = [np.repeat(np.asarray(c), keys.shape[1]) for c in (batch["id"], head[:, 0], head[:, 1], batch["label"])]
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), *map(pa.array, rest)], columns)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = [np.empty(0, np.int64)] * 4
+        held: list[np.ndarray] = [np.empty(0, np.int64)] * 5
         for batch in _with_end(batches):
             if batch is not None:
-                held = [np.concatenate([h, np.asarray(batch[c])]) for h, c in zip(held, ("key", "id", "head", "label"), strict=True)]
+                held = [np.concatenate([h, np.asarray(batch[c])]) for h, c in zip(held, columns, strict=True)]
             cut = len(held[0]) if batch is None else int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0
             if cut:
-                key, own, head, label = (h[:cut] for h in held)
+                key, own, h0, h1, label = (h[:cut] for h in held)
                 held = [h[cut:] for h in held]
-                a, b = [], []
-                head, budget = head.view(np.uint64), int(64 * share) + 8
-                for shift in range(1, cut):
-                    at = np.flatnonzero(key[shift:] == key[:-shift])
-                    if not len(at):
-                        break
-                    at = at[(label[at] != label[at + shift]) & (np.bitwise_count(head[at] ^ head[at + shift]) <= budget)]
-                    a.append(own[at])
-                    b.append(own[at + shift])
-                pairs = np.stack([np.concatenate(a), np.concatenate(b)], 1) if a else np.empty((0, 2), np.int64)
-                if len(pairs):
-                    pairs = np.unique(np.sort(pairs, 1), axis=0)
+                a, b = closest(key, own, np.stack([h0, h1], 1).view(np.uint64), label, budget)
+                if len(a):
+                    pairs = np.unique(np.sort(np.stack([a, b], 1), 1), axis=0)
                     yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
+        release()
 
-    spread_out = rows.select("id", "fp", "label").mapInArrow(spread, "key bigint, id bigint, head bigint, label bigint")
+    spread_out = rows.select("id", "fp", "label").mapInArrow(spread, ", ".join(f"{c} bigint" for c in columns))
     return spread_out.repartition("key").sortWithinPartitions("key").mapInArrow(meet, "a bigint, b bigint").distinct()
 
 
+def verified(pairs: DataFrame, limit: int) -> DataFrame:
+    """The pairs (a, b) whose wide fingerprints (x, y) differ in at most limit bits."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, 4096):
+            x, y = (np.frombuffer(b"".join(batch[c].to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("x", "y"))
+            yield batch.select(["a", "b"]).filter(pa.array(np.bitwise_count(x ^ y).sum(1) <= limit))
+
+    return pairs.select("a", "b", "x", "y").mapInArrow(check, "a bigint, b bigint")
+
+
 def without_near_duplicates(docs: DataFrame, words: int = 5, limit: int = 165) -> DataFrame:
     """docs with one row of each group of near duplicates, the one of the smallest doc_id; all columns stay.
 
     limit is the most bits of WIDE that a link may differ in: about WIDE * acos(2s / (1 + s)) / pi for shingle sets of
-    similarity s, 155 for 0.8, and a standard deviation more."""
+    similarity s, 155 for 0.8, and a standard deviation more. Texts that share the first 64 bits count as linked; those
+    whose first 64 bits differ in at most 7 are compared first, and labels of what is linked so keep large groups from
+    yielding pairs of each other again."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.monotonically_increasing_id().alias("n")).alias("key")
     marked = written(fingerprints(docs.select(key, F.col("text"), row), words, wide=True))
-    distinct = written(marked.groupBy("fp").agg(F.min("key").alias("key")).withColumn("id", F.xxhash64("fp")).withColumn("head", F.conv(F.hex(F.reverse(F.substr("fp", F.lit(1), F.lit(8)))), 16, -10).cast("bigint")))
-    close = components(links(distinct.select(F.col("head").alias("fp")).distinct(), 3, 4))
-    labelled = written(distinct.join(close.select(F.col("node").alias("head"), "label"), "head", "left").withColumn("label", F.coalesce("label", "head")).select("id", "fp", "label", "key"))
-    pairs = similar_pairs(labelled, limit)
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, 4096):
-            x, y = (np.frombuffer(b"".join(batch[c].to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("x", "y"))
-            yield batch.select(["a", "b"]).filter(pa.array(np.bitwise_count(x ^ y).sum(1) <= limit))
-
+    head = F.conv(F.hex(F.reverse(F.substr("fp", F.lit(1), F.lit(8)))), 16, -10).cast("bigint")
+    distinct = written(marked.groupBy("fp").agg(F.min("key").alias("key")).withColumn("id", F.xxhash64("fp")).withColumn("head", head))
+    heads = written(distinct.groupBy("head").agg(F.min("fp").alias("wide")))
+    near = links(heads.select(F.col("head").alias("fp")), 7, 4).distinct()
+    near = near.join(heads.select(F.col("head").alias("a"), F.col("wide").alias("x")), "a").join(heads.select(F.col("head").alias("b"), F.col("wide").alias("y")), "b")
+    close = components(verified(near, limit)).select(F.col("node").alias("head"), "label")
+    labelled = written(distinct.join(close, "head", "left").withColumn("label", F.coalesce("label", "head")).select("id", "fp", "label", "key"))
     sided = lambda i, v, u: labelled.select(F.col("id").alias(i), F.col("fp").alias(v), F.col("label").alias(u))
-    both = pairs.join(sided("a", "x", "p"), "a").join(sided("b", "y", "q"), "b")
-    edges = both.select(F.col("p").alias("a"), F.col("q").alias("b"), "x", "y").mapInArrow(check, "a bigint, b bigint")
-    joined = components(edges).select("node", F.col("label").alias("root"))
+    both = similar_pairs(labelled, limit).join(sided("a", "x", "p"), "a").join(sided("b", "y", "q"), "b")
+    joined = components(verified(both.select(F.col("p").alias("a"), F.col("q").alias("b"), "x", "y"), limit)).select("node", F.col("label").alias("root"))
     rooted = labelled.join(joined, labelled["label"] == joined["node"], "left").withColumn("root", F.coalesce("root", "label"))
     kept = rooted.groupBy("root").agg(F.min("key").alias("first")).select("first")
     return marked.join(kept, marked["key"] == kept["first"], "left_semi").select("row.*")
