@@ -2,36 +2,26 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import re
 import tempfile
 import uuid
-import zipfile
 import zlib
 from collections.abc import Iterator
-from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from deltaloom.package import ship
+
 #: Separators of words: space and the ASCII controls from tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 WORD_BYTES = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
-def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors, once for a Spark context: their Python need not have it installed."""
-    context = spark.sparkContext
-    if not getattr(context, "_deltaloom_shipped", False):
-        package = Path(__file__).resolve().parent.parent
-        archive = Path(tempfile.mkdtemp(prefix="deltaloom-")) / "deltaloom.zip"
-        with zipfile.ZipFile(archive, "w") as out:
-            for file in sorted(package.rglob("*.py")):
-                out.write(file, file.relative_to(package.parent))
-        context.addPyFile(str(archive))
-        context._deltaloom_shipped = True
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -87,11 +77,20 @@ def utf8(text: object) -> bytes:
     return text.encode("utf-8", "surrogatepass") if isinstance(text, str) else b""
 
 
+def release() -> None:
+    """Gives freed memory back to the system: Python workers stay, idle, for the next task."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def chunks(frames: Iterator, rows: int = 256) -> Iterator:
     """Record batches cut into slices of at most so many rows, which bounds what one step holds in memory."""
     for batch in frames:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    release()
+
 
 
 def starts_of(lengths: np.ndarray) -> np.ndarray:

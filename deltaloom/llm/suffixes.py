@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from deltaloom.llm.common import chunks, ship, table, utf8, written
+from deltaloom.llm.common import chunks, release, ship, table, utf8, written
 from deltaloom.llm.ngrams import _runs, _word_part, restored, squeezed
 
 GRAM = 48
@@ -368,9 +368,9 @@ def settle(frame: pd.DataFrame, length: int) -> pd.DataFrame:
     return pd.DataFrame({"block": frame["block"], "part": frame["part"], "masks": [squeezed(out[a:b]) for a, b in zip(begins[:-1], begins[1:], strict=True)]})
 
 
-def deduplicated(docs: DataFrame, length: int = 100, block_bytes: int = 4 << 20, part_blocks: int = 8, hot: int = 20_000, sample: int = 20_000, texts: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if texts, kept (bytes) for each of docs (doc_id, text), and
-    row, a struct of docs that is carried along, if there is one.
+def deduplicated(docs: DataFrame, length: int = 100, block_bytes: int = 4 << 20, part_blocks: int = 8, hot: int = 20_000, sample: int = 20_000, texts: str | None = None) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if texts is bytes or text, kept (a text loses broken characters) for each of docs
+    (doc_id, text), and row, a struct of docs that is carried along, if there is one.
 
     Anchors that occur hot times or more are sorted window by window. At most sample keys, those of least hash, choose
     the splitters."""
@@ -398,6 +398,7 @@ def deduplicated(docs: DataFrame, length: int = 100, block_bytes: int = 4 << 20,
                 **{c: squeezed(e[c]) for c in ("keys", "own", "offset", "at", "near", "far", "entry", "first", "of", "off", "window", "window_first")},
                 "number": squeezed(e["number"] + 1), "sample": [x.tobytes() for x in picked],
             })
+        release()
         return pd.DataFrame(out)
 
     kept = ["at", "near", "far", "entry", "first", "number", "of", "off", "window", "window_first"]
@@ -441,7 +442,7 @@ def deduplicated(docs: DataFrame, length: int = 100, block_bytes: int = 4 << 20,
     told = runs.select("block", *kept).join(answers, "block", "left")
     whole = T.StructType([T.StructField(n, k) for n, k in (("doc_id", T.LongType()), ("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()), ("kept_sha256", T.StringType()))])
     if texts:
-        whole = whole.add("kept", T.BinaryType())
+        whole = whole.add("kept", T.StringType() if texts == "text" else T.BinaryType())
     if carried:
         whole = whole.add(docs.schema["row"])
 
@@ -472,14 +473,15 @@ def deduplicated(docs: DataFrame, length: int = 100, block_bytes: int = 4 << 20,
                 removed = int(here.sum())
                 left = text.raw[a : a + n] if not removed else text.data[a : a + n][~here].tobytes()
                 spans = int(here[:1].sum()) + int((here[1:] & ~here[:-1]).sum()) if removed else 0
-                for name, value in zip(columns, (key, n, removed, spans, hashlib.sha256(left).hexdigest(), left), strict=False):
+                for name, value in zip(columns, (key, n, removed, spans, hashlib.sha256(left).hexdigest(), left.decode("utf-8", "ignore") if texts == "text" else left), strict=False):
                     if name != "row":
                         columns[name].append(value)
-            types = {"kept_sha256": pa.string(), "kept": pa.binary()}
+            types = {"kept_sha256": pa.string(), "kept": pa.string() if texts == "text" else pa.binary()}
             made = {n: pa.array(v, types.get(n, pa.int64())) for n, v in columns.items() if n != "row"}
             if carried:
                 made["row"] = pa.ipc.open_stream(row["rest"]).read_all()["row"]
             out.append(pa.table(made))
+        release()
         return pa.concat_tables(out)
 
     base = made.select("block", "docs", "lengths", "bytes", *["rest"] * carried).groupBy("block")
@@ -493,13 +495,7 @@ def without_repeats(docs: DataFrame, **options: object) -> DataFrame:
     Characters that lose some of their bytes go altogether."""
     rest = [c for c in docs.columns if c != "text"]
     given = docs.select("doc_id", "text", F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in rest]).alias("row"))
-    left = deduplicated(given, texts=True, **options).select("row", "kept", "n_removed")
-
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
-            yield pa.RecordBatch.from_arrays([batch["row"], pa.array([x.decode("utf-8", "ignore") for x in batch["kept"].to_pylist()], pa.string()), batch["n_removed"]], ["row", "now", "n_removed"])
-
-    out = left.mapInArrow(decode, T.StructType([left.schema["row"], T.StructField("now", T.StringType()), left.schema["n_removed"]]))
+    out = deduplicated(given, texts="text", **options).select("row", F.col("kept").alias("now"), "n_removed")
     count = F.when(F.col("n_removed") == 0, F.col("row.n_chars")).otherwise(F.length("now")) if "n_chars" in rest else None
     made = {"text": F.col("now"), "n_chars": count}
     return out.select(*[made.get(c, F.col(f"row.`{c}`") if c not in made else None).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
