@@ -15,13 +15,24 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deltaloom.package import ship
+from deltaloom import package
 
 #: Separators of words: space and the ASCII controls from tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 WORD_BYTES = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
+#: Rows in a batch between Spark and Python: ten thousand, the default, of long texts fill both sides' memory.
+BATCH_ROWS, BATCH_KEY = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def ship(spark: SparkSession) -> None:
+    """Makes the package known to the executors, and batches modest unless their size has been set."""
+    package.ship(spark)
+    if spark.conf.get(BATCH_KEY) == "10000" and not spark.sparkContext.getConf().contains(BATCH_KEY):
+        spark.conf.set(BATCH_KEY, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
