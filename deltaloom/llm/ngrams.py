@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deltaloom.llm.common import WORD_BYTES, chunks, learned_from, lower_ascii, ship, table, utf8, written
+from deltaloom.llm.common import WORD_BYTES, chunks, learned_from, lower_ascii, release, ship, table, utf8, written
 
 #: The hash that stands for the end of a document.
 END = np.uint64(0)
@@ -332,6 +332,7 @@ def score(docs: DataFrame, held: object = None, mu: float = 500.0, block_bytes:
             for part, (a, b) in _runs(to[order]):
                 at = order[a:b]
                 out.append((part, row["block"], *(squeezed(x[at]) for x in (first, second, counts, left, right))))
+        release()
         return pd.DataFrame(out, columns=["part", "block", "first", "second", "counts", "left", "right"])
 
     def answer(frame: pd.DataFrame) -> pd.DataFrame:
@@ -352,6 +353,7 @@ def score(docs: DataFrame, held: object = None, mu: float = 500.0, block_bytes:
             out = []
             for block, a, b in zip(frame["block"], [0, *ends], ends, strict=False):
                 out.append((block, int(frame["part"].iloc[0]), squeezed(trie.codes_of(first[a:b], second[a:b]).astype(np.uint64))))
+        release()
         return pd.DataFrame(out, columns=["block", "part", "codes"])
 
     def total(key: tuple, own: pd.DataFrame, block_words: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
@@ -374,6 +376,7 @@ def score(docs: DataFrame, held: object = None, mu: float = 500.0, block_bytes:
                     "train_tokens": tokens, "base_score": np.add.reduceat(base[ids], begin), "score": np.add.reduceat(pair[place], begin),
                 })
             )
+        release()
         return pd.concat(out)
 
     own = made.select("block", "docs", "lengths", "held", "tokens").groupBy("block")
