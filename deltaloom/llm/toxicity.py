@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deltaloom.llm.common import chunks, learned_from, ship, table, written
@@ -226,12 +226,23 @@ def gram_counts(docs: DataFrame) -> DataFrame:
     return each.groupBy("gram").agg(*[F.sum(f"n{i}").alias(f"n{i}") for i in range(4)]).where("n1 + n3 >= 3")
 
 
-def lexicon_of(counts: DataFrame, clean: str, toxic: str, totals: tuple[int, int], most: int) -> Lexicon:
-    """Grams by the lower bound of their log odds, two standard errors below the estimate."""
-    c, t = F.expr(clean), F.expr(toxic)
-    sure = F.log((t + 0.5) / (totals[1] + 1)) - F.log((c + 0.5) / (totals[0] + 1)) - 2 * F.sqrt(1 / (t + 0.5) + 1 / (c + 0.5))
-    found = counts.where(t >= 3).select("gram", sure.alias("sure")).where("sure > 1").orderBy(F.desc("sure"), "gram").limit(most)
-    return Lexicon({r["gram"]: 2 if r["sure"] > 2.5 else 1 for r in found.collect()})
+def lexicons(counts: DataFrame, n: list[list[int]], most: int) -> list[Lexicon]:
+    """The lexicons of half 0, of half 1 and of both: at most so many grams each, by the lower bound of their log odds,
+    two standard errors below the estimate."""
+
+    def sure(clean: str, toxic: str, totals: tuple[int, int]) -> Column:
+        c, t = F.expr(clean), F.expr(toxic)
+        bound = F.log((t + 0.5) / (totals[1] + 1)) - F.log((c + 0.5) / (totals[0] + 1)) - 2 * F.sqrt(1 / (t + 0.5) + 1 / (c + 0.5))
+        return F.when((t >= 3) & (bound > 1), bound)
+
+    both = (n[0][0] + n[1][0], n[0][1] + n[1][1])
+    rated = counts.select("gram", sure("n0", "n1", tuple(n[0])).alias("s0"), sure("n2", "n3", tuple(n[1])).alias("s1"), sure("n0 + n2", "n1 + n3", both).alias("s2"))
+    found = rated.where("coalesce(s0, s1, s2) is not null").orderBy(F.desc(F.greatest("s0", "s1", "s2")), "gram").limit(3 * most).collect()
+    out = []
+    for column in ("s0", "s1", "s2"):
+        own = sorted(((-r[column], r["gram"]) for r in found if r[column] is not None))[:most]
+        out.append(Lexicon({g: 2 if s < -2.5 else 1 for s, g in own}))
+    return out
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000, lexicon_grams: int = 3000) -> Model:
@@ -248,12 +259,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000, lexicon_grams:
     share = toxic / max(1, clean + toxic)
     if not (clean and toxic):
         return Model(Lexicon({}), None, None, share)
-    counts = written(gram_counts(rows))
-    lexicon = lexicon_of(counts, "n0 + n2", "n1 + n3", (clean, toxic), lexicon_grams)
-    seen = []
-    for half in (0, 1):
-        other = lexicon_of(counts, f"n{2 * (1 - half)}", f"n{2 * (1 - half) + 1}", tuple(n[1 - half]), lexicon_grams)
-        seen.append(feature_rows(rows.where(F.col("half") == half), "y int, kept boolean", other).toPandas())
+    *halves, lexicon = lexicons(gram_counts(rows), n, lexicon_grams)
+    seen = [feature_rows(rows.where(F.col("half") == half), "y int, kept boolean", halves[1 - half]).toPandas() for half in (0, 1)]
     seen = pd.concat(seen)
     x, y, kept = np.array(seen["x"].tolist(), float).reshape(-1, len(FEATURES)), seen["y"].to_numpy(float), seen["kept"].to_numpy(bool)
     order = np.lexsort((*x.T, y, kept))
