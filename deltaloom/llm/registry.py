@@ -17,16 +17,16 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
   sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
-  CAST(sum(20 + length(replace(replace(role, '\', '\\'), '<', '\l')) + length(replace(replace(text, '\', '\\'), '<', '\l'))) AS BIGINT) AS formatted_chars,
+  CAST(sum(length('<turn><says></turn>') + length(replace(replace(role, '\', '\\'), '<', '\l')) + length(replace(replace(text, '\', '\\'), '<', '\l'))) AS BIGINT) AS formatted_chars,
   CAST(0 AS BIGINT) AS attachment_tokens
 FROM turns GROUP BY conv_id
 """
 
 OP9_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(64 * CAST(x AS DOUBLE))) AS x FROM embeddings
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS x FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)),
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
 scored AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),

@@ -184,3 +184,22 @@ def test_pipeline(spark, awkward, tmp_path):
     kept = {r["doc_id"] for r in spark.read.parquet(f"{tmp_path}/1").collect()}
     assert 300 in kept and not {301, 302, 201, 202} & kept and set(range(20)) - kept == set() or len(kept) > 40
 
+
+
+@pytest.mark.parametrize("name", ["op3_chat_formatting", "op9_ball_tree"])
+def test_sql_gives_the_same_rows(spark, tmp_path, name):
+    import duckdb
+
+    from deltaloom.llm import registry
+
+    rows, odd = vector_rows()
+    odd = [r for r in odd if r[1] is None or len(r[1]) == 12]  # the SQL takes one length only
+    spark.createDataFrame(rows + odd, "vec_id bigint, embedding array<float>").coalesce(1).write.parquet(f"{tmp_path}/embeddings.parquet")
+    said = [(c, t, ["user", "assistant", None][t % 3], [f"text {c}", "a\\b<c", None, "", "é"][(c + t) % 5]) for c in range(9) for t in range(5)]
+    spark.createDataFrame(said, "conv_id bigint, turn bigint, role string, text string").coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    db = duckdb.connect()
+    for t in ("embeddings", "conversations"):
+        db.sql(f"create view {t} as select * from '{tmp_path}/{t}.parquet/*.parquet'")
+    want, got = db.sql(registry.oracle_sql()[name]), registry.queries()[name](spark, str(tmp_path))
+    assert sorted(want.columns) == sorted(got.columns)
+    assert sorted(want.fetchall(), key=str) == sorted((tuple(r[c] for c in want.columns) for r in got.collect()), key=str)
