@@ -10,20 +10,23 @@ Fingerprints are compared once each, however many documents carry one. A bucket
 its pairs connect, not its pairs: a leader takes all it links to, and only what the largest such group lacks is
 compared with everything. So a large ball of near copies costs a bucket no more than its size times its outliers.
 
-For a similarity of shingle sets, as the pipeline's stage takes, 64 bits tell too little: two texts of similarity 0.8 share
-each bit with probability 0.85. So without_near_duplicates uses 1024 bits, the first 64 being the fingerprint above, on a
-ring of 102 segments of 10 bits. Fingerprints meet where two consecutive segments agree (a chain of cumulative difference
-zero, in which texts of similarity 0.8 meet with a chance of 0.95, of 0.85 with 0.99), must keep the proportional budget
-of the chain of the first 128 bits, and then the full one. What links of the first 64 bits join is joined before, and of
-two joined groups a bucket yields its closest pair only, so a ball of near copies doesn't yield its pairs.
-
-Defined results: a null or empty text has fingerprint zero and is linked like any other; rows with equal ids each have
+The pipeline's stage links texts whose sets of distinct shingles have a similarity (common over all) of 4/5 or more,
+decided on the sets themselves. Candidates are complete: in any one order of shingles, two such sets of n and m shingles
+share one among the first n - ceil(4n/5) + 1 of the one and as many of the other, so sets meet in buckets of those. The order
+is by hash, with shingles common in a sample of the texts last, so a common line makes no long bucket; the sample only moves
+work, as any order is complete. In a bucket pairs must have sizes that allow 4/5 and 128-bit fingerprints of the sets within
+HEAD_BITS (about 19 at 4/5, so 6 standard deviations), of which the first 64 within FIRST_BITS are seen first. Rows of long
+buckets are first checked against a few leaders, and labels of what that links keep a large group from yielding its pairs;
+after that every pair of different labels in every bucket is checked, so nothing rests on the leaders.
+
+Defined results: a null or empty text has fingerprint zero and is linked like any other (in the stage to its like only); rows with equal ids each have
 their own fingerprint, and ids don't link; a null id is never the smallest unless its component has no other; an empty
 table gives an empty one; other columns play no part.
 """
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,9 +40,14 @@ from deltaloom.llm.common import WORD_BYTES, chunks, lower_ascii, release, ship,
 from deltaloom.llm.graph import components
 
 SEED = 42
-WIDE, SEGMENT = 1024, 10
-#: Buckets of wide fingerprints beyond this are reduced before rows are compared.
-LONG_BUCKET = 256
+#: The most bits that two sets of similarity 4/5 are taken to differ in, of the first 64 and of all 128.
+FIRST_BITS, HEAD_BITS = 27, 44
+#: Rows of longer buckets are linked to leaders before all pairs are compared, in so many rounds at most.
+LONG_BUCKET, ROUNDS = 32, 4
+#: Distinct sets that are looked at for common shingles, and in how many of them a shingle is common.
+SAMPLE, COMMON = 2048, 8
+#: Bits of the map that tells which sets may be candidates, and of a slot that hold the set's size.
+MAP_BITS, SIZE_BITS = 22, 24
 #: Runs up to this length are compared by shifting columns, longer ones by leaders.
 SHORT_RUN = 64
 
@@ -67,31 +75,16 @@ def fingerprint(text: object, words: int) -> int:
     return int(majority(shingle_hashes(text, words)[:, None])[0])
 
 
-def wide_fingerprint(text: object, words: int) -> bytes:
-    """WIDE bits, from WIDE / 64 mixes of the shingles' hashes; the first 64 are the fingerprint."""
-    h = shingle_hashes(text, words)
-    mixes = np.empty((len(h), WIDE // 64), np.uint64)
-    mixes[:, 0] = h
-    for j in range(1, mixes.shape[1]):
-        m = (h ^ np.uint64(0x9E3779B97F4A7C15 * (2 * j + 1) % (1 << 64))) * np.uint64(0xBF58476D1CE4E5B9)
-        m = (m ^ m >> np.uint64(29)) * np.uint64(0x94D049BB133111EB)
-        mixes[:, j] = m ^ m >> np.uint64(32)
-    return majority(mixes).tobytes()
-
-
-def fingerprints(docs: DataFrame, words: int, wide: bool = False) -> DataFrame:
-    """docs (text and others) with fp, the fingerprint in a signed long or wide in a binary, and without text."""
+def fingerprints(docs: DataFrame, words: int) -> DataFrame:
+    """docs (text and others) with fp, the fingerprint in a signed long, and without text."""
     ship(docs.sparkSession)
     at = docs.columns.index("text")
-    schema = T.StructType([*(f for f in docs.schema if f.name != "text"), T.StructField("fp", T.BinaryType() if wide else T.LongType())])
+    schema = T.StructType([*(f for f in docs.schema if f.name != "text"), T.StructField("fp", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
             texts = batch.column(at).to_pylist()
-            if wide:
-                found = pa.array([wide_fingerprint(t, words) for t in texts], pa.binary())
-            else:
-                found = pa.array(np.fromiter((fingerprint(t, words) for t in texts), np.uint64, batch.num_rows).view(np.int64))
+            found = pa.array(np.fromiter((fingerprint(t, words) for t in texts), np.uint64, batch.num_rows).view(np.int64))
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(batch.num_columns) if i != at), found], schema.names)
 
     return docs.mapInArrow(run, schema)
@@ -257,111 +250,292 @@ def near_duplicates(docs: DataFrame, words: int = 3, bits: int = 2, segments: in
     return marked.join(owned, "fp")
 
 
-def closest(key: np.ndarray, own: np.ndarray, head: np.ndarray, label: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of whole buckets, sorted by key: for each two labels of a bucket their closest pair within the budget, as ids.
+def shingle_set(text: object, words: int) -> np.ndarray:
+    """The distinct shingle hashes of a text, sorted."""
+    return np.unique(shingle_hashes(text, words))
+
+
+def set_id(own: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(own.tobytes(), SEED)
+
+
+def head_of(own: np.ndarray) -> np.ndarray:
+    """128 bits of a set, from its hashes and a mix of them."""
+    m = (own ^ np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
+    m = (m ^ m >> np.uint64(29)) * np.uint64(0x94D049BB133111EB)
+    return majority(np.stack([own, m ^ m >> np.uint64(32)], 1))
+
+
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sorted sets have a similarity of 4/5 or more."""
+    if not len(x) or not len(y):
+        return len(x) == len(y)
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    return 9 * int((y[at] == x).sum()) >= 4 * (len(x) + len(y))
+
+
+def leading(own: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """The shingles of a set that meet others: its first n - ceil(4n/5) + 1, the common ones (sorted) last."""
+    if len(common):
+        late = common[np.minimum(np.searchsorted(common, own), len(common) - 1)] == own
+        own = np.concatenate([own[~late], own[late]])
+    return own[: len(own) - (4 * len(own) + 4) // 5 + 1]
+
+
+def set_heads(docs: DataFrame, words: int) -> DataFrame:
+    """docs (key, row with text) with id, the set's digest, its size and its head h0, h1."""
+    ship(docs.sparkSession)
+    schema = T.StructType([*docs.schema, *(T.StructField(c, T.LongType()) for c in ("id", "size", "h0", "h1"))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            found = np.zeros((batch.num_rows, 4), np.uint64)
+            for i, text in enumerate(batch["row"].field("text").to_pylist()):
+                own = shingle_set(text, words)
+                found[i] = set_id(own), len(own), *head_of(own)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(found[:, j].copy().view(np.int64)) for j in range(4))], schema.names)
+
+    return docs.mapInArrow(run, schema)
+
+
+def sets_of(marked: DataFrame, words: int) -> DataFrame:
+    """(id, shingles as a binary) for rows (id, text), an id once in a task."""
 
-    Labels stand for texts that are linked already. A bucket of over LONG_BUCKET rows keeps a row for each label; if
-    there are still as many, a leader takes all within the budget and only leaders are compared."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in chunks(batches):
+            rows = []
+            for i, text in zip(batch["id"].to_pylist(), batch["text"].to_pylist(), strict=True):
+                if i not in seen:
+                    seen.add(i)
+                    rows.append((i, shingle_set(text, words).tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["id", "shingles"])
+
+    return marked.select("id", "text").mapInArrow(run, "id bigint, shingles binary")
+
+
+def common_shingles(texts: DataFrame, ids: DataFrame, words: int) -> np.ndarray:
+    """Hashes, sorted, of the shingles in COMMON or more of SAMPLE distinct sets (those of the smallest ids)."""
+    last = ids.orderBy("id").limit(SAMPLE).agg(F.max("id")).first()[0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(batch["shingles"].to_pylist()), np.int64))], ["shingle"])
+
+    few = sets_of(texts.where(F.col("id") <= F.lit(last).cast("bigint")), words).dropDuplicates(["id"])
+    found = few.mapInArrow(run, "shingle bigint").groupBy("shingle").count().where(F.col("count") >= COMMON).select("shingle").collect()
+    return np.sort(np.array([r[0] for r in found], np.int64).view(np.uint64))
+
+
+def near_rows(h: np.ndarray, size: np.ndarray, label: np.ndarray, x: np.ndarray, y: np.ndarray | int) -> np.ndarray:
+    """Which pairs of rows have different labels, sizes that allow 4/5 and heads within HEAD_BITS."""
+    fits = 5 * np.minimum(size[x], size[y]) >= 4 * np.maximum(size[x], size[y])
+    return fits & (label[x] != label[y]) & (np.bitwise_count(h[x] ^ h[y]).sum(-1) <= HEAD_BITS)
+
+
+def bucket_pairs(key: np.ndarray, h: np.ndarray, size: np.ndarray, label: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows of different labels in whole buckets (sorted by key) that near_rows lets pass."""
     edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
-    keep, a, b = np.ones(len(key), bool), [], []
-    for k in np.flatnonzero(np.diff(edge) > LONG_BUCKET).tolist():
-        rows = np.arange(edge[k], edge[k + 1])
-        keep[rows] = False
-        rest = rows[np.unique(label[rows], return_index=True)[1]]
-        while len(rest) > LONG_BUCKET:
-            hit = np.bitwise_count(head[rest] ^ head[rest[0]]).sum(1) <= budget
-            a.append(np.full(int(hit.sum()) - 1, rest[0]))
-            b.append(rest[hit][1:])
-            keep[rest[0]] = True
-            rest = rest[~hit]
-        keep[rest] = True
-    at = np.flatnonzero(keep)
-    near, shift = key[at], 1
-    while shift < len(at):
-        same = np.flatnonzero(near[shift:] == near[:-shift])
-        if not len(same):
+    length = np.diff(edge)
+    short = np.repeat(length <= LONG_BUCKET, length)
+    for shift in range(1, LONG_BUCKET):
+        at = np.flatnonzero((key[shift:] == key[:-shift]) & short[shift:])
+        if not len(at):
             break
-        x, y = at[same], at[same + shift]
-        good = (label[x] != label[y]) & (np.bitwise_count(head[x] ^ head[y]).sum(1) <= budget)
-        a.append(x[good])
-        b.append(y[good])
-        shift += 1
-    none = np.empty(0, np.int64)
-    x, y = np.concatenate([none, *a]), np.concatenate([none, *b])
-    low, high = np.minimum(label[x], label[y]), np.maximum(label[x], label[y])
-    order = np.lexsort((np.bitwise_count(head[x] ^ head[y]).sum(1), high, low, key[x]))
-    x, y, low, high = x[order], y[order], low[order], high[order]
-    first = np.ones(len(x), bool)
-    first[1:] = (key[x][1:] != key[x][:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
-    return own[x[first]], own[y[first]]
-
-
-def similar_pairs(rows: DataFrame, limit: int) -> DataFrame:
-    """Candidate pairs (a, b) among distinct rows (id, fp wide, label) of different labels whose chains agree."""
-    budget = limit * 128 // WIDE + 8
-    columns = ["key", "id", "h0", "h1", "label"]
+        at = at[near_rows(h, size, label, at, at + shift)]
+        yield at, at + shift
+    for k in np.flatnonzero(length > LONG_BUCKET).tolist():
+        rows = np.arange(edge[k], edge[k + 1])
+        for i in range(len(rows) - 1):
+            hit = rows[i + 1 :][near_rows(h, size, label, rows[i + 1 :], rows[i])]
+            yield np.full(len(hit), rows[i]), hit
+
+
+def bucket_leaders(key: np.ndarray, own: np.ndarray, h: np.ndarray, size: np.ndarray, label: np.ndarray, seed: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For rows of whole buckets (sorted by key) a leader of another label that near_rows lets pass: fewer pairs than rows."""
+    rank = own.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15 * (2 * seed + 1) % (1 << 64))
+    edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
+    for lo, hi in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+        rest = lo + np.argsort(rank[lo:hi])
+        while len(rest) > 1:
+            hit = near_rows(h, size, label, rest[1:], rest[0])
+            yield rest[1:][hit], np.full(int(hit.sum()), rest[0])
+            rest = rest[1:][~hit]
+
+
+def whole_buckets(batches: Iterator[pa.RecordBatch], columns: list[str], key: str) -> Iterator[list[np.ndarray]]:
+    """The columns of batches sorted by key, cut where no key goes on."""
+    held: list[np.ndarray] = [np.empty(0, np.int64)] * len(columns)
+    at = columns.index(key)
+    for batch in _with_end(batches):
+        if batch is not None:
+            held = [np.concatenate([h, np.asarray(batch[c])]) for h, c in zip(held, columns, strict=True)]
+        cut = len(held[at]) if batch is None else int(np.searchsorted(held[at], held[at][-1])) if len(held[at]) else 0
+        if cut:
+            yield [h[:cut] for h in held]
+            held = [h[cut:] for h in held]
+    release()
+
+
+def met_rows(texts: DataFrame, words: int, common: np.ndarray) -> DataFrame:
+    """(key, id, many) for the rows (id, size, h0, text) that meet another set of fitting size and h0 in a bucket; many
+    tells whether the bucket is a long one, whose rows all stay."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, 1024):
-            wide = np.frombuffer(b"".join(batch["fp"].to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-            bits = np.unpackbits(wide, axis=1, bitorder="little")[:, : WIDE // SEGMENT * SEGMENT].reshape(batch.num_rows, -1, SEGMENT)
-            segments = bits.astype(np.int64) @ (1 << np.arange(SEGMENT))
-            keys = (np.arange(segments.shape[1]) << 2 * SEGMENT) | segments << SEGMENT | np.roll(segments, -1, 1)
-            head = np.ascontiguousarray(wide[:, :16]).view(np.int64)
-            rest = [np.repeat(np.asarray(c), keys.shape[1]) for c in (batch["id"], head[:, 0], head[:, 1], batch["label"])]
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), *map(pa.array, rest)], columns)
+        seen: set[int] = set()
+        for batch in chunks(batches):
+            slots, owns, heads = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            for i, h, text in zip(*(batch[c].to_pylist() for c in ("id", "h0", "text")), strict=True):
+                if i not in seen:
+                    seen.add(i)
+                    own = shingle_set(text, words)
+                    first = leading(own, common)
+                    size = np.uint64(min(len(own), (1 << SIZE_BITS) - 1))
+                    slots.append(((first & ~np.uint64((1 << SIZE_BITS) - 1)) | size).view(np.int64))
+                    owns.append(np.full(len(first), i, np.int64))
+                    heads.append(np.full(len(first), h, np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (slots, owns, heads)], ["slot", "id", "h0"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = [np.empty(0, np.int64)] * 5
-        for batch in _with_end(batches):
-            if batch is not None:
-                held = [np.concatenate([h, np.asarray(batch[c])]) for h, c in zip(held, columns, strict=True)]
-            cut = len(held[0]) if batch is None else int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0
-            if cut:
-                key, own, h0, h1, label = (h[:cut] for h in held)
-                held = [h[cut:] for h in held]
-                a, b = closest(key, own, np.stack([h0, h1], 1).view(np.uint64), label, budget)
-                if len(a):
-                    pairs = np.unique(np.sort(np.stack([a, b], 1), 1), axis=0)
-                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
-        release()
+        keyed = (pa.RecordBatch.from_arrays([pa.array(np.asarray(b["slot"]) >> SIZE_BITS), *b.columns], ["key", "slot", "id", "h0"]) for b in batches)
+        for key, slot, own, h0 in whole_buckets(keyed, ["key", "slot", "id", "h0"], "key"):
+            once = np.ones(len(key), bool)
+            once[1:] = (slot[1:] != slot[:-1]) | (own[1:] != own[:-1])
+            key, size, own, h0 = key[once], slot[once] & (1 << SIZE_BITS) - 1, own[once], h0[once].view(np.uint64)
+            length = np.diff(np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]])))
+            many = np.repeat(length > LONG_BUCKET, length)
+            keep = many.copy()
+            for shift in range(1, LONG_BUCKET):
+                at = np.flatnonzero((key[shift:] == key[:-shift]) & ~many[shift:] & (5 * size[:-shift] >= 4 * size[shift:]))
+                if not len(at):
+                    break
+                at = at[np.bitwise_count(h0[at] ^ h0[at + shift]) <= FIRST_BITS]
+                keep[at] = keep[at + shift] = True
+            if keep.any():
+                yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (key, own, many)], ["key", "id", "many"])
+
+    spread_out = texts.select("id", "h0", "text").mapInArrow(spread, "slot bigint, id bigint, h0 bigint")
+    return spread_out.repartition(F.shiftright("slot", SIZE_BITS)).sortWithinPartitions("slot", "id").mapInArrow(meet, "key bigint, id bigint, many boolean")
+
+
+def near_met(met: DataFrame) -> DataFrame:
+    """The rows (key, id, h0, h1, size, many) that are in a candidate pair of a bucket."""
+    columns = ["key", "id", "h0", "h1", "size", "many"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wide = (b.set_column(5, "many", b["many"].cast(pa.int64())) for b in batches)
+        for found in whole_buckets(wide, columns, "key"):
+            key, own, h0, h1, size, many = found
+            keep = np.zeros(len(key), bool)
+            for x, y in bucket_pairs(key, np.stack([h0, h1], 1).view(np.uint64), size, own):
+                keep[x] = keep[y] = True
+            yield pa.RecordBatch.from_arrays([*(pa.array(c[keep]) for c in found[:5]), pa.array(many[keep].astype(bool))], columns)
 
-    spread_out = rows.select("id", "fp", "label").mapInArrow(spread, ", ".join(f"{c} bigint" for c in columns))
-    return spread_out.repartition("key").sortWithinPartitions("key").mapInArrow(meet, "a bigint, b bigint").distinct()
+    return met.select(columns).repartition("key").sortWithinPartitions("key").mapInArrow(run, "key bigint, id bigint, h0 bigint, h1 bigint, size bigint, many boolean")
 
 
-def verified(pairs: DataFrame, limit: int) -> DataFrame:
-    """The pairs (a, b) whose wide fingerprints (x, y) differ in at most limit bits."""
+def candidate_pairs(met: DataFrame, seed: int | None = None) -> DataFrame:
+    """Pairs (a, b) of different labels that meet in rows (key, id, h0, h1, size, label): all, or with a seed a leader b
+    for each a."""
+    columns = ["key", "id", "h0", "h1", "size", "label"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(found: list) -> pa.RecordBatch:
+            pairs = np.stack([np.concatenate([f[j] for f in found]) for j in (0, 1)], 1)
+            pairs = np.unique(pairs if seed is not None else np.sort(pairs, 1), axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, j].copy()) for j in (0, 1)], ["a", "b"])
+
+        found, held = [], 0
+        for key, own, h0, h1, size, label in whole_buckets(batches, columns, "key"):
+            h = np.stack([h0, h1], 1).view(np.uint64)
+            for x, y in bucket_pairs(key, h, size, label) if seed is None else bucket_leaders(key, own, h, size, label, seed):
+                if len(x):
+                    found.append((own[x], own[y]))
+                    held += len(x)
+                if held > 100_000:
+                    yield out(found)
+                    found, held = [], 0
+        if found:
+            yield out(found)
+
+    pairs = met.select(columns).repartition("key").sortWithinPartitions("key").mapInArrow(run, "a bigint, b bigint")
+    if seed is None:
+        return pairs.distinct()
+    return pairs.groupBy("a").agg(F.min_by("b", F.xxhash64("b", F.lit(seed))).alias("b"))
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets (id, shingles) are similar."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, 4096):
-            x, y = (np.frombuffer(b"".join(batch[c].to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("x", "y"))
-            yield batch.select(["a", "b"]).filter(pa.array(np.bitwise_count(x ^ y).sum(1) <= limit))
+        for batch in chunks(batches):
+            sides = ([np.frombuffer(v, np.uint64) for v in batch[c].to_pylist()] for c in ("x", "y"))
+            yield batch.select(["a", "b"]).filter(pa.array([similar(x, y) for x, y in zip(*sides, strict=True)], pa.bool_()))
+
+    sided = lambda i, v: sets.select(F.col("id").alias(i), F.col("shingles").alias(v))
+    both = pairs.join(sided("a", "x"), "a").join(sided("b", "y"), "b")
+    return both.select("a", "b", "x", "y").mapInArrow(check, "a bigint, b bigint")
+
 
-    return pairs.select("a", "b", "x", "y").mapInArrow(check, "a bigint, b bigint")
+def among(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose id is among ids, and some others, as a map of bits lets them pass."""
+    slot = F.col("id").bitwiseAND(F.lit((1 << MAP_BITS) - 1))
+    bit = F.expr("shiftleft(1L, cast(id & 63 as int))")
+    found = ids.groupBy(F.shiftright(slot, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).collect()
+    bits = np.zeros(1 << MAP_BITS - 6, np.int64)
+    bits[[r["word"] for r in found]] = [r["bits"] for r in found]
+
+    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            i = np.asarray(batch["id"])
+            yield batch.filter(pa.array((bits[(i & (1 << MAP_BITS) - 1) >> 6] >> (i & 63) & 1).astype(bool)))
+
+    return rows.mapInArrow(passing, rows.schema)
+
+
+def collect_shuffles(spark: SparkSession) -> None:
+    """Lets Spark's cleaner delete the shuffle files of steps that are written and dropped."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """verified pairs, for which only the sets of their ids are dealt out; written."""
+    pairs = written(pairs)
+    out = written(verified(pairs, among(sets, pairs.select(F.explode(F.array("a", "b")).alias("id")))))
+    collect_shuffles(pairs.sparkSession)
+    return out
+
+
+def similar_links(texts: DataFrame, heads: DataFrame, words: int) -> DataFrame:
+    """(node, label) of the ids that have others of similarity 4/5 or more: rows (id, size, h0, h1, text), and heads without
+    text, each id once."""
+    common = common_shingles(texts, heads, words)
+    met = written(near_met(met_rows(texts, words, common).join(heads, "id")))
+    sets = written(sets_of(among(texts.select("id", "text"), met.select("id")), words).dropDuplicates(["id"]))
+    collect_shuffles(texts.sparkSession)
+    named = lambda labels: met.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
+    labels = texts.sparkSession.createDataFrame([], "node bigint, label bigint")
+    links = texts.sparkSession.createDataFrame([], "a bigint, b bigint")
+    for seed in range(ROUNDS if met.where("many").limit(1).count() else 0):
+        more = checked(candidate_pairs(named(labels).where("many"), seed), sets)
+        if not more.limit(1).count():
+            break
+        links = links.union(more)
+        labels = components(links)
+    return components(links.union(checked(candidate_pairs(named(labels)), sets)))
 
 
-def without_near_duplicates(docs: DataFrame, words: int = 5, limit: int = 165) -> DataFrame:
+def without_near_duplicates(docs: DataFrame, words: int = 5) -> DataFrame:
     """docs with one row of each group of near duplicates, the one of the smallest doc_id; all columns stay.
 
-    limit is the most bits of WIDE that a link may differ in: about WIDE * acos(2s / (1 + s)) / pi for shingle sets of
-    similarity s, 155 for 0.8, and a standard deviation more. Texts that share the first 64 bits count as linked; those
-    whose first 64 bits differ in at most 7 are compared first, and labels of what is linked so keep large groups from
-    yielding pairs of each other again."""
+    Texts are linked whose sets of distinct shingles have a similarity of 4/5 or more."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.monotonically_increasing_id().alias("n")).alias("key")
-    marked = written(fingerprints(docs.select(key, F.col("text"), row), words, wide=True))
-    head = F.conv(F.hex(F.reverse(F.substr("fp", F.lit(1), F.lit(8)))), 16, -10).cast("bigint")
-    distinct = written(marked.groupBy("fp").agg(F.min("key").alias("key")).withColumn("id", F.xxhash64("fp")).withColumn("head", head))
-    heads = written(distinct.groupBy("head").agg(F.min("fp").alias("wide")))
-    near = links(heads.select(F.col("head").alias("fp")), 7, 4).distinct()
-    near = near.join(heads.select(F.col("head").alias("a"), F.col("wide").alias("x")), "a").join(heads.select(F.col("head").alias("b"), F.col("wide").alias("y")), "b")
-    close = components(verified(near, limit)).select(F.col("node").alias("head"), "label")
-    labelled = written(distinct.join(close, "head", "left").withColumn("label", F.coalesce("label", "head")).select("id", "fp", "label", "key"))
-    sided = lambda i, v, u: labelled.select(F.col("id").alias(i), F.col("fp").alias(v), F.col("label").alias(u))
-    both = similar_pairs(labelled, limit).join(sided("a", "x", "p"), "a").join(sided("b", "y", "q"), "b")
-    joined = components(verified(both.select(F.col("p").alias("a"), F.col("q").alias("b"), "x", "y"), limit)).select("node", F.col("label").alias("root"))
-    rooted = labelled.join(joined, labelled["label"] == joined["node"], "left").withColumn("root", F.coalesce("root", "label"))
+    marked = written(set_heads(docs.select(key, row), words))
+    distinct = written(marked.groupBy("id").agg(F.min("key").alias("key"), *(F.min(c).alias(c) for c in ("size", "h0", "h1"))))
+    joined = similar_links(marked.select("id", "h0", F.col("row.text").alias("text")), distinct.select("id", "size", "h0", "h1"), words)
+    rooted = distinct.join(joined.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("label", "id"))
     kept = rooted.groupBy("root").agg(F.min("key").alias("first")).select("first")
     return marked.join(kept, marked["key"] == kept["first"], "left_semi").select("row.*")
 
