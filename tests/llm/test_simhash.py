@@ -149,3 +149,13 @@ def test_stage_on_a_family_of_over_256(spark):
             own[at] = f"x{i}.{at}"
         texts.append(" ".join(own))
     assert 1 < len(wanted_ids(texts)) < 420 and kept_ids(spark, texts) == wanted_ids(texts)
+
+
+def test_stage_counts_a_repeated_line_once(spark):
+    rng = random.Random(6)
+    line = " ".join(f"l{i}" for i in range(24)) + " "
+    make = lambda n: " ".join(f"w{rng.randrange(10**7)}" for _ in range(n)) + " "
+    texts = [make(200) + line * 40 for _ in range(12)]
+    own = make(200)
+    texts += [own + line * 2, own + line * 60]
+    assert wanted_ids(texts) == [*range(13)] and kept_ids(spark, texts) == [*range(13)]
