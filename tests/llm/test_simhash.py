@@ -159,3 +159,16 @@ def test_stage_counts_a_repeated_line_once(spark):
     own = make(200)
     texts += [own + line * 2, own + line * 60]
     assert wanted_ids(texts) == [*range(13)] and kept_ids(spark, texts) == [*range(13)]
+
+
+def test_stage_against_all_pairs_from_70_to_90(spark):
+    rng = random.Random(7)
+    texts = []
+    for i in range(400):
+        words = [f"w{rng.randrange(10**7)}" for _ in range(rng.choice([8, 9, 12, 40, 104, 304]))]
+        goal = 0.7 + 0.2 * i / 400  # of shingle sets, by replacing a tail
+        n = len(words) - 4
+        cut = round(n - 2 * goal / (1 + goal) * n)
+        texts += [" ".join(words), " ".join(words[: len(words) - cut] + [f"y{i}.{j}" for j in range(cut)])]
+    want = wanted_ids(texts)
+    assert 500 < len(want) < 750 and kept_ids(spark, texts) == want
