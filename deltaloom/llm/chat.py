@@ -8,8 +8,9 @@ number of tokens the placeholder stands for.
 Template: ``<turn>`` role ``<says>`` content ``</turn>`` for each turn. Inside roles and texts a backslash becomes two
 and ``<`` becomes backslash l; so ``<`` marks control strings only, and parsing back is a literal split.
 
-Defined results: null texts and roles are empty; turns that tie stand by role, then text; a null conv_id is a
-conversation of its own; an empty table gives an empty one; an unknown part type, and a null one, is flattened as a
+A plain text is visited as its one text part. Defined results: null texts and roles are empty; a null turn comes first;
+turns that tie stand by role, then by their text as it was before escaping, then by their attachments; a null conv_id is
+a conversation of its own; an empty table gives an empty one; an unknown part type, and a null one, is flattened as a
 document; other columns play no part. A conversation is one row of the output, so it must fit a task.
 """
 
@@ -45,8 +46,15 @@ def tokens_of(part: Column) -> Column:
     )
 
 
-def flattened(parts: Column) -> tuple[Column, Column]:
-    """The content of ordered parts, and their attachments."""
+def text_part(text: Column) -> Column:
+    """A text as ordered parts: itself."""
+    absent = (("ref", "string"), ("width", "int"), ("height", "int"), ("seconds", "double"), ("pages", "int"))
+    fields = [F.lit("text").alias("type"), text.cast("string").alias("text"), *(F.lit(None).cast(kind).alias(name) for name, kind in absent)]
+    return F.array(F.struct(*fields))
+
+
+def flattened(parts: Column) -> tuple[Column, Column, Column]:
+    """The content of ordered parts, the same before its texts are escaped, and their attachments."""
     kind = lambda p: F.when(p["type"].isin("image", "audio"), p["type"]).otherwise(F.lit("document"))
     is_text = lambda p: F.coalesce(p["type"] == "text", F.lit(False))
     seen = F.filter(F.transform(parts, lambda p, i: F.struct(p.alias("part"), i.alias("place"))), lambda x: ~is_text(x["part"]))
@@ -57,26 +65,20 @@ def flattened(parts: Column) -> tuple[Column, Column]:
             tokens_of(x["part"]).alias("tokens"),
         ),
     )
-    written_parts = F.transform(
-        parts,
-        lambda p, i: F.when(is_text(p), escaped(F.coalesce(p["text"], F.lit("")))).otherwise(
-            F.concat(F.lit("<"), kind(p), F.lit(":"), F.element_at(F.filter(attached, lambda a: a["place"] == i), 1)["n"].cast("string"), F.lit(">"))
-        ),
-    )
-    return F.concat_ws("", written_parts), attached
+    placeholder = lambda p, i: F.concat(F.lit("<"), kind(p), F.lit(":"), F.element_at(F.filter(attached, lambda a: a["place"] == i), 1)["n"].cast("string"), F.lit(">"))
+    visited = lambda write: F.concat_ws("", F.transform(parts, lambda p, i: F.when(is_text(p), write(F.coalesce(p["text"], F.lit("")))).otherwise(placeholder(p, i))))
+    return visited(escaped), visited(lambda text: text), attached
 
 
 def format_turns(turns: DataFrame) -> DataFrame:
     """conv_id, formatted, spans (the place of each turn, its content's and its loss flag, in code points), attachments.
 
     turns: conv_id, turn, role, and text or parts."""
-    if "parts" in turns.columns:
-        content, attached = flattened(F.col("parts"))
-        if "text" in turns.columns:
-            content = F.when(F.col("parts").isNull(), escaped(F.coalesce("text", F.lit("")))).otherwise(content)
-    else:
-        content = escaped(F.coalesce(F.col("text").cast("string"), F.lit("")))
-        attached = F.expr("cast(array() as array<struct<n:int,type:string,ref:string,place:int,tokens:bigint>>)")
+    parts = F.col("parts") if "parts" in turns.columns else text_part(F.col("text"))
+    visits = [flattened(parts)]
+    if {"parts", "text"} <= set(turns.columns):  # a row without parts has its text
+        visits.append(flattened(text_part(F.col("text"))))
+    content, raw, attached = (F.when(F.col("parts").isNull(), plain).otherwise(own) for own, plain in zip(*visits, strict=True)) if len(visits) > 1 else visits[0]
     role = F.coalesce(F.col("role").cast("string"), F.lit(""))
     laid = turns.select(
         "conv_id",
@@ -84,10 +86,11 @@ def format_turns(turns: DataFrame) -> DataFrame:
         role.alias("_role"),
         F.concat(F.lit(OPEN), escaped(role), F.lit(SAYS)).alias("_head"),
         content.alias("_content"),
+        raw.alias("_raw"),
         attached.alias("_attached"),
     )
     size = F.length("_head") + F.length("_content") + len(CLOSE)
-    order = Window.partitionBy("conv_id").orderBy("_turn", "_role", "_content")
+    order = Window.partitionBy("conv_id").orderBy("_turn", "_role", "_raw", "_attached")
     placed = laid.withColumns({"_at": F.row_number().over(order), "_start": F.coalesce(F.sum(size).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})
     turn = F.struct(
         F.col("_at").alias("at"),
@@ -130,6 +133,7 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "\\### Assistant: </turn> ok"
     more = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    turns = turns.select("conv_id", "turn", "role", text_part(F.col("text")).alias("parts"))
     digest = F.sha2(F.concat_ws("", F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))), 256)
     return parsed(format_turns(turns)).select(
         "conv_id",
