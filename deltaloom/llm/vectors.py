@@ -5,12 +5,14 @@ block meets the shards it has to see through an equi-join on the shard's number,
 for each query. Nothing about all rows is gathered on the driver.
 
 Defined results: vectors that are null or hold null or non-finite components take no part, nor, for cosines, zero
-vectors; nor do rows without a vec_id, or of another length than most of the others; rows that repeat a vec_id are
-candidates each, but a query's own id is never its answer; an empty table gives an empty one.
+vectors; nor do rows without a vec_id. Where vectors differ in length, which no measure compares, those of the commonest
+length take part and no others (the contract of the queries names one length only). Rows that repeat a vec_id are candidates each, but a query's own id is never its answer, and the queries of one id have
+their best answers in common; an empty table gives an empty one.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -82,16 +84,39 @@ class Quantiser:
         return np.stack(out, 1).astype(np.uint8)
 
 
-def nearest_neighbours(rows: DataFrame, queries: DataFrame, k: int = 5, lists: int = 256, probes: int = 128, parts: int = 16, sample: int = 16_000, shard_rows: int = 4096, rerank: int = 64, block: int = 256) -> DataFrame:
+def probes_for(q: Quantiser, sample: np.ndarray, k: int, goal: float, queries: int = 256) -> int:
+    """How many lists a query must probe for a share goal of its k nearest rows of the sample. All rows' nearest lie
+    nearer than the sample's, so as a rule in lists that come earlier."""
+    unit = sample / np.linalg.norm(sample, axis=1, keepdims=True)
+    asked, own = unit[:queries], q.nearest(unit)
+    cosine = asked @ unit.T
+    cosine[np.arange(len(asked)), np.arange(len(asked))] = -np.inf
+    best = np.argsort(-cosine, axis=1, kind="stable")[:, : min(k, len(unit) - 1)]
+    turn = np.argsort(np.argsort((q.centres**2).sum(1) - 2 * asked @ q.centres.T, axis=1, kind="stable"), axis=1)
+    need = np.take_along_axis(turn, own[best], 1)
+    return int(np.quantile(need, goal, method="higher")) + 1 if need.size else len(q.centres)
+
+
+def nearest_neighbours(
+    rows: DataFrame, queries: DataFrame, k: int = 5, lists: int | None = None, probes: int | None = None, parts: int = 16, sample: int = 16_000, most_sample: int = 65_536, goal: float = 0.97,
+    shard_rows: int = 4096, rerank: int = 64, block: int = 4096,
+) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest rows found for each query by cosine, from usable vectors.
 
-    The index is fitted on at most sample rows, those of least hash. A list is cut into shards of about shard_rows
-    rows, so a hot one has many. A shard ranks its codes by the query's distance table and reranks the best by cosines
-    of the vectors themselves."""
+    There are about as many lists as the square root of the rows, 4096 at most. The index is fitted on sample rows, or 16
+    for each list if that is more, of least hash; all rows are indexed. probes is what finds a share goal of the
+    sample's neighbours. A list is cut into shards of about shard_rows rows, so a hot one has many; queries go in blocks
+    of about block, and a task has one block's queries and one shard. A shard ranks its codes by the query's distance
+    table and reranks the best by cosines of the vectors themselves."""
+    count = rows.count()
+    lists = lists or int(min(4096, max(1, 1 << round(float(np.log2(max(1, count)) / 2)))))
+    sample = min(most_sample, max(sample, 16 * lists))
     fitted = rows.orderBy(F.xxhash64(F.lit(31), "vec_id"), "vec_id").limit(sample).select("v").toPandas()
     if not len(fitted):
         return rows.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    q = Quantiser(matrix(fitted["v"]), lists, parts)
+    fitted = matrix(fitted["v"])
+    q = Quantiser(fitted, lists, parts)
+    probes = probes or probes_for(q, fitted, k, goal)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, 4096):
@@ -102,7 +127,10 @@ def nearest_neighbours(rows: DataFrame, queries: DataFrame, k: int = 5, lists: i
 
     index = written(rows.mapInArrow(place, "vec_id bigint, v array<double>, list bigint, code binary"))
     shards = index.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / shard_rows).cast("int").alias("shards"))
-    index = index.join(F.broadcast(shards), "list").withColumn("shard", F.pmod(F.xxhash64(F.lit(32), "vec_id"), F.col("shards")).cast("int")).drop("shards")
+    blocks = max(1, -(-queries.count() // block))
+    # by the row's place in the written table: rows that repeat an id spread like all others
+    shard = F.pmod(F.xxhash64(F.lit(32), F.monotonically_increasing_id()), F.col("shards")).cast("int")
+    index = index.join(F.broadcast(shards), "list").withColumn("shard", shard).drop("shards").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, 1024):
@@ -112,7 +140,9 @@ def nearest_neighbours(rows: DataFrame, queries: DataFrame, k: int = 5, lists: i
             at = np.repeat(np.arange(len(x)), near.shape[1])
             yield pa.RecordBatch.from_arrays([batch["vec_id"].take(pa.array(at)), batch["v"].take(pa.array(at)), pa.array(near.ravel())], ["query_id", "v", "list"])
 
-    asked = queries.mapInArrow(probe, "query_id bigint, v array<double>, list bigint").join(F.broadcast(shards), "list").select("query_id", "v", "list", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"))
+    every_shard = F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard")
+    own_block = F.pmod(F.xxhash64(F.lit(33), "query_id", "v"), F.lit(blocks)).cast("int").alias("block")
+    asked = queries.mapInArrow(probe, "query_id bigint, v array<double>, list bigint").join(F.broadcast(shards), "list").select("query_id", "v", "list", own_block, every_shard)
 
     def search(asked: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0)})
@@ -125,8 +155,8 @@ def nearest_neighbours(rows: DataFrame, queries: DataFrame, k: int = 5, lists: i
         out, centre = [empty], q.centres[int(own["list"].iloc[0])]
         query_ids, all_queries = asked["query_id"].to_numpy(), matrix(asked["v"])
         keep = min(rerank + 1, len(ids))
-        for at in range(0, len(query_ids), block):
-            who, y = query_ids[at : at + block], all_queries[at : at + block]
+        for at in range(0, len(query_ids), 256):
+            who, y = query_ids[at : at + 256], all_queries[at : at + 256]
             size = np.sqrt((y * y).sum(1))
             rest, gap = y / size[:, None] - centre, np.zeros((len(who), len(ids)))
             for j, (a, b, book) in enumerate(zip(q.cuts[:-1], q.cuts[1:], q.books, strict=True)):
@@ -141,7 +171,7 @@ def nearest_neighbours(rows: DataFrame, queries: DataFrame, k: int = 5, lists: i
             out.append(pd.DataFrame({"query_id": np.repeat(who, good.sum(1)), "vec_id": found_ids[good], "score": cosine[good]}))
         return pd.concat(out)
 
-    found = asked.groupBy("list", "shard").cogroup(index.groupBy("list", "shard")).applyInPandas(search, "query_id bigint, vec_id bigint, score double")
+    found = asked.groupBy("list", "shard", "block").cogroup(index.groupBy("list", "shard", "block")).applyInPandas(search, "query_id bigint, vec_id bigint, score double")
     return _best(found, k, F.desc("score"))
 
 
@@ -154,81 +184,106 @@ def _best(found: DataFrame, k: int, *order: object) -> DataFrame:
 
 
 class BallTree:
-    """Rows halved at the middle of their widest direction down to leaves; each node has a centre and a radius."""
+    """Rows halved at the middle of their widest direction down to leaves; each node has a centre and a radius.
+
+    A row of nodes is (begin, end, left, right) in the tree's order of rows; a leaf has no children (-1)."""
 
-    def __init__(self, x: np.ndarray, leaf: int = 64) -> None:
-        self.order = np.arange(len(x))
-        self.nodes: list[tuple[int, int, int, int]] = []  # begin, end, left, right
+    def __init__(self, nodes: np.ndarray, centres: np.ndarray, radii: np.ndarray) -> None:
+        self.nodes, self.centres, self.radii = nodes, centres, radii
+        self.size = np.sqrt((centres * centres).sum(1))
+
+    @staticmethod
+    def grown(x: np.ndarray, leaf: int = 128) -> tuple[BallTree, np.ndarray]:
+        """The tree of rows x, and their order in it."""
+        order = np.arange(len(x))
+        nodes: list[list[int]] = []
         centres, radii = [], []
         stack = [(0, len(x), -1, 0)]
         while stack:
             a, b, parent, side = stack.pop()
-            own = len(self.nodes)
+            own = len(nodes)
             if parent >= 0:
-                begin, end, left, right = self.nodes[parent]
-                self.nodes[parent] = (begin, end, own, right) if side == 0 else (begin, end, left, own)
-            rows = x[self.order[a:b]]
+                nodes[parent][2 + side] = own
+            rows = x[order[a:b]]
             centre = rows.mean(0)
             centres.append(centre)
             radii.append(np.sqrt(((rows - centre) ** 2).sum(1).max()))
-            self.nodes.append((a, b, -1, -1))
+            nodes.append([a, b, -1, -1])
             if b - a > leaf and radii[-1] > 0:
                 spread = int((rows.max(0) - rows.min(0)).argmax())
                 middle = (b - a) // 2
-                part = np.argpartition(rows[:, spread], middle)
-                self.order[a:b] = self.order[a:b][part]
+                order[a:b] = order[a:b][np.argpartition(rows[:, spread], middle)]
                 stack += [(a, a + middle, own, 0), (a + middle, b, own, 1)]
-        self.centres, self.radii = np.array(centres), np.array(radii)
-
-    def bounds(self, queries: np.ndarray) -> np.ndarray:
-        """The most that each query's inner product with a row of each node can be; widened for rounding."""
-        length = np.sqrt((queries * queries).sum(1))
-        bound = queries @ self.centres.T + length[:, None] * self.radii
-        return bound + 1e-9 * (np.abs(bound) + length[:, None] * (self.radii + np.sqrt((self.centres**2).sum(1))) + 1)
-
-
-def search_tree(x: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query's place, id, score) of the best k rows for each query among rows that reach its floor.
-
-    Leaves are taken for all queries that still need one, each query's own in the order of its bounds; its floor rises
-    to its kth score, and it is done once the next bound is below."""
-    tree = BallTree(x)
-    leaves = np.array([i for i, n in enumerate(tree.nodes) if n[2] < 0])
-    bound = tree.bounds(queries)[:, leaves]
-    turn = np.argsort(-bound, axis=1, kind="stable")
-    score = np.full((len(queries), k), -np.inf)
-    found = np.full((len(queries), k), np.iinfo(np.int64).max)
-    floor, live = floor.astype(np.float64).copy(), np.arange(len(queries))
-    for step in range(len(leaves)):
-        leaf = turn[live, step]
-        live = live[bound[live, leaf] >= floor[live]]
-        if not len(live):
-            break
-        leaf = turn[live, step]
-        by = np.argsort(leaf, kind="stable")
-        edge = np.flatnonzero(np.concatenate([[True], np.diff(leaf[by]) != 0, [True]]))
-        for a, b in zip(edge[:-1], edge[1:], strict=True):
-            who = live[by[a:b]]
-            begin, end, _, _ = tree.nodes[leaves[leaf[by[a]]]]
-            rows = tree.order[begin:end]
-            product = queries[who] @ x[rows].T
-            product[ids[rows] == query_ids[who, None]] = -np.inf
-            product[product < floor[who, None]] = -np.inf
-            s = np.concatenate([score[who], product], 1)
-            i = np.concatenate([found[who], np.broadcast_to(ids[rows], product.shape)], 1)
-            i = np.where(s == -np.inf, np.iinfo(np.int64).max, i)
-            best = np.lexsort((i, -s), axis=1)[:, :k]
-            score[who], found[who] = np.take_along_axis(s, best, 1), np.take_along_axis(i, best, 1)
-            floor[who] = np.maximum(floor[who], score[who, k - 1])
-    q, at = np.nonzero(score > -np.inf)
-    return q, found[q, at], score[q, at]
+        return BallTree(np.array(nodes, np.int64), np.array(centres), np.array(radii)), order
+
+    def bounds(self, node: int, queries: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """The most that each query's inner product with a row of the node can be; widened for rounding."""
+        bound = queries @ self.centres[node] + length * self.radii[node]
+        return bound + 1e-9 * (np.abs(bound) + length * (self.radii[node] + self.size[node]) + 1)
+
+
+def search_tree(tree: BallTree, x: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
+    """(query's place, id, score) of the best k rows for each query among rows that reach its floor, and the leaves seen.
+
+    Branch and bound for all queries at once: a node waits in a queue with the queries whose bound there reached their
+    floor, by the largest bound for a query of length 1. The first is taken, queries whose floor has passed their bound
+    since leave it, and the others go to those children whose bounds reach their floors, or meet the rows of a leaf. A
+    query's floor rises to its kth score, so whole subtrees are never opened. x and ids are in the tree's order."""
+    length = np.sqrt((queries * queries).sum(1))
+    unit = np.where(length > 0, length, 1)
+    floor, leaves = floor.astype(np.float64).copy(), []
+    best_score = np.full((len(queries), k), -np.inf)
+    best_id = np.full((len(queries), k), np.iinfo(np.int64).max)
+    queue: list[tuple] = []
+
+    def wait(node: int, who: np.ndarray) -> None:
+        bound = tree.bounds(node, queries[who], length[who])
+        some = bound >= floor[who]
+        if some.any():
+            heapq.heappush(queue, (-float((bound[some] / unit[who[some]]).max()), node, who[some], bound[some]))
+
+    if len(tree.nodes) and len(queries):
+        wait(0, np.arange(len(queries)))
+    while queue:
+        _, node, who, bound = heapq.heappop(queue)
+        who = who[bound >= floor[who]]
+        if not len(who):
+            continue
+        begin, end, left, right = tree.nodes[node].tolist()
+        if left >= 0:
+            wait(left, who)
+            wait(right, who)
+            continue
+        leaves.append(node)
+        product = queries[who] @ x[begin:end].T
+        hit = product >= floor[who, None]
+        hit &= ids[begin:end] != query_ids[who, None]
+        some = np.flatnonzero(hit.any(1))
+        if len(some):
+            product[~hit] = -np.inf
+            own = who[some]
+            score = np.concatenate([best_score[own], product[some]], 1)
+            found = np.concatenate([best_id[own], np.where(hit[some], ids[begin:end], np.iinfo(np.int64).max)], 1)
+            if score.shape[1] > 3 * k:  # of many the k largest and what ties with the last of them go on
+                kth = np.partition(score, score.shape[1] - k, axis=1)[:, score.shape[1] - k]
+                wide = max(k, int((score >= kth[:, None]).sum(1).max())) if np.isfinite(kth).all() else score.shape[1]
+                if wide < score.shape[1]:
+                    near = np.argpartition(-score, wide - 1, axis=1)[:, :wide]
+                    score, found = np.take_along_axis(score, near, 1), np.take_along_axis(found, near, 1)
+            top = np.lexsort((found, -score), axis=1)[:, :k]
+            best_score[own], best_id[own] = np.take_along_axis(score, top, 1), np.take_along_axis(found, top, 1)
+            floor[own] = np.maximum(floor[own], best_score[own, k - 1])
+    q, at = np.nonzero(best_score > -np.inf)
+    return q, best_id[q, at], best_score[q, at], leaves
 
 
 def top_products(rows: DataFrame, queries: DataFrame, k: int = 20, shard_rows: int = 8192, block: int = 512, scale: float = 64.0) -> DataFrame:
     """query_id, rank, vec_id, score: the k rows of largest inner product for each query, of floor(scale * component).
 
-    Products are exact while they stay under 2^53 in size. Rows are dealt to shards by a hash, queries to blocks.
-    Each block first searches one shard; the kth scores it gets there are the floors of its search in all others."""
+    Products are exact while they stay under 2^53 in size. Rows are dealt to shards at random, whose trees are grown once
+    and kept in a table, queries to blocks. Blocks meet the shards in waves of 1, 1, 2, 4 and so on; after each wave a
+    block's kth scores so far, with the ids that hold them, are the floors of the next. A wave sees as many rows as all
+    before it, so only about k rows for a query pass its floors, however many shards there are."""
     empty = "query_id bigint, rank int, vec_id bigint, score bigint"
     whole = written(rows.select("vec_id", F.transform("v", lambda x: F.floor(x * F.lit(scale)).cast("double")).alias("v")))
     count = whole.count()
@@ -236,40 +291,76 @@ def top_products(rows: DataFrame, queries: DataFrame, k: int = 20, shard_rows: i
         return rows.sparkSession.createDataFrame([], empty)
     shards = -(-count // shard_rows)
 
+    def planted(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("vec_id")
+        ids, x = frame["vec_id"].to_numpy(np.int64), matrix(frame["v"])
+        tree, order = BallTree.grown(x)
+        parts = {"ids": ids[order], "x": x[order], "nodes": tree.nodes, "centres": tree.centres, "radii": tree.radii}
+        return pd.DataFrame({"shard": [int(frame["shard"].iloc[0])]} | {c: [v.tobytes()] for c, v in parts.items()})
+
     def packed(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("vec_id")
-        return pd.DataFrame({"shard": [int(frame["shard"].iloc[0])], "ids": [frame["vec_id"].to_numpy(np.int64).tobytes()], "x": [matrix(frame["v"]).tobytes()]})
+        return pd.DataFrame({"block": [int(frame["block"].iloc[0])], "query_ids": [frame["vec_id"].to_numpy(np.int64).tobytes()], "q": [matrix(frame["v"]).tobytes()]})
 
-    own = whole.withColumn("shard", F.pmod(F.xxhash64(F.lit(41), "vec_id"), F.lit(shards)).cast("int"))
-    packs = written(own.groupBy("shard").applyInPandas(packed, "shard int, ids binary, x binary"))
-    asked = queries.select("vec_id", F.transform("v", lambda x: F.floor(x * F.lit(scale)).cast("double")).alias("v"))
+    # by the row's place in the written table: rows that repeat an id spread like all others
+    own = whole.withColumn("shard", F.pmod(F.xxhash64(F.lit(41), F.monotonically_increasing_id()), F.lit(shards)).cast("int"))
+    trees = written(own.groupBy("shard").applyInPandas(planted, "shard int, ids binary, x binary, nodes binary, centres binary, radii binary"))
+    asked = written(queries.select("vec_id", F.transform("v", lambda x: F.floor(x * F.lit(scale)).cast("double")).alias("v")))
     blocks_ = max(1, -(-asked.count() // block))
-    asked = asked.withColumn("shard", F.pmod(F.xxhash64(F.lit(42), "vec_id"), F.lit(blocks_)).cast("int"))
-    asked = written(asked.groupBy("shard").applyInPandas(packed, "shard int, ids binary, x binary").withColumnRenamed("shard", "block"))
+    asked = asked.withColumn("block", F.pmod(F.xxhash64(F.lit(42), F.monotonically_increasing_id()), F.lit(blocks_)).cast("int"))
+    asked = written(asked.groupBy("block").applyInPandas(packed, "block int, query_ids binary, q binary"))
+    numbers = lambda cell, kind: np.frombuffer(cell.as_py() or b"", kind)
+    result = ["block", "place", "vec_id", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, 1):
-            ids, query_ids = (np.frombuffer(batch[c][0].as_py(), np.int64) for c in ("ids", "query_ids"))
-            x, queries_ = (np.frombuffer(batch[c][0].as_py(), np.float64).reshape(len(i), -1) for c, i in (("x", ids), ("q", query_ids)))
-            given = batch["floor"][0].as_py()
-            floor = np.full(len(query_ids), -np.inf) if given is None else np.frombuffer(given, np.float64)
-            at, found, score = search_tree(x, ids, queries_, query_ids, floor, k)
-            rest = np.where(np.bincount(at, minlength=len(query_ids)) >= k, np.array([score[at == i].min() if (at == i).any() else -np.inf for i in range(len(query_ids))]), -np.inf)
-            yield pa.RecordBatch.from_arrays([pa.array([batch["block"][0].as_py()]), pa.array([rest.tobytes()]), pa.array([query_ids[at].tobytes()]), pa.array([found.astype(np.int64).tobytes()]), pa.array([score.astype(np.int64).tobytes()])], ["block", "floor", "query_id", "vec_id", "score"])
-
-    schema = "block bigint, floor binary, query_id binary, vec_id binary, score binary"
-    names = ["ids", "x", "block", "query_ids", "q", "floor"]
-    asked = asked.withColumnsRenamed({"ids": "query_ids", "x": "q"})
-    home = F.pmod(F.col("block"), F.lit(shards)).cast("int")
-    first = written(asked.withColumn("shard", home).withColumn("floor", F.lit(None).cast("binary")).join(packs, "shard").select(*names).mapInArrow(run, schema))
-    rest = asked.join(first.select("block", "floor"), "block").withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where(F.col("shard") != home)
-    second = rest.join(packs, "shard").select(*names).mapInArrow(run, schema)
+            ids, query_ids = numbers(batch["ids"][0], np.int64), numbers(batch["query_ids"][0], np.int64)
+            x, q = numbers(batch["x"][0], np.float64).reshape(len(ids), -1), numbers(batch["q"][0], np.float64).reshape(len(query_ids), -1)
+            tree = BallTree(numbers(batch["nodes"][0], np.int64).reshape(-1, 4), numbers(batch["centres"][0], np.float64).reshape(-1, x.shape[1]), numbers(batch["radii"][0], np.float64))
+            floor, last = numbers(batch["floor"][0], np.float64), numbers(batch["last"][0], np.int64)
+            known = len(floor) > 0
+            at, found, score, _ = search_tree(tree, x, ids, q, query_ids, floor if known else np.full(len(query_ids), -np.inf), k)
+            if known:  # what ties with the floor and comes after its holder is not among the best
+                good = (score > floor[at]) | (found < last[at])
+                at, found, score = at[good], found[good], score[good]
+            yield pa.RecordBatch.from_arrays([pa.array([batch["block"][0].as_py()], pa.int32()), *(pa.array([v.tobytes()]) for v in (at.astype(np.int32), found, score))], result)
+
+    def best(frame: pd.DataFrame) -> pd.DataFrame:
+        """A block's best k for each query of what is found so far, and floors where there are k."""
+        at, found, score = (np.concatenate([np.frombuffer(v, kind) for v in frame[c]]) for c, kind in (("place", np.int32), ("vec_id", np.int64), ("score", np.float64)))
+        order = np.lexsort((found, -score, at))
+        at, found, score = at[order], found[order], score[order]
+        n = int(frame["queries"].iloc[0])
+        first = np.searchsorted(at, np.arange(n))
+        keep = np.arange(len(at)) - first[at] < k
+        kth = np.minimum(first + k - 1, max(0, len(at) - 1))
+        full = (first + k - 1 < len(at)) & (at[kth] == np.arange(n)) if len(at) else np.zeros(n, bool)
+        floor = np.where(full, score[kth], -np.inf) if len(at) else np.full(n, -np.inf)
+        last = np.where(full, found[kth], np.iinfo(np.int64).max) if len(at) else np.full(n, np.iinfo(np.int64).max)
+        values = (at[keep].astype(np.int32), found[keep], score[keep], floor, last)
+        return pd.DataFrame({"block": [int(frame["block"].iloc[0])]} | {c: [v.tobytes()] for c, v in zip(("place", "vec_id", "score", "floor", "last"), values, strict=True)})
+
+    sizes = asked.select("block", (F.length("query_ids") / 8).cast("int").alias("queries"))
+    state = asked.select("block", *[F.lit(None).cast("binary").alias(c) for c in ("place", "vec_id", "score", "floor", "last")])
+    done = 0
+    while done < shards:
+        more = min(max(1, done), shards - done)
+        # a block's order of shards starts at its own number
+        turn = F.pmod(F.col("block") + F.col("turn"), F.lit(shards)).cast("int")
+        met = asked.join(state.select("block", "floor", "last"), "block").withColumn("turn", F.explode(F.sequence(F.lit(done), F.lit(done + more - 1)))).withColumn("shard", turn)
+        found = met.repartition(2 * min(shards, blocks_ * more), "shard").join(trees, "shard").select("ids", "x", "nodes", "centres", "radii", "block", "query_ids", "q", "floor", "last")
+        found = found.mapInArrow(run, "block int, place binary, vec_id binary, score binary")
+        every = found.union(state.select(*result).where("place is not null")).join(sizes, "block")
+        state = written(every.groupBy("block").applyInPandas(best, "block int, place binary, vec_id binary, score binary, floor binary, last binary"))
+        done += more
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, 1):
-            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(batch[c][0].as_py(), np.int64)) for c in ("query_id", "vec_id", "score")], ["query_id", "vec_id", "score"])
+            who = numbers(batch["query_ids"][0], np.int64)[numbers(batch["place"][0], np.int32)]
+            score = numbers(batch["score"][0], np.float64).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(who), pa.array(numbers(batch["vec_id"][0], np.int64)), pa.array(score)], ["query_id", "vec_id", "score"])
 
-    found = first.union(second).select("query_id", "vec_id", "score").mapInArrow(unpack, "query_id bigint, vec_id bigint, score bigint")
+    found = state.join(asked, "block").select("query_ids", "place", "vec_id", "score").mapInArrow(unpack, "query_id bigint, vec_id bigint, score bigint")
     return _best(found, k, F.desc("score"))
 
 
