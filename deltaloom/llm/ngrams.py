@@ -1,18 +1,21 @@
-"""LM scoring with an Elias-Fano n-gram trie over all training tokens.
+"""LM scoring with an Elias-Fano n-gram trie over all training tokens, of any order from 2 (3 by default).
 
-Tokens are words, A-Z lowered, and an end after each document, which is also the first word's context. The model is a
-word bigram with Dirichlet smoothing: P(w|v) = (c(vw) + mu P(w)) / (c(v) + mu), P(w) = (c(w) + 1) / (N + V + 1), the
-base. Nothing is pruned: every training bigram is in the trie.
+Tokens are words, A-Z lowered, and an end after each document. The model interpolates: with a context h that training has
+seen c(h) times, P(w|h) = (1 - s) c(hw) / c(h) + s P(w|h'), where h' is h without its first word and s, the share of the
+shorter context, is a c(h)^-b, a and b for each order; below is the base P(w) = (c(w) + 1) / (N + V + 1). As s only
+depends on c(h), every context's probabilities sum to 1. Nothing is pruned: every training n-gram is in the trie.
 
 Documents become blocks, one row each, of bounded text: a sorted vocabulary of word hashes and the tokens as places in
-it. Word parts, ranges of the hash, count all blocks' words and number them. Bigram parts, by a hash of the pair, so
-that a hot context spreads over all of them, merge the blocks' counts into a trie each, and answer the blocks' own
-bigrams, held out ones too, from it. A trie has Elias-Fano levels in one memory-mapped file in its task's own folder:
-contexts, pointers to their first successors, and successors, each made monotone by what stands before its context;
-probabilities are 16-bit codes of log10. A bigram is found by its context's successor range, relative to which its
-word stands in one bucket of high bits. Blocks then sum what came back, and unseen bigrams back off to mu P(w).
+it. Word parts, ranges of the hash, count all blocks' words and number them. A block deals its distinct n-grams to parts by
+their first word, so a part holds all that follows a context; only behind words of over ``hot`` occurrences the second word
+deals too, and so on, up to the whole n-gram where its context is of such words only, whose totals are then counted apart
+beforehand. A part merges the blocks' counts into a trie and answers the blocks' own n-grams, held out ones too, from it.
+A trie has Elias-Fano levels in one memory-mapped file in its task's own folder: the words of the first level, and for
+each further one pointers from a node to its first child and the children, made monotone by what stands before their
+node; probabilities and shares are 16-bit codes of log10. An n-gram is found word by word, in the range of successors of
+the node before. Blocks then interpolate what came back.
 
-Words are known by 64-bit hashes: two of a million words share one with a chance of about 3e-8.
+Words and contexts are known by 64-bit hashes: two of a million share one with a chance of about 3e-8.
 
 Defined results: a null or empty text is one end; a null doc_id is learned from; rows that repeat count each; an empty
 table gives an empty one; other columns play no part.
@@ -32,11 +35,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deltaloom.llm.common import WORD_BYTES, chunks, learned_from, lower_ascii, release, ship, table, utf8, written
+from deltaloom.llm.common import WORD_BYTES, chunks, learned_from, lower_ascii, release, ship, starts_of, table, utf8, written
 
 #: The hash that stands for the end of a document.
 END = np.uint64(0)
-#: Codes of log10 probabilities: steps of 12 / 65535 from 0 down; code 0 is kept for "not in the trie".
+#: Steps of the codes of log10 probabilities, from 0 down; code 0 is kept for "not in the trie".
 STEP = 12 / 65534
 
 
@@ -53,11 +56,15 @@ def restored(blob: bytes) -> np.ndarray:
 
 
 class EliasFano:
-    """A monotone sequence: low bits packed, high bits in unary. Arrays may be memory-mapped."""
+    """A monotone sequence: low bits packed, high bits in unary. Arrays may be memory-mapped; opening one makes a
+    directory of its unary part."""
 
     def __init__(self, arrays: dict[str, np.ndarray], name: str) -> None:
-        head, self.low, self.high, self.ones = (arrays[f"{name}.{x}"] for x in ("head", "low", "high", "ones"))
+        head, self.low, high = (arrays[f"{name}.{x}"] for x in ("head", "low", "high"))
         self.n, self.bits = int(head[0]), int(head[1])
+        self.highs = np.flatnonzero(np.unpackbits(high.view(np.uint8), bitorder="little")) - np.arange(self.n)
+        counts = np.bincount(self.highs) if self.n else np.empty(0, np.int64)
+        self.begin = starts_of(counts)  # of each bucket of high bits
 
     @staticmethod
     def arrays(name: str, values: np.ndarray) -> dict[str, np.ndarray]:
@@ -65,8 +72,8 @@ class EliasFano:
         bits = max(0, int(values[-1] // np.uint64(n)).bit_length() - 1) if n else 0
         low = values & np.uint64((1 << bits) - 1)
         places = (values >> np.uint64(bits)).astype(np.int64) + np.arange(n)
-        high = np.zeros((int(places[-1]) // 64 + 2) if n else 1, np.uint64)
-        np.bitwise_or.at(high, places >> 6, np.uint64(1) << (places & 63).astype(np.uint64))
+        high = np.zeros(64 * (int(places[-1]) // 64 + 1) if n else 64, bool)
+        high[places] = True
         packed = np.zeros(n * bits // 64 + 2, np.uint64)
         if bits:
             at = np.arange(n, dtype=np.int64) * bits
@@ -74,9 +81,7 @@ class EliasFano:
             np.bitwise_or.at(packed, word, low << shift)
             over = np.flatnonzero(shift + np.uint64(bits) > 64)
             np.bitwise_or.at(packed, word[over] + 1, low[over] >> (np.uint64(64) - shift[over]))
-        ones = np.zeros(len(high) + 1, np.int64)
-        np.cumsum(np.bitwise_count(high), out=ones[1:])
-        return {f"{name}.head": np.array([n, bits], np.int64), f"{name}.low": packed, f"{name}.high": high, f"{name}.ones": ones}
+        return {f"{name}.head": np.array([n, bits], np.int64), f"{name}.low": packed, f"{name}.high": np.packbits(high, bitorder="little").view(np.uint64)}
 
     def lows(self, i: np.ndarray) -> np.ndarray:
         if not self.bits:
@@ -84,25 +89,20 @@ class EliasFano:
         at = i.astype(np.int64) * self.bits
         word, shift = at >> 6, (at & 63).astype(np.uint64)
         both = self.low[word] >> shift
-        over = shift + np.uint64(self.bits) > 64
+        over = np.flatnonzero(shift + np.uint64(self.bits) > 64)
         both[over] |= self.low[word[over] + 1] << (np.uint64(64) - shift[over])
         return both & np.uint64((1 << self.bits) - 1)
 
     def __getitem__(self, i: np.ndarray) -> np.ndarray:
-        word = np.searchsorted(self.ones, i, "right") - 1
-        place = word * 64 + _select(self.high[word], i - self.ones[word])
-        return (place - i).astype(np.uint64) << np.uint64(self.bits) | self.lows(i)
+        return self.highs[i].astype(np.uint64) << np.uint64(self.bits) | self.lows(i)
 
     def find(self, values: np.ndarray) -> np.ndarray:
         """The index of each value, -1 where it isn't there: only values of its bucket of high bits are looked at."""
-        if not self.n:
-            return np.full(len(values), -1)
-        high, low = (values >> np.uint64(self.bits)).astype(np.int64), values & np.uint64((1 << self.bits) - 1)
-        zeros = np.arange(len(self.ones)) * 64 - self.ones
-        inside = np.flatnonzero(high < len(self.high) * 64 - int(self.ones[-1]))
-        high, low = high[inside], low[inside]
-        begin, end = self._bucket(high - 1, zeros) if len(high) else high, self._bucket(high, zeros) if len(high) else high
-        at, stop = begin.copy(), end.copy()
+        found = np.full(len(values), -1)
+        inside = np.flatnonzero(values >> np.uint64(self.bits) < np.uint64(len(self.begin) - 1))
+        high, low = (values[inside] >> np.uint64(self.bits)).astype(np.int64), values[inside] & np.uint64((1 << self.bits) - 1)
+        at, end = self.begin[high], self.begin[high + 1]
+        stop = end.copy()
         live = np.flatnonzero(at < stop)
         while len(live):  # the first of the bucket that is not less
             middle = (at[live] + stop[live]) >> 1
@@ -110,66 +110,77 @@ class EliasFano:
             at[live[less]] = middle[less] + 1
             stop[live[~less]] = middle[~less]
             live = live[at[live] < stop[live]]
-        found, some = np.full(len(values), -1), np.flatnonzero(at < end)
+        some = np.flatnonzero(at < end)
         some = some[self.lows(at[some]) == low[some]]
         found[inside[some]] = at[some]
         return found
 
-    def _bucket(self, high: np.ndarray, zeros: np.ndarray) -> np.ndarray:
-        """How many values have at most these high bits."""
-        out, some = np.zeros(len(high), np.int64), np.flatnonzero(high >= 0)
-        word = np.searchsorted(zeros, high[some], "right") - 1
-        out[some] = word * 64 + _select(~self.high[word], high[some] - zeros[word]) - high[some]
-        return out
-
 
-def _select(words: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """The place of the one with this rank in each word, by halves."""
-    words, rank, place = words.copy(), rank.copy(), np.zeros(len(words), np.int64)
-    for half in (32, 16, 8, 4, 2, 1):
-        below = np.bitwise_count(words & np.uint64((1 << half) - 1)).astype(np.int64)
-        up = rank >= below
-        rank[up] -= below[up]
-        place[up] += half
-        words[up] >>= np.uint64(half)
-    return place
+def new_nodes(columns: list[np.ndarray], runs: np.ndarray | None = None) -> list[np.ndarray]:
+    """For each level whether a row of the n-grams in order begins a new prefix of that length; runs says where to begin anew."""
+    fresh, out = np.zeros(len(columns[0]), bool), []
+    fresh[:1] = True
+    if runs is not None:
+        fresh[runs] = True
+    for c in columns:
+        fresh = fresh.copy()
+        fresh[1:] |= c[1:] != c[:-1]
+        out.append(fresh)
+    return out
 
 
 class Trie:
-    """A part's bigrams: contexts, pointers and successors, and the successors' probability codes."""
+    """n-grams in levels, a node for each prefix: words, pointers to the first children, and 16-bit codes of a node's
+    chance after its context and of its share as a context."""
 
-    def __init__(self, arrays: dict[str, np.ndarray]) -> None:
-        self.contexts, self.pointers, self.successors = (EliasFano(arrays, x) for x in ("contexts", "pointers", "successors"))
-        self.codes = arrays["codes"]
+    def __init__(self, arrays: dict[str, np.ndarray], order: int) -> None:
+        self.words = [EliasFano(arrays, f"words{k}") for k in range(order)]
+        self.pointers = [EliasFano(arrays, f"pointers{k}") for k in range(order - 1)]
+        self.chances, self.shares = ([arrays[f"{x}{k}"] for k in range(order)] for x in ("chances", "shares"))
 
     @staticmethod
-    def arrays(first: np.ndarray, second: np.ndarray, codes: np.ndarray) -> dict[str, np.ndarray]:
-        """Of distinct bigrams in order, and their codes."""
-        begin = np.flatnonzero(np.concatenate([[True], first[1:] != first[:-1]])) if len(first) else np.empty(0, np.int64)
-        last = second[np.append(begin[1:], len(second)) - 1] if len(first) else second
-        base = np.zeros(len(begin), np.uint64)
-        np.cumsum(last[:-1] + np.uint64(1), out=base[1:])
-        level = second + np.repeat(base, np.diff(np.append(begin, len(first))))
-        return EliasFano.arrays("contexts", first[begin]) | EliasFano.arrays("pointers", begin) | EliasFano.arrays("successors", level) | {"codes": codes.astype(np.uint16)}
-
-    def codes_of(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        """The code of each bigram, 0 where the trie has none. Bigrams of a context should stand together."""
-        begin = np.flatnonzero(np.concatenate([[True], first[1:] != first[:-1]])) if len(first) else np.empty(0, np.int64)
-        context, many = self.contexts.find(first[begin]), np.diff(np.append(begin, len(first)))
-        known = np.flatnonzero(context >= 0)
-        start = self.pointers[context[known]].astype(np.int64)
-        after = np.full(len(known), self.successors.n)
-        inner = np.flatnonzero(context[known] + 1 < self.contexts.n)
-        after[inner] = self.pointers[context[known][inner] + 1].astype(np.int64)
-        base, end = np.zeros(len(begin), np.uint64), np.zeros(len(begin), np.uint64)
-        late = np.flatnonzero(start > 0)
-        base[known[late]] = self.successors[start[late] - 1] + np.uint64(1)
-        end[known] = self.successors[after - 1] + np.uint64(1) if len(known) else end[known]
-        base, end = np.repeat(base, many), np.repeat(end, many)
-        asked = np.flatnonzero(second + base < end)  # a successor beyond the context's last would fall into the next one
-        index = self.successors.find((second + base)[asked])
-        out = np.zeros(len(first), np.uint16)
-        out[asked[index >= 0]] = self.codes[index[index >= 0]]
+    def arrays(columns: list[np.ndarray], chances: list[np.ndarray], shares: list[np.ndarray]) -> dict[str, np.ndarray]:
+        """Of distinct n-grams in order, and for each level the codes of its nodes."""
+        out, fresh, above = {}, new_nodes(columns), None
+        for k, c in enumerate(columns):
+            rows = np.flatnonzero(fresh[k])
+            level = c[rows].astype(np.uint64)
+            if above is not None and len(rows):
+                first = np.searchsorted(rows, above)
+                last = c[rows[np.append(first[1:], len(rows)) - 1]].astype(np.uint64)
+                base = np.zeros(len(above), np.uint64)
+                np.cumsum(last[:-1] + np.uint64(1), out=base[1:])
+                level += np.repeat(base, np.diff(np.append(first, len(rows))))
+                out |= EliasFano.arrays(f"pointers{k - 1}", first)
+            elif above is not None:
+                out |= EliasFano.arrays(f"pointers{k - 1}", rows)
+            out |= EliasFano.arrays(f"words{k}", level) | {f"chances{k}": chances[k].astype(np.uint16), f"shares{k}": shares[k].astype(np.uint16)}
+            above = rows
+        return out
+
+    def nodes(self, columns: list[np.ndarray]) -> list[np.ndarray]:
+        """For n-grams in order, at each level the node of each distinct prefix, -1 where the trie has none."""
+        fresh, out, rows = new_nodes(columns), [], None
+        for k, c in enumerate(columns):
+            own = np.flatnonzero(fresh[k])
+            if k == 0:
+                found = self.words[0].find(c[own].astype(np.uint64))
+            else:
+                words, found = self.words[k], np.full(len(own), -1)
+                parent = out[-1][np.searchsorted(rows, own, "right") - 1]
+                known = np.flatnonzero(parent >= 0)
+                start = self.pointers[k - 1][parent[known]].astype(np.int64)
+                after = np.full(len(known), words.n)
+                inner = np.flatnonzero(parent[known] + 1 < self.pointers[k - 1].n)
+                after[inner] = self.pointers[k - 1][parent[known][inner] + 1].astype(np.int64)
+                base = np.zeros(len(known), np.uint64)
+                late = np.flatnonzero(start > 0)
+                base[late] = words[start[late] - 1] + np.uint64(1)
+                asked = c[own[known]].astype(np.uint64) + base
+                inside = np.flatnonzero(asked <= words[after - 1]) if len(known) else known  # else it would fall among the next node's children
+                found[known[inside]] = words.find(asked[inside])
+            out.append(found)
+            rows = own
         return out
 
 
@@ -225,45 +236,161 @@ def blocks(docs: DataFrame, most_bytes: int) -> DataFrame:
     return docs.mapInArrow(run, BLOCKS)
 
 
-def pairs_of(row: pd.Series, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """A block's distinct bigrams in order of their numbers: the number of the first and second word, the training count, the place of each of
-    the block's tokens among them, and their places in the vocabulary, packed."""
-    tokens = restored(row["tokens"]).astype(np.int64)
-    lengths = np.asarray(row["lengths"], np.int64)
-    before = np.empty_like(tokens)
-    before[1:] = tokens[:-1]
-    before[np.cumsum(lengths) - lengths] = 0  # the end, whose hash is the least
-    packed, place = np.unique(before.astype(np.uint64) << np.uint64(32) | tokens.astype(np.uint64), return_inverse=True)
-    trained = np.repeat(~np.asarray(row["held"], bool), lengths)
-    counts = np.bincount(place[trained], minlength=len(packed)).astype(np.uint64)
-    first, second = (packed >> np.uint64(32)).astype(np.int64), (packed & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    return numbers[first], numbers[second], counts, place, packed
-
-
-def in_order(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """The order of pairs that come as a few sorted runs, which a stable sort of one key merges quickly."""
-    if len(first) and max(int(first.max()), int(second.max())) < 1 << 32:
-        return np.argsort(first << np.uint64(32) | second, kind="stable")
-    return np.lexsort((second, first))
-
-
-def log_code(counts: np.ndarray) -> np.ndarray:
-    """Counts as 16-bit codes of log10(count + 1)."""
-    return np.round(np.log10(counts.astype(np.float64) + 1) / 15 * 65535).astype(np.uint64)
-
-
-def code_count(codes: np.ndarray) -> np.ndarray:
-    return 10 ** (codes.astype(np.float64) * 15 / 65535) - 1
-
-
-def spread_by_pair(first: np.ndarray, second: np.ndarray, parts: int) -> np.ndarray:
-    mixed = (first * np.uint64(0x9E3779B97F4A7C15) ^ second) * np.uint64(0xD6E8FEB86659FD93)
-    return ((mixed >> np.uint64(40)) % np.uint64(parts)).astype(np.int64)
-
+def distinct(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct rows of columns of numbers, in order, and the place of each row among them."""
+    bits = max(int(c.max(initial=0)).bit_length() for c in columns)
+    if bits * len(columns) <= 64:
+        key = np.zeros(len(columns[0]), np.uint64)
+        for c in columns:
+            key = key << np.uint64(bits) | c.astype(np.uint64)
+        key, place = np.unique(key, return_inverse=True)
+        mask = np.uint64((1 << bits) - 1)
+        return [(key >> np.uint64(bits * i) & mask).astype(columns[0].dtype) for i in reversed(range(len(columns)))], place
+    order = np.lexsort(columns[::-1])
+    fresh = new_nodes([c[order] for c in columns])[-1]
+    place = np.empty(len(order), np.int64)
+    place[order] = np.cumsum(fresh) - 1
+    return [c[order[fresh]] for c in columns], place
+
+
+def ranked(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """columns with their numbers replaced by ranks among all that occur, and these in order."""
+    most = max(int(c.max(initial=0)) for c in columns)
+    if most < 1 << 23:  # a map of all numbers is small
+        seen = np.zeros(most + 1, bool)
+        for c in columns:
+            seen[c] = True
+        rank = np.cumsum(seen, dtype=np.int32) - 1
+        return [rank[c] for c in columns], np.flatnonzero(seen)
+    words, rank = np.unique(np.concatenate(columns), return_inverse=True)
+    return np.split(rank, len(columns)), words
+
+
+#: Symbols before a document's first word and after its end; words follow.
+BEGIN, PAD, WORDS = 0, 1, 2
+
+
+class Grams:
+    """A block's distinct n-grams in order (columns of symbols, those of words in the order of its vocabulary), their
+    training counts, and where its tokens are among them. The n-grams start at every symbol that some context of a token starts at."""
+
+    def __init__(self, row: pd.Series, n: int) -> None:
+        self.n, self.tokens = n, restored(row["tokens"]).astype(np.int64)
+        self.lengths = np.asarray(row["lengths"], np.int64)
+        self.held, self.begins = np.asarray(row["held"], bool), np.cumsum(self.lengths) - self.lengths
+        self.many = self.lengths + n - 2  # n-grams of a document
+        self.first = np.cumsum(self.many) - self.many
+        columns = [self._column(i) for i in range(n)]
+        self.columns, self.place = distinct(columns)
+        self.counts = np.bincount(self.place[np.repeat(~self.held, self.many)], minlength=len(self.columns[0]))
+
+    def _column(self, i: int) -> np.ndarray:
+        """The symbols that stand i after the starts of n-grams: the n-gram k of a document starts at its token k - (n - 1)."""
+        at = np.arange(int(self.many.sum())) - np.repeat(self.first, self.many) + i - (self.n - 1)
+        end = np.repeat(self.lengths, self.many)
+        inside = (at >= 0) & (at < end)
+        out = np.where(at < 0, BEGIN, PAD).astype(np.int32)
+        out[inside] = self.tokens[(at + np.repeat(self.begins, self.many))[inside]] + WORDS
+        return out
 
-def vocabulary_parts(made: DataFrame, parts: int) -> DataFrame:
-    """(block, part, numbers, totals) for each block and part of its words, and with block -1 a part's own distinct
-    training words and their count."""
+    def of_tokens(self, k: int) -> np.ndarray:
+        """For each token the n-gram whose first k symbols are the token and the k - 1 before it."""
+        at = np.arange(len(self.tokens)) - np.repeat(self.begins - self.first, self.lengths)
+        return self.place[at + self.n - k]
+
+
+def hot_symbols(totals: np.ndarray, hot: int) -> np.ndarray:
+    """Which symbols of a block occur over hot times; before and after a document is as often as its end, its first word."""
+    end = totals[:1] > hot
+    return np.concatenate([end, end, totals > hot])
+
+
+def context_keys(columns: list[np.ndarray], hashes: np.ndarray) -> np.ndarray:
+    """64 bits of each context, a row of symbols whose hashes are given."""
+    h = np.full(len(columns[0]), len(columns), np.uint64)
+    for c in columns:
+        h = (h ^ hashes[c]) * np.uint64(0x9E3779B97F4A7C15)
+        h = (h ^ h >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ h >> np.uint64(32)
+
+
+def symbol_hashes(row: pd.Series) -> np.ndarray:
+    return np.concatenate([np.array([1, 2], np.uint64), np.frombuffer(row["vocabulary"], "<u8")])
+
+
+def hot_contexts(row: pd.Series, hot: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The keys, in order, of a block's contexts of up to n - 1 symbols that are all hot, and how often they occur in
+    training, of those that end in BEGIN only where a token follows."""
+    hashes, tokens = symbol_hashes(row), restored(row["tokens"]).astype(np.int64) + WORDS
+    lengths, held = np.asarray(row["lengths"], np.int64), np.asarray(row["held"], bool)
+    begins = np.cumsum(lengths + 2 * (n - 1)) - lengths - (n - 1)
+    flat = np.full(len(tokens) + 2 * (n - 1) * len(lengths), PAD)
+    for i in range(1, n):
+        flat[begins - i] = BEGIN
+    flat[np.repeat(begins - (np.cumsum(lengths) - lengths), lengths) + np.arange(len(tokens))] = tokens
+    trained = np.repeat(~held, lengths + 2 * (n - 1))
+    keys, counts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    at = np.flatnonzero(hot[flat] & (flat != PAD))
+    for k in range(1, n):
+        at = at[hot[flat[at + k - 1]]]
+        keys.append(context_keys([flat[at + i] for i in range(k)], hashes))
+        counts.append(trained[at] & ((flat[at + k - 1] >= WORDS) | (flat[at + k] >= WORDS)))
+    keys, place = np.unique(np.concatenate(keys), return_inverse=True)
+    return keys, np.bincount(place, np.concatenate(counts), len(keys)).astype(np.int64)
+
+
+def log_code(chance: np.ndarray) -> np.ndarray:
+    """16-bit codes of probabilities, 0 for none."""
+    out, some = np.zeros(len(chance), np.int64), np.flatnonzero(chance > 0)
+    out[some] = 1 + np.clip(np.round(-np.log10(chance[some]) / STEP), 0, 65534)
+    return out
+
+
+def chance_of(codes: np.ndarray) -> np.ndarray:
+    return np.where(codes > 0, 10 ** ((1 - codes.astype(np.float64)) * STEP), 0.0)
+
+
+def dealt(columns: list[np.ndarray], hot: np.ndarray, parts: int) -> np.ndarray:
+    """The part of each n-gram (columns of numbers): by its symbols up to the first that isn't hot (rows of flags)."""
+    h, on = np.zeros(len(columns[0]), np.uint64), np.ones(len(columns[0]), bool)
+    for c, is_hot in zip(columns, hot, strict=True):
+        mixed = (h ^ c.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        h = np.where(on, (mixed ^ mixed >> np.uint64(29)) * np.uint64(0xD6E8FEB86659FD93), h)
+        on = on & is_hot
+    return ((h >> np.uint64(40)) % np.uint64(parts)).astype(np.int64)
+
+
+def merged_trie(columns: list[np.ndarray], counts: np.ndarray, given: list[np.ndarray], backoff: tuple) -> dict[str, np.ndarray]:
+    """The trie's arrays for distinct n-grams in order and their training counts. given has for each level the totals of
+    contexts that are counted apart, plus one, and 0 for all others."""
+    fresh = new_nodes(columns)
+    given = [g[np.cumsum(f) - 1] for g, f in zip(given, fresh, strict=False)]
+    some = np.flatnonzero((counts > 0) | np.logical_or.reduce([g > 1 for g in given]))
+    given = [g[some] for g in given]
+    columns, counts = [c[some] for c in columns], counts[some]
+    fresh, order = new_nodes(columns), len(columns)
+    rows = [np.flatnonzero(f) for f in fresh]
+    node = [np.cumsum(f) - 1 for f in fresh]
+    seen = [np.bincount(x, counts, len(r)) if len(r) else np.empty(0) for x, r in zip(node, rows, strict=True)]
+    apart = [g[r] for g, r in zip(given, rows, strict=False)]
+    seen = [*(np.where(own > 0, own - 1, c) for own, c in zip(apart, seen, strict=False)), seen[-1]]
+    chances, shares = [np.zeros(len(rows[0]), np.int64)], []
+    for k in range(order - 1):
+        below = rows[k + 1]
+        real = columns[k + 1][below] >= WORDS
+        up = node[k][below]
+        total = np.bincount(up[real], seen[k + 1][real], len(rows[k])) if len(below) else np.empty(0)
+        total = np.where(apart[k] > 0, apart[k] - 1, total)
+        a, b = backoff[min(k, len(backoff) - 1)]
+        share = np.where(total > 0, a * np.maximum(total, 1.0) ** -b, 0.0)
+        shares.append(log_code(share))
+        chances.append(log_code(np.where(real & (total[up] > 0), (1 - share[up]) * seen[k + 1] / np.maximum(total[up], 1), 0.0)))
+    return Trie.arrays(columns, chances, [*shares, np.zeros(len(rows[-1]), np.int64)])
+
+
+def vocabulary_parts(made: DataFrame, parts: int, hot: int) -> DataFrame:
+    """(block, part, numbers, totals) for each block (block, vocabulary, counts) and part of its words, and with block -1
+    how many words a part has, how many of them are in training texts and how often, and those of over hot totals."""
 
     def ask(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(frames, 1):
@@ -282,12 +409,13 @@ def vocabulary_parts(made: DataFrame, parts: int) -> DataFrame:
         for block, x in zip(frame["block"], own, strict=True):
             here = place[at : at + len(x)]
             at += len(x)
-            out.append((block, part, squeezed(here.astype(np.uint64)), squeezed(totals[here]), 0, 0))
-        out.append((-1, part, b"", b"", int((totals > 0).sum()), int(totals.sum())))
-        return pd.DataFrame(out, columns=["block", "part", "numbers", "totals", "distinct", "tokens"])
+            out.append((block, part, squeezed(here.astype(np.uint64)), squeezed(totals[here]), 0, 0, 0))
+        often = totals > hot
+        out.append((-1, part, squeezed(words[often]), squeezed(totals[often]), len(words), int((totals > 0).sum()), int(totals.sum())))
+        return pd.DataFrame(out, columns=["block", "part", "numbers", "totals", "words", "distinct", "tokens"])
 
     asked = made.select("block", "vocabulary", "counts").mapInArrow(ask, "part bigint, block bigint, words binary, counts binary")
-    return asked.groupBy("part").applyInPandas(count, "block bigint, part bigint, numbers binary, totals binary, distinct bigint, tokens bigint")
+    return asked.groupBy("part").applyInPandas(count, "block bigint, part bigint, numbers binary, totals binary, words bigint, distinct bigint, tokens bigint")
 
 
 def _word_part(words: np.ndarray, parts: int) -> np.ndarray:
@@ -299,98 +427,179 @@ def _runs(where: np.ndarray) -> list[tuple[int, tuple[int, int]]]:
     return [(int(where[a]), (int(a), int(b))) for a, b in zip(edge[:-1], edge[1:], strict=True)]
 
 
-def numbered(words: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def hot_words(words: DataFrame, hot: int) -> np.ndarray:
+    """The hashes, in order, of the words of over hot occurrences."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [restored(w)[restored(t) > hot].tobytes() for w, t in zip(batch["numbers"].to_pylist(), batch["totals"].to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(kept, pa.binary())], ["words"])
+
+    found = words.where("block = -1").select("numbers", "totals").mapInArrow(run, "words binary").where("length(words) > 0").collect()
+    return np.sort(np.frombuffer(b"".join(bytes(r[0]) for r in found), np.uint64))
+
+
+def numbered(words: pd.DataFrame, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The numbers and training counts of a block's vocabulary, in its order; parts are ranges, so they follow it."""
     words = words.sort_values("part")
-    numbers = [restored(x) + (np.uint64(p) << np.uint64(24)) for p, x in zip(words["part"], words["numbers"], strict=True)]
-    return np.concatenate(numbers), np.concatenate([restored(x) for x in words["totals"]])
+    numbers = [restored(x) + offsets[int(p)] for p, x in zip(words["part"], words["numbers"], strict=True)]
+    return np.concatenate(numbers).astype(np.int64), np.concatenate([restored(x) for x in words["totals"]]).astype(np.int64)
+
+
+class Deal:
+    """How a block's n-grams go to parts: their order by part, the runs of parts, and where prefixes begin in each run."""
 
+    def __init__(self, grams: Grams, numbers: np.ndarray, flags: np.ndarray, parts: int) -> None:
+        symbol = np.concatenate([np.array([BEGIN, PAD]), numbers + WORDS])
+        columns = [symbol[c] for c in grams.columns]
+        to = dealt(columns, [flags[c] for c in grams.columns], parts)
+        self.order = np.argsort(to.astype(np.uint16) if parts <= 1 << 16 else to, kind="stable")
+        self.runs = _runs(to[self.order])
+        edge = np.array([*(a for _, (a, _) in self.runs), len(to)])
+        self.columns = [c[self.order] for c in columns]
+        self.fresh = new_nodes(self.columns, edge[:-1])
+        #: For each level where the runs' prefixes begin among all.
+        self.cuts = [np.searchsorted(np.flatnonzero(f), edge) for f in self.fresh]
 
-def score(docs: DataFrame, held: object = None, mu: float = 500.0, block_bytes: int = 12 << 20, part_blocks: int = 4) -> DataFrame:
+
+def score(docs: DataFrame, held: object = None, order: int = 3, backoff: tuple = ((0.9, 0.1), (0.75, 0.15)), block_bytes: int = 8 << 20, part_blocks: int = 4, hot: int = 200_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each of docs (doc_id, text).
 
-    held: a boolean column, true where a row isn't learned from. There is a word part for each part_blocks blocks, and
-    as many bigram parts as blocks at the least, so a part's work doesn't grow with the input."""
+    held: a boolean column, true where a row isn't learned from. backoff: (a, b) for orders 2, 3 and so on, the last for
+    all higher ones. There is a word part for each part_blocks blocks, and two parts of n-grams for each block, so a
+    part's work doesn't grow with the input. A word is hot beyond hot occurrences, or a 2^23rd of all tokens if that is
+    more, which bounds the list of hot words that tasks get to 64 MB."""
+    n = order
+    if n < 2:
+        raise ValueError("the order must be 2 or more")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), (F.lit(False) if held is None else held).alias("held"))
     made = written(blocks(rows, block_bytes))
     many = made.count()
-    parts = max(12, 2 * many)
-    words = written(vocabulary_parts(made, max(6, -(-many // part_blocks))))
-    known = words.where("block = -1").agg(F.sum("distinct"), F.sum("tokens")).first()
-    distinct, tokens = int(known[0] or 0), int(known[1] or 0)
-    words = words.where("block >= 0").select("block", "part", "numbers", "totals")
-
-    def ask(key: tuple, own: pd.DataFrame, block_words: pd.DataFrame) -> pd.DataFrame:
+    parts, word_parts = max(12, 2 * many), max(6, -(-many // part_blocks))
+    words = written(vocabulary_parts(made, word_parts, hot))
+    known = words.where("block = -1").select("part", "words", "distinct", "tokens").collect()
+    distinct_words, tokens = sum(r["distinct"] for r in known), sum(r["tokens"] for r in known)
+    each = np.zeros(word_parts, np.int64)
+    each[[r["part"] for r in known]] = [r["words"] for r in known]
+    offsets = starts_of(each).astype(np.uint64)
+    limit = max(hot, tokens >> 23)
+    often = hot_words(words, limit)
+
+    def hot_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, 1):
+            row = {c: batch[c][0].as_py() for c in batch.schema.names}
+            flags = np.isin(np.frombuffer(row["vocabulary"], "<u8"), often)
+            keys, counts = hot_contexts(row, np.concatenate([flags[:1], flags[:1], flags]), n)
+            if len(keys):
+                yield pa.RecordBatch.from_arrays([batch["block"], pa.array([keys.tobytes()]), pa.array([squeezed(counts)])], ["block", "vocabulary", "counts"])
+
+    base = made.select("block", "lengths", "held", "vocabulary", "tokens")
+    contexts = vocabulary_parts(base.mapInArrow(hot_blocks, "block bigint, vocabulary binary, counts binary"), word_parts, 1 << 62)
+    told = words.where("block >= 0").select("block", "part", "numbers", "totals")
+    both = told.withColumn("kind", F.lit(0)).union(contexts.where("block >= 0").select("block", "part", "numbers", "totals", F.lit(1)))
+
+    def ask(key: tuple, own: pd.DataFrame, rest: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, row in own.iterrows():
-            numbers, totals = numbered(block_words)
-            first, second, counts, _, packed = pairs_of(row, numbers)
-            to = spread_by_pair(first, second, parts)
-            order = np.argsort(to, kind="stable")
-            code = log_code(totals)
-            left, right = code[(packed >> np.uint64(32)).astype(np.int64)], code[(packed & np.uint64(0xFFFFFFFF)).astype(np.int64)]
-            for part, (a, b) in _runs(to[order]):
-                at = order[a:b]
-                out.append((part, row["block"], *(squeezed(x[at]) for x in (first, second, counts, left, right))))
+            numbers, totals = numbered(rest[rest["kind"] == 0], offsets)
+            found = rest[rest["kind"] == 1].sort_values("part")
+            context_totals = np.concatenate([np.empty(0, np.uint64), *(restored(x) for x in found["totals"])]).astype(np.int64)
+            flags = hot_symbols(totals, limit)
+            grams, keys, hashes = Grams(row, n), hot_contexts(row, flags, n)[0], symbol_hashes(row)
+            deal = Deal(grams, numbers, flags, parts)
+            counts, given = grams.counts[deal.order], []
+            for k in range(n - 1):
+                at = deal.order[deal.fresh[k]]
+                some = np.flatnonzero(np.logical_and.reduce([flags[c[at]] for c in grams.columns[: k + 1]]))
+                value = np.zeros(len(at), np.int64)
+                if len(some):
+                    value[some] = 1 + context_totals[np.searchsorted(keys, context_keys([c[at[some]] for c in grams.columns[: k + 1]], hashes))]
+                given.append(value)
+            for i, (part, (a, b)) in enumerate(deal.runs):
+                own_given = [squeezed(g[cut[i] : cut[i + 1]]) for g, cut in zip(given, deal.cuts, strict=False)]
+                out.append((part, row["block"], [squeezed(c[a:b]) for c in deal.columns], squeezed(counts[a:b]), own_given))
         release()
-        return pd.DataFrame(out, columns=["part", "block", "first", "second", "counts", "left", "right"])
+        return pd.DataFrame(out, columns=["part", "block", "grams", "counts", "given"])
 
     def answer(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("block")
-        first, second, counts, left, right = (np.concatenate([restored(x) for x in frame[c]]) for c in ("first", "second", "counts", "left", "right"))
-        ends = np.cumsum([len(restored(x)) for x in frame["first"]]).tolist()
-        seen = counts > 0
-        order = np.flatnonzero(seen)[in_order(first[seen], second[seen])]
-        a, b = first[order], second[order]
-        begin = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else np.empty(0, np.int64)
-        total = np.add.reduceat(counts[order], begin).astype(np.float64) if len(begin) else np.empty(0)
-        one = order[begin]
-        base = (code_count(right[one]) + 1) / (tokens + distinct + 1)
-        log = np.log10((total + mu * base) / (code_count(left[one]) + mu))
-        arrays, file = mapped(Trie.arrays(first[one], second[one], 1 + np.clip(np.round(-log / STEP), 0, 65534)))
+        columns = [np.concatenate([restored(x[k]) for x in frame["grams"]]).astype(np.int64) for k in range(n)]
+        counts = [restored(x) for x in frame["counts"]]
+        edge = starts_of(np.array([len(x) for x in counts]))
+        fresh = [np.flatnonzero(f) for f in new_nodes(columns, edge[:-1])]
+        ranks, symbols = ranked(columns)
+        grams, place = distinct(ranks)
+        del ranks, columns
+        grams = [symbols[c] for c in grams]
+        total = np.bincount(place, np.concatenate(counts), len(grams[0])).astype(np.int64)
+        node = [np.cumsum(f) - 1 for f in new_nodes(grams)]
+        given = []
+        for k in range(n - 1):
+            value = np.zeros(int(node[k][-1]) + 1, np.int64)
+            value[node[k][place[fresh[k]]]] = np.concatenate([restored(x[k]) for x in frame["given"]])
+            given.append(value)
+        arrays, file = mapped(merged_trie(grams, total, given, backoff))
         with file:
-            trie = Trie(arrays)
-            out = []
-            for block, a, b in zip(frame["block"], [0, *ends], ends, strict=False):
-                out.append((block, int(frame["part"].iloc[0]), squeezed(trie.codes_of(first[a:b], second[a:b]).astype(np.uint64))))
+            trie = Trie(arrays, n)
+            found = trie.nodes(grams)
+            code = lambda codes, at: np.where(at >= 0, codes[np.maximum(at, 0)] if len(codes) else 0, 0).astype(np.uint64)
+            chances = [code(trie.chances[k], found[k])[node[k][place[fresh[k]]]] for k in range(n)]
+            shares = [code(trie.shares[k], found[k])[node[k][place[fresh[k]]]] for k in range(n)]
+            del trie
+        cuts = [np.searchsorted(f, edge) for f in fresh]
+        out = []
+        for i, block in enumerate(frame["block"]):
+            own = lambda codes, levels, i=i: squeezed(np.concatenate([codes[k][cuts[k][i] : cuts[k][i + 1]] for k in levels]))
+            out.append((block, int(frame["part"].iloc[0]), own(chances, range(1, n)), own(shares, range(n - 1))))
         release()
-        return pd.DataFrame(out, columns=["block", "part", "codes"])
+        return pd.DataFrame(out, columns=["block", "part", "chances", "shares"])
+
+    def levels_of(answers: list, deal: Deal, levels: range) -> list[np.ndarray]:
+        """For each level the probability that came back for each n-gram, in the block's order."""
+        pieces = [[] for _ in levels]
+        for i, blob in enumerate(answers):
+            codes, at = restored(blob), 0
+            for own, k in zip(pieces, levels, strict=True):
+                many = int(deal.cuts[k][i + 1] - deal.cuts[k][i])
+                own.append(codes[at : at + many])
+                at += many
+        out = []
+        for own, k in zip(pieces, levels, strict=True):
+            value = np.empty(len(deal.order), np.float64)
+            value[deal.order] = chance_of(np.concatenate(own))[np.cumsum(deal.fresh[k]) - 1]
+            out.append(value)
+        return out
 
-    def total(key: tuple, own: pd.DataFrame, block_words: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+    def total(key: tuple, own: pd.DataFrame, rest: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, row in own.iterrows():
-            numbers, totals = numbered(block_words)
-            first, second, _, place, packed = pairs_of(row, numbers)
-            to = spread_by_pair(first, second, parts)
-            codes = np.empty(len(packed), np.uint64)
-            codes[np.argsort(to, kind="stable")] = np.concatenate([restored(x) for x in answers.sort_values("part")["codes"]])
-            counts = totals.astype(np.float64)
-            base = np.log10((counts + 1) / (tokens + distinct + 1))
-            back = np.log10(mu / (counts + mu))
-            pair = np.where(codes > 0, -(codes.astype(np.float64) - 1) * STEP, back[(packed >> np.uint64(32)).astype(np.int64)] + base[(packed & np.uint64(0xFFFFFFFF)).astype(np.int64)])
-            ids, lengths = restored(row["tokens"]).astype(np.int64), np.asarray(row["lengths"], np.int64)
-            begin = np.cumsum(lengths) - lengths
+            numbers, totals = numbered(pd.DataFrame([x for x in rest["word"] if x is not None]), offsets)
+            answers = pd.DataFrame([x for x in rest["reply"] if x is not None]).sort_values("part")
+            grams = Grams(row, n)
+            deal = Deal(grams, numbers, hot_symbols(totals, limit), parts)
+            chances, shares = levels_of(answers["chances"], deal, range(1, n)), levels_of(answers["shares"], deal, range(n - 1))
+            base = ((totals + 1) / (tokens + distinct_words + 1))[grams.tokens]
+            chance = base
+            for k in range(2, n + 1):
+                at, share = grams.of_tokens(k), shares[k - 2]
+                chance = chances[k - 2][at] + np.where(share[at] > 0, share[at], 1.0) * chance
+            known_tokens, begin = (totals > 0)[grams.tokens].astype(np.int64), grams.begins
             out.append(
                 pd.DataFrame({
-                    "doc_id": pd.array(list(row["docs"]), "Int64"), "held_out": list(row["held"]), "n_tokens": lengths, "n_known": np.add.reduceat((totals > 0)[ids].astype(np.int64), begin),
-                    "train_tokens": tokens, "base_score": np.add.reduceat(base[ids], begin), "score": np.add.reduceat(pair[place], begin),
+                    "doc_id": pd.array(list(row["docs"]), "Int64"), "held_out": list(row["held"]), "n_tokens": grams.lengths, "n_known": np.add.reduceat(known_tokens, begin),
+                    "train_tokens": tokens, "base_score": np.add.reduceat(np.log10(base), begin), "score": np.add.reduceat(np.log10(chance), begin),
                 })
             )
         release()
         return pd.concat(out)
 
-    own = made.select("block", "docs", "lengths", "held", "tokens").groupBy("block")
-    asked = own.cogroup(words.groupBy("block")).applyInPandas(ask, "part bigint, block bigint, first binary, second binary, counts binary, left binary, right binary")
-    answers = written(asked.groupBy("part").applyInPandas(answer, "block bigint, part bigint, codes binary"))
-    both = words.select("block", F.struct("part", "numbers", "totals").alias("word"), F.lit(None).cast("struct<part:bigint,codes:binary>").alias("reply")).unionByName(
-        answers.select("block", F.lit(None).cast("struct<part:bigint,numbers:binary,totals:binary>").alias("word"), F.struct("part", "codes").alias("reply"))
+    asked = base.groupBy("block").cogroup(both.groupBy("block")).applyInPandas(ask, "part bigint, block bigint, grams array<binary>, counts binary, given array<binary>")
+    answers = written(asked.groupBy("part").applyInPandas(answer, "block bigint, part bigint, chances binary, shares binary"))
+    replies = told.select("block", F.struct("part", "numbers", "totals").alias("word"), F.lit(None).cast("struct<part:bigint,chances:binary,shares:binary>").alias("reply")).unionByName(
+        answers.select("block", F.lit(None).cast("struct<part:bigint,numbers:binary,totals:binary>").alias("word"), F.struct("part", "chances", "shares").alias("reply"))
     )
-
-    def split(key: tuple, own: pd.DataFrame, rest: pd.DataFrame) -> pd.DataFrame:
-        table_of = lambda c: pd.DataFrame([x for x in rest[c] if x is not None])
-        return total(key, own, table_of("word"), table_of("reply"))
-
-    return own.cogroup(both.groupBy("block")).applyInPandas(split, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
+    scored = made.select("block", "docs", "lengths", "held", "tokens").groupBy("block").cogroup(replies.groupBy("block"))
+    return scored.applyInPandas(total, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
 
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

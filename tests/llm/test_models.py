@@ -16,27 +16,58 @@ from deltaloom.llm.common import learned_from
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
-def test_ngrams_against_counts(awkward, nothing):
-    held = ~learned_from(F.col("doc_id"), 7, 2)
-    got = collections.Counter((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 1)) for r in ngrams.score(awkward, held, block_bytes=4000).collect())
-    rows = [(r["doc_id"], [*WORD.findall((r["text"] or "").encode().lower()), None]) for r in awkward.collect()]
-    out = lambda k: k is not None and zlib.crc32(str(k).encode()) % 7 == 2
-    one, two = collections.Counter(), collections.Counter()
-    for k, w in rows:
-        if not out(k):
-            one.update(w)
-            two.update(zip([None, *w[:-1]], w, strict=True))
-    n, v, mu = sum(one.values()), len(one), 500
-    want = collections.Counter()
-    for k, w in rows:
-        base = sum(math.log10((one[x] + 1) / (n + v + 1)) for x in w)
-        score = sum(math.log10((two[a, x] + mu * (one[x] + 1) / (n + v + 1)) / (one[a] + mu)) for a, x in zip([None, *w[:-1]], w, strict=True))
-        want[(k, out(k), len(w), sum(one[x] > 0 for x in w), n, round(base, 6), round(score, 1))] += 1
-    exact = lambda c: collections.Counter({k[:6]: m for k, m in c.items()})
-    assert exact(got) == exact(want)
-    close = {k[:6]: k[6] for k in want}
-    assert all(abs(close[k[:6]] - k[6]) <= 0.11 + 0.0002 * k[2] for k in got)
-    assert ngrams.score(nothing, held).count() == 0
+def counted(rows, out, n, backoff):
+    """(doc_id, held out, tokens, known, N) to base and score of rows (doc_id, words), from plain counts of all k-grams."""
+    grams = [collections.Counter() for _ in range(n + 1)]
+    follow = [collections.Counter() for _ in range(n + 1)]
+    events = lambda w: [(*["begin"] * (n - 1), *w, "end")[i : i + n] for i in range(len(w) + 1)]
+    for key, w in rows:
+        for e in events(w) if not out(key) else []:
+            for k in range(1, n + 1):
+                grams[k][e[n - k :]] += 1
+                follow[k][e[n - k : -1]] += 1
+    total, kinds, found = sum(grams[1].values()), len(grams[1]), []
+    for key, w in rows:
+        base = score = known = 0
+        for e in events(w):
+            p = (grams[1][e[-1:]] + 1) / (total + kinds + 1)
+            base, known = base + math.log10(p), known + (grams[1][e[-1:]] > 0)
+            for k in range(2, n + 1):
+                if c := follow[k][e[n - k : -1]]:
+                    a, b = backoff[min(k - 2, len(backoff) - 1)]
+                    p = (1 - a * c**-b) * grams[k][e[n - k :]] / c + a * c**-b * p
+            score += math.log10(p)
+        found.append(((str(key), out(key), len(w) + 1, known, total), round(base, 6), score))
+    return sorted(found)
+
+
+@pytest.mark.parametrize(("order", "hot"), [(2, 200_000), (2, 3), (3, 200_000), (3, 4), (4, 6)])
+def test_ngrams_against_counts(awkward, nothing, order, hot):
+    held, backoff = ~learned_from(F.col("doc_id"), 7, 2), ((0.9, 0.1), (0.75, 0.15))
+    got = ngrams.score(awkward.repartition(3), held, order=order, hot=hot, backoff=backoff, block_bytes=4000).collect()
+    got = sorted(((str(r["doc_id"]), r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]), round(r["base_score"], 6), r["score"]) for r in got)
+    rows = [(r["doc_id"], WORD.findall((r["text"] or "").encode().lower())) for r in awkward.collect()]
+    want = counted(rows, lambda k: k is not None and zlib.crc32(str(k).encode()) % 7 == 2, order, backoff)
+    assert [x[:2] for x in got] == [x[:2] for x in want]
+    assert all(abs(x[2] - y[2]) <= 0.001 + 0.0002 * order * x[0][2] for x, y in zip(got, want, strict=True))
+    assert ngrams.score(nothing, held, order=order).count() == 0
+
+
+def test_scores_of_held_out_texts_rise_with_the_order(spark):
+    rng = random.Random(4)
+    after = {(a, b): [f"w{rng.randrange(40)}" for _ in range(3)] for a in range(40) for b in range(40)}
+    rows = []
+    for i in range(400):
+        words = ["w1", "w2"]
+        while len(words) < 60:
+            words.append(rng.choice(after[int(words[-2][1:]), int(words[-1][1:])]))
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    sums = []
+    for order in (2, 3):
+        r = ngrams.score(docs, ~learned_from(F.col("doc_id"), 7, 2), order=order).where("held_out").agg(F.sum("base_score"), F.sum("score")).first()
+        sums += list(r)
+    assert sums[0] == pytest.approx(sums[2]) and sums[0] < sums[1] < sums[3]
 
 
 @pytest.mark.parametrize("size", [0, 1, 2, 500])
@@ -53,14 +84,18 @@ def test_elias_fano(size):
 
 def test_trie():
     rng = random.Random(1)
-    pairs = sorted({(rng.randrange(30), rng.randrange(50)) for _ in range(400)})
-    first, second = (np.array(x, np.uint64) for x in zip(*pairs, strict=True))
-    arrays, file = ngrams.mapped(ngrams.Trie.arrays(first, second, np.arange(1, len(pairs) + 1)))
+    grams = sorted({(rng.randrange(9), rng.randrange(30), rng.randrange(50)) for _ in range(400)})
+    prefixes = [sorted({g[: k + 1] for g in grams}) for k in range(3)]
+    codes = [np.arange(1, len(p) + 1) for p in prefixes]
+    arrays, file = ngrams.mapped(ngrams.Trie.arrays([np.array(c) for c in zip(*grams, strict=True)], codes, codes))
     with file:
-        trie, codes = ngrams.Trie(arrays), {p: i + 1 for i, p in enumerate(pairs)}
-        ask = [(a, b) for a in range(33) for b in range(60)]
-        a, b = (np.array(x, np.uint64) for x in zip(*ask, strict=True))
-        assert trie.codes_of(a, b).tolist() == [codes.get(p, 0) for p in ask]
+        trie = ngrams.Trie(arrays, 3)
+        ask = [(a, b, c) for a in range(11) for b in range(33) for c in range(0, 60, 3)]
+        found = trie.nodes([np.array(c) for c in zip(*ask, strict=True)])
+        for k in range(3):
+            place = {p: i for i, p in enumerate(prefixes[k])}
+            assert found[k].tolist() == [place.get(p, -1) for p in sorted({g[: k + 1] for g in ask})]
+            assert trie.chances[k].tolist() == codes[k].tolist()
 
 
 def toxic_corpus(spark):
