@@ -13,11 +13,13 @@ compared with everything. So a large ball of near copies costs a bucket no more
 The pipeline's stage links texts whose sets of distinct shingles have a similarity (common over all) of 4/5 or more,
 decided on the sets themselves. Candidates are complete: in any one order of shingles, two such sets of n and m shingles
 share one among the first n - ceil(4n/5) + 1 of the one and as many of the other, so sets meet in buckets of those. The order
-is by hash, with shingles common in a sample of the texts last, so a common line makes no long bucket; the sample only moves
-work, as any order is complete. In a bucket pairs must have sizes that allow 4/5 and 128-bit fingerprints of the sets within
-HEAD_BITS (about 19 at 4/5, so 6 standard deviations), of which the first 64 within FIRST_BITS are seen first. Rows of long
-buckets are first checked against a few leaders, and labels of what that links keep a large group from yielding its pairs;
-after that every pair of different labels in every bucket is checked, so nothing rests on the leaders.
+is by how many sets of a sample have a shingle, then by hash, so a common line makes no long bucket; the sample only moves
+work, as any order is complete. In a bucket pairs must have sizes that allow 4/5, places of the bucket's shingle after which
+enough is left to be shared (so of the near copies of one text, whose own shingles come first, only the nearest meet), and
+128-bit fingerprints of the sets within HEAD_BITS (about 19 at 4/5, so 6 standard deviations), of which the first 64 within
+FIRST_BITS are seen first. Rows of long buckets are first checked against a few leaders, those of the least places, which
+have the fewest shingles of their own, and labels of what that links keep a large group from yielding its pairs; after that
+every pair of different labels in every bucket is checked, so nothing rests on the leaders.
 
 Defined results: a null or empty text has fingerprint zero and is linked like any other (in the stage to its like only); rows with equal ids each have
 their own fingerprint, and ids don't link; a null id is never the smallest unless its component has no other; an empty
@@ -45,7 +47,7 @@ FIRST_BITS, HEAD_BITS = 27, 44
 #: Rows of longer buckets are linked to leaders before all pairs are compared, in so many rounds at most.
 LONG_BUCKET, ROUNDS = 32, 4
 #: Distinct sets that are looked at for common shingles, and in how many of them a shingle is common.
-SAMPLE, COMMON = 2048, 8
+SAMPLE, COMMON = 16_384, 3
 #: Bits of the map that tells which sets may be candidates, and of a slot that hold the set's size.
 MAP_BITS, SIZE_BITS = 22, 24
 #: Runs up to this length are compared by shifting columns, longer ones by leaders.
@@ -274,11 +276,11 @@ def similar(x: np.ndarray, y: np.ndarray) -> bool:
     return 9 * int((y[at] == x).sum()) >= 4 * (len(x) + len(y))
 
 
-def leading(own: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """The shingles of a set that meet others: its first n - ceil(4n/5) + 1, the common ones (sorted) last."""
-    if len(common):
-        late = common[np.minimum(np.searchsorted(common, own), len(common) - 1)] == own
-        own = np.concatenate([own[~late], own[late]])
+def leading(own: np.ndarray, common: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """The shingles of a set that meet others: its first n - ceil(4n/5) + 1, by how common (sorted) they are."""
+    if len(common) and len(own):
+        at = np.minimum(np.searchsorted(common, own), len(common) - 1)
+        own = own[np.argsort(np.where(common[at] == own, times[at], 0), kind="stable")]
     return own[: len(own) - (4 * len(own) + 4) // 5 + 1]
 
 
@@ -314,8 +316,9 @@ def sets_of(marked: DataFrame, words: int) -> DataFrame:
     return marked.select("id", "text").mapInArrow(run, "id bigint, shingles binary")
 
 
-def common_shingles(texts: DataFrame, ids: DataFrame, words: int) -> np.ndarray:
-    """Hashes, sorted, of the shingles in COMMON or more of SAMPLE distinct sets (those of the smallest ids)."""
+def common_shingles(texts: DataFrame, ids: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, sorted, of the shingles in COMMON or more of SAMPLE distinct sets (those of the smallest ids), and in how
+    many they are."""
     last = ids.orderBy("id").limit(SAMPLE).agg(F.max("id")).first()[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -323,17 +326,31 @@ def common_shingles(texts: DataFrame, ids: DataFrame, words: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(batch["shingles"].to_pylist()), np.int64))], ["shingle"])
 
     few = sets_of(texts.where(F.col("id") <= F.lit(last).cast("bigint")), words).dropDuplicates(["id"])
-    found = few.mapInArrow(run, "shingle bigint").groupBy("shingle").count().where(F.col("count") >= COMMON).select("shingle").collect()
-    return np.sort(np.array([r[0] for r in found], np.int64).view(np.uint64))
+    found = few.mapInArrow(run, "shingle bigint").groupBy("shingle").count().where(F.col("count") >= COMMON)
+    packs = found.select("shingle", F.col("count").cast("int").alias("times")).mapInArrow(packed_columns, "shingle binary, times binary").collect()
+    hashes, times = (np.frombuffer(b"".join(bytes(r[i]) for r in packs), kind) for i, kind in enumerate((np.uint64, np.int32)))
+    order = np.argsort(hashes)
+    return hashes[order], times[order]
 
 
-def near_rows(h: np.ndarray, size: np.ndarray, label: np.ndarray, x: np.ndarray, y: np.ndarray | int) -> np.ndarray:
-    """Which pairs of rows have different labels, sizes that allow 4/5 and heads within HEAD_BITS."""
+def packed_columns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each batch as one row of its columns' bytes."""
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array([np.asarray(c).tobytes()]) for c in batch.columns], batch.schema.names)
+
+
+def can_share(size: np.ndarray, place: np.ndarray, x: np.ndarray, y: np.ndarray | int) -> np.ndarray:
+    """Which pairs of rows have sizes that allow 4/5, and from the first shared shingle on enough others that may be."""
     fits = 5 * np.minimum(size[x], size[y]) >= 4 * np.maximum(size[x], size[y])
-    return fits & (label[x] != label[y]) & (np.bitwise_count(h[x] ^ h[y]).sum(-1) <= HEAD_BITS)
+    return fits & (9 * np.minimum(size[x] - place[x], size[y] - place[y]) >= 4 * (size[x] + size[y]))
+
 
+def near_rows(h: np.ndarray, size: np.ndarray, place: np.ndarray, label: np.ndarray, x: np.ndarray, y: np.ndarray | int) -> np.ndarray:
+    """Which pairs of rows have different labels, can share enough and have heads within HEAD_BITS."""
+    return can_share(size, place, x, y) & (label[x] != label[y]) & (np.bitwise_count(h[x] ^ h[y]).sum(-1) <= HEAD_BITS)
 
-def bucket_pairs(key: np.ndarray, h: np.ndarray, size: np.ndarray, label: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+
+def bucket_pairs(key: np.ndarray, h: np.ndarray, size: np.ndarray, place: np.ndarray, label: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """All pairs of rows of different labels in whole buckets (sorted by key) that near_rows lets pass."""
     edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
     length = np.diff(edge)
@@ -342,23 +359,27 @@ def bucket_pairs(key: np.ndarray, h: np.ndarray, size: np.ndarray, label: np.nda
         at = np.flatnonzero((key[shift:] == key[:-shift]) & short[shift:])
         if not len(at):
             break
-        at = at[near_rows(h, size, label, at, at + shift)]
+        at = at[near_rows(h, size, place, label, at, at + shift)]
         yield at, at + shift
     for k in np.flatnonzero(length > LONG_BUCKET).tolist():
         rows = np.arange(edge[k], edge[k + 1])
         for i in range(len(rows) - 1):
-            hit = rows[i + 1 :][near_rows(h, size, label, rows[i + 1 :], rows[i])]
+            hit = rows[i + 1 :][near_rows(h, size, place, label, rows[i + 1 :], rows[i])]
             yield np.full(len(hit), rows[i]), hit
 
 
-def bucket_leaders(key: np.ndarray, own: np.ndarray, h: np.ndarray, size: np.ndarray, label: np.ndarray, seed: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For rows of whole buckets (sorted by key) a leader of another label that near_rows lets pass: fewer pairs than rows."""
+def bucket_leaders(key: np.ndarray, own: np.ndarray, h: np.ndarray, size: np.ndarray, place: np.ndarray, label: np.ndarray, seed: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For rows of whole buckets (sorted by key) a leader of another label that near_rows lets pass: fewer pairs than rows.
+
+    Leaders come by place, from the second seed on at random."""
     rank = own.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15 * (2 * seed + 1) % (1 << 64))
+    if not seed:
+        rank = place.astype(np.uint64) << np.uint64(38) | rank >> np.uint64(26)
     edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
     for lo, hi in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
         rest = lo + np.argsort(rank[lo:hi])
         while len(rest) > 1:
-            hit = near_rows(h, size, label, rest[1:], rest[0])
+            hit = near_rows(h, size, place, label, rest[1:], rest[0])
             yield rest[1:][hit], np.full(int(hit.sum()), rest[0])
             rest = rest[1:][~hit]
 
@@ -377,31 +398,32 @@ def whole_buckets(batches: Iterator[pa.RecordBatch], columns: list[str], key: st
     release()
 
 
-def met_rows(texts: DataFrame, words: int, common: np.ndarray) -> DataFrame:
-    """(key, id, many) for the rows (id, size, h0, text) that meet another set of fitting size and h0 in a bucket; many
-    tells whether the bucket is a long one, whose rows all stay."""
+def met_rows(texts: DataFrame, words: int, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """(key, id, place, many) for the rows (id, size, h0, text) that meet another set of fitting size, place and h0 in a
+    bucket; many tells whether the bucket is a long one, whose rows all stay."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in chunks(batches):
-            slots, owns, heads = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            slots, owns, heads, places = ([np.empty(0, np.int64)] for _ in range(4))
             for i, h, text in zip(*(batch[c].to_pylist() for c in ("id", "h0", "text")), strict=True):
                 if i not in seen:
                     seen.add(i)
                     own = shingle_set(text, words)
-                    first = leading(own, common)
+                    first = leading(own, *common)
                     size = np.uint64(min(len(own), (1 << SIZE_BITS) - 1))
                     slots.append(((first & ~np.uint64((1 << SIZE_BITS) - 1)) | size).view(np.int64))
                     owns.append(np.full(len(first), i, np.int64))
                     heads.append(np.full(len(first), h, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (slots, owns, heads)], ["slot", "id", "h0"])
+                    places.append(np.arange(len(first)) if len(own) == int(size) else np.zeros(len(first), np.int64))  # a size beyond its bits excludes nothing
+            yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(c)) for c in (slots, owns, heads)), pa.array(np.concatenate(places).astype(np.int32))], ["slot", "id", "h0", "place"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keyed = (pa.RecordBatch.from_arrays([pa.array(np.asarray(b["slot"]) >> SIZE_BITS), *b.columns], ["key", "slot", "id", "h0"]) for b in batches)
-        for key, slot, own, h0 in whole_buckets(keyed, ["key", "slot", "id", "h0"], "key"):
+        keyed = (pa.RecordBatch.from_arrays([pa.array(np.asarray(b["slot"]) >> SIZE_BITS), *b.columns], ["key", "slot", "id", "h0", "place"]) for b in batches)
+        for key, slot, own, h0, place in whole_buckets(keyed, ["key", "slot", "id", "h0", "place"], "key"):
             once = np.ones(len(key), bool)
             once[1:] = (slot[1:] != slot[:-1]) | (own[1:] != own[:-1])
-            key, size, own, h0 = key[once], slot[once] & (1 << SIZE_BITS) - 1, own[once], h0[once].view(np.uint64)
+            key, size, own, h0, place = key[once], slot[once] & (1 << SIZE_BITS) - 1, own[once], h0[once].view(np.uint64), place[once].astype(np.int64)
             length = np.diff(np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]])))
             many = np.repeat(length > LONG_BUCKET, length)
             keep = many.copy()
@@ -409,48 +431,53 @@ def met_rows(texts: DataFrame, words: int, common: np.ndarray) -> DataFrame:
                 at = np.flatnonzero((key[shift:] == key[:-shift]) & ~many[shift:] & (5 * size[:-shift] >= 4 * size[shift:]))
                 if not len(at):
                     break
+                at = at[can_share(size, place, at, at + shift)]
                 at = at[np.bitwise_count(h0[at] ^ h0[at + shift]) <= FIRST_BITS]
                 keep[at] = keep[at + shift] = True
             if keep.any():
-                yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (key, own, many)], ["key", "id", "many"])
+                yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (key, own, place, many)], ["key", "id", "place", "many"])
 
-    spread_out = texts.select("id", "h0", "text").mapInArrow(spread, "slot bigint, id bigint, h0 bigint")
-    return spread_out.repartition(F.shiftright("slot", SIZE_BITS)).sortWithinPartitions("slot", "id").mapInArrow(meet, "key bigint, id bigint, many boolean")
+    spread_out = texts.select("id", "h0", "text").mapInArrow(spread, "slot bigint, id bigint, h0 bigint, place int")
+    dealt = spread_out.repartition(F.shiftright("slot", SIZE_BITS)).sortWithinPartitions("slot", "id", "place")
+    return dealt.mapInArrow(meet, "key bigint, id bigint, place bigint, many boolean")
 
 
 def near_met(met: DataFrame) -> DataFrame:
-    """The rows (key, id, h0, h1, size, many) that are in a candidate pair of a bucket."""
-    columns = ["key", "id", "h0", "h1", "size", "many"]
+    """The rows (key, id, h0, h1, size, place, many) that are in a candidate pair of a bucket."""
+    columns = ["key", "id", "h0", "h1", "size", "place", "many"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wide = (b.set_column(5, "many", b["many"].cast(pa.int64())) for b in batches)
+        wide = (b.set_column(6, "many", b["many"].cast(pa.int64())) for b in batches)
         for found in whole_buckets(wide, columns, "key"):
-            key, own, h0, h1, size, many = found
+            key, own, h0, h1, size, place, many = found
             keep = np.zeros(len(key), bool)
-            for x, y in bucket_pairs(key, np.stack([h0, h1], 1).view(np.uint64), size, own):
+            for x, y in bucket_pairs(key, np.stack([h0, h1], 1).view(np.uint64), size, place, own):
                 keep[x] = keep[y] = True
-            yield pa.RecordBatch.from_arrays([*(pa.array(c[keep]) for c in found[:5]), pa.array(many[keep].astype(bool))], columns)
+            yield pa.RecordBatch.from_arrays([*(pa.array(c[keep]) for c in found[:6]), pa.array(many[keep].astype(bool))], columns)
 
-    return met.select(columns).repartition("key").sortWithinPartitions("key").mapInArrow(run, "key bigint, id bigint, h0 bigint, h1 bigint, size bigint, many boolean")
+    schema = ", ".join(f"{c} {'boolean' if c == 'many' else 'bigint'}" for c in columns)
+    return met.select(columns).repartition("key").sortWithinPartitions("key").mapInArrow(run, schema)
 
 
 def candidate_pairs(met: DataFrame, seed: int | None = None) -> DataFrame:
-    """Pairs (a, b) of different labels that meet in rows (key, id, h0, h1, size, label): all, or with a seed a leader b
-    for each a."""
-    columns = ["key", "id", "h0", "h1", "size", "label"]
+    """Pairs (a, b) of different labels that meet in rows (key, id, h0, h1, size, place, label): all, or with a seed a
+    leader b for each a, the one of least place in its bucket."""
+    columns = ["key", "id", "h0", "h1", "size", "place", "label"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(found: list) -> pa.RecordBatch:
-            pairs = np.stack([np.concatenate([f[j] for f in found]) for j in (0, 1)], 1)
-            pairs = np.unique(pairs if seed is not None else np.sort(pairs, 1), axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, j].copy()) for j in (0, 1)], ["a", "b"])
+            pairs = np.stack([np.concatenate([f[j] for f in found]) for j in (0, 1, 2)], 1)
+            if seed is None:
+                pairs = np.concatenate([np.sort(pairs[:, :2], 1), np.zeros((len(pairs), 1), np.int64)], 1)
+            pairs = np.unique(pairs, axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, j].copy()) for j in (0, 1, 2)], ["a", "b", "place"])
 
         found, held = [], 0
-        for key, own, h0, h1, size, label in whole_buckets(batches, columns, "key"):
+        for key, own, h0, h1, size, place, label in whole_buckets(batches, columns, "key"):
             h = np.stack([h0, h1], 1).view(np.uint64)
-            for x, y in bucket_pairs(key, h, size, label) if seed is None else bucket_leaders(key, own, h, size, label, seed):
+            for x, y in bucket_pairs(key, h, size, place, label) if seed is None else bucket_leaders(key, own, h, size, place, label, seed):
                 if len(x):
-                    found.append((own[x], own[y]))
+                    found.append((own[x], own[y], place[y]))
                     held += len(x)
                 if held > 100_000:
                     yield out(found)
@@ -458,10 +485,11 @@ def candidate_pairs(met: DataFrame, seed: int | None = None) -> DataFrame:
         if found:
             yield out(found)
 
-    pairs = met.select(columns).repartition("key").sortWithinPartitions("key").mapInArrow(run, "a bigint, b bigint")
+    pairs = met.select(columns).repartition("key").sortWithinPartitions("key").mapInArrow(run, "a bigint, b bigint, place bigint")
     if seed is None:
-        return pairs.distinct()
-    return pairs.groupBy("a").agg(F.min_by("b", F.xxhash64("b", F.lit(seed))).alias("b"))
+        return pairs.select("a", "b").distinct()
+    first = F.struct(F.lit(0).cast("bigint") if seed else F.col("place"), F.xxhash64("b", F.lit(seed)))
+    return pairs.groupBy("a").agg(F.min_by("b", first).alias("b"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
