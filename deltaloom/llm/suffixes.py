@@ -12,23 +12,27 @@ same document. Whether such a window repeats is settled exactly, but only suffix
 3. The sorted runs are exchanged front-coded (shared prefix lengths and tails), cut at sampled splitters, and each part
    merges its runs by a loser tree that keeps, for each run, the prefix shared with the last output, and compares bytes
    only from there. The shared prefixes cut the merged order into groups of one anchor gram, in which windows at one
-   distance from the anchor are equal if their digests are, and all but the first of a class repeat.
+   distance from the anchor are classed by digests whose neighbours are compared byte by byte, and all but the first of
+   a class repeat. At most ``ranges`` splitters are chosen, from a sample in proportion to the runs; beyond that a range
+   is dealt on by the hash of the anchor gram, so a part's size does not grow with the input.
 4. The blocks learn which windows repeat and remove what they cover.
 
-Defined results: a null or empty text has 0 bytes and nothing removed; rows with one doc_id stand in the order of their
-text, equal rows included, as if later ones were later documents; rows without one come last; an empty table gives an
-empty one; other columns play no part.
+Defined results: a null or empty text has 0 bytes and nothing removed; rows with one doc_id stand in the order of the
+64-bit digests of their texts, equal rows included, as if later ones were later documents, however the rows lie in the
+input; rows without one come last, in the same order; an empty table gives an empty one; other columns play no part.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -44,6 +48,8 @@ INVERSE = pow(BASE, -1, 1 << 64)
 NO_ID = (1 << 63) - 1
 #: Bits of an anchor's hash that are exchanged; two grams that share them only cost a comparison later.
 HASH_BITS = 48
+#: What tells which of two equal windows comes first.
+PLACE = ("keys", "marks", "own", "offset")
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -162,7 +168,7 @@ def blocks(docs: DataFrame, length: int, most_bytes: int) -> DataFrame:
 
         def block() -> pa.RecordBatch:
             nonlocal held, size, count
-            held.sort(key=lambda x: (x[0] is None, x[0] or 0, x[2]))
+            held.sort(key=lambda x: (x[0] is None, x[0] or 0, xxhash.xxh64_intdigest(x[2]), x[2]))
             rows = pa.Table.from_batches([x[1] for x in held])
             raw = b"".join(x[2] for x in held)
             data, lengths = np.frombuffer(raw, np.uint8), [len(x[2]) for x in held]
@@ -229,10 +235,12 @@ class Text:
         self.begins = np.cumsum(self.lengths) - self.lengths
         self.keys = np.array([NO_ID if k is None or k != k else int(k) for k in row["docs"]], np.int64)
 
-    def place(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The document's id, its place in the block, and the offset in it."""
-        own = np.searchsorted(self.begins, at, "right") - 1
-        return self.keys[own], own, at - self.begins[own]
+    def place(self, at: np.ndarray) -> dict[str, np.ndarray]:
+        """The document's id, its text's digest, its place in the block, and the offset in it."""
+        view, each = memoryview(self.raw), zip(self.begins.tolist(), self.lengths.tolist(), strict=True)
+        marks = np.fromiter((xxhash.xxh64_intdigest(view[a : a + n]) for a, n in each), np.uint64, len(self.keys))
+        own = np.searchsorted(self.begins + self.lengths, at, "right")
+        return {"keys": self.keys[own], "marks": marks[own], "own": own, "offset": at - self.begins[own]}
 
 
 def sorted_entries(row: pd.Series, flags: np.ndarray, length: int) -> dict[str, np.ndarray]:
@@ -289,9 +297,8 @@ def sorted_entries(row: pd.Series, flags: np.ndarray, length: int) -> dict[str,
     rank[order] = np.arange(len(order))
     number = np.full(len(rows), -1)
     number[keep] = rank[: len(keep)]
-    keys, own, offset = text.place(place[order])
     return {
-        "rows": both[order], "keys": keys, "own": own, "offset": offset,
+        "rows": both[order], **text.place(place[order]),
         "at": at, "near": near, "far": far, "entry": entry, "first": (np.arange(len(at)) == first[entry]) if len(at) else np.empty(0, bool),
         "number": number, "of": of, "off": off, "window": rank[len(keep) :][window_entry] if len(of) else of,
         "window_first": (np.arange(len(of)) == first_w[window_entry]) if len(of) else np.empty(0, bool),
@@ -317,6 +324,12 @@ def shared_prefixes(rows: np.ndarray) -> np.ndarray:
     return out
 
 
+def _same_windows(left: np.ndarray, right: np.ndarray, *columns: np.ndarray) -> bool:
+    """Whether rows left and right of each column are equal throughout."""
+    step = 1 << 14
+    return all(np.array_equal(c[left[a : a + step]], c[right[a : a + step]]) for a in range(0, len(left), step) for c in columns)
+
+
 def settle(frame: pd.DataFrame, length: int) -> pd.DataFrame:
     """The merge of a part's runs: for each entry of each run a mask, bit o set if the window o bytes before the entry
     also starts earlier."""
@@ -345,9 +358,9 @@ def settle(frame: pd.DataFrame, length: int) -> pd.DataFrame:
     group = np.empty(len(order), np.uint64)
     group[rank] = np.cumsum(lcps < need).astype(np.uint64)
     column = lambda c: np.concatenate([restored(x) for x in frame[c]]).astype(np.int64)
-    keys, offsets = column("keys"), column("offset")
+    marks = np.concatenate([restored(x) for x in frame["marks"]])
     who = np.repeat(frame["block"].to_numpy(), np.diff(begins))
-    first = np.lexsort((offsets, column("own"), who, keys))
+    first = np.lexsort((column("offset"), column("own"), who, marks, column("keys")))
     near, far = rows[first, 1 + length], rows[first, 2 + length]
     suffix, before, group = rows[first, 1 : 1 + length], rows[first, 3 + length :], group[first] * np.uint64(0xD6E8FEB86659FD93)
     h = np.zeros(len(first), np.uint64)
@@ -362,18 +375,24 @@ def settle(frame: pd.DataFrame, length: int) -> pd.DataFrame:
             digest = _mixed(h[some] ^ group[some])
             by = np.argsort(digest, kind="stable")
             same = digest[by][1:] == digest[by][:-1]
+            left, right = some[by[:-1][same]], some[by[1:][same]]
+            if not _same_windows(left, right, suffix[:, : length - o], before[:, far_most - o :], group):  # two windows share a digest
+                windows = np.concatenate([suffix[some, : length - o], before[some, far_most - o :], group[some, None].view(np.uint8)], 1)
+                digest = _distinct(windows)[0]
+                by = np.argsort(digest, kind="stable")
+                same = digest[by][1:] == digest[by][:-1]
             masks[some[by[1:][same]]] |= np.uint64(1 << o)
     out = np.empty(len(first), np.uint64)
     out[first] = masks
-    return pd.DataFrame({"block": frame["block"], "part": frame["part"], "masks": [squeezed(out[a:b]) for a, b in zip(begins[:-1], begins[1:], strict=True)]})
+    return pd.DataFrame({"block": frame["block"], "part": frame["part"], "at": frame["at"], "masks": [squeezed(out[a:b]) for a, b in zip(begins[:-1], begins[1:], strict=True)]})
 
 
-def deduplicated(docs: DataFrame, length: int = 100, block_bytes: int = 4 << 20, part_blocks: int = 8, hot: int = 20_000, sample: int = 20_000, texts: str | None = None) -> DataFrame:
+def deduplicated(docs: DataFrame, length: int = 100, block_bytes: int = 4 << 20, part_blocks: int = 8, hot: int = 20_000, part_entries: int = 50_000, ranges: int = 4096, texts: str | None = None) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if texts is bytes or text, kept (a text loses broken characters) for each of docs
     (doc_id, text), and row, a struct of docs that is carried along, if there is one.
 
-    Anchors that occur hot times or more are sorted window by window. At most sample keys, those of least hash, choose
-    the splitters."""
+    Anchors that occur hot times or more are sorted window by window. A part merges about part_entries entries; the driver
+    sees one entry in part_entries / 32 until these are 64 for each of the most ranges, then fewer of each run."""
     if not GRAM < length <= GRAM + 63:
         raise ValueError(f"length must be {GRAM + 1} to {GRAM + 63}")
     carried = "row" in docs.columns
@@ -382,6 +401,8 @@ def deduplicated(docs: DataFrame, length: int = 100, block_bytes: int = 4 << 20,
     made = written(blocks(rows, length, block_bytes))
     many = made.count()
     flags = repeated_hashes(made, max(6, -(-many // part_blocks)), hot)
+    # a block has an anchor in about 27 bytes
+    spacing = max(1, part_entries // 32, many * block_bytes // (27 * 64 * ranges))
 
     def sort(key: tuple, own: pd.DataFrame, flags: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -392,53 +413,57 @@ def deduplicated(docs: DataFrame, length: int = 100, block_bytes: int = 4 << 20,
             pack = zstandard.ZstdCompressor(level=4).compress
             lcp = shared_prefixes(string)
             tails = string[np.arange(length + 1) >= lcp[:, None]]
-            picked = string[:: max(1, len(string) // 64)]
+            picked = string[zlib.crc32(str(row["block"]).encode()) % spacing :: spacing]
             out.append({
                 "block": row["block"], "entries": len(string), "shared": squeezed(lcp), "tails": pack(tails.tobytes()), "rest": pack(e["rows"][:, length + 1 :].tobytes()),
-                **{c: squeezed(e[c]) for c in ("keys", "own", "offset", "at", "near", "far", "entry", "first", "of", "off", "window", "window_first")},
+                **{c: squeezed(e[c]) for c in ("keys", "marks", "own", "offset", "at", "near", "far", "entry", "first", "of", "off", "window", "window_first")},
                 "number": squeezed(e["number"] + 1), "sample": [x.tobytes() for x in picked],
             })
         release()
         return pd.DataFrame(out)
 
     kept = ["at", "near", "far", "entry", "first", "number", "of", "off", "window", "window_first"]
-    schema = "block bigint, entries bigint, sample array<binary>, " + ", ".join(f"{c} binary" for c in ("shared", "tails", "rest", "keys", "own", "offset", *kept))
+    schema = "block bigint, entries bigint, sample array<binary>, " + ", ".join(f"{c} binary" for c in ("shared", "tails", "rest", *PLACE, *kept))
     runs = written(made.select("block", "docs", "lengths", "bytes", "places", "near", "far").groupBy("block").cogroup(flags.groupBy("block")).applyInPandas(sort, schema))
     entries = runs.agg(F.sum("entries")).first()[0] or 0
-    parts = max(12, -(-entries // 50_000))
-    picked = runs.select(F.explode("sample").alias("key")).select("key", F.xxhash64("key").alias("h")).orderBy("h").limit(sample).select("key").collect()
-    picked = sorted({bytes(r[0])[: 1 + GRAM] if r[0][0] == 0 else bytes(r[0]) for r in picked})
-    splitters = [picked[len(picked) * i // parts] for i in range(1, parts)] if picked else []
+    parts = max(12, -(-entries // part_entries))
+    picked = [bytes(r[0]) for r in runs.select(F.explode("sample").alias("key")).collect()]
+    picked = sorted({x[: 1 + GRAM] if x[0] == 0 else x for x in picked})
+    many_ranges = min(parts, ranges)
+    splitters = sorted({picked[len(picked) * i // many_ranges] for i in range(1, many_ranges)}) if picked else []
+    deal = -(-parts // many_ranges)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns = ["part", "block", "shared", "tails", "rest", "keys", "own", "offset"]
+        columns = ["part", "block", "at", "shared", "tails", "rest", *PLACE]
         pack, unpack = zstandard.ZstdCompressor(level=4).compress, zstandard.ZstdDecompressor().decompress
         for batch in chunks(batches, 1):
-            row = {c: batch[c][0].as_py() for c in ("block", "shared", "tails", "rest", "keys", "own", "offset")}
+            row = {c: batch[c][0].as_py() for c in ("block", "shared", "tails", "rest", *PLACE)}
             lcp = restored(row["shared"]).astype(np.int64)
             if not len(lcp):
                 continue
-            tail = np.frombuffer(unpack(row["tails"]), np.uint8)
-            ends = np.cumsum(length + 1 - lcp)
-            rest, numbers = np.frombuffer(unpack(row["rest"]), np.uint8).reshape(len(lcp), -1), {c: restored(row[c]) for c in ("keys", "own", "offset")}
+            rest, numbers = np.frombuffer(unpack(row["rest"]), np.uint8).reshape(len(lcp), -1), {c: restored(row[c]) for c in PLACE}
             own = np.zeros((len(lcp), length + 1), np.uint8)
-            own[np.arange(length + 1) >= lcp[:, None]] = tail
+            own[np.arange(length + 1) >= lcp[:, None]] = np.frombuffer(unpack(row["tails"]), np.uint8)
             for i in np.flatnonzero(lcp).tolist():
                 own[i, : lcp[i]] = own[i - 1, : lcp[i]]
             flat, wide = own.tobytes(), length + 1
             strings = [flat[i : i + wide] for i in range(0, len(flat), wide)]
             edge = [0, *(bisect_left(strings, s) for s in splitters), len(strings)]
-            for part, (a, b) in enumerate(zip(edge[:-1], edge[1:], strict=True)):
-                if a < b:
-                    own_lcp = lcp[a:b].copy()
-                    own_lcp[0] = 0
-                    tails = strings[a] + tail[ends[a] : ends[b - 1]].tobytes()
-                    values = [part, row["block"], squeezed(own_lcp), pack(tails), pack(rest[a:b].tobytes()), *(squeezed(numbers[c][a:b]) for c in ("keys", "own", "offset"))]
-                    yield pa.RecordBatch.from_arrays([pa.array([v]) for v in values], columns)
-
-    exchanged = runs.select("block", "shared", "tails", "rest", "keys", "own", "offset").mapInArrow(cut, "part bigint, block bigint, shared binary, tails binary, rest binary, keys binary, own binary, offset binary")
-    settled = exchanged.groupBy("part").applyInPandas(lambda frame: settle(frame.sort_values("block"), length), "block bigint, part bigint, masks binary")
-    answers = settled.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("part", "masks"))).alias("answers"))
+            part = np.repeat(np.arange(len(edge) - 1), np.diff(edge)) * deal
+            if deal > 1:  # what shares an anchor gram, or a window of its own, stays together
+                part += np.array([zlib.crc32(s[: 1 + GRAM] if s[0] == 0 else s) % deal for s in strings])
+            order = np.argsort(part, kind="stable")
+            for where, (a, b) in _runs(part[order]):
+                at = order[a:b]
+                own_lcp = lcp[at] if at[-1] - at[0] == len(at) - 1 else shared_prefixes(own[at])
+                own_lcp[0] = 0
+                tails = own[at][np.arange(length + 1) >= own_lcp[:, None]]
+                values = [where, row["block"], squeezed(np.diff(at, prepend=0)), squeezed(own_lcp), pack(tails.tobytes()), pack(rest[at].tobytes()), *(squeezed(numbers[c][at]) for c in PLACE)]
+                yield pa.RecordBatch.from_arrays([pa.array([v]) for v in values], columns)
+
+    exchanged = runs.select("block", "shared", "tails", "rest", *PLACE).mapInArrow(cut, "part bigint, block bigint, " + ", ".join(f"{c} binary" for c in ("at", "shared", "tails", "rest", *PLACE)))
+    settled = exchanged.groupBy("part").applyInPandas(lambda frame: settle(frame.sort_values("block"), length), "block bigint, part bigint, at binary, masks binary")
+    answers = settled.groupBy("block").agg(F.collect_list(F.struct("at", "masks")).alias("answers"))
     told = runs.select("block", *kept).join(answers, "block", "left")
     whole = T.StructType([T.StructField(n, k) for n, k in (("doc_id", T.LongType()), ("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()), ("kept_sha256", T.StringType()))])
     if texts:
@@ -450,7 +475,10 @@ def deduplicated(docs: DataFrame, length: int = 100, block_bytes: int = 4 << 20,
         out = []
         for row, e in zip(own.to_pylist(), told.to_pylist(), strict=True):
             text = Text(row)
-            masks = np.concatenate([np.empty(0, np.uint64), *(restored(x["masks"]) for x in e["answers"] or [])])
+            answers = [(np.cumsum(restored(x["at"])).astype(np.int64), restored(x["masks"])) for x in e["answers"] or []]
+            masks = np.zeros(sum(len(at) for at, _ in answers), np.uint64)
+            for at, own_masks in answers:
+                masks[at] = own_masks
             e = {c: restored(e[c]).astype(np.int64) for c in kept}
             gone = np.zeros(len(text.data) + 1, bool)
             number = e["number"][e["entry"]] - 1 if len(e["entry"]) else e["entry"]
