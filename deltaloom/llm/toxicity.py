@@ -1,13 +1,14 @@
 """Toxicity by gradient-boosted trees over dense features of whole texts, with isotonic calibration.
 
-Learning takes a bounded sample of labelled documents, those of least hash, in three folds: the first gives the lexicon,
+Learning takes a bounded sample of labelled documents, those of least hash, one row of each, in three folds: the first gives the lexicon,
 words and word beginnings that toxic documents surely have far more often than others, in two tiers; the second the trees, so that they see lexicon words as
 often as new texts hold them; the third the calibration. Features are counts and rates of lexicon words, plain and in
 disguise (digits, symbols or dots in place of letters), near second-person words, of capitals, punctuation and mixed
 words. Features are computed on the executors; the driver only sees numbers.
 
 Defined results: null and empty texts are scored as texts without words; documents without a label or a key are scored,
-not learned from; without labels of both kinds every score is the share of toxic labels (0 without any); rows that
+not learned from; of rows with one key the one whose text has the least hash is learned from, and of its labels the
+greatest; without labels of both kinds every score is the share of toxic labels (0 without any); rows that
 repeat are scored one by one; an empty table gives an empty one; other columns play no part.
 """
 
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 from deltaloom.llm.common import chunks, learned_from, ship, table, written
 
 TOKEN = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
-#: Words with a digit, symbol or dot between or before letters, which may hide a lexicon word.
-DISGUISED = re.compile(r"(?<!\S)(?=\S{0,40}[A-Za-z])(?=\S{0,40}[0-9@$!*.\-_|+])[\w@$!*.\-|+]{3,40}")
+#: Words with a digit, symbol or dot between or before letters, which may hide a lexicon word, of any length.
+DISGUISED = re.compile(r"(?<!\S)(?=\S*[A-Za-z])(?=\S*[0-9@$!*.\-_|+])[\w@$!*.\-|+]{3,}")
 LEET = str.maketrans("013457@$!|+", "oleasias" "iit")
 #: Second-person words of the corpus's languages.
 SECOND_PERSON = frozenset("you your yours yourself u ur tu te toi ton ta tes vous votre vos du dich dir dein deine sie ihr ihnen usted ustedes ti tus vosotros".split())
@@ -246,12 +247,13 @@ def lexicons(counts: DataFrame, n: list[list[int]], most: int) -> list[Lexicon]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000, lexicon_grams: int = 3000) -> Model:
-    """From docs (doc_id, text) and labels (doc_id, toxic): at most sample labelled documents, those of least hash."""
+    """From docs (doc_id, text) and labels (doc_id, toxic): at most sample labelled documents, those of least hash, and
+    one row of each, so the driver sees no more than sample rows of numbers."""
     chosen = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("y"))
     chosen = chosen.withColumn("h", F.xxhash64(F.lit(11), "doc_id")).orderBy("h", "doc_id").limit(sample)
     folds = F.pmod(F.xxhash64(F.lit(12), "doc_id"), F.lit(10)).cast("int")
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", F.col("y").cast("int").alias("y"), (folds % 2).alias("half"), (folds >= 8).alias("kept"))
-    rows = written(rows)
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    rows = written(rows.select("text", F.col("y").cast("int").alias("y"), (folds % 2).alias("half"), (folds >= 8).alias("kept")))
     n = [[0, 0], [0, 0]]
     for r in rows.groupBy("half", "y").agg(F.count(F.lit(1)).alias("n")).collect():
         n[r["half"]][int(r["y"] > 0)] += r["n"]
