@@ -4,8 +4,10 @@ calibrated rejection.
 A text is its letters, lowered, with one blank for each stretch of others, and its subwords are all runs of 2, 3 and 4
 of these, hashed to rows of an embedding table. The text's vector is the mean of its subwords' embeddings; a linear
 layer and a softmax give the languages. For prediction both are one table of a row of logits for each hash. Learning
-takes a bounded sample of stretches of documents, those of least hash; the sample's tenth sets the temperature, and the
-confidence below which a text is rejected, such that at most ``rejects`` of these texts are.
+takes a bounded sample of stretches of documents, those of least hash. A tenth of its documents is kept back to calibrate:
+their stretches, whole and cut short, are texts in a language, and the same with their letters shuffled texts in none.
+The temperature is what makes the likelihood of the former greatest. A text is rejected below a confidence that all but
+``rejects`` of the former pass, or midway between the two where they lie apart.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; documents without a lang or a key are
 predicted, not learned from; with no language to learn all are ``und``; rows that repeat are predicted one by one; an
@@ -36,25 +38,35 @@ def letters() -> np.ndarray:
     return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
 
 
-def subwords(text: object, most: int = 1 << 20) -> Iterator[np.ndarray]:
-    """The bucket of each subword of a text, in pieces of at most so many characters."""
+def symbols(text: object, most: int) -> Iterator[np.ndarray]:
+    """A text's letters, lowered, with one blank before, after and for each stretch of others, in pieces."""
     points = np.frombuffer((text if isinstance(text, str) else "").lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    blank, any_letter = np.array([BLANK], np.uint32), False
     for at in range(0, len(points), most):
-        part = points[at : at + most + 3]
+        part = points[at : at + most]
         is_letter = letters()[part]
-        if not is_letter.any():
+        if not any_letter and not is_letter.any():
             continue
-        before = np.concatenate([[True], is_letter[:-1]])
+        before = np.concatenate([[after_letter if any_letter else False], is_letter[:-1]])
         kept = np.where(is_letter, part, np.uint32(BLANK))[is_letter | before]
-        if not is_letter[0]:
-            kept = kept[1:]
-        kept = np.concatenate([[np.uint32(BLANK)], kept, [np.uint32(BLANK)]]).astype(np.uint32)
-        h, out = kept.copy(), []
+        yield kept if any_letter else np.concatenate([blank, kept])
+        any_letter, after_letter = True, bool(is_letter[-1])
+    if any_letter and after_letter:
+        yield blank
+
+
+def subwords(text: object, most: int = 1 << 20) -> Iterator[np.ndarray]:
+    """The bucket of each subword of a text, worked out for so many characters at a time; where they are cut is no matter."""
+    last = np.empty(0, np.uint32)
+    for piece in symbols(text, most):
+        kept, out = np.concatenate([last, piece]), []
+        h = kept
         for n in (2, 3, 4):
             h = h[:-1] * np.uint32(0x01000193) ^ kept[n - 1 :] * np.uint32(0x9E3779B1)
-            out.append((h ^ h >> np.uint32(15)) & np.uint32(BUCKETS - 1))
+            out.append((h ^ h >> np.uint32(15))[max(0, len(last) - n + 1) :] & np.uint32(BUCKETS - 1))
             if len(h) < 2:
                 break
+        last = kept[-3:]
         yield np.concatenate(out)
 
 
@@ -82,7 +94,7 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 
 def stretches(docs: DataFrame, size: int, each: int) -> DataFrame:
-    """(lang, part, h) from docs (doc_id, lang, text): at most each stretches of so many characters of a document, from
+    """(lang, part, h, back: whether it is kept back) from docs (doc_id, lang, text): at most each stretches of so many characters of a document, from
     anywhere in it."""
     whole = F.greatest(F.lit(1), F.ceil(F.length("text") / size)).cast("int")
     place = F.pmod(F.xxhash64(F.lit(21), "doc_id", "_n"), F.col("_whole")).cast("int")
@@ -90,37 +102,56 @@ def stretches(docs: DataFrame, size: int, each: int) -> DataFrame:
         docs.where("text is not null and lang is not null and doc_id is not null")
         .withColumns({"_whole": whole})
         .withColumn("_n", F.explode(F.sequence(F.lit(1), F.least(F.lit(each), F.col("_whole")))))
-        .select("lang", F.substring("text", place * size + 1, F.lit(size)).alias("part"), F.xxhash64(F.lit(22), "doc_id", "_n").alias("h"))
+        .select("lang", F.substring("text", place * size + 1, F.lit(size)).alias("part"), F.xxhash64(F.lit(22), "doc_id", "_n").alias("h"), (F.pmod(F.xxhash64(F.lit(23), "doc_id"), F.lit(10)) == 9).alias("back"))
     )
 
 
-def fit(docs: DataFrame, sample: int = 16_000, size: int = 300, width: int = 16, passes: int = 5, rate: float = 2.0, rejects: float = 0.0005, seed: int = 5) -> Model:
+def fit(docs: DataFrame, sample: int = 16_000, size: int = 300, width: int = 16, passes: int = 5, rate: float = 2.0, rejects: float = 0.001, seed: int = 5) -> Model:
     """From docs (doc_id, lang, text): at most sample stretches of size characters, of the sample documents of least hash."""
     ids = docs.where("lang is not null and doc_id is not null").select("doc_id").withColumn("h", F.xxhash64(F.lit(20), "doc_id")).orderBy("h", "doc_id").limit(sample // 2)
     chosen = docs.join(F.broadcast(ids.select("doc_id").distinct()), "doc_id", "left_semi")
-    rows = stretches(chosen, size, 4).orderBy("h", "lang", "part").limit(sample).select("lang", "part").collect()
-    bags, names = [], []
-    for r in rows:
-        own = [*subwords(r["part"])]
-        if own:
-            bags.append(np.concatenate(own))
-            names.append(r["lang"])
-    languages = sorted(set(names))
+    rows = stretches(chosen, size, 4).orderBy("h", "lang", "part").limit(sample).select("lang", "part", "back").collect()
+    rows = [(r["lang"], r["part"], r["back"], np.concatenate(own)) for r in rows if (own := [*subwords(r["part"])])]
+    languages = sorted({r[0] for r in rows})
     if not languages:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0), 1.0, 0.0)
-    y = np.array([languages.index(x) for x in names])
-    held = np.arange(len(y)) % 10 == 9 if len(y) >= 100 else np.zeros(len(y), bool)
-    table_, top, bias = _learn([b for b, h in zip(bags, held, strict=True) if not h], y[~held], len(languages), width, passes, rate, seed)
-    logits = (table_ @ top).astype(np.float32)
-    model = Model(languages, logits, bias, 1.0, 0.0)
-    if held.any():
-        z = np.stack([logits[b].mean(0) + bias for b, h in zip(bags, held, strict=True) if h])
-        loss = lambda t: -np.log(_softmax(z / t)[np.arange(len(z)), y[held]] + 1e-12).mean()
-        model.temperature = float(min(np.geomspace(0.05, 5, 60), key=loss))
-        model.threshold = float(np.quantile(_softmax(z / model.temperature).max(1), rejects))
+    y = np.array([languages.index(r[0]) for r in rows])
+    back = np.array([r[2] for r in rows]) if len(rows) >= 100 else np.zeros(len(rows), bool)
+    table_, top, bias = _learn([r[3] for r, b in zip(rows, back, strict=True) if not b], y[~back], len(languages), width, passes, rate, seed)
+    model = Model(languages, (table_ @ top).astype(np.float32), bias, 1.0, 0.0)
+    if back.any() and len(languages) > 1:
+        _calibrate(model, [r[1] for r, b in zip(rows, back, strict=True) if b], y[back], rejects, seed)
     return model
 
 
+def cuts(texts: list[str], y: np.ndarray, lengths: tuple[int, ...] = (24, 48, 96)) -> tuple[list[str], np.ndarray]:
+    """Each text whole, and its beginning at each length that it has."""
+    found = [(t[:n], k) for t, k in zip(texts, y.tolist(), strict=True) for n in (*lengths, len(t)) if n <= len(t)]
+    return [t for t, _ in found], np.array([k for _, k in found], np.int64)
+
+
+def _calibrate(model: Model, texts: list[str], y: np.ndarray, rejects: float, seed: int) -> None:
+    """Sets the temperature and the threshold by texts that the model hasn't seen, and by the same without their order."""
+    random = np.random.default_rng(seed)
+    texts, y = cuts(texts, y)
+    junk = ["".join(random.permutation(list(t))) for t in texts]
+
+    def logits(of: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        bags = [[*subwords(t)] for t in of]
+        some = np.array([bool(b) for b in bags], bool)
+        return np.array([model.logits[np.concatenate(b)].mean(0) + model.bias for b in bags if b]).reshape(-1, len(model.languages)), some
+
+    z, some = logits(texts)
+    none, _ = logits(junk)
+    y = y[some]
+
+    loss = lambda t: -np.log(_softmax(z / t)[np.arange(len(z)), y] + 1e-12).mean()
+    model.temperature = float(min(np.geomspace(0.005, 50, 120), key=loss))
+    sure, unsure = (_softmax(x / model.temperature).max(1) for x in (z, none))
+    low, high = float(np.quantile(sure, rejects)), float(np.quantile(unsure, 1 - rejects))
+    model.threshold = min(low, (low + high) / 2)
+
+
 def _learn(bags: list[np.ndarray], y: np.ndarray, classes: int, width: int, passes: int, rate: float, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Embeddings, linear layer and bias by minibatch gradient descent on the cross entropy, with a falling rate."""
     random = np.random.default_rng(seed)
