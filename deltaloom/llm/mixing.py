@@ -2,14 +2,16 @@
 
 A source's target is its weight's share of all words, stopped at ``cap`` times what the source has; what is over goes to
 the others by weight. Blocks of ``block_words`` words are dealt to the sources by highest quotients target / (2k + 1),
-then each source's blocks to its shards by highest quotients of the shards' sizes. Inside a shard the documents stand in
-a seeded order and form one stream of words: whole passes over it first, then the blocks at its head.
+then each source's blocks to its groups of shards and each group's to its shards by highest quotients of their sizes.
+Inside a shard the documents stand in a seeded order and form one stream of words, cut into blocks: the shard's quota is
+whole passes over it, and for the rest a run of blocks from a seeded one on, around the end, so documents stay whole.
 
-Both rounds of dealing rank few quotients however many blocks there are: with n parties, Q seats and quotas q, the
+All rounds of dealing rank few quotients however many blocks there are: with n parties, Q seats and quotas q, the
 divisor method gives a party between q (1 - n/2Q) - 1 and q (1 + n/2Q) + 1 seats, so only seats in between compete.
 
 Defined results: a null or empty text has 0 words and gets 0; a null source is a source of its own, the last; rows that
 repeat are mixed one by one; an empty table gives an empty one; columns besides doc_id, source and text play no part.
+Sources are rows of one task, as each one's weight hangs on its place among all.
 """
 
 from __future__ import annotations
@@ -75,13 +77,14 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int =
     )
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, block_words: int = 16, shard_words: int = 250_000, most_shards: int = 4096, seed: int = SEED) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, block_words: int = 16, shard_words: int = 250_000, shard_rows: int = 5000, group_shards: int = 4096, seed: int = SEED) -> DataFrame:
     """doc_id, source, size, source_size, target, taken for each row of docs (doc_id, source, text), and tag, a number
     that is carried along, if docs has it.
 
-    A source has a shard for each shard_words words or 5000 rows, most_shards at most, so neither the shards of a source
-    nor the documents of a shard pile up; documents are dealt to shards by a seeded hash."""
-    order = F.xxhash64(F.lit(seed), F.col("doc_id"))
+    A source has a shard for each shard_words words or shard_rows rows, and a group for each group_shards shards, so
+    neither the documents of a shard nor the shards of a group pile up; documents are dealt to shards by a seeded hash of
+    their ids and texts."""
+    order = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text"))
     sized = written(
         docs.select(
             F.col("doc_id"),
@@ -99,24 +102,28 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, blo
     sources = written(
         sainte_lague(sources, [], ["key"], F.col("target"), F.col("_blocks")).select(
             "key", "source_size", "target", F.col("won").alias("_blocks"),
-            F.least(F.lit(most_shards), F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words), F.ceil(F.col("_rows") / 5000))).cast("int").alias("_shards"),
+            F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words), F.ceil(F.col("_rows") / shard_rows)).cast("long").alias("_shards"),
         )
     )
-    placed = sized.join(sources, "key").withColumn("_shard", F.pmod(F.xxhash64(F.lit(seed + 1), F.col("doc_id")), F.col("_shards")).cast("int"))
-    shards = placed.groupBy("key", "_shard").agg(F.sum("size").alias("_size"), F.first("_blocks").alias("_blocks"))
-    quotas = sainte_lague(shards, ["key"], ["_shard"], F.col("_size"), F.col("_blocks")).select(
-        "key", "_shard", "_size", F.least(F.col("won") * block_words, F.col("_size") * cap).alias("_words")
+    placed = sized.join(sources, "key").withColumn("_shard", F.pmod(F.xxhash64(F.lit(seed + 1), F.col("_order")), F.col("_shards")))
+    shards = placed.groupBy("key", "_shard").agg(F.sum("size").alias("_size"), F.first("_blocks").alias("_blocks")).withColumn("_group", F.expr(f"_shard div {group_shards}"))
+    groups = shards.groupBy("key", "_group").agg(F.sum("_size").alias("_votes_"), F.first("_blocks").alias("_blocks"))
+    groups = sainte_lague(groups, ["key"], ["_group"], F.col("_votes_"), F.col("_blocks")).select("key", "_group", F.col("won").alias("_seats_"))
+    start = F.pmod(F.xxhash64(F.lit(seed + 2), F.col("key"), F.col("_shard")), F.greatest(F.lit(1), F.ceil(F.col("_size") / block_words)))
+    quotas = sainte_lague(shards.drop("_blocks").join(groups, ["key", "_group"]), ["key", "_group"], ["_shard"], F.col("_size"), F.col("_seats_")).select(
+        "key", "_shard", "_size", F.least(F.col("won") * block_words, F.col("_size") * cap).alias("_words"), (start * block_words).alias("_from")
     )
     stream = Window.partitionBy("key", "_shard").orderBy("_order", "doc_id", "size", "tag").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("size").over(stream), F.lit(0))
     passes = F.when(F.col("_size") > 0, F.floor(F.col("_words") / F.col("_size"))).otherwise(F.lit(0)).cast("long")
+    inside = lambda a, b: F.greatest(F.lit(0), F.least(F.col("_before") + F.col("size"), b) - F.greatest(F.col("_before"), a))
     return (
         placed.join(quotas, ["key", "_shard"])
         .withColumns({"_before": before, "_passes": passes})
-        .withColumn("_rest", F.col("_words") - F.col("_passes") * F.col("_size"))
+        .withColumn("_to", F.col("_from") + F.col("_words") - F.col("_passes") * F.col("_size"))
         .select(
             "doc_id", *["tag"] * ("tag" in docs.columns), "source", "size", "source_size", "target",
-            (F.col("_passes") * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), F.col("_rest") - F.col("_before")))).cast("long").alias("taken"),
+            (F.col("_passes") * F.col("size") + inside(F.col("_from"), F.col("_to")) + inside(F.lit(0), F.col("_to") - F.col("_size"))).cast("long").alias("taken"),
         )
     )
 
