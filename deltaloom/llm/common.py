@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import gc
 import re
 import tempfile
+import threading
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -38,8 +40,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Paths of scratch tables in the order of their making, for those who want them gone.
-made_paths: list[str] = []
+_own = threading.local()
+
+
+def made_paths() -> list[str]:
+    """Paths of this thread's scratch tables in the order of their making, for those who want them gone."""
+    if not hasattr(_own, "paths"):
+        _own.paths = []
+    return _own.paths
 
 
 def remove(spark: SparkSession, paths: list[str]) -> None:
@@ -52,13 +60,20 @@ def remove(spark: SparkSession, paths: list[str]) -> None:
 def scratch(spark: SparkSession) -> str:
     """A fresh path in the folder that the cluster shares (spark.checkpoint.dir).
 
-    Only where that setting is absent, as in tests, a temporary folder is set as the checkpoint folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    Only where that setting is absent and the master is local, as in tests, a temporary folder is set as the checkpoint
+    folder. What is still there when the driver's JVM ends is deleted then."""
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="deltaloom-"))
-        root = spark.sparkContext.getCheckpointDir()
-    made_paths.append(f"{root.rstrip('/')}/deltaloom-{uuid.uuid4().hex}")
-    return made_paths[-1]
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the cluster shares")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="deltaloom-"))
+        root = context.getCheckpointDir()
+    made = f"{root.rstrip('/')}/deltaloom-{uuid.uuid4().hex}"
+    made_paths().append(made)
+    path = context._jvm.org.apache.hadoop.fs.Path(made)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return made
 
 
 def written(df: DataFrame, path: str | None = None) -> DataFrame:
@@ -70,6 +85,12 @@ def written(df: DataFrame, path: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_shuffles(spark: SparkSession) -> None:
+    """Lets Spark's cleaner delete the shuffle files of steps that are written and no longer referred to."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def learned_from(key: Column, mod: int, held: int) -> Column:
     """Whether crc32 of the key as text leaves another remainder than held; rows without a key are learned from."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % mod != held, F.lit(True))

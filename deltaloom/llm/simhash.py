@@ -28,7 +28,6 @@ table gives an empty one; other columns play no part.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from deltaloom.llm.common import WORD_BYTES, chunks, lower_ascii, release, ship, starts_of, table, utf8, written
+from deltaloom.llm.common import WORD_BYTES, chunks, drop_shuffles, lower_ascii, release, ship, starts_of, table, utf8, written
 from deltaloom.llm.graph import components
 
 SEED = 42
@@ -521,17 +520,11 @@ def among(rows: DataFrame, ids: DataFrame) -> DataFrame:
     return rows.mapInArrow(passing, rows.schema)
 
 
-def collect_shuffles(spark: SparkSession) -> None:
-    """Lets Spark's cleaner delete the shuffle files of steps that are written and dropped."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """verified pairs, for which only the sets of their ids are dealt out; written."""
     pairs = written(pairs)
     out = written(verified(pairs, among(sets, pairs.select(F.explode(F.array("a", "b")).alias("id")))))
-    collect_shuffles(pairs.sparkSession)
+    drop_shuffles(pairs.sparkSession)
     return out
 
 
@@ -541,7 +534,7 @@ def similar_links(texts: DataFrame, heads: DataFrame, words: int) -> DataFrame:
     common = common_shingles(texts, heads, words)
     met = written(near_met(met_rows(texts, words, common).join(heads, "id")))
     sets = written(sets_of(among(texts.select("id", "text"), met.select("id")), words).dropDuplicates(["id"]))
-    collect_shuffles(texts.sparkSession)
+    drop_shuffles(texts.sparkSession)
     named = lambda labels: met.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
     labels = texts.sparkSession.createDataFrame([], "node bigint, label bigint")
     links = texts.sparkSession.createDataFrame([], "a bigint, b bigint")
