@@ -149,3 +149,105 @@ def test_language(spark, awkward, nothing):
     assert kept.columns == awkward.columns and not {201, 202, 203, 312} & {r["doc_id"] for r in kept.collect()}
     assert kept.count() > 60 and language.identified(nothing).count() == 0
     assert language.predict(awkward.withColumn("held_out", F.lit(False)), language.fit(nothing)).where("lang_pred = 'und'").count() == awkward.count()
+
+
+def test_a_repeated_id_is_one_row_of_the_sample(spark):
+    docs, labels = toxic_corpus(spark)
+    hot = docs.unionByName(spark.range(3000).select(F.lit(0).cast("bigint").alias("doc_id"), F.concat(F.lit("blorkish tree "), "id").alias("text")))
+    seen = []
+    rows = toxicity.feature_rows
+    toxicity.feature_rows = lambda frame, *rest: seen.append(frame.count()) or rows(frame, *rest)
+    try:
+        model = toxicity.fit(hot, labels, sample=200)
+    finally:
+        toxicity.feature_rows = rows
+    assert sum(seen) == 200 and model.trees is not None
+
+
+def test_features_against_plain_counts():
+    lexicon = toxicity.Lexicon({"=zugfart": 2, "vex": 2, "=meh": 1})
+    rng = random.Random(7)
+    words = ["zugfart", "vexing", "meh", "you", "your", "Tree", "z-u-g-f-a-r-t", "v3xing", "x1", "HI!", "...", "we're", "v" * 60 + "1"]
+    for _ in range(200):
+        text = " ".join(rng.choice(words) for _ in range(rng.randint(0, 25)))
+        tokens = toxicity.TOKEN.findall(text.lower())
+        strong, weak = [i for i, w in enumerate(tokens) if w == "zugfart" or w.startswith("vex")], [i for i, w in enumerate(tokens) if w == "meh"]
+        second = [i for i, w in enumerate(tokens) if w in toxicity.SECOND_PERSON]
+        raw, n = text.encode(), max(1, len(tokens))
+        got = dict(zip(toxicity.FEATURES, toxicity.features(text, lexicon), strict=True))
+        assert got["hits"] == len(strong) and got["weak_hits"] == len(weak) and got["kinds"] == len({tokens[i] for i in strong})
+        assert got["near_second"] == sum(any(abs(i - j) <= toxicity.NEAR for j in second) for i in strong)
+        assert got["density"] == len(strong) / n and got["second_rate"] == len(second) / n
+        assert got["disguised"] == sum(w in ("z-u-g-f-a-r-t", "v3xing") for w in text.split())
+        assert got["capital_rate"] == sum(65 <= b <= 90 for b in raw) / max(1, len(raw))
+        assert got["punctuation_rate"] == sum(33 <= b < 127 and not chr(b).isalnum() for b in raw) / max(1, len(raw))
+
+
+def test_the_first_tree_against_all_splits():
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 6, size=(300, 3)).astype(float)
+    y = ((x[:, 1] > 2) ^ (rng.random(300) < 0.1)).astype(float)
+    model = toxicity.Trees(rounds=1, depth=1).fit(x, y)
+    p = y.mean()
+    g, h = p - y, np.full(len(y), p * (1 - p))
+    gain = lambda m: g[m].sum() ** 2 / (h[m].sum() + model.ridge)
+    best = max(((gain(x[:, j] < c) + gain(x[:, j] >= c), j, c) for j in range(3) for c in range(1, 6) if 5 <= (x[:, j] < c).sum() <= 295), key=lambda t: t[0])
+    left = x[:, best[1]] < best[2]
+    value = lambda m: -model.rate * g[m].sum() / (h[m].sum() + model.ridge)
+    want = model.base + np.where(left, value(left), value(~left))
+    assert model.trees[0][0][0] == best[1] == 1 and np.allclose(model.margin(x), want)
+
+
+def test_a_step_of_the_embeddings_against_differences(monkeypatch):
+    monkeypatch.setattr(language, "BUCKETS", 12)
+    rng = np.random.default_rng(3)
+    bags, y = [rng.integers(0, 12, n) for n in (4, 7, 1)], np.array([0, 2, 1])
+    table, top, bias = language._learn(bags, y, 3, 5, 1, 0.5, 9)
+    first = np.random.default_rng(9)
+    table0, top0, bias0 = first.normal(0, 0.1, (12, 5)), first.normal(0, 0.1, (5, 3)), np.zeros(3)
+
+    def loss(a, b, c):
+        return -np.mean([np.log(language._softmax(a[bag].mean(0) @ b + c)[k]) for bag, k in zip(bags, y, strict=True)])
+
+    def slopes(i):
+        out, given = np.zeros_like((table0, top0, bias0)[i]), [table0, top0, bias0]
+        for at in np.ndindex(out.shape):
+            pair = []
+            for step in (1e-6, -1e-6):
+                moved = given[i].copy()
+                moved[at] += step
+                pair.append(loss(*[moved if j == i else x for j, x in enumerate(given)]))
+            out[at] = (pair[0] - pair[1]) / 2e-6
+        return out
+
+    assert np.allclose(top, top0 - 0.5 * slopes(1), atol=1e-7) and np.allclose(bias, bias0 - 0.5 * slopes(2), atol=1e-7)
+    assert np.allclose(table, table0 - 25 * slopes(0), atol=1e-5)
+
+
+def test_where_a_long_text_is_cut_is_no_matter():
+    rng = random.Random(2)
+    for _ in range(100):
+        text = "".join(rng.choice("abcé 1.\n") for _ in range(rng.randint(0, 60)))
+        whole = np.sort(np.concatenate([np.empty(0, np.uint32), *language.subwords(text)]))
+        for most in (1, 2, 5, 16):
+            assert np.sort(np.concatenate([np.empty(0, np.uint32), *language.subwords(text, most)])).tolist() == whole.tolist()
+
+
+def test_calibrated_confidence_and_junk(spark):
+    rng = random.Random(11)
+    parts = {"xx": ["ka", "lo", "mi", "tu", "re"], "yy": ["sch", "ung", "ver", "ein", "zu"], "zz": ["qui", "ox", "et", "um", "ae"]}
+    rows = []
+    for i in range(900):
+        lang = rng.choice([*parts])
+        words = ["".join(rng.choice(parts[lang]) for _ in range(rng.randint(1, 4))) for _ in range(rng.randint(3, 40))]
+        rows.append((i, lang, " ".join(words)))
+    docs = spark.createDataFrame(rows[:700], "doc_id bigint, lang string, text string")
+    model = language.fit(docs)
+    found = [model.probabilities(t) for _, _, t in rows[700:]]
+    right = np.array([model.languages[int(p.argmax())] == k for p, (_, k, _) in zip(found, rows[700:], strict=True)])
+    sure = np.array([p.max() for p in found])
+    bins = np.minimum((sure * 10).astype(int), 9)
+    assert sum(abs(sure[bins == b].mean() - right[bins == b].mean()) * (bins == b).mean() for b in set(bins.tolist())) < 0.05
+    assert 0.005 < model.temperature < 50 and (sure >= model.threshold).mean() >= 0.99
+    junk = ["".join(rng.choice("bcdfghjknpqvwxyß") for _ in range(80)) for _ in range(50)]
+    assert np.mean([model.probabilities(t).max() < model.threshold for t in junk]) >= 0.5

@@ -96,6 +96,48 @@ def test_mixing(awkward, nothing):
     assert mixed.columns == awkward.columns and mixed.count() > 0 and mixing.mixed_documents(nothing).count() == 0
 
 
+def test_taken_words_against_a_plain_mix(spark, awkward):
+    """taken of each row, from Spark's hashes alone."""
+    options = {"block_words": 4, "shard_words": 60, "shard_rows": 9, "group_shards": 3}
+    seed, cap = mixing.SEED, 3
+    rows = awkward.select("doc_id", "source", "text", F.xxhash64(F.lit(seed), "doc_id", "text").alias("h"), F.coalesce(F.regexp_count("text", F.lit(mixing.WORD)), F.lit(0)).alias("size")).collect()
+    hashes = {(a, b): h for a, b, h in spark.createDataFrame([(r["h"],) for r in rows], "h bigint").distinct().select("h", F.lit(0), F.xxhash64(F.lit(seed + 1), "h")).collect()}
+    sizes = {}
+    for r in rows:
+        sizes[r["source"]] = sizes.get(r["source"], 0) + r["size"]
+    named = lambda s: "-" if s is None else "=" + s
+    want_targets = plain_targets(sizes, [1 + i % 3 for i in range(len(sizes))], cap)
+    blocks = sainte_lague({named(s): want_targets[s] for s in sizes}, round(sum(sizes.values()) / 4))
+    want = []
+    for source, size in sizes.items():
+        own = [r for r in rows if r["source"] == source]
+        many = max(1, math.ceil(size / 60), math.ceil(len(own) / 9))
+        shards = {}
+        for r in own:
+            shards.setdefault(hashes[r["h"], 0] % many, []).append(r)
+        words = {k: sum(r["size"] for r in v) for k, v in shards.items()}
+        seats = sainte_lague({g: sum(w for k, w in words.items() if k // 3 == g) for g in {k // 3 for k in words}}, blocks[named(source)])
+        for g, n in seats.items():
+            for k, won in sainte_lague({k: w for k, w in words.items() if k // 3 == g}, n).items():
+                take = min(won * 4, cap * words[k])
+                start = spark.createDataFrame([(named(source), k)], "a string, b bigint").select(F.xxhash64(F.lit(seed + 2), "a", "b")).first()[0] % max(1, math.ceil(words[k] / 4)) * 4
+                chosen = [take // words[k] if words[k] else 0] * words[k]
+                for i in range(take % words[k] if words[k] else 0):
+                    chosen[(start + i) % words[k]] += 1
+                at = 0
+                for r in sorted(shards[k], key=lambda r: (r["h"], r["doc_id"] if r["doc_id"] is not None else -1, r["size"])):
+                    want.append((str(r["doc_id"]), str(source), r["size"], sum(chosen[at : at + r["size"]])))
+                    at += r["size"]
+    got = [(str(r["doc_id"]), str(r["source"]), r["size"], r["taken"]) for r in mixing.mix(awkward, **options).collect()]
+    assert sorted(got) == sorted(want)
+
+
+def test_chat_ties_and_null_turns(spark):
+    rows = [(1, 2, "user", "<b"), (1, 2, "user", "=a"), (1, None, "user", "first"), (1, 2, "user", "<b")]
+    out = chat.parsed(chat.format_turns(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"))).first()
+    assert [t["text"] for t in out["turns"]] == ["first", "<b", "<b", "=a"]
+
+
 def test_chat_round_trip(spark):
     texts = ["plain", "", None, "\\### Assistant: </turn> ok", "<turn>user<says>x</turn>", "\\l \\\\l < \\< l", "日本 🙂 \n", "<image:1>"]
     rows = [(c, t, role, x) for c, part in enumerate([texts, texts[::-1], ["one"]]) for t, x in enumerate(part) for role in [["user", "assistant", "sys<tem\\", None][t % 4]]]
@@ -169,6 +211,96 @@ def test_nearest_neighbours(spark):
     assert vectors.nearest_neighbours(none, none).count() == 0
 
 
+def test_ball_trees_leave_far_nodes_closed():
+    rng = np.random.default_rng(4)
+    x = np.round(np.concatenate([rng.normal(size=(400, 8)) * 3 + 60 * c for c in np.eye(8)]) * 64)
+    tree, order = vectors.BallTree.grown(x, leaf=32)
+    queries = np.round(64 * np.eye(8))
+    at, found, score, leaves = vectors.search_tree(tree, x[order], order, queries, np.full(8, -1), np.full(8, -np.inf), 5)
+    for q in range(8):
+        s = x @ queries[q]
+        assert found[at == q].tolist() == np.lexsort((np.arange(len(x)), -s))[:5].tolist() and score[at == q].tolist() == sorted(s)[::-1][:5]
+        _, _, _, leaves = vectors.search_tree(tree, x[order], order, queries[[q]], np.array([-1]), np.array([-np.inf]), 5)
+        assert len(leaves) < 0.3 * (tree.nodes[:, 2] < 0).sum()
+    none = vectors.search_tree(tree, x[order], order, queries, np.full(8, -1), np.full(8, np.inf), 5)
+    assert not len(none[0]) and not none[3]
+
+
+def test_nearest_neighbours_in_ties_and_many_blocks(spark):
+    rng = np.random.default_rng(6)
+    x = rng.integers(-2, 3, size=(40, 6)).astype(float) + 0.25
+    rows = [(i, x[i % 40].tolist()) for i in range(400)] + [(7, x[3].tolist())] * 30
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    good = vectors.usable(frame, False)
+    got = {}
+    for r in vectors.nearest_neighbours(good, good.where("vec_id % 4 = 0"), lists=8, probes=8, shard_rows=50, block=10).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    assert len(got) == 100
+    for q in got:
+        same = [i for i in range(q % 40, 400, 40) if i != q] if q % 40 != 3 else None
+        if same is not None and not (np.abs(x[q % 40]).sum() == 0):
+            cosine = x @ x[q % 40] / np.linalg.norm(x, axis=1) / np.linalg.norm(x[q % 40])
+            if (cosine > 1 - 1e-9).sum() == 1:
+                assert sorted(got[q]) == [(k + 1, i) for k, i in enumerate(same[:5])]
+
+
+def test_recall_on_the_embeddings_table(spark):
+    import os
+
+    path = "/root/testdata/sf0.01/embeddings.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no table")
+    good = vectors.usable(spark.read.parquet(path), False)
+    found = vectors.nearest_neighbours(good, good.where("vec_id % 5 = 0")).toPandas()
+    own = good.toPandas().sort_values("vec_id")
+    ids, x = own["vec_id"].to_numpy(), np.array(own["v"].tolist())
+    u, hit = x / np.linalg.norm(x, axis=1, keepdims=True), 0
+    asked = np.unique(found["query_id"])
+    for q, rows in found.groupby("query_id"):
+        s = u @ u[ids == q][0]
+        s[ids == q] = -2
+        hit += len(set(rows["vec_id"]) & set(ids[np.lexsort((ids, -s))[:5]]))
+    assert len(asked) == (ids % 5 == 0).sum() and hit >= 0.9 * 5 * len(asked)
+
+
+OUT = {
+    "op1_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
+    "op2_language_id": "doc_id bigint, held_out boolean, lang_pred string, score double",
+    "op4_simhash": "doc_id bigint, fingerprint string, component_id bigint",
+    "op5_ann": "query_id bigint, rank int, vec_id bigint, score double",
+    "op6_packing": "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint",
+    "op7_suffix_dedup": "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
+    "op8_mixing": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint",
+    "op10_lm_scoring": "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",
+}
+
+
+@pytest.fixture(scope="module")
+def small_tables(spark, awkward, tmp_path_factory):
+    path = tmp_path_factory.mktemp("tables")
+    awkward.select("doc_id", "text", "lang", "source", "n_chars").coalesce(2).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([(i, i % 2, int(i % 5 == 0)) for i in range(60)], "doc_id bigint, quality int, toxic int").coalesce(1).write.parquet(f"{path}/labels.parquet")
+    rows, odd = vector_rows()
+    spark.createDataFrame(rows + odd, "vec_id bigint, embedding array<float>").coalesce(1).write.parquet(f"{path}/embeddings.parquet")
+    return str(path)
+
+
+@pytest.mark.parametrize("name", OUT)
+def test_entries(spark, small_tables, awkward, name):
+    from deltaloom.llm import registry
+
+    out = registry.queries()[name](spark, small_tables)
+    assert ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in out.schema) == OUT[name]
+    rows = out.collect()
+    if name != "op5_ann" and name != "op6_packing":
+        assert sorted(str(r["doc_id"]) for r in rows) == sorted(str(r["doc_id"]) for r in awkward.select("doc_id").collect())
+    mod, held = {"op1_toxicity": (5, 0), "op2_language_id": (3, 1), "op10_lm_scoring": (7, 2)}.get(name, (None, None))
+    if mod:
+        assert all(r["held_out"] == (r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % mod == held) for r in rows)
+    if name in ("op1_toxicity", "op2_language_id"):
+        assert all(0 <= r["score"] <= 1 for r in rows)
+
+
 def test_pipeline(spark, awkward, tmp_path):
     import corpus_pipeline
 
@@ -182,8 +314,7 @@ def test_pipeline(spark, awkward, tmp_path):
         frame = spark.read.parquet(f"{tmp_path}/{i}")
         assert frame.columns == docs.columns
     kept = {r["doc_id"] for r in spark.read.parquet(f"{tmp_path}/1").collect()}
-    assert 300 in kept and not {301, 302, 201, 202} & kept and set(range(20)) - kept == set() or len(kept) > 40
-
+    assert 300 in kept and not {301, 302, 201, 202} & kept and set(range(60)) <= kept
 
 
 @pytest.mark.parametrize("name", ["op3_chat_formatting", "op9_ball_tree"])
@@ -195,7 +326,8 @@ def test_sql_gives_the_same_rows(spark, tmp_path, name):
     rows, odd = vector_rows()
     odd = [r for r in odd if r[1] is None or len(r[1]) == 12]  # the SQL takes one length only
     spark.createDataFrame(rows + odd, "vec_id bigint, embedding array<float>").coalesce(1).write.parquet(f"{tmp_path}/embeddings.parquet")
-    said = [(c, t, ["user", "assistant", None][t % 3], [f"text {c}", "a\\b<c", None, "", "é"][(c + t) % 5]) for c in range(9) for t in range(5)]
+    said = [(1, None, "user", "no turn"), (1, 2, "assistant", "<tie"), (1, 2, "assistant", "=tie")]
+    said += [(c, t, ["user", "assistant", None][t % 3], [f"text {c}", "a\\b<c", None, "", "é"][(c + t) % 5]) for c in range(9) for t in range(5)]
     spark.createDataFrame(said, "conv_id bigint, turn bigint, role string, text string").coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
     db = duckdb.connect()
     for t in ("embeddings", "conversations"):
