@@ -213,9 +213,9 @@ def test_nearest_neighbours(spark):
 
 def test_ball_trees_leave_far_nodes_closed():
     rng = np.random.default_rng(4)
-    x = np.round(np.concatenate([rng.normal(size=(400, 8)) * 3 + 60 * c for c in np.eye(8)]) * 64)
+    x = np.round(rng.random((3000, 3)) * 1000) - 500
     tree, order = vectors.BallTree.grown(x, leaf=32)
-    queries = np.round(64 * np.eye(8))
+    queries = np.round(rng.normal(size=(8, 3)) * 64)
     at, found, score, leaves = vectors.search_tree(tree, x[order], order, queries, np.full(8, -1), np.full(8, -np.inf), 5)
     for q in range(8):
         s = x @ queries[q]
