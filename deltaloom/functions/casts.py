@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 INTEGER = r"^\s*[+-]?\d+\s*$"
+#: What a text must look like to be a double: to try and fail costs far more than to look.
+NUMBER = r"(?i)^[\x00-\x20]*[+-]?(\d+\.?\d*(e[+-]?\d+)?[df]?|\.\d+(e[+-]?\d+)?[df]?|nan|inf|infinity)[\x00-\x20]*$"
 
 
 def cast(c: Column, source: T.DataType, target: T.DataType) -> Column:
@@ -47,16 +49,13 @@ def integer(c: Column, source: T.DataType, target: T.DataType) -> Column:
     if isinstance(source, T.BooleanType):
         return c.cast("int").cast(target)
     exact = F.when(F.rlike(c, F.lit(INTEGER)), F.trim(c).try_cast(target)) if isinstance(source, T.StringType) else c.try_cast(target) if isinstance(source, T.ByteType | T.ShortType | T.IntegerType | T.LongType) else None
-    real = c.try_cast("double")
     bits = 64 if isinstance(target, T.LongType) else 32
     low, high = -float(1 << bits - 1), float((1 << bits - 1) - (bits == 32))
     kind = "bigint" if bits == 64 else "int"
-    whole = (
-        F.when(F.isnan(real), F.lit(0).cast(kind))
-        .when(real <= low, F.lit(-(1 << bits - 1)).cast(kind))
-        .when(real >= high, F.lit((1 << bits - 1) - 1).cast(kind))
-        .otherwise(real.try_cast(kind))
-    )
+    # what isn't a number is out, so the bounds meet no NULL; below 2^63 the next double is 1024 less
+    known = F.rlike(c, F.lit(NUMBER)) if isinstance(source, T.StringType) else c.isNotNull()
+    inside = F.greatest(F.least(F.nanvl(c.try_cast("double"), F.lit(0.0)), F.lit(high)), F.lit(low))
+    whole = F.when(known, inside.cast(kind) if bits == 32 else F.when(inside >= high, F.lit((1 << 63) - 1)).otherwise(F.least(inside, F.lit(high - 1024)).cast(kind)))
     if isinstance(target, T.ByteType | T.ShortType):
         half = 128 if isinstance(target, T.ByteType) else 32768
         whole = (F.pmod(whole.cast("bigint") + half, F.lit(2 * half)) - half).cast(target)

@@ -134,10 +134,18 @@ class LocalEmbedding:
         return (out / size).tolist() if size else []
 
 
-MODELS = {"LocalChat": LocalChat, "LocalEmbedding": LocalEmbedding, "OpenAIChatModel": LocalChat, "OpenAIEmbeddingModel": LocalEmbedding}
+MODELS = {"LocalChat": LocalChat, "LocalEmbedding": LocalEmbedding}
+#: Names of models behind a network service, which an own class must stand for: a definition that asks for one fails.
+REMOTE = ("OpenAIChatModel", "OpenAIEmbeddingModel")
+
+
+def model_class(name: str) -> object:
+    if name in REMOTE:
+        raise ValueError(f"{name} needs a network service: give the path of a class that calls one, or {' or '.join(MODELS)} as a stand-in")
+    return MODELS[name] if name in MODELS else load(name)
 
 
 def registered(udfs: tuple, models: tuple = ()) -> dict[str, Callable]:
     """Functions by name from definitions of UDFs and models; a model's class is a name here or a path."""
     out = {u.name: scalar(load(u.classpath), u.options) for u in udfs}
-    return out | {m.name: scalar(MODELS[m.class_name] if m.class_name in MODELS else load(m.class_name), m.options) for m in models}
+    return out | {m.name: scalar(model_class(m.class_name), m.options) for m in models}

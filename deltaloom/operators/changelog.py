@@ -97,21 +97,30 @@ def derived(rows: DataFrame, keys: Sequence[str], order: Sequence[str], last_is_
 
 
 def materialized(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The table that a changelog leaves: the last after of each key that wasn't deleted. An update that changes the
-    key removes the old one.
+    """The table that a changelog leaves: the last after of each key that wasn't deleted."""
+    return last_effects(changes, keys).where("row is not null").select("row.*")
 
-    The last change of a key is an aggregate, max_by over (seq, place), so keys with long histories combine map-side;
-    a change that can't alter the outcome never leaves its task."""
+
+def effects(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(key, row, at): what each change does to a key, row null where it removes it; at orders them. An update that
+    changes the key removes the old one."""
     row = lambda side: F.struct(*[F.col(f"{side}.`{k}`").alias(k) for k in keys])
     moved = (F.col("op") == "UPDATE") & ~row("before").eqNullSafe(row("after"))
-    effects = F.array_compact(
+    done = F.array_compact(
         F.array(
             F.when(moved | (F.col("op") == "DELETE"), F.struct(row("before").alias("key"), F.lit(0).alias("place"), F.lit(None).cast(changes.schema["after"].dataType).alias("row"))),
             F.when(F.col("op") != "DELETE", F.struct(row("after").alias("key"), F.lit(1).alias("place"), F.col("after").alias("row"))),
         )
     )
-    each = changes.select(F.explode(effects).alias("e"), "seq").select("e.key", "e.row", F.struct("seq", F.col("e.place").alias("place")).alias("at"))
-    return each.groupBy("key").agg(F.max_by(F.struct("row"), "at").alias("last")).where("last.row is not null").select("last.row.*")
+    return changes.select(F.explode(done).alias("e"), "seq").select("e.key", "e.row", F.struct("seq", F.col("e.place").alias("place")).alias("at"))
+
+
+def last_effects(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(key, row) for each key that changes touch: the row it is left with, null if with none.
+
+    The last change of a key is an aggregate, max_by over (seq, place), so keys with long histories combine map-side;
+    a change that can't alter the outcome never leaves its task."""
+    return effects(changes, keys).groupBy("key").agg(F.max_by(F.struct("row"), "at").alias("last")).select("key", "last.row")
 
 
 def partitioned(changes: DataFrame, strategy: str, keys: Sequence[str] = (), count: int | None = None) -> DataFrame:

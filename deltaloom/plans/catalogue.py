@@ -19,11 +19,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None) -> Callable:
+def query(sql: str) -> Callable:
     def add(made: Callable) -> Callable:
-        QUERIES[made.__name__] = made
-        if sql:
-            ORACLES[made.__name__] = sql
+        QUERIES[made.__name__], ORACLES[made.__name__] = made, sql
         return made
 
     return add
@@ -300,7 +298,12 @@ def backfill_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.backfilled(orders, updates.unionByName(deletes).unionByName(later), ["o_orderkey"], 5, 50)
 
 
-@query(None)
+FLAT_SQL = CHANGES_SQL + """SELECT op, CAST(seq AS BIGINT) AS seq,
+  CASE WHEN op <> 'INSERT' THEN user_id END AS b_user_id, CASE WHEN op <> 'INSERT' THEN p_event_id END AS b_event_id, CASE WHEN op <> 'INSERT' THEN p_type END AS b_event_type, CASE WHEN op <> 'INSERT' THEN p_value END AS b_value,
+  CASE WHEN op <> 'DELETE' THEN user_id END AS a_user_id, CASE WHEN op <> 'DELETE' THEN event_id END AS a_event_id, CASE WHEN op <> 'DELETE' THEN event_type END AS a_event_type, CASE WHEN op <> 'DELETE' THEN value END AS a_value FROM changes"""
+
+
+@query(FLAT_SQL)
 def partition_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(changelog.partitioned(user_changes(spark, sf_dir), "PRIMARY_KEY", ["user_id"]))
 
@@ -340,7 +343,7 @@ def upsert_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(CHANGES_SQL + "SELECT op, CAST(seq AS BIGINT) AS seq, CASE WHEN op <> 'DELETE' THEN event_id END AS event_id FROM changes WHERE seq >= 5")
 def startup_specific_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.started(user_changes(spark, sf_dir), "specific-offset", 3, skip_events=2).select("op", "seq", "after.event_id")
+    return C.started(user_changes(spark, sf_dir), "specific-offset", 5).select("op", "seq", "after.event_id")
 
 
 @query("SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'ods.even_copy' ELSE 'ods.app_odd' END AS table_id, o_orderkey FROM orders")
@@ -430,8 +433,11 @@ def coerced_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from deltaloom.plans import catalogue_rules  # noqa: F401  registers its own
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(ORACLES)

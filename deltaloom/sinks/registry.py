@@ -138,61 +138,81 @@ class Kafka(Sink):
 
 
 class Database(Sink):
-    """Upserts and deletions by JDBC into a staging table and the dialect's own merge of it."""
+    """Upserts and deletions by JDBC: each key's last state goes to a staging table, from which one transaction deletes and
+    inserts. A batch that comes again leaves the same rows of a table with a key."""
 
-    dialect = "jdbc"
+    dialect, mark = "jdbc", '"'
+
+    def quoted(self, name: object) -> str:
+        """A name, or a table's parts, in the dialect's marks."""
+        return ".".join(f"{self.mark}{part.replace(self.mark, 2 * self.mark)}{self.mark}" for part in (name.parts if isinstance(name, TableId) else [str(name)]))
 
     def ddl(self, table: TableId, schema: Schema) -> str:
-        kind = SINK_DIALECTS.get(self.dialect, lambda t: str(t.optional()))
-        columns = ", ".join(f"{c.name} {kind(c.type)}{'' if c.type.nullable else ' NOT NULL'}" for c in schema.columns)
-        keys = f", PRIMARY KEY ({', '.join(schema.primary_keys)})" if schema.primary_keys else ""
-        return f"CREATE TABLE IF NOT EXISTS {table} ({columns}{keys})"
+        kind, q = SINK_DIALECTS.get(self.dialect, lambda t: str(t.optional())), self.quoted
+        columns = ", ".join(f"{q(c.name)} {kind(c.type)}{'' if c.type.nullable else ' NOT NULL'}" for c in schema.columns)
+        keys = f", PRIMARY KEY ({', '.join(map(q, schema.primary_keys))})" if schema.primary_keys else ""
+        return f"CREATE TABLE IF NOT EXISTS {q(table)} ({columns}{keys})"
 
     def statements(self, change: Change) -> list[str]:
         """The DDL of a schema change."""
-        kind, table = SINK_DIALECTS.get(self.dialect, lambda t: str(t.optional())), change.table
+        kind, q = SINK_DIALECTS.get(self.dialect, lambda t: str(t.optional())), self.quoted
+        table = q(change.table)
         if change.kind == "create.table":
-            return [self.ddl(table, change.schema)]
+            return [self.ddl(change.table, change.schema)]
         if change.kind == "add.column":
-            place = {"FIRST": " FIRST", "AFTER": " AFTER {a}"}
-            return [f"ALTER TABLE {table} ADD COLUMN {c.name} {kind(c.type)}{place.get(w, '').format(a=a)}" for c, w, a in change.added]
+            place = lambda w, a: {"FIRST": " FIRST", "AFTER": f" AFTER {q(a)}"}.get(w, "")
+            return [f"ALTER TABLE {table} ADD COLUMN {q(c.name)} {kind(c.type)}{place(w, a)}" for c, w, a in change.added]
         if change.kind == "alter.column.type":
-            return [f"ALTER TABLE {table} MODIFY COLUMN {n} {kind(t)}" for n, t in change.types]
+            return [f"ALTER TABLE {table} MODIFY COLUMN {q(n)} {kind(t)}" for n, t in change.types]
         if change.kind == "drop.column":
-            return [f"ALTER TABLE {table} DROP COLUMN {n}" for n in change.dropped]
+            return [f"ALTER TABLE {table} DROP COLUMN {q(n)}" for n in change.dropped]
         if change.kind == "rename.column":
-            return [f"ALTER TABLE {table} RENAME COLUMN {a} TO {b}" for a, b in change.renamed]
-        return {"drop.table": [f"DROP TABLE IF EXISTS {table}"], "truncate.table": [f"TRUNCATE TABLE {table}"]}.get(change.kind, [])
+            return [f"ALTER TABLE {table} RENAME COLUMN {q(a)} TO {q(b)}" for a, b in change.renamed]
+        if change.kind == "table.comment":
+            text = str(change.comment or "").replace("'", "''")
+            return [f"COMMENT ON TABLE {table} IS '{text}'" if self.mark == '"' else f"ALTER TABLE {table} COMMENT = '{text}'"]
+        return {"drop.table": [f"DROP TABLE IF EXISTS {table}"], "truncate.table": [f"TRUNCATE TABLE {table}"]}[change.kind]
 
     def apply(self, change: Change) -> None:
         super().apply(change)
         for text in self.statements(change):
             self.execute(text)
 
-    def execute(self, text: str) -> None:
+    def execute(self, *texts: str) -> None:
+        """Statements in one transaction."""
         manager = self.spark.sparkContext._jvm.java.sql.DriverManager
         connection = manager.getConnection(str(self.options["url"]), str(self.options.get("user", "")), str(self.options.get("password", "")))
         try:
-            connection.createStatement().execute(text)
+            connection.setAutoCommit(False)
+            for text in texts:
+                connection.createStatement().execute(text)
+            connection.commit()
+        except Exception:
+            connection.rollback()
+            raise
         finally:
             connection.close()
 
     def write(self, table: TableId, changes: DataFrame, schema: Schema, batch: int) -> None:
-        stage, keys = f"{table}_stage", list(schema.primary_keys)
-        last = changes.select(F.when(F.col("op") == "DELETE", True).otherwise(False).alias("gone_"), F.coalesce("after", "before").alias("row"), "seq")
-        if keys:
-            last = last.groupBy(*[F.col(f"row.`{k}`").alias(f"k{i}_") for i, k in enumerate(keys)]).agg(F.max_by(F.struct("gone_", "row"), "seq").alias("l")).select("l.gone_", "l.row")
-        rows = last.select("row.*", "gone_")
+        q, keys = self.quoted, list(schema.primary_keys)
+        name, stage = q(table), q(TableId.parse(f"{table}_stage"))
+        rows = states(changes, schema) if keys else changes.where("after is not null").select("after.*", F.lit(0).alias("gone_"))
         rows.write.format("jdbc").options(url=str(self.options["url"]), dbtable=stage, user=str(self.options.get("user", "")), password=str(self.options.get("password", ""))).mode("overwrite").save()
-        if keys:
-            self.execute(f"DELETE FROM {table} WHERE EXISTS (SELECT 1 FROM {stage} s WHERE {' AND '.join(f's.{k} = {table}.{k}' for k in keys)})")
-        names = ", ".join(schema.names)
-        self.execute(f"INSERT INTO {table} ({names}) SELECT {names} FROM {stage} WHERE NOT gone_")
+        names = ", ".join(map(q, schema.names))
+        delete = f"DELETE FROM {name} WHERE EXISTS (SELECT 1 FROM {stage} s WHERE {' AND '.join(f's.{q(k)} = {name}.{q(k)}' for k in keys)})"
+        self.execute(*[delete] * bool(keys), f"INSERT INTO {name} ({names}) SELECT {names} FROM {stage} WHERE {q('gone_')} = 0")
         self.execute(f"DROP TABLE {stage}")
 
 
-for _name in ("jdbc", "doris", "starrocks", "oceanbase", "maxcompute"):
-    SINKS[_name] = type(_name.title(), (Database,), {"dialect": _name})
+def states(changes: DataFrame, schema: Schema) -> DataFrame:
+    """The schema's columns and gone_ (0 or 1) for each key that changes touch: its last row, or just the key if it is gone."""
+    keys = schema.primary_keys
+    value = lambda c: F.coalesce(F.col(f"row.`{c}`"), F.col(f"key.`{c}`")) if c in keys else F.col(f"row.`{c}`")
+    return changelog.last_effects(changes, keys).select(*[value(c).alias(c) for c in schema.names], F.col("row").isNull().cast("int").alias("gone_"))
+
+
+for _name, _mark in (("jdbc", '"'), ("doris", "`"), ("starrocks", "`"), ("oceanbase", "`"), ("maxcompute", "`")):
+    SINKS[_name] = type(_name.title(), (Database,), {"dialect": _name, "mark": _mark})
 
 
 class Catalogued(Sink):
@@ -204,13 +224,12 @@ class Catalogued(Sink):
         if not keys:
             changes.where("after is not null").select("after.*").writeTo(name).append()
             return
-        last = changes.select((F.col("op") == "DELETE").alias("gone_"), F.coalesce("after", "before").alias("row"), "seq").groupBy(*[F.col(f"row.`{k}`").alias(f"k{i}_") for i, k in enumerate(keys)])
-        rows = last.agg(F.max_by(F.struct("gone_", "row"), "seq").alias("l")).select("l.row.*", "l.gone_").alias("s")
+        rows = states(changes, schema).alias("s")
         on = F.lit(True)
         for k in keys:
             on = on & (F.col(f"{name}.{k}") == F.col(f"s.{k}"))
         values = {c: F.col(f"s.{c}") for c in schema.names}
-        rows.mergeInto(name, on).whenMatched(F.col("s.gone_")).delete().whenMatched().update(values).whenNotMatched(~F.col("s.gone_")).insert(values).merge()
+        rows.mergeInto(name, on).whenMatched(F.col("s.gone_") == 1).delete().whenMatched().update(values).whenNotMatched(F.col("s.gone_") == 0).insert(values).merge()
 
     def apply(self, change: Change) -> None:
         super().apply(change)
@@ -231,6 +250,8 @@ class Catalogued(Sink):
         elif change.kind == "rename.column":
             for a, b in change.renamed:
                 self.spark.sql(f"ALTER TABLE {name} RENAME COLUMN `{a}` TO `{b}`")
+        elif change.kind == "table.comment":
+            self.spark.sql(f"COMMENT ON TABLE {name} IS '" + str(change.comment or "").replace("'", "\\'") + "'")
         elif change.kind in ("drop.table", "truncate.table"):
             self.spark.sql(f"{'DROP TABLE IF EXISTS' if change.kind == 'drop.table' else 'TRUNCATE TABLE'} {name}")
 
@@ -241,16 +262,17 @@ for _name in ("iceberg", "paimon", "hudi", "fluss"):
 
 @sink("elasticsearch")
 class Elasticsearch(Sink):
-    """Bulk lines (an action, then its document) as text files, a folder for each batch; the index may have a shard suffix
-    from a column."""
+    """Bulk lines (an action, then its document) as text files, a folder for each batch: one action for each key's last
+    state. The index may have a shard suffix from a column, of a deletion's key only if that column is part of it."""
 
     def write(self, table: TableId, changes: DataFrame, schema: Schema, batch: int) -> None:
-        row = F.coalesce("after", "before")
         suffix = dict(x.split(":", 1) for x in str(self.options.get("sharding.suffix.key", "")).split(";") if ":" in x).get(str(table))
-        index = F.concat_ws(str(self.options.get("sharding.suffix.separator", "$")), F.lit(str(self.options.get("index") or table)), *([row.getField(suffix).cast("string")] if suffix else []))
-        key = F.concat_ws("_", *[row.getField(k).cast("string") for k in schema.primary_keys])
+        index = F.concat_ws(str(self.options.get("sharding.suffix.separator", "$")), F.lit(str(self.options.get("index") or table)), *([F.col(f"`{suffix}`").cast("string")] if suffix else []))
+        key = F.concat_ws("_", *[F.col(f"`{k}`").cast("string") for k in schema.primary_keys])
         head = F.struct(index.alias("_index"), key.alias("_id"))
-        action = F.when(F.col("op") == "DELETE", F.to_json(F.struct(head.alias("delete")))).otherwise(F.to_json(F.struct(head.alias("index"))))
-        text = F.struct(*[F.col(f"after.`{c.name}`").cast("string").alias(c.name) if SINK_DIALECTS["elasticsearch"](c.type) == "STRING" and c.type.root not in ("MAP", "ROW") else F.col(f"after.`{c.name}`").alias(c.name) for c in schema.columns])
-        lines = F.when(F.col("op") == "DELETE", action).otherwise(F.concat_ws("\n", action, F.to_json(text)))
-        changes.select(lines.alias("value")).write.mode("overwrite").text(f"{str(self.options['path']).rstrip('/')}/{table}/batch={batch}")
+        gone = F.col("gone_") == 1
+        action = F.when(gone, F.to_json(F.struct(head.alias("delete")))).otherwise(F.to_json(F.struct(head.alias("index"))))
+        as_text = lambda c: SINK_DIALECTS["elasticsearch"](c.type) == "STRING" and c.type.root not in ("MAP", "ROW")
+        text = F.struct(*[(F.col(f"`{c.name}`").cast("string") if as_text(c) else F.col(f"`{c.name}`")).alias(c.name) for c in schema.columns])
+        lines = F.when(gone, action).otherwise(F.concat_ws("\n", action, F.to_json(text)))
+        states(changes, schema).select(lines.alias("value")).write.mode("overwrite").text(f"{str(self.options['path']).rstrip('/')}/{table}/batch={batch}")

@@ -11,6 +11,10 @@ from pyspark.sql import types as T
 from deltaloom.operators.changelog import materialized
 
 CHUNK_ROWS = 8096
+#: Chunk bounds that one task numbers.
+GROUP = 1 << 16
+#: Ranges of keys in which a log's changes look for their chunks.
+CELLS = 256
 #: Rows per step of keys within which a numeric key counts as even.
 FACTOR_LOW, FACTOR_HIGH = 0.05, 1000.0
 
@@ -50,10 +54,17 @@ def uneven_chunks(rows: DataFrame, key: str, size: int = CHUNK_ROWS) -> DataFram
     ranked = ranged.withColumn("end", F.sum("n").over(inside)).join(F.broadcast(offset), "part")
     begin = ranked.select("key", (F.col("offset") + F.col("end") - F.col("n")).alias("rank"), "n")
     first = F.ceil(F.col("rank") / size)
-    cuts = begin.where((F.col("rank") > 0) & (first * size < F.col("rank") + F.col("n"))).select("key")
-    by = Window.orderBy(F.col("low").asc_nulls_first())
-    lows = cuts.select(F.col("key").alias("low")).unionByName(rows.sparkSession.range(1).select(F.lit(None).cast(rows.schema[key].dataType).alias("low")))
-    return lows.select((F.row_number().over(by) - 1).cast("bigint").alias("chunk_id"), "low", F.lead("low").over(by).alias("high"))
+    cuts = begin.where((F.col("rank") > 0) & (first * size < F.col("rank") + F.col("n"))).select(F.col("key").alias("low"), first.cast("bigint").alias("step"))
+    # cuts are numbered in groups of GROUP steps, and the groups, of which there are few, among themselves
+    none = F.lit(None).cast(rows.schema[key].dataType).alias("low")
+    cuts = cuts.unionByName(rows.sparkSession.range(1).select(none, F.lit(0).cast("bigint").alias("step"))).withColumn("group", F.expr(f"step div {GROUP}"))
+    all_groups = Window.orderBy("group")
+    groups = cuts.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.min_by("low", "step").alias("head")).select(
+        "group", (F.sum("n").over(all_groups) - F.col("n")).alias("before"), F.lead("head").over(all_groups).alias("after")
+    )
+    own = Window.partitionBy("group").orderBy("step")
+    numbered = cuts.select("group", "low", F.row_number().over(own).alias("nth"), F.lead("low").over(own).alias("next")).join(F.broadcast(groups), "group")
+    return numbered.select((F.col("before") + F.col("nth") - 1).cast("bigint").alias("chunk_id"), "low", F.coalesce("next", "after").alias("high"))
 
 
 def is_even(rows: DataFrame, key: str, low: float = FACTOR_LOW, high: float = FACTOR_HIGH) -> bool:
@@ -105,19 +116,32 @@ def replayed(snapshot: DataFrame, log: DataFrame) -> DataFrame:
 def after_snapshot(log: DataFrame, marks: DataFrame, key: str) -> DataFrame:
     """The log's changes that no chunk has: those past the high mark of the chunk that their key is in.
 
-    marks: (low, high, high_mark) for each chunk, low and high bounds of the key. There are as many as chunks, a
-    thousandth of the rows; the join is by range, which Spark broadcasts only if it finds them small enough."""
+    marks: (low, high, high_mark) for each chunk, low and high bounds of the key, of which no two overlap. Marks and changes
+    are dealt to CELLS ranges of keys, whose bounds are those of some chunks, a chunk to each range that it touches; in a
+    range a change's chunk is the last one that begins before its key. A change without a key is in no chunk."""
     k = F.coalesce(F.col(f"after.`{key}`"), F.col(f"before.`{key}`"))
-    inside = (F.col("m.low").isNull() | (k >= F.col("m.low"))) & (F.col("m.high").isNull() | (k < F.col("m.high")))
-    return log.alias("l").join(marks.alias("m"), inside & (F.col("l.seq") > F.col("m.high_mark"))).select("l.*")
+    edges = sorted(r[0] for r in marks.where("low is not null").select("low").orderBy(F.xxhash64("low"), "low").limit(CELLS - 1).collect())
+    kind = log.select(k.alias("k")).schema["k"].dataType
+    cell = lambda x: F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e <= x)) if edges else F.when(x.isNotNull(), F.lit(0))
+    last = F.when(F.col("high").isNull(), F.lit(len(edges))).otherwise(cell(F.col("high")))
+    first = F.when(F.col("low").isNull(), F.lit(0)).otherwise(cell(F.col("low")))
+    chunk = F.struct(F.col("high").cast(kind).alias("high"), F.col("high_mark").cast("bigint").alias("mark")).alias("chunk")
+    row = F.struct(*[F.col(f"`{c}`") for c in log.columns])
+    begun = marks.select(F.explode(F.sequence(first, last)).alias("cell"), F.col("low").cast(kind).alias("at"), F.lit(0).alias("side"), chunk)
+    begun = begun.withColumn("row", F.lit(None).cast(log.select(row.alias("row")).schema["row"].dataType))
+    asked = log.where(k.isNotNull()).select(cell(k).alias("cell"), k.alias("at"), F.lit(1).alias("side"), F.lit(None).cast(begun.schema["chunk"].dataType).alias("chunk"), row.alias("row"))
+    before = Window.partitionBy("cell").orderBy(F.col("at").asc_nulls_first(), "side").rowsBetween(Window.unboundedPreceding, 0)
+    met = begun.unionByName(asked).withColumn("chunk", F.last("chunk", ignorenulls=True).over(before)).where("side = 1 and chunk is not null")
+    return met.where((F.col("chunk.high").isNull() | (F.col("at") < F.col("chunk.high"))) & (F.col("row.seq") > F.col("chunk.mark"))).select("row.*")
 
 
 STARTUP_MODES = ("initial", "earliest-offset", "latest-offset", "specific-offset", "timestamp", "snapshot")
 
 
-def started(log: DataFrame, mode: str, offset: int | None = None, millis: int | None = None, skip_events: int = 0, latest: int | None = None) -> DataFrame:
+def started(log: DataFrame, mode: str, offset: int | None = None, millis: int | None = None, skip_events: int = 0, latest: int | None = None, skip_rows: int = 0) -> DataFrame:
     """The part of a log that a startup mode reads. initial and earliest-offset read all (initial after the snapshot),
-    latest-offset what comes after latest, snapshot nothing. skip_events leaves out changes at the specific offset."""
+    latest-offset what comes after latest, snapshot nothing. From a specific offset on the first skip_events changes are
+    left out, in the order of seq, and then skip_rows more; a change is an event of one row here."""
     if mode not in STARTUP_MODES:
         raise ValueError(f"no startup mode {mode}; one of {', '.join(STARTUP_MODES)}")
     if mode == "snapshot":
@@ -127,7 +151,11 @@ def started(log: DataFrame, mode: str, offset: int | None = None, millis: int |
     if mode == "specific-offset":
         if offset is None:
             raise ValueError("specific-offset needs an offset")
-        return log.where(F.col("seq") >= offset + skip_events)
+        rest, skip = log.where(F.col("seq") >= offset), int(skip_events) + int(skip_rows)
+        if not skip:
+            return rest
+        skipped = rest.select("seq").orderBy("seq").limit(skip).agg(F.max("seq").alias("last_"))  # one row
+        return rest.join(F.broadcast(skipped), F.col("last_").isNull() | (F.col("seq") > F.col("last_"))).drop("last_")
     if mode == "timestamp":
         if millis is None:
             raise ValueError("timestamp needs a time in milliseconds")

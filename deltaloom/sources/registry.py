@@ -121,7 +121,8 @@ def database(dialect: str) -> None:
             parts = [changelog.envelope(rows, seq=F.lit(-1))] if mode in ("initial", "snapshot") else []
             if options.get("log.path") and mode != "snapshot":
                 log = log_events(spark.read.text(str(options["log.path"])), table, rows.schema)
-                parts.append(started(log, mode, options.get("scan.startup.offset"), options.get("scan.startup.timestamp-millis")))
+                skips = (int(options.get(f"scan.startup.specific-offset.skip-{x}", 0)) for x in ("events", "rows"))
+                parts.append(started(log, mode, options.get("scan.startup.offset"), options.get("scan.startup.timestamp-millis"), next(skips), options.get("scan.startup.latest"), next(skips)))
             out = None
             for p in parts:
                 out = p if out is None else out.unionByName(p)

@@ -64,6 +64,43 @@ def test_metrics(spark):
     assert newly_added([a], [b, a]) == [b]
 
 
+def test_models_behind_a_network_are_not_replaced_silently():
+    with pytest.raises(ValueError, match="network"):
+        registered((), (ModelDef("chat", "OpenAIChatModel", {}),))
+
+
+MOVED = [["INSERT", None, [1, "Ann", 20]], ["INSERT", None, [2, "Bob", 30]], ["UPDATE", [1, "Ann", 20], [5, "Ann", 21]], ["DELETE", [2, "Bob", 30], None], ["INSERT", None, [7, "Eve", None]]]
+
+
+def test_bulk_lines_of_moved_keys(spark, tmp_path):
+    sink = open_sink(spark, {"type": "elasticsearch", "path": str(tmp_path)})
+    sink.write(TABLE, users(spark, MOVED), USERS, 0)
+    lines = [r["value"] for r in spark.read.text(f"{tmp_path}/{TABLE}/batch=0").collect()]
+    actions = sorted((kind, one["_id"]) for x in lines if (d := json.loads(x)) and (kind := next(iter(d))) in ("index", "delete") and isinstance(one := d[kind], dict))
+    assert actions == [("delete", "1"), ("delete", "2"), ("index", "5"), ("index", "7")]
+
+
+def test_a_database_by_key(spark, tmp_path):
+    """The database that Spark bundles: moved keys, deletions, a batch that comes again, and a failure half-way."""
+    sink = open_sink(spark, {"type": "jdbc", "url": f"jdbc:derby:{tmp_path}/db;create=true"})
+    table = TableId.parse("app.people")
+    sink.execute('CREATE SCHEMA "app"')
+    sink.execute('CREATE TABLE "app"."people" ("id" BIGINT NOT NULL PRIMARY KEY, "name" VARCHAR(20), "age" INT)')
+    rows = lambda: sorted(map(tuple, spark.read.format("jdbc").options(url=f"jdbc:derby:{tmp_path}/db", dbtable='"app"."people"').load().collect()))
+    sink.write(table, users(spark, MOVED), USERS, 0)
+    assert rows() == [(5, "Ann", 21), (7, "Eve", None)]
+    sink.write(table, users(spark, MOVED), USERS, 0)
+    assert rows() == [(5, "Ann", 21), (7, "Eve", None)]
+    sink.write(table, users(spark, [["UPDATE", [5, "Ann", 21], [6, "Ann", 22]], ["DELETE", [7, "Eve", None], None]]), USERS, 1)
+    assert rows() == [(6, "Ann", 22)]
+    with pytest.raises(Exception):  # noqa: B017
+        sink.execute('DELETE FROM "app"."people"', 'INSERT INTO "app"."people" ("nothing") VALUES (1)')
+    assert rows() == [(6, "Ann", 22)]
+    sink.apply(Change(table, "add.column", added=((Column("city", Type("INT")), "LAST", None),)))
+    assert sink.statements(Change(table, "table.comment", comment="it's")) == ["COMMENT ON TABLE \"app\".\"people\" IS 'it''s'"]
+    assert len(rows()[0]) == 4
+
+
 def test_models(spark):
     made = registered((), (ModelDef("chat", "LocalChat", {"prompt": "> "}), ModelDef("embed", "LocalEmbedding", {"dimensions": "4"})))
     got = transform_rows(spark.sql("select 'hello' a union all select ''"), "chat(a) AS c, EMBED(a) AS e", udfs=made).orderBy("c").collect()
@@ -75,6 +112,7 @@ def test_filters_reach_the_scan(spark, tmp_path):
     rows = spark.read.parquet(f"{tmp_path}/t")
     out = transform_rows(rows, "id, x + 1 AS y", "x > 5 AND s <> 'b' AND (id IN (8, 9, 20) OR id BETWEEN 30 AND 40)")
     plan = out._jdf.queryExecution().executedPlan().toString()
+    assert transform_rows(rows, "CAST(s AS INT) AS n, CAST('1e3' AS INT) AS k, CAST(' -7.9 ' AS BIGINT) AS m, CAST('1e30' AS BIGINT) AS big, CAST('-1e30' AS BIGINT) AS low, CAST('NaN' AS INT) AS z, CAST('9e9' AS SMALLINT) AS w").first() == (None, 1000, -7, 2**63 - 1, -(2**63), 0, -1)
     assert "GreaterThan(x,5)" in plan and "ReadSchema: struct<id:bigint,x:bigint,s:string>" in plan
     assert sorted(r["id"] for r in out.collect()) == [8, 9, 20, 30, 31, 32, 33, 34, 36, 37, 38, 39, 40]
     assert transform_rows(rows, "id", "x <> 3").count() == 99
@@ -162,6 +200,9 @@ def test_chunks(spark):
     rows = spark.range(0, 950).select(F.format_string("k%04d", "id").alias("k"))
     got = [tuple(r) for r in chunks.uneven_chunks(rows, "k", 100).orderBy("chunk_id").collect()]
     assert got == [(i, f"k{i * 100:04d}" if i else None, f"k{i * 100 + 100:04d}" if i < 9 else None) for i in range(10)]
+    heavy = spark.createDataFrame([(k,) for k in [1] * 30 + [2] * 3 + [3] * 25 + [4, 5, 6]], "k int")
+    got = [tuple(r) for r in chunks.uneven_chunks(heavy, "k", 10).orderBy("chunk_id").collect()]
+    assert got == [(0, None, 2), (1, 2, 3), (2, 3, 6), (3, 6, None)]
     assert chunks.predicates([(None, 5), (5, None)], "id", True) == ["id >= 5", "id < 5"]
     assert chunks.is_even(spark.range(10), "id") and not chunks.is_even(rows, "k")
     assert chunks.uneven_chunks(rows.limit(0), "k").count() == 1 and chunks.even_chunks(spark.range(0), "id", 5).count() == 0
@@ -174,6 +215,12 @@ def test_backfill_and_log(spark):
     marks = spark.createDataFrame([(None, 3, 1), (3, None, 5)], "low bigint, high bigint, high_mark bigint")
     assert [r["seq"] for r in chunks.after_snapshot(log, marks, "id").collect()] == []
     assert chunks.started(log, "specific-offset", 1, skip_events=1).count() == 1 and chunks.started(log, "snapshot").count() == 0
+    gaps = log.withColumn("seq", F.col("seq") * 100)
+    assert [r["seq"] for r in chunks.started(gaps, "specific-offset", 0, skip_events=1, skip_rows=1).collect()] == [200]
+    assert chunks.started(gaps, "specific-offset", 0, skip_events=9).count() == 0
+    many = spark.createDataFrame([(None if i == 0 else i * 10, None if i == 600 else i * 10 + 10, i) for i in range(601)], "low bigint, high bigint, high_mark bigint")
+    wide = spark.range(0, 7000, 7).select(F.lit("INSERT").alias("op"), F.lit(None).cast(log.schema["before"].dataType).alias("before"), F.struct("id", F.lit("n").alias("name"), F.lit(1).alias("age")).alias("after"), F.lit(None).cast("map<string,string>").alias("meta"), F.lit(300).cast("bigint").alias("seq"))
+    assert sorted(r["after"]["id"] for r in chunks.after_snapshot(wide, many, "id").collect()) == [k for k in range(0, 7000, 7) if k // 10 < 300]
     with pytest.raises(ValueError):
         chunks.started(log, "never")
 
