@@ -22,6 +22,27 @@ SELECT conv_id, count(*) AS n_turns,
 FROM turns GROUP BY conv_id
 """
 
+#: Each window of 100 bytes as 200 hexadecimal digits; rows of one doc_id would need the operator's digests, and stand by text here.
+OP7_SQL = """
+WITH d AS (
+  SELECT row_number() OVER (ORDER BY doc_id NULLS LAST, text) AS n, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+parts AS (
+  SELECT n, start_, substr(h, 2 * start_ + 1, 2 * (400 + 99)) AS part FROM (SELECT n, h, unnest(range(0, greatest(0, len(h) // 2 - 99), 400)) AS start_ FROM d)),
+windows AS (
+  SELECT n, start_ + i AS p, substr(part, 2 * i + 1, 200) AS w FROM (SELECT n, start_, part, unnest(range(0, least(400, len(part) // 2 - 99))) AS i FROM parts)),
+repeats AS (SELECT n, p FROM (SELECT n, p, row_number() OVER (PARTITION BY w ORDER BY n, p) AS k FROM windows) WHERE k > 1),
+marked AS (SELECT n, p, coalesce(p > lag(p) OVER o + 100, true) AS fresh FROM repeats WINDOW o AS (PARTITION BY n ORDER BY p)),
+numbered AS (SELECT n, p, count(*) FILTER (fresh) OVER (PARTITION BY n ORDER BY p) AS g FROM marked),
+spans AS (SELECT n, min(p) AS a, max(p) + 100 AS b FROM numbered GROUP BY n, g),
+pieces AS (SELECT n, a, b, coalesce(lag(b) OVER (PARTITION BY n ORDER BY a), 0) AS since FROM spans),
+cut AS (
+  SELECT n, sum(b - a) AS removed, count(*) AS many, max(b) AS last, string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY a) AS kept
+  FROM pieces JOIN d USING (n) GROUP BY n)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(many, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN cut USING (n)
+"""
+
 OP9_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS x FROM embeddings
@@ -51,4 +72,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_formatting": OP3_SQL, "op9_ball_tree": OP9_SQL}
+    return {"op3_chat_formatting": OP3_SQL, "op7_suffix_dedup": OP7_SQL, "op9_ball_tree": OP9_SQL}
