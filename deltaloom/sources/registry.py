@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from deltaloom.catalog import Change, Schema, TableId
 from deltaloom.operators import changelog
+from deltaloom.sinks.formats import SOURCE_DIALECTS
 from deltaloom.sources.chunks import CHUNK_ROWS, STARTUP_MODES, is_even, predicates, started, uneven_chunks
 from deltaloom.sources.selectors import Selectors
 
@@ -103,6 +104,40 @@ def jdbc_snapshot(spark: SparkSession, options: Mapping[str, object], table: str
     return spark.read.jdbc(str(options["url"]), f"(SELECT * FROM {table} WHERE {where}) t" if where else table, predicates=predicates(bounds, key, bool(options.get("scan.incremental.snapshot.unbounded-chunk-first.enabled"))), properties=props)
 
 
+def column_types(spark: SparkSession, options: Mapping[str, object], table: TableId) -> list[tuple[str, str, bool]]:
+    """(name, type as the database writes it, whether it may be NULL) of a table's columns, from the driver's metadata."""
+    manager = spark.sparkContext._jvm.java.sql.DriverManager
+    connection = manager.getConnection(str(options["url"]), str(options.get("user", "")), str(options.get("password", "")))
+    sized = ("DECIMAL", "NUMERIC", "NUMBER", "CHAR", "VARCHAR", "VARCHAR2", "BINARY", "VARBINARY", "BIT", "TIME", "TIMESTAMP", "DATETIME", "DATETIME2", "DATETIMEOFFSET")
+    try:
+        catalog = table.namespace or (table.schema if "mysql" in str(options["url"]) else None)
+        found, out = connection.getMetaData().getColumns(catalog, table.schema, table.table, None), []
+        while found.next():
+            name, size, digits = found.getString("TYPE_NAME"), found.getInt("COLUMN_SIZE"), found.getInt("DECIMAL_DIGITS")
+            root, _, rest = name.partition(" ")
+            if root.upper() in sized and "(" not in name:
+                args = f"{size}, {digits}" if root.upper() in sized[:3] else str(digits if root.upper() in sized[9:] else size)
+                name = f"{root}({args}) {rest}".strip()
+            out.append((found.getString("COLUMN_NAME"), name, found.getInt("NULLABLE") != 0))
+        return out
+    finally:
+        connection.close()
+
+
+def typed_rows(spark: SparkSession, options: Mapping[str, object], table: TableId, rows: DataFrame, dialect: str, keys: list[str]) -> tuple[DataFrame, Schema]:
+    """A table's rows and schema in the types that its dialect's columns have here, not those Spark's reader gives them."""
+    if dialect not in SOURCE_DIALECTS:
+        return rows, Schema.from_spark(rows.schema, keys)
+    given = {n: (t, loose) for n, t, loose in column_types(spark, options, table) if n in rows.columns}
+    more = {"tinyint1_is_boolean": str(options.get("treat-tinyint1-as-boolean.enabled", "true")).lower() == "true"} if dialect == "mysql" else {}
+    kinds = {n: SOURCE_DIALECTS[dialect](t, **more) for n, (t, _) in given.items()}
+    columns = [F.col(f"`{f.name}`").cast(kinds[f.name].spark()).alias(f.name) if f.name in kinds else F.col(f"`{f.name}`") for f in rows.schema]
+    out = rows.select(*columns)
+    plain = Schema.from_spark(out.schema)
+    named = [(c.name, str(kinds.get(c.name, c.type)) + ("" if given.get(c.name, ("", True))[1] else " NOT NULL")) for c in plain.columns]
+    return out, Schema.of(*named, keys=keys)
+
+
 def database(dialect: str) -> None:
     def made(spark: SparkSession, options: Mapping[str, object]) -> Source:
         """Snapshot by JDBC, log by a change-event stream (see log_events), by the startup mode."""
@@ -117,7 +152,7 @@ def database(dialect: str) -> None:
             if key is None and not options.get("allow-no-key"):
                 raise ValueError(f"{name} has no primary key: give a chunk key")
             rows = jdbc_snapshot(spark, options, str(table), key)
-            schemas[table] = Schema.from_spark(rows.schema, keys.get(name, []))
+            rows, schemas[table] = typed_rows(spark, options, table, rows, dialect, keys.get(name, []))
             parts = [changelog.envelope(rows, seq=F.lit(-1))] if mode in ("initial", "snapshot") else []
             if options.get("log.path") and mode != "snapshot":
                 log = log_events(spark.read.text(str(options["log.path"])), table, rows.schema)
@@ -132,10 +167,52 @@ def database(dialect: str) -> None:
     SOURCES[dialect] = made
 
 
-for _name in ("mysql", "postgres", "oracle", "sqlserver", "mongodb", "oceanbase", "db2", "tidb", "vitess", "jdbc"):
+for _name in ("mysql", "postgres", "oracle", "sqlserver", "oceanbase", "db2", "tidb", "vitess", "jdbc"):
     database(_name)
 
 
+@source("mongodb")
+def mongodb(spark: SparkSession, options: Mapping[str, object]) -> Source:
+    """Collections of documents: names, schemas ({name: [[column, type]]}), snapshot.path (a folder of <name>.json, a document
+    a line) and log.path (change-stream events, one a line). _id is the key. A change whose document before isn't in the
+    event replaces what stood there; a deletion then has the key only."""
+    mode = str(options.get("scan.startup.mode", "initial"))
+    if mode not in STARTUP_MODES:
+        raise ValueError(f"no startup mode {mode}; one of {', '.join(STARTUP_MODES)}")
+    tables, schemas = {}, {}
+    for name in options.get("names") or []:
+        table = TableId.parse(name)
+        schema = schemas[table] = Schema.of(*map(tuple, (options.get("schemas") or {})[name]), keys=["_id"])
+        row = T.StructType([T.StructField(f.name, f.dataType) for f in schema.spark()])
+        parts = []
+        if options.get("snapshot.path") and mode in ("initial", "snapshot"):
+            parts.append(changelog.envelope(spark.read.schema(row).json(f"{str(options['snapshot.path']).rstrip('/')}/{name}.json"), seq=F.lit(-1)))
+        if options.get("log.path") and mode != "snapshot":
+            parts.append(started(document_events(spark.read.text(str(options["log.path"])), table, row), mode, options.get("scan.startup.offset"), options.get("scan.startup.timestamp-millis")))
+        if not parts:
+            raise ValueError(f"{name}: give a snapshot.path or a log.path")
+        tables[table] = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return Source(tables, schemas, metadata={"op_ts": "BIGINT"})
+
+
+def document_events(lines: DataFrame, table: TableId, row: T.StructType, column: str = "value") -> DataFrame:
+    """A collection's changes from change-stream events {operationType, ns {db, coll}, documentKey, fullDocument,
+    fullDocumentBeforeChange, clusterTime {$timestamp {t, i}}}, in the order of clusterTime."""
+    key = T.StructType([f for f in row if f.name == "_id"])
+    stamp = T.StructType([T.StructField("$timestamp", T.StructType([T.StructField("t", T.LongType()), T.StructField("i", T.LongType())]))])
+    space = T.StructType([T.StructField("db", T.StringType()), T.StructField("coll", T.StringType())])
+    fields = [("operationType", T.StringType()), ("ns", space), ("documentKey", key), ("fullDocument", row), ("fullDocumentBeforeChange", row), ("clusterTime", stamp)]
+    e = lines.select(F.from_json(F.col(column).cast("string"), T.StructType([T.StructField(*f) for f in fields])).alias("e")).select("e.*")
+    e = e.where((F.col("ns.coll") == table.table) & F.col("operationType").isin("insert", "update", "replace", "delete"))
+    only_key = F.struct(*[(F.col("documentKey._id") if f.name == "_id" else F.lit(None)).cast(f.dataType).alias(f.name) for f in row])
+    gone, was = F.col("operationType") == "delete", F.col("fullDocumentBeforeChange").isNotNull()
+    op = F.when(gone, "DELETE").when(F.col("operationType") == "insert", "INSERT").when(was, "UPDATE").otherwise("REPLACE")
+    before = F.when(gone, F.coalesce("fullDocumentBeforeChange", only_key)).when(F.col("operationType") != "insert", F.col("fullDocumentBeforeChange"))
+    at = F.col("clusterTime")["$timestamp"]
+    meta = F.create_map(F.lit("op_ts"), (at["t"] * 1000).cast("string"))
+    return e.select(op.alias("op"), before.alias("before"), F.when(~gone, F.col("fullDocument")).alias("after"), meta.alias("meta"), (at["t"] * F.lit(1 << 32) + at["i"]).alias("seq"))
+
+
 def log_events(lines: DataFrame, table: TableId, row: T.StructType, column: str = "value") -> DataFrame:
     """Change events of a table from JSON lines {before, after, op (c, r, u, d), ts_ms, source {db, table, pos}}."""
     loose = T.StructType([T.StructField(f.name, f.dataType) for f in row])

@@ -101,6 +101,29 @@ def test_a_database_by_key(spark, tmp_path):
     assert len(rows()[0]) == 4
 
 
+def test_a_database_source_in_its_dialect(spark, tmp_path):
+    url = f"jdbc:derby:{tmp_path}/db;create=true"
+    sink = open_sink(spark, {"type": "jdbc", "url": url})
+    sink.execute("CREATE TABLE APP.STOCK (ID BIGINT NOT NULL PRIMARY KEY, PRICE DECIMAL(9, 2), NAME VARCHAR(20), SEEN TIMESTAMP, SHARE REAL)")
+    sink.execute("INSERT INTO APP.STOCK VALUES (1, 2.50, 'a', '2020-01-02 03:04:05', 0.5), (2, NULL, NULL, NULL, NULL)")
+    found = open_source(spark, {"type": "postgres", "url": url, "names": ["APP.STOCK"], "keys": {"APP.STOCK": ["ID"]}})
+    (table, schema), = found.schemas.items()
+    assert [str(c.type) for c in schema.columns] == ["BIGINT NOT NULL", "DECIMAL(9, 2)", "STRING", "TIMESTAMP(9)", "FLOAT"]
+    assert [f.dataType.simpleString() for f in found.tables[table].schema["after"].dataType] == ["bigint", "decimal(9,2)", "string", "timestamp_ntz", "float"]
+    assert sorted(r["after"]["ID"] for r in found.tables[table].collect()) == [1, 2]
+
+
+def test_documents_and_their_change_stream(spark, tmp_path):
+    (tmp_path / "shop.items.json").write_text('{"_id": "a", "n": 1}\n{"_id": "b", "n": 2}')
+    event = lambda kind, key, i, **more: json.dumps({"operationType": kind, "ns": {"db": "shop", "coll": "items"}, "documentKey": {"_id": key}, "clusterTime": {"$timestamp": {"t": 9, "i": i}}} | more)
+    lines = [event("update", "a", 1, fullDocument={"_id": "a", "n": 5}), event("delete", "b", 2), event("insert", "c", 3, fullDocument={"_id": "c", "n": 7}), event("drop", "x", 4)]
+    (tmp_path / "log").write_text("\n".join([*lines, event("update", "c", 5, fullDocument={"_id": "c", "n": 8}, fullDocumentBeforeChange={"_id": "c", "n": 7})]))
+    options = {"type": "mongodb", "names": ["shop.items"], "schemas": {"shop.items": [["_id", "STRING"], ["n", "INT"]]}, "snapshot.path": str(tmp_path), "log.path": f"{tmp_path}/log"}
+    changes = open_source(spark, options).tables[TableId.parse("shop.items")]
+    assert sorted(map(tuple, changelog.materialized(changelog.validated(changes), ["_id"]).collect())) == [("a", 5), ("c", 8)]
+    assert [r["op"] for r in changes.orderBy("seq").collect()] == ["INSERT", "INSERT", "REPLACE", "DELETE", "INSERT", "UPDATE"]
+
+
 def test_models(spark):
     made = registered((), (ModelDef("chat", "LocalChat", {"prompt": "> "}), ModelDef("embed", "LocalEmbedding", {"dimensions": "4"})))
     got = transform_rows(spark.sql("select 'hello' a union all select ''"), "chat(a) AS c, EMBED(a) AS e", udfs=made).orderBy("c").collect()
