@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from deltaloom.catalog import Change, Schema, TableId
 from deltaloom.operators import changelog
@@ -80,43 +81,78 @@ class Values(Sink):
 
 @sink("files")
 class Files(Sink):
-    """A folder for each table: appended changes for tables without a key; else the table's state, a version for each
-    batch, from the version before and the batch's changes. The newest version that has _SUCCESS is the table."""
+    """A folder for each table. Tables without a key hold appended changes. Of those with one a batch writes only what it
+    changes, each key's last state; after compact.batches such folders (8) they are merged into a new version of the table, and what
+    it replaces is deleted. read() is the newest version with the later changes on top."""
 
     def root(self, table: TableId) -> str:
         return f"{str(self.options['path']).rstrip('/')}/{table}"
 
+    def _path(self, text: str) -> tuple[object, object]:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(text)
+        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def folders(self, table: TableId, kind: str) -> list[int]:
+        """The batches of a kind of folder (version or changes) that are written in full."""
+        path, fs = self._path(self.root(table))
+        found = [x.getPath() for x in fs.listStatus(path)] if fs.exists(path) else []
+        whole = [p for p in found if p.getName().startswith(f"{kind}=") and fs.exists(self._path(f"{p}/_SUCCESS")[0])]
+        return sorted(int(p.getName().partition("=")[2]) for p in whole)
+
     def versions(self, table: TableId) -> list[int]:
-        jvm, root = self.spark.sparkContext._jvm, self.root(table)
-        path = jvm.org.apache.hadoop.fs.Path(root)
-        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(path):
-            return []
-        found = [s.getPath() for s in fs.listStatus(path)]
-        return sorted(int(p.getName().partition("=")[2]) for p in found if p.getName().startswith("version=") and fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+        return self.folders(table, "version")
+
+    def pending(self, table: TableId) -> list[int]:
+        """The batches of changes that the newest version hasn't."""
+        last = max(self.versions(table), default=-1)
+        return [b for b in self.folders(table, "changes") if b > last]
 
     def read(self, table: TableId) -> DataFrame:
-        found = self.versions(table)
-        if not found:
+        versions, later = self.versions(table), self.pending(table)
+        if not versions and not later:
             raise ValueError(f"{table} hasn't been written")
-        return self.spark.read.parquet(*([f"{self.root(table)}/version={v}" for v in found] if self.options.get("append") else [f"{self.root(table)}/version={found[-1]}"]))
+        if self.options.get("append"):
+            return self.spark.read.parquet(*[f"{self.root(table)}/version={v}" for v in versions])
+        layers = [(v, self.spark.read.parquet(f"{self.root(table)}/version={v}").withColumn("gone_", F.lit(0))) for v in versions[-1:]]
+        layers += [(b, self.spark.read.parquet(f"{self.root(table)}/changes={b}")) for b in later]
+        newest = layers[-1][1].drop("gone_")
+        if not later:
+            return newest
+        target, kind = Schema.from_spark(newest.schema), T.StructType([T.StructField(f.name, f.dataType) for f in newest.schema])
+        keys, merged = [f.name for f in newest.schema if f.metadata.get("key")], None
+        for batch, layer in layers:
+            own = layer.drop("gone_")
+            row = coerced(F.struct(*[F.col(f"`{c}`") for c in own.columns]), Schema.from_spark(own.schema), target).cast(kind)
+            layer = layer.select(row.alias("row"), "gone_", F.lit(batch).alias("batch"))
+            merged = layer if merged is None else merged.unionByName(layer)
+        last = merged.groupBy(*[F.col(f"row.`{k}`").alias(f"k{i}_") for i, k in enumerate(keys)]).agg(F.max_by(F.struct("row", "gone_"), "batch").alias("l"))
+        return last.where("l.gone_ = 0").select("l.row.*")
 
     def write(self, table: TableId, changes: DataFrame, schema: Schema, batch: int) -> None:
-        to = f"{self.root(table)}/version={batch}"
         if not schema.primary_keys:
             sides = changelog.exploded(changes.where("op <> 'REPLACE'").unionByName(changes.where("op = 'REPLACE'").withColumn("op", F.lit("INSERT"))))
-            sides.write.mode("overwrite").parquet(to)
+            sides.write.mode("overwrite").parquet(f"{self.root(table)}/version={batch}")
             return
-        earlier = [v for v in self.versions(table) if v < batch]
-        if earlier:
-            before = self.spark.read.parquet(f"{self.root(table)}/version={earlier[-1]}")
-            row = coerced(F.struct(*[F.col(f"`{c}`") for c in before.columns]), Schema.from_spark(before.schema), schema)
-            kind = changes.schema["after"].dataType
-            base = before.select(F.lit("INSERT").alias("op"), F.lit(None).cast(kind).alias("before"), row.cast(kind).alias("after"), F.lit(-(1 << 62)).cast("bigint").alias("seq"))
-            changes = base.unionByName(changes.select("op", "before", "after", "seq"))
-        state = changelog.materialized(changes, schema.primary_keys)
+        states(changes, schema).select(*marked_keys(schema.names, schema.primary_keys), "gone_").write.mode("overwrite").parquet(f"{self.root(table)}/changes={batch}")
+        later = self.pending(table)
+        if len(later) >= int(self.options.get("compact.batches", 8)):
+            self.compact(table, schema, later[-1])
+
+    def compact(self, table: TableId, schema: Schema, batch: int) -> None:
+        """Makes the version of a batch, and deletes the folders that it stands for."""
         parts = list(schema.partition_keys)
-        (state.repartition(*parts) if parts else state).write.mode("overwrite").partitionBy(*parts).parquet(to)
+        rows = self.read(table)
+        rows = rows.select(*marked_keys(rows.columns, schema.primary_keys))
+        before = [("version", v) for v in self.versions(table) if v < batch] + [("changes", b) for b in self.folders(table, "changes") if b <= batch]
+        (rows.repartition(*parts) if parts else rows).write.mode("overwrite").partitionBy(*parts).parquet(f"{self.root(table)}/version={batch}")
+        for kind, old in before:
+            path, fs = self._path(f"{self.root(table)}/{kind}={old}")
+            fs.delete(path, True)
+
+
+def marked_keys(names: Sequence[str], keys: Sequence[str]) -> list[Column]:
+    """Columns whose files will tell which of them are keys."""
+    return [F.col(f"`{c}`").alias(c, metadata={"key": True}) if c in keys else F.col(f"`{c}`") for c in names]
 
 
 @sink("kafka")
