@@ -17,6 +17,10 @@ same document. Whether such a window repeats is settled exactly, but only suffix
    is dealt on by the hash of the anchor gram, so a part's size does not grow with the input.
 4. The blocks learn which windows repeat and remove what they cover.
 
+A window sorted on its own may stand in every block. So blocks are dealt to groups of about ``group_blocks``, a part merges
+such windows of one group only, and of the groups' first ones an aggregate, combined in the tasks that read them, tells the
+first of all.
+
 Defined results: a null or empty text has 0 bytes and nothing removed; rows with one doc_id stand in the order of the
 64-bit digests of their texts, equal rows included, as if later ones were later documents, however the rows lie in the
 input; rows without one come last, in the same order; an empty table gives an empty one; other columns play no part.
@@ -330,9 +334,12 @@ def _same_windows(left: np.ndarray, right: np.ndarray, *columns: np.ndarray) ->
     return all(np.array_equal(c[left[a : a + step]], c[right[a : a + step]]) for a in range(0, len(left), step) for c in columns)
 
 
-def settle(frame: pd.DataFrame, length: int) -> pd.DataFrame:
+FIRSTS = "array<struct<window:binary,key:bigint,mark:bigint,own:bigint,offset:bigint,at:bigint>>"
+
+
+def settle(frame: pd.DataFrame, length: int, firsts: bool = False) -> pd.DataFrame:
     """The merge of a part's runs: for each entry of each run a mask, bit o set if the window o bytes before the entry
-    also starts earlier."""
+    also starts earlier; and, if asked for, the windows sorted on their own that don't."""
     wide, far_most = length + 1, length - GRAM
     runs, shared, rows = [], [], []
     for record in frame.itertuples():
@@ -360,7 +367,8 @@ def settle(frame: pd.DataFrame, length: int) -> pd.DataFrame:
     column = lambda c: np.concatenate([restored(x) for x in frame[c]]).astype(np.int64)
     marks = np.concatenate([restored(x) for x in frame["marks"]])
     who = np.repeat(frame["block"].to_numpy(), np.diff(begins))
-    first = np.lexsort((column("offset"), column("own"), who, marks, column("keys")))
+    ids, offsets = column("keys"), column("offset")
+    first = np.lexsort((offsets, column("own"), who, marks, ids))
     near, far = rows[first, 1 + length], rows[first, 2 + length]
     suffix, before, group = rows[first, 1 : 1 + length], rows[first, 3 + length :], group[first] * np.uint64(0xD6E8FEB86659FD93)
     h = np.zeros(len(first), np.uint64)
@@ -384,10 +392,19 @@ def settle(frame: pd.DataFrame, length: int) -> pd.DataFrame:
             masks[some[by[1:][same]]] |= np.uint64(1 << o)
     out = np.empty(len(first), np.uint64)
     out[first] = masks
-    return pd.DataFrame({"block": frame["block"], "part": frame["part"], "at": frame["at"], "masks": [squeezed(out[a:b]) for a, b in zip(begins[:-1], begins[1:], strict=True)]})
-
-
-def deduplicated(docs: DataFrame, length: int = 100, block_bytes: int = 4 << 20, part_blocks: int = 8, hot: int = 20_000, part_entries: int = 50_000, ranges: int = 4096, texts: str | None = None) -> DataFrame:
+    found: list[list[dict]] = [[] for _ in runs]
+    if firsts:
+        places = np.concatenate([np.cumsum(restored(x)) for x in frame["at"]]).astype(np.int64)
+        signed = (marks ^ np.uint64(1 << 63)).view(np.int64)  # in the order of the unsigned ones
+        run_of, own = np.repeat(np.arange(len(runs)), np.diff(begins)), column("own")
+        for i in np.flatnonzero((rows[:, 0] == 1) & (out == 0)).tolist():
+            values = (rows[i, 1 : 1 + length].tobytes(), int(ids[i]), int(signed[i]), int(own[i]), int(offsets[i]), int(places[i]))
+            found[run_of[i]].append(dict(zip(("window", "key", "mark", "own", "offset", "at"), values, strict=True)))
+    masks = [squeezed(out[a:b]) for a, b in zip(begins[:-1], begins[1:], strict=True)]
+    return pd.DataFrame({"block": frame["block"], "part": frame["part"], "at": frame["at"], "masks": masks, "firsts": found})
+
+
+def deduplicated(docs: DataFrame, length: int = 100, block_bytes: int = 4 << 20, part_blocks: int = 8, hot: int = 20_000, part_entries: int = 50_000, ranges: int = 4096, group_blocks: int = 4096, texts: str | None = None) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if texts is bytes or text, kept (a text loses broken characters) for each of docs
     (doc_id, text), and row, a struct of docs that is carried along, if there is one.
 
@@ -431,7 +448,7 @@ def deduplicated(docs: DataFrame, length: int = 100, block_bytes: int = 4 << 20,
     picked = sorted({x[: 1 + GRAM] if x[0] == 0 else x for x in picked})
     many_ranges = min(parts, ranges)
     splitters = sorted({picked[len(picked) * i // many_ranges] for i in range(1, many_ranges)}) if picked else []
-    deal = -(-parts // many_ranges)
+    deal, groups = -(-parts // many_ranges), -(-many // group_blocks)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = ["part", "block", "at", "shared", "tails", "rest", *PLACE]
@@ -452,6 +469,7 @@ def deduplicated(docs: DataFrame, length: int = 100, block_bytes: int = 4 << 20,
             part = np.repeat(np.arange(len(edge) - 1), np.diff(edge)) * deal
             if deal > 1:  # what shares an anchor gram, or a window of its own, stays together
                 part += np.array([zlib.crc32(s[: 1 + GRAM] if s[0] == 0 else s) % deal for s in strings])
+            part += (own[:, 0] == 1) * (zlib.crc32(str(row["block"]).encode()) % groups) * (len(edge) - 1) * deal
             order = np.argsort(part, kind="stable")
             for where, (a, b) in _runs(part[order]):
                 at = order[a:b]
@@ -462,9 +480,15 @@ def deduplicated(docs: DataFrame, length: int = 100, block_bytes: int = 4 << 20,
                 yield pa.RecordBatch.from_arrays([pa.array([v]) for v in values], columns)
 
     exchanged = runs.select("block", "shared", "tails", "rest", *PLACE).mapInArrow(cut, "part bigint, block bigint, " + ", ".join(f"{c} binary" for c in ("at", "shared", "tails", "rest", *PLACE)))
-    settled = exchanged.groupBy("part").applyInPandas(lambda frame: settle(frame.sort_values("block"), length), "block bigint, part bigint, at binary, masks binary")
+    settled = exchanged.groupBy("part").applyInPandas(lambda frame: settle(frame.sort_values("block"), length, groups > 1), f"block bigint, part bigint, at binary, masks binary, firsts {FIRSTS}")
+    settled = written(settled) if groups > 1 else settled
     answers = settled.groupBy("block").agg(F.collect_list(F.struct("at", "masks")).alias("answers"))
-    told = runs.select("block", *kept).join(answers, "block", "left")
+    told = runs.select("block", *kept).join(answers, "block", "left").withColumn("late", F.expr("cast(array() as array<bigint>)"))
+    if groups > 1:
+        each = settled.select("block", F.explode("firsts").alias("f")).select("block", "f.window", "f.at", F.struct("f.key", "f.mark", "block", "f.own", "f.offset").alias("place"))
+        best = each.groupBy("window").agg(F.min("place").alias("best"))
+        late = each.join(best, "window").where("place <> best").groupBy("block").agg(F.collect_list("at").alias("again"))
+        told = told.join(late, "block", "left").withColumn("late", F.coalesce("again", "late")).drop("again")
     whole = T.StructType([T.StructField(n, k) for n, k in (("doc_id", T.LongType()), ("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()), ("kept_sha256", T.StringType()))])
     if texts:
         whole = whole.add("kept", T.StringType() if texts == "text" else T.BinaryType())
@@ -479,6 +503,7 @@ def deduplicated(docs: DataFrame, length: int = 100, block_bytes: int = 4 << 20,
             masks = np.zeros(sum(len(at) for at, _ in answers), np.uint64)
             for at, own_masks in answers:
                 masks[at] = own_masks
+            masks[np.asarray(e["late"], np.int64)] |= np.uint64(1)
             e = {c: restored(e[c]).astype(np.int64) for c in kept}
             gone = np.zeros(len(text.data) + 1, bool)
             number = e["number"][e["entry"]] - 1 if len(e["entry"]) else e["entry"]

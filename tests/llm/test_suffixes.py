@@ -63,6 +63,7 @@ def test_repeated_ids_in_any_order_of_rows(spark):
         frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
         assert found(frame, block_bytes=2000, part_entries=40, ranges=3) == want
         assert found(frame, block_bytes=2000, part_entries=40, ranges=2, hot=3) == want
+        assert found(frame, block_bytes=1000, hot=2, group_blocks=3) == want
 
 
 def test_windows_that_share_a_digest(spark, monkeypatch):
