@@ -326,3 +326,120 @@ def sink_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rows = states(user_changes(spark, sf_dir), EVENTS)
     return rows.select(F.col("user_id").alias("key"), (F.col("gone_") == 1).alias("gone"), "event_id")
+
+
+# Definitions, projections, routes and user functions
+
+
+transformed("leading_star", "region", r"\*, UPPER(r_name) AS loud", None, "SELECT r_regionkey, r_name, upper(r_name) AS loud FROM region")
+transformed(
+    "json_forms", "nation",
+    "n_nationkey, CAST(PARSE_JSON('{\"a\": 1, \"a\": 2}', TRUE)['a'] AS STRING) AS last, TRY_PARSE_JSON('{\"a\": 1, \"a\": 2}') IS NULL AS twice, PARSE_JSON('') IS NULL AS empty, CAST(PARSE_JSON('[' || n_nationkey || ', 7]')[1] AS STRING) AS made", None,
+    "SELECT n_nationkey, '2' AS last, true AS twice, true AS empty, CAST(n_nationkey AS VARCHAR) AS made FROM nation",
+)
+
+
+def refused(made: object, *given: object) -> bool:
+    from deltaloom.exprs import ParseError
+
+    try:
+        made(*given)
+    except (ValueError, ParseError):
+        return True
+    return False
+
+
+PROJECTIONS = [
+    ("o_custkey + 1 AS x", False), ("o_custkey + 1", True), ("o_custkey AS x, o_orderkey AS x", True), ("o_custkey AS __table_name__", True), ("nothing AS x", True), ("o_custkey AS o_custkey, *", False), ("UPPER(o_custkey, 1) AS x", True), ("CAST(o_custkey AS DATE) AS x", True),
+]
+
+
+@query(rows_sql("projection, refused", PROJECTIONS))
+def refused_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which projections planning refuses: an expression without a name, names twice or reserved, unknown columns."""
+    from deltaloom.exprs import Compiler, compile_projection
+
+    compiler = Compiler(spark, read(spark, sf_dir, "orders").schema)
+    return listed(spark, [(p, refused(compile_projection, compiler, p, {"__table_name__"})) for p, _ in PROJECTIONS], "projection string, refused boolean")
+
+
+ENDS = "source: {type: values}\nsink: {type: values}\n"
+DEFINITIONS = [
+    ("ends only", ENDS, False), ("no sink", "source: {type: values}", True), ("unknown part", ENDS + "more: 1", True), ("route as a mapping", ENDS + "route: {a: b}", True), ("transform without table", ENDS + "transform: [{projection: a}]", True),
+    ("unknown behaviour", ENDS + "pipeline: {schema.change.behavior: SOMETIMES}", True), ("a short zone", ENDS + "pipeline: {local-time-zone: PST}", True), ("a region", ENDS + "pipeline: {local-time-zone: Europe/Rome}", False), ("an offset", ENDS + "pipeline: {local-time-zone: '+02:00'}", False),
+    ("not YAML", "source: [", True),
+]
+
+
+@query(rows_sql("name, refused", [(n, r) for n, _, r in DEFINITIONS]))
+def refused_definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from deltaloom.plans.definition import parse
+
+    return listed(spark, [(n, refused(parse, text)) for n, text, _ in DEFINITIONS], "name string, refused boolean")
+
+
+@query(rows_sql("option, setting", [("name", "own"), ("parallelism", "4"), ("route-mode", "ALL_MATCH"), ("streaming", "False"), ("a", "1"), ("b", "2")]))
+def merged_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Defaults under the global settings under the definition's own, and a table's options by a delimiter of its own."""
+    from deltaloom.operators.transform import options_of
+    from deltaloom.plans.definition import parse
+
+    found = parse(ENDS + "pipeline: {name: own, execution.runtime-mode: BATCH}", {"name": "global", "parallelism": 4})
+    rows = [(k, str(found.config[k])) for k in ("name", "parallelism", "route-mode")] + [("streaming", str(found.streaming)), *options_of("a=1; b=2", ";").items()]
+    return listed(spark, rows, "option string, setting string")
+
+
+@query(rows_sql("table_id, mode, sinks", [("db.t_1", "ALL_MATCH", "ods.every, copy.t_1"), ("db.t_2", "ALL_MATCH", "ods.every, db_t_2.x"), ("db.t_1", "FIRST_MATCH", "ods.every"), ("db.u", "ALL_MATCH", "db.u")]))
+def route_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from deltaloom.operators import route
+
+    rules = [route.RouteRule(r"db.t_\.*", "ods.every"), route.RouteRule("db.t_1", "copy.<>", "<>"), route.RouteRule("(db).(t_2)", "$1_$2.x")]
+    asked = [("db.t_1", "ALL_MATCH"), ("db.t_2", "ALL_MATCH"), ("db.t_1", "FIRST_MATCH"), ("db.u", "ALL_MATCH")]
+    return listed(spark, [(t, m, ", ".join(map(str, route.targets(TableId.parse(t), rules, m)))) for t, m in asked], "table_id string, mode string, sinks string")
+
+
+@query(rows_sql("what, found", [("even", "True"), ("text key", "False"), ("sparse", "False"), ("rows", "8096"), ("first", "id >= 5 | id < 5"), ("texts", "k < 'o''x' | k >= 'o''x'")]))
+def chunk_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which keys are split evenly, and the predicates of a partitioned read, the unbounded chunk first or last."""
+    orders, customer = read(spark, sf_dir, "orders"), read(spark, sf_dir, "customer")
+    rows = [
+        ("even", str(C.is_even(orders, "o_orderkey"))), ("text key", str(C.is_even(customer, "c_name"))), ("sparse", str(C.is_even(orders.select((F.col("o_orderkey") * 100_000).alias("k")), "k"))), ("rows", str(C.CHUNK_ROWS)),
+        ("first", " | ".join(C.predicates([(None, 5), (5, None)], "id", True))), ("texts", " | ".join(C.predicates([(None, "o'x"), ("o'x", None)], "k"))),
+    ]
+    return listed(spark, rows, "what string, found string")
+
+
+@query("SELECT event_id, CAST(epoch_us(ts) // 1000 AS BIGINT) AS at, 'events' AS name FROM events")
+def connector_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source's own metadata column, read out of the changes' meta."""
+    schema = Schema.of(("event_id", "BIGINT"), ("event_type", "STRING"), keys=["event_id"])
+    rule = TransformRule("app.events", "event_id, op_ts AS at, __table_name__ AS name")
+    return Transform(rule, TableId.parse("app.events"), schema, event_log(spark, sf_dir), metadata={"op_ts": "BIGINT"}).run().select("after.*")
+
+
+@query(CHANGES_SQL + "SELECT CAST('t' AS VARCHAR) AS topic, 'app.public.events,' || user_id AS key, CAST(0 AS INTEGER) AS partition, CAST('events' AS VARCHAR) AS header FROM changes")
+def kafka_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topics by mapping, keys, the partition and the headers of messages."""
+    table = TableId.parse("app.public.events")
+    rows = formats.kafka_rows(narrow_changes(spark, sf_dir), table, ["user_id"], "canal-json", "csv", mapping={str(table): "t"}, headers=True)
+    return rows.select("topic", "key", "partition", F.col("headers")[2]["value"].cast("string").alias("header"))
+
+
+@query("SELECT c_custkey, c_custkey + 100 AS up, '> ' || c_name AS said FROM customer")
+def user_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user's function stands before a built-in one of its name; a local stand-in for a model."""
+    from deltaloom.functions.udfs import registered
+    from deltaloom.plans.definition import ModelDef
+
+    own = {"upper": lambda c, types: c + 100} | registered((), (ModelDef("chat", "LocalChat", {"prompt": "> "}),))
+    return transform_rows(read(spark, sf_dir, "customer"), "c_custkey, UPPER(c_custkey) AS up, CHAT(c_name) AS said", udfs=own)
+
+
+@query("SELECT max_by(user_id, event_id) AS user_id, event_type, max(event_id) AS event_id FROM events GROUP BY event_type")
+def rekeyed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A transform's own primary key: the table it leaves holds the last row of each."""
+    rows = read(spark, sf_dir, "events").select("user_id", "event_type", "event_id")
+    schema, table = Schema.of(("user_id", "BIGINT"), ("event_type", "STRING"), ("event_id", "BIGINT"), keys=["event_id"]), TableId.parse("app.events")
+    rule = TransformRule("app.events", "user_id, event_type, event_id", primary_keys=("event_type",))
+    made = Transform(rule, table, schema, changelog.envelope(rows, seq=F.col("event_id")))
+    return changelog.materialized(made.run(), made.output_schema().primary_keys)
