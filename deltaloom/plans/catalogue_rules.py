@@ -350,7 +350,7 @@ def refused(made: object, *given: object) -> bool:
 
 
 PROJECTIONS = [
-    ("o_custkey + 1 AS x", False), ("o_custkey + 1", True), ("o_custkey AS x, o_orderkey AS x", True), ("o_custkey AS __table_name__", True), ("nothing AS x", True), ("o_custkey AS o_custkey, *", False), ("UPPER(o_custkey, 1) AS x", True), ("CAST(o_custkey AS DATE) AS x", True),
+    ("o_custkey + 1 AS x", False), ("o_custkey + 1", True), ("o_custkey + 1 AS x, o_orderkey + 1 AS x", True), ("o_custkey + 1 AS __table_name__", True), ("nothing AS x", True), ("o_custkey AS o_custkey, *", False), ("UPPER(o_custkey, 1) AS x", True), ("CAST(o_custkey AS DATE) AS x", True),
 ]
 
 
