@@ -158,23 +158,25 @@ def _learn(bags: list[np.ndarray], y: np.ndarray, classes: int, width: int, pass
     table_, top, bias = random.normal(0, 0.1, (BUCKETS, width)), random.normal(0, 0.1, (width, classes)), np.zeros(classes)
     size, steps = 32, 0
     every = passes * -(-len(y) // size)
+    counted = [np.unique(b, return_counts=True) for b in bags]
     for _ in range(passes):
         order = random.permutation(len(y))
         for at in range(0, len(y), size):
             now, steps = rate * (1 - steps / every), steps + 1
             own = order[at : at + size]
-            lengths = np.array([len(bags[i]) for i in own])
-            flat, begin = np.concatenate([bags[i] for i in own]), np.cumsum(lengths) - lengths
-            mean = np.add.reduceat(table_[flat], begin) / lengths[:, None]
+            hit, place = np.unique(np.concatenate([counted[i][0] for i in own]), return_inverse=True)
+            rows = np.repeat(np.arange(len(own)), [len(counted[i][0]) for i in own])
+            share = np.zeros((len(own), len(hit)))  # of each subword in each text
+            share[rows, place] = np.concatenate([counted[i][1] / len(bags[i]) for i in own])
+            mean = share @ table_[hit]
             error = _softmax(mean @ top + bias)
             error[np.arange(len(own)), y[own]] -= 1
             error /= len(own)
-            back = np.repeat(error @ top.T / lengths[:, None], lengths, 0)
+            back = error @ top.T
             top -= now * mean.T @ error
             bias -= now * error.sum(0)
-            hit, place = np.unique(flat, return_inverse=True)
             # the mean spreads a text's gradient thinly over its subwords, so their rate is larger
-            table_[hit] -= 50 * now * np.stack([np.bincount(place, c, len(hit)) for c in back.T], 1)
+            table_[hit] -= 50 * now * share.T @ back
     return table_, top, bias
 
 
