@@ -9,11 +9,13 @@ Documents become blocks, one row each, of bounded text: a sorted vocabulary of w
 it. Word parts, ranges of the hash, count all blocks' words and number them. A block deals its distinct n-grams to parts by
 their first word, so a part holds all that follows a context; only behind words of over ``hot`` occurrences the second word
 deals too, and so on, up to the whole n-gram where its context is of such words only, whose totals are then counted apart
-beforehand. A part merges the blocks' counts into a trie and answers the blocks' own n-grams, held out ones too, from it.
+beforehand. What is dealt is folded: a node for each prefix, with frequent words under small numbers. A part merges the
+blocks' counts into a trie and answers the blocks' own n-grams, held out ones too, from it.
 A trie has Elias-Fano levels in one memory-mapped file in its task's own folder: the words of the first level, and for
 each further one pointers from a node to its first child and the children, made monotone by what stands before their
-node; probabilities and shares are 16-bit codes of log10. An n-gram is found word by word, in the range of successors of
-the node before. Blocks then interpolate what came back.
+node; probabilities, (1 - s) c(hw) / c(h), are 16-bit codes of log10. An n-gram is found word by word, in the range of
+successors of the node before. Blocks then interpolate what came back; how often a context occurs follows from its own
+probability and its first word's total.
 
 Words and contexts are known by 64-bit hashes: two of a million share one with a chance of about 3e-8.
 
@@ -35,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deltaloom.llm.common import WORD_BYTES, chunks, learned_from, lower_ascii, release, ship, starts_of, table, utf8, written
+from deltaloom.llm.common import WORD_BYTES, chunks, drop_shuffles, learned_from, lower_ascii, release, ship, starts_of, table, utf8, written
 
 #: The hash that stands for the end of a document.
 END = np.uint64(0)
@@ -55,6 +57,11 @@ def restored(blob: bytes) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(blob[0], -1).T).view(f"<u{blob[0]}").ravel().astype(np.uint64)
 
 
+def unpacked(blob: bytes) -> np.ndarray:
+    """Hashes in order, of which the differences are squeezed."""
+    return np.cumsum(restored(blob), dtype=np.uint64)
+
+
 class EliasFano:
     """A monotone sequence: low bits packed, high bits in unary. Arrays may be memory-mapped; opening one makes a
     directory of its unary part."""
@@ -130,16 +137,16 @@ def new_nodes(columns: list[np.ndarray], runs: np.ndarray | None = None) -> list
 
 
 class Trie:
-    """n-grams in levels, a node for each prefix: words, pointers to the first children, and 16-bit codes of a node's
-    chance after its context and of its share as a context."""
+    """n-grams in levels, a node for each prefix: words, pointers to the first children, and the 16-bit code of a node's
+    chance after its context."""
 
     def __init__(self, arrays: dict[str, np.ndarray], order: int) -> None:
         self.words = [EliasFano(arrays, f"words{k}") for k in range(order)]
         self.pointers = [EliasFano(arrays, f"pointers{k}") for k in range(order - 1)]
-        self.chances, self.shares = ([arrays[f"{x}{k}"] for k in range(order)] for x in ("chances", "shares"))
+        self.chances = [arrays[f"chances{k}"] for k in range(order)]
 
     @staticmethod
-    def arrays(columns: list[np.ndarray], chances: list[np.ndarray], shares: list[np.ndarray]) -> dict[str, np.ndarray]:
+    def arrays(columns: list[np.ndarray], chances: list[np.ndarray]) -> dict[str, np.ndarray]:
         """Of distinct n-grams in order, and for each level the codes of its nodes."""
         out, fresh, above = {}, new_nodes(columns), None
         for k, c in enumerate(columns):
@@ -154,7 +161,7 @@ class Trie:
                 out |= EliasFano.arrays(f"pointers{k - 1}", first)
             elif above is not None:
                 out |= EliasFano.arrays(f"pointers{k - 1}", rows)
-            out |= EliasFano.arrays(f"words{k}", level) | {f"chances{k}": chances[k].astype(np.uint16), f"shares{k}": shares[k].astype(np.uint16)}
+            out |= EliasFano.arrays(f"words{k}", level) | {f"chances{k}": chances[k].astype(np.uint16)}
             above = rows
         return out
 
@@ -213,7 +220,7 @@ def blocks(docs: DataFrame, most_bytes: int) -> DataFrame:
             vocabulary, tokens = np.unique(flat, return_inverse=True)
             trained = np.repeat(~np.array(held), lengths)
             counts = np.bincount(tokens[trained], minlength=len(vocabulary))
-            row = {"block": [(part << 32) + count], "docs": [keys], "lengths": [lengths.astype(np.int32)], "held": [held], "vocabulary": [vocabulary.astype("<u8").tobytes()], "counts": [squeezed(counts)], "tokens": [squeezed(tokens)]}
+            row = {"block": [(part << 32) + count], "docs": [keys], "lengths": [lengths.astype(np.int32)], "held": [held], "vocabulary": [squeezed(np.diff(vocabulary, prepend=np.uint64(0)))], "counts": [squeezed(counts)], "tokens": [squeezed(tokens)]}
             keys, held, hashes, size, count = [], [], [], 0, count + 1
             kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.bool_()), *[pa.binary()] * 3]
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row.values(), kinds, strict=True)], list(row))
@@ -314,14 +321,14 @@ def context_keys(columns: list[np.ndarray], hashes: np.ndarray) -> np.ndarray:
     return h ^ h >> np.uint64(32)
 
 
-def symbol_hashes(row: pd.Series) -> np.ndarray:
-    return np.concatenate([np.array([1, 2], np.uint64), np.frombuffer(row["vocabulary"], "<u8")])
+def symbol_hashes(words: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.array([1, 2], np.uint64), words])
 
 
-def hot_contexts(row: pd.Series, hot: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+def hot_contexts(row: pd.Series, hot: np.ndarray, hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """The keys, in order, of a block's contexts of up to n - 1 symbols that are all hot, and how often they occur in
     training, of those that end in BEGIN only where a token follows."""
-    hashes, tokens = symbol_hashes(row), restored(row["tokens"]).astype(np.int64) + WORDS
+    tokens = restored(row["tokens"]).astype(np.int64) + WORDS
     lengths, held = np.asarray(row["lengths"], np.int64), np.asarray(row["held"], bool)
     begins = np.cumsum(lengths + 2 * (n - 1)) - lengths - (n - 1)
     flat = np.full(len(tokens) + 2 * (n - 1) * len(lengths), PAD)
@@ -360,6 +367,12 @@ def dealt(columns: list[np.ndarray], hot: np.ndarray, parts: int) -> np.ndarray:
     return ((h >> np.uint64(40)) % np.uint64(parts)).astype(np.int64)
 
 
+def share_of(total: np.ndarray, backoff: tuple, k: int) -> np.ndarray:
+    """The share that contexts of k + 1 words leave to shorter ones, by how often they occur; all, if never."""
+    a, b = backoff[min(k, len(backoff) - 1)]
+    return np.where(total > 0, a * np.maximum(total, 1.0) ** -b, 1.0)
+
+
 def merged_trie(columns: list[np.ndarray], counts: np.ndarray, given: list[np.ndarray], backoff: tuple) -> dict[str, np.ndarray]:
     """The trie's arrays for distinct n-grams in order and their training counts. given has for each level the totals of
     contexts that are counted apart, plus one, and 0 for all others."""
@@ -374,48 +387,49 @@ def merged_trie(columns: list[np.ndarray], counts: np.ndarray, given: list[np.nd
     seen = [np.bincount(x, counts, len(r)) if len(r) else np.empty(0) for x, r in zip(node, rows, strict=True)]
     apart = [g[r] for g, r in zip(given, rows, strict=False)]
     seen = [*(np.where(own > 0, own - 1, c) for own, c in zip(apart, seen, strict=False)), seen[-1]]
-    chances, shares = [np.zeros(len(rows[0]), np.int64)], []
+    chances = [np.zeros(len(rows[0]), np.int64)]
     for k in range(order - 1):
         below = rows[k + 1]
         real = columns[k + 1][below] >= WORDS
         up = node[k][below]
         total = np.bincount(up[real], seen[k + 1][real], len(rows[k])) if len(below) else np.empty(0)
         total = np.where(apart[k] > 0, apart[k] - 1, total)
-        a, b = backoff[min(k, len(backoff) - 1)]
-        share = np.where(total > 0, a * np.maximum(total, 1.0) ** -b, 0.0)
-        shares.append(log_code(share))
+        share = share_of(total, backoff, k)
         chances.append(log_code(np.where(real & (total[up] > 0), (1 - share[up]) * seen[k + 1] / np.maximum(total[up], 1), 0.0)))
-    return Trie.arrays(columns, chances, [*shares, np.zeros(len(rows[-1]), np.int64)])
+    return Trie.arrays(columns, chances)
 
 
-def vocabulary_parts(made: DataFrame, parts: int, hot: int) -> DataFrame:
+def vocabulary_parts(made: DataFrame, parts: int, hot: int | None = None) -> DataFrame:
     """(block, part, numbers, totals) for each block (block, vocabulary, counts) and part of its words, and with block -1
-    how many words a part has, how many of them are in training texts and how often, and those of over hot totals."""
+    how many of a part's words are in training texts and how often, and, as numbers, the hashes and then the numbers of
+    those of over hot totals. A word's number in its part is its rank by totals; without hot there are no numbers."""
 
     def ask(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(frames, 1):
-            vocabulary, counts = np.frombuffer(batch["vocabulary"][0].as_py(), "<u8"), restored(batch["counts"][0].as_py())
+            vocabulary, counts = unpacked(batch["vocabulary"][0].as_py()), restored(batch["counts"][0].as_py())
             where = _word_part(vocabulary, parts)
             for part, (a, b) in _runs(where):
-                yield pa.RecordBatch.from_arrays([pa.array([part]), batch["block"], pa.array([vocabulary[a:b].tobytes()]), pa.array([squeezed(counts[a:b])])], ["part", "block", "words", "counts"])
+                yield pa.RecordBatch.from_arrays([pa.array([part]), batch["block"], pa.array([squeezed(np.diff(vocabulary[a:b], prepend=np.uint64(0)))]), pa.array([squeezed(counts[a:b])])], ["part", "block", "words", "counts"])
 
     def count(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("block")
-        own = [np.frombuffer(x, "<u8") for x in frame["words"]]
+        own = [unpacked(x) for x in frame["words"]]
         words, place = np.unique(np.concatenate(own), return_inverse=True)
         totals = np.zeros(len(words), np.uint64)
         np.add.at(totals, place, np.concatenate([restored(x) for x in frame["counts"]]))
         part, at, out = int(frame["part"].iloc[0]), 0, []
+        rank = np.empty(len(words), np.uint64)
+        rank[np.argsort(-totals.astype(np.int64), kind="stable")] = np.arange(len(words))
         for block, x in zip(frame["block"], own, strict=True):
             here = place[at : at + len(x)]
             at += len(x)
-            out.append((block, part, squeezed(here.astype(np.uint64)), squeezed(totals[here]), 0, 0, 0))
-        often = totals > hot
-        out.append((-1, part, squeezed(words[often]), squeezed(totals[often]), len(words), int((totals > 0).sum()), int(totals.sum())))
-        return pd.DataFrame(out, columns=["block", "part", "numbers", "totals", "words", "distinct", "tokens"])
+            out.append((block, part, b"" if hot is None else squeezed(rank[here]), squeezed(totals[here]), 0, 0))
+        often = np.flatnonzero(totals > hot) if hot is not None else np.empty(0, np.int64)
+        out.append((-1, part, squeezed(np.concatenate([words[often], rank[often]])), squeezed(totals[often]), int((totals > 0).sum()), int(totals.sum())))
+        return pd.DataFrame(out, columns=["block", "part", "numbers", "totals", "distinct", "tokens"])
 
     asked = made.select("block", "vocabulary", "counts").mapInArrow(ask, "part bigint, block bigint, words binary, counts binary")
-    return asked.groupBy("part").applyInPandas(count, "block bigint, part bigint, numbers binary, totals binary, words bigint, distinct bigint, tokens bigint")
+    return asked.groupBy("part").applyInPandas(count, "block bigint, part bigint, numbers binary, totals binary, distinct bigint, tokens bigint")
 
 
 def _word_part(words: np.ndarray, parts: int) -> np.ndarray:
@@ -427,22 +441,28 @@ def _runs(where: np.ndarray) -> list[tuple[int, tuple[int, int]]]:
     return [(int(where[a]), (int(a), int(b))) for a, b in zip(edge[:-1], edge[1:], strict=True)]
 
 
-def hot_words(words: DataFrame, hot: int) -> np.ndarray:
-    """The hashes, in order, of the words of over hot occurrences."""
+def hot_words(words: DataFrame, hot: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes, in order, and the numbers of the words of over hot occurrences."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = [restored(w)[restored(t) > hot].tobytes() for w, t in zip(batch["numbers"].to_pylist(), batch["totals"].to_pylist(), strict=True)]
+            kept = []
+            for part, w, t in zip(*(batch[c].to_pylist() for c in ("part", "numbers", "totals")), strict=True):
+                some, (hashes, rank) = restored(t) > hot, np.split(restored(w), 2)
+                kept.append(np.concatenate([hashes[some], rank[some] * np.uint64(parts) + np.uint64(part)]).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(kept, pa.binary())], ["words"])
 
-    found = words.where("block = -1").select("numbers", "totals").mapInArrow(run, "words binary").where("length(words) > 0").collect()
-    return np.sort(np.frombuffer(b"".join(bytes(r[0]) for r in found), np.uint64))
+    found = words.where("block = -1").select("part", "numbers", "totals").mapInArrow(run, "words binary").where("length(words) > 0").collect()
+    pieces = [np.split(np.frombuffer(bytes(r[0]), np.uint64), 2) for r in found]
+    hashes, numbers = (np.concatenate([np.empty(0, np.uint64), *(p[i] for p in pieces)]) for i in (0, 1))
+    order = np.argsort(hashes)
+    return hashes[order], numbers[order].astype(np.int64)
 
 
-def numbered(words: pd.DataFrame, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The numbers and training counts of a block's vocabulary, in its order; parts are ranges, so they follow it."""
+def numbered(words: pd.DataFrame, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers and training counts of a block's vocabulary, in its order. Frequent words have small numbers."""
     words = words.sort_values("part")
-    numbers = [restored(x) + offsets[int(p)] for p, x in zip(words["part"], words["numbers"], strict=True)]
+    numbers = [restored(x) * np.uint64(parts) + np.uint64(p) for p, x in zip(words["part"], words["numbers"], strict=True)]
     return np.concatenate(numbers).astype(np.int64), np.concatenate([restored(x) for x in words["totals"]]).astype(np.int64)
 
 
@@ -456,10 +476,24 @@ class Deal:
         self.order = np.argsort(to.astype(np.uint16) if parts <= 1 << 16 else to, kind="stable")
         self.runs = _runs(to[self.order])
         edge = np.array([*(a for _, (a, _) in self.runs), len(to)])
-        self.columns = [c[self.order] for c in columns]
-        self.fresh = new_nodes(self.columns, edge[:-1])
-        #: For each level where the runs' prefixes begin among all.
-        self.cuts = [np.searchsorted(np.flatnonzero(f), edge) for f in self.fresh]
+        columns = [c[self.order] for c in columns]
+        self.fresh = [np.flatnonzero(f) for f in new_nodes(columns, edge[:-1])]
+        #: For each level its nodes' symbols and numbers of children, and where the runs' nodes begin.
+        self.symbols = [c[f] for c, f in zip(columns, self.fresh, strict=True)]
+        self.children = [np.diff(np.searchsorted(below, np.append(own, len(to)))) for own, below in zip(self.fresh, self.fresh[1:], strict=False)]
+        self.cuts = [np.searchsorted(f, edge) for f in self.fresh]
+
+
+def unfolded(symbols: list[np.ndarray], children: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The columns of n-grams given by nodes and their numbers of children, and for each level where its nodes begin."""
+    columns, fresh = [], [np.arange(len(symbols[-1]))]
+    for many in reversed(children):
+        fresh.append(fresh[-1][starts_of(many)[:-1]])
+    for k, own in enumerate(symbols):
+        for many in children[k:]:
+            own = np.repeat(own, many)
+        columns.append(own)
+    return columns, fresh[::-1]
 
 
 def score(docs: DataFrame, held: object = None, order: int = 3, backoff: tuple = ((0.9, 0.1), (0.75, 0.15)), block_bytes: int = 8 << 20, part_blocks: int = 4, hot: int = 200_000) -> DataFrame:
@@ -477,35 +511,38 @@ def score(docs: DataFrame, held: object = None, order: int = 3, backoff: tuple =
     many = made.count()
     parts, word_parts = max(12, 2 * many), max(6, -(-many // part_blocks))
     words = written(vocabulary_parts(made, word_parts, hot))
-    known = words.where("block = -1").select("part", "words", "distinct", "tokens").collect()
-    distinct_words, tokens = sum(r["distinct"] for r in known), sum(r["tokens"] for r in known)
-    each = np.zeros(word_parts, np.int64)
-    each[[r["part"] for r in known]] = [r["words"] for r in known]
-    offsets = starts_of(each).astype(np.uint64)
+    drop_shuffles(docs.sparkSession)
+    known = words.where("block = -1").agg(F.sum("distinct"), F.sum("tokens")).first()
+    distinct_words, tokens = int(known[0] or 0), int(known[1] or 0)
     limit = max(hot, tokens >> 23)
-    often = hot_words(words, limit)
+    often, often_numbers = hot_words(words, limit, word_parts)
+    by_number = np.argsort(often_numbers)
 
     def hot_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, 1):
             row = {c: batch[c][0].as_py() for c in batch.schema.names}
-            flags = np.isin(np.frombuffer(row["vocabulary"], "<u8"), often)
-            keys, counts = hot_contexts(row, np.concatenate([flags[:1], flags[:1], flags]), n)
+            vocabulary = unpacked(row["vocabulary"])
+            flags = np.isin(vocabulary, often)
+            keys, counts = hot_contexts(row, np.concatenate([flags[:1], flags[:1], flags]), symbol_hashes(vocabulary), n)
             if len(keys):
-                yield pa.RecordBatch.from_arrays([batch["block"], pa.array([keys.tobytes()]), pa.array([squeezed(counts)])], ["block", "vocabulary", "counts"])
+                yield pa.RecordBatch.from_arrays([batch["block"], pa.array([squeezed(np.diff(keys, prepend=np.uint64(0)))]), pa.array([squeezed(counts)])], ["block", "vocabulary", "counts"])
 
-    base = made.select("block", "lengths", "held", "vocabulary", "tokens")
-    contexts = vocabulary_parts(base.mapInArrow(hot_blocks, "block bigint, vocabulary binary, counts binary"), word_parts, 1 << 62)
+    base = made.select("block", "lengths", "held", "tokens")
+    contexts = vocabulary_parts(made.select(*base.columns, "vocabulary").mapInArrow(hot_blocks, "block bigint, vocabulary binary, counts binary"), word_parts)
     told = words.where("block >= 0").select("block", "part", "numbers", "totals")
     both = told.withColumn("kind", F.lit(0)).union(contexts.where("block >= 0").select("block", "part", "numbers", "totals", F.lit(1)))
 
     def ask(key: tuple, own: pd.DataFrame, rest: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, row in own.iterrows():
-            numbers, totals = numbered(rest[rest["kind"] == 0], offsets)
+            numbers, totals = numbered(rest[rest["kind"] == 0], word_parts)
             found = rest[rest["kind"] == 1].sort_values("part")
             context_totals = np.concatenate([np.empty(0, np.uint64), *(restored(x) for x in found["totals"])]).astype(np.int64)
             flags = hot_symbols(totals, limit)
-            grams, keys, hashes = Grams(row, n), hot_contexts(row, flags, n)[0], symbol_hashes(row)
+            hashes, some = np.zeros(len(numbers), np.uint64), np.flatnonzero(totals > limit)
+            hashes[some] = often[by_number[np.searchsorted(often_numbers[by_number], numbers[some])]] if len(some) else 0
+            hashes = symbol_hashes(hashes)  # only those of hot words are needed
+            grams, keys = Grams(row, n), hot_contexts(row, flags, hashes, n)[0]
             deal = Deal(grams, numbers, flags, parts)
             counts, given = grams.counts[deal.order], []
             for k in range(n - 1):
@@ -516,17 +553,17 @@ def score(docs: DataFrame, held: object = None, order: int = 3, backoff: tuple =
                     value[some] = 1 + context_totals[np.searchsorted(keys, context_keys([c[at[some]] for c in grams.columns[: k + 1]], hashes))]
                 given.append(value)
             for i, (part, (a, b)) in enumerate(deal.runs):
-                own_given = [squeezed(g[cut[i] : cut[i + 1]]) for g, cut in zip(given, deal.cuts, strict=False)]
-                out.append((part, row["block"], [squeezed(c[a:b]) for c in deal.columns], squeezed(counts[a:b]), own_given))
+                own = lambda levels, i=i: [squeezed(x[cut[i] : cut[i + 1]]) for x, cut in zip(levels, deal.cuts, strict=False)]
+                out.append((part, row["block"], own(deal.symbols), own(deal.children), squeezed(counts[a:b]), own(given)))
         release()
-        return pd.DataFrame(out, columns=["part", "block", "grams", "counts", "given"])
+        return pd.DataFrame(out, columns=["part", "block", "symbols", "children", "counts", "given"])
 
     def answer(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("block")
-        columns = [np.concatenate([restored(x[k]) for x in frame["grams"]]).astype(np.int64) for k in range(n)]
+        level = lambda name, k: np.concatenate([restored(x[k]) for x in frame[name]]).astype(np.int64)
+        columns, fresh = unfolded([level("symbols", k) for k in range(n)], [level("children", k) for k in range(n - 1)])
         counts = [restored(x) for x in frame["counts"]]
         edge = starts_of(np.array([len(x) for x in counts]))
-        fresh = [np.flatnonzero(f) for f in new_nodes(columns, edge[:-1])]
         ranks, symbols = ranked(columns)
         grams, place = distinct(ranks)
         del ranks, columns
@@ -536,7 +573,7 @@ def score(docs: DataFrame, held: object = None, order: int = 3, backoff: tuple =
         given = []
         for k in range(n - 1):
             value = np.zeros(int(node[k][-1]) + 1, np.int64)
-            value[node[k][place[fresh[k]]]] = np.concatenate([restored(x[k]) for x in frame["given"]])
+            value[node[k][place[fresh[k]]]] = level("given", k)
             given.append(value)
         arrays, file = mapped(merged_trie(grams, total, given, backoff))
         with file:
@@ -544,18 +581,18 @@ def score(docs: DataFrame, held: object = None, order: int = 3, backoff: tuple =
             found = trie.nodes(grams)
             code = lambda codes, at: np.where(at >= 0, codes[np.maximum(at, 0)] if len(codes) else 0, 0).astype(np.uint64)
             chances = [code(trie.chances[k], found[k])[node[k][place[fresh[k]]]] for k in range(n)]
-            shares = [code(trie.shares[k], found[k])[node[k][place[fresh[k]]]] for k in range(n)]
             del trie
         cuts = [np.searchsorted(f, edge) for f in fresh]
         out = []
         for i, block in enumerate(frame["block"]):
-            own = lambda codes, levels, i=i: squeezed(np.concatenate([codes[k][cuts[k][i] : cuts[k][i + 1]] for k in levels]))
-            out.append((block, int(frame["part"].iloc[0]), own(chances, range(1, n)), own(shares, range(n - 1))))
+            own = squeezed(np.concatenate([chances[k][cuts[k][i] : cuts[k][i + 1]] for k in range(1, n)]))
+            out.append((block, int(frame["part"].iloc[0]), own))
         release()
-        return pd.DataFrame(out, columns=["block", "part", "chances", "shares"])
+        return pd.DataFrame(out, columns=["block", "part", "chances"])
 
-    def levels_of(answers: list, deal: Deal, levels: range) -> list[np.ndarray]:
-        """For each level the probability that came back for each n-gram, in the block's order."""
+    def levels_of(answers: list, deal: Deal) -> list[np.ndarray]:
+        """For each level but the first the probability that came back for each n-gram, in the block's order."""
+        levels = range(1, n)
         pieces = [[] for _ in levels]
         for i, blob in enumerate(answers):
             codes, at = restored(blob), 0
@@ -566,23 +603,32 @@ def score(docs: DataFrame, held: object = None, order: int = 3, backoff: tuple =
         out = []
         for own, k in zip(pieces, levels, strict=True):
             value = np.empty(len(deal.order), np.float64)
-            value[deal.order] = chance_of(np.concatenate(own))[np.cumsum(deal.fresh[k]) - 1]
+            value[deal.order] = np.repeat(chance_of(np.concatenate(own)), np.diff(np.append(deal.fresh[k], len(deal.order))))
             out.append(value)
         return out
 
     def total(key: tuple, own: pd.DataFrame, rest: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, row in own.iterrows():
-            numbers, totals = numbered(pd.DataFrame([x for x in rest["word"] if x is not None]), offsets)
+            numbers, totals = numbered(pd.DataFrame([x for x in rest["word"] if x is not None]), word_parts)
             answers = pd.DataFrame([x for x in rest["reply"] if x is not None]).sort_values("part")
             grams = Grams(row, n)
             deal = Deal(grams, numbers, hot_symbols(totals, limit), parts)
-            chances, shares = levels_of(answers["chances"], deal, range(1, n)), levels_of(answers["shares"], deal, range(n - 1))
+            chances = levels_of(answers["chances"], deal)
+            shares, begun = [], np.ones(len(deal.order), bool)
+            for k in range(n - 1):  # of contexts of k + 1 words
+                if k:
+                    count = np.rint(chances[k - 1] * count / np.maximum(1 - shares[-1], 1e-12))
+                else:
+                    count = np.concatenate([totals[:1], [0], totals])[grams.columns[0]].astype(np.float64)
+                begun &= grams.columns[k] == BEGIN
+                count = np.where(begun, totals[0], count)  # before a document: as often as its end
+                shares.append(share_of(count, backoff, k))
             base = ((totals + 1) / (tokens + distinct_words + 1))[grams.tokens]
             chance = base
             for k in range(2, n + 1):
-                at, share = grams.of_tokens(k), shares[k - 2]
-                chance = chances[k - 2][at] + np.where(share[at] > 0, share[at], 1.0) * chance
+                at = grams.of_tokens(k)
+                chance = chances[k - 2][at] + shares[k - 2][at] * chance
             known_tokens, begin = (totals > 0)[grams.tokens].astype(np.int64), grams.begins
             out.append(
                 pd.DataFrame({
@@ -593,10 +639,12 @@ def score(docs: DataFrame, held: object = None, order: int = 3, backoff: tuple =
         release()
         return pd.concat(out)
 
-    asked = base.groupBy("block").cogroup(both.groupBy("block")).applyInPandas(ask, "part bigint, block bigint, grams array<binary>, counts binary, given array<binary>")
-    answers = written(asked.groupBy("part").applyInPandas(answer, "block bigint, part bigint, chances binary, shares binary"))
-    replies = told.select("block", F.struct("part", "numbers", "totals").alias("word"), F.lit(None).cast("struct<part:bigint,chances:binary,shares:binary>").alias("reply")).unionByName(
-        answers.select("block", F.lit(None).cast("struct<part:bigint,numbers:binary,totals:binary>").alias("word"), F.struct("part", "chances", "shares").alias("reply"))
+    asked = base.groupBy("block").cogroup(both.groupBy("block")).applyInPandas(ask, "part bigint, block bigint, symbols array<binary>, children array<binary>, counts binary, given array<binary>")
+    answers = written(asked.groupBy("part").applyInPandas(answer, "block bigint, part bigint, chances binary"))
+    del asked, contexts, both
+    drop_shuffles(docs.sparkSession)
+    replies = told.select("block", F.struct("part", "numbers", "totals").alias("word"), F.lit(None).cast("struct<part:bigint,chances:binary>").alias("reply")).unionByName(
+        answers.select("block", F.lit(None).cast("struct<part:bigint,numbers:binary,totals:binary>").alias("word"), F.struct("part", "chances").alias("reply"))
     )
     scored = made.select("block", "docs", "lengths", "held", "tokens").groupBy("block").cogroup(replies.groupBy("block"))
     return scored.applyInPandas(total, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")

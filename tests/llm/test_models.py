@@ -87,7 +87,7 @@ def test_trie():
     grams = sorted({(rng.randrange(9), rng.randrange(30), rng.randrange(50)) for _ in range(400)})
     prefixes = [sorted({g[: k + 1] for g in grams}) for k in range(3)]
     codes = [np.arange(1, len(p) + 1) for p in prefixes]
-    arrays, file = ngrams.mapped(ngrams.Trie.arrays([np.array(c) for c in zip(*grams, strict=True)], codes, codes))
+    arrays, file = ngrams.mapped(ngrams.Trie.arrays([np.array(c) for c in zip(*grams, strict=True)], codes))
     with file:
         trie = ngrams.Trie(arrays, 3)
         ask = [(a, b, c) for a in range(11) for b in range(33) for c in range(0, 60, 3)]
