@@ -8,6 +8,7 @@ import gc
 import re
 import tempfile
 import threading
+import time
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -86,9 +87,22 @@ def written(df: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def drop_shuffles(spark: SparkSession) -> None:
-    """Lets Spark's cleaner delete the shuffle files of steps that are written and no longer referred to."""
+    """Lets Spark's cleaner delete the shuffle files of steps that are written and no longer referred to, and waits until
+    it has begun and come to rest, a few seconds at most: the next step should not write beside them."""
+    jvm = spark.sparkContext._jvm
+    known = jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+    first = last = known.size()
+    if not first:
+        return
+    spark.range(1).collect()  # the scheduler refers to its last job until there is another
     gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    jvm.System.gc()
+    for turn in range(40):
+        time.sleep(0.25)
+        now = known.size()
+        if now == last and (now < first or turn >= 8):
+            break
+        last = now
 
 
 def learned_from(key: Column, mod: int, held: int) -> Column:
