@@ -11,15 +11,19 @@ its pairs connect, not its pairs: a leader takes all it links to, and only what
 compared with everything. So a large ball of near copies costs a bucket no more than its size times its outliers.
 
 The pipeline's stage links texts whose sets of distinct shingles have a similarity (common over all) of 4/5 or more,
-decided on the sets themselves. Candidates are complete: in any one order of shingles, two such sets of n and m shingles
-share one among the first n - ceil(4n/5) + 1 of the one and as many of the other, so sets meet in buckets of those. The order
-is by how many sets of a sample have a shingle, then by hash, so a common line makes no long bucket; the sample only moves
-work, as any order is complete. In a bucket pairs must have sizes that allow 4/5, places of the bucket's shingle after which
-enough is left to be shared (so of the near copies of one text, whose own shingles come first, only the nearest meet), and
-128-bit fingerprints of the sets within HEAD_BITS (about 19 at 4/5, so 6 standard deviations), of which the first 64 within
-FIRST_BITS are seen first. Rows of long buckets are first checked against a few leaders, those of the least places, which
-have the fewest shingles of their own, and labels of what that links keep a large group from yielding its pairs; after that
-every pair of different labels in every bucket is checked, so nothing rests on the leaders.
+decided on the sets themselves. Sets of n and m shingles are that similar if and only if they differ in at most t = (n + m) / 9
+shingles, a Hamming distance of sets, and the pigeonring filter finds them: its segments are classes of shingles by hash, cut
+by size so that a ring has over t of them. Then there is a segment, among the first t + 1, from which each chain of l segments
+differs in at most l - 1 shingles. Sets meet in buckets that fix what a chain has in common, each set with all it may lack there
+(nothing in the first segment, one shingle in the first two, ...): a chain is a segment if that holds a shingle which is rare in
+a sample, and otherwise goes on until a segment after the first leaves something in common. The sample only moves work, as both
+sets decide by what they share. No pair of 4/5 or more misses its bucket.
+
+In a bucket pairs must have sizes that allow 4/5 and 128-bit SimHash fingerprints of the sets within HEAD_BITS (about 19 at 4/5,
+so 6 standard deviations), of the first 64 bits within FIRST_BITS. What is left must have parities within t: 512 bits, each
+the parity of the shingles that fall on it, differ in no more places than the sets do. Last come the sets. Pairs of short buckets
+are listed, rows of long ones stay: these are checked against a few leaders first, and labels of what is linked by then keep a
+large group from yielding its pairs; after that every pair of different labels is checked, so nothing rests on the leaders.
 
 Defined results: a null or empty text has fingerprint zero and is linked like any other (in the stage to its like only); rows with equal ids each have
 their own fingerprint, and ids don't link; a null id is never the smallest unless its component has no other; an empty
@@ -29,6 +33,7 @@ table gives an empty one; other columns play no part.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +48,11 @@ from deltaloom.llm.graph import components
 SEED = 42
 #: The most bits that two sets of similarity 4/5 are taken to differ in, of the first 64 and of all 128.
 FIRST_BITS, HEAD_BITS = 27, 44
+#: Bits of a set's parities, and the columns of a set that pairs are compared by.
+PARITY_BITS = 512
+SIGNS = ("h0", "h1", *(f"o{i}" for i in range(PARITY_BITS // 64)))
 #: Rows of longer buckets are linked to leaders before all pairs are compared, in so many rounds at most.
-LONG_BUCKET, ROUNDS = 32, 4
+LONG_BUCKET, ROUNDS = 32, 3
 #: Distinct sets that are looked at for common shingles, and in how many of them a shingle is common.
 SAMPLE, COMMON = 16_384, 3
 #: Bits of the map that tells which sets may be candidates, and of a slot that hold the set's size.
@@ -260,11 +268,21 @@ def set_id(own: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(own.tobytes(), SEED)
 
 
+def mixed(values: np.ndarray) -> np.ndarray:
+    m = (values ^ np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
+    m = (m ^ m >> np.uint64(29)) * np.uint64(0x94D049BB133111EB)
+    return m ^ m >> np.uint64(32)
+
+
 def head_of(own: np.ndarray) -> np.ndarray:
     """128 bits of a set, from its hashes and a mix of them."""
-    m = (own ^ np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
-    m = (m ^ m >> np.uint64(29)) * np.uint64(0x94D049BB133111EB)
-    return majority(np.stack([own, m ^ m >> np.uint64(32)], 1))
+    return majority(np.stack([own, mixed(own)], 1))
+
+
+def parities(own: np.ndarray) -> np.ndarray:
+    """PARITY_BITS bits of a set: a shingle that only one of two sets has flips one of them."""
+    ones = np.bincount((mixed(~own) % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS)
+    return np.packbits((ones & 1).astype(np.uint8), bitorder="little").view("<u8")
 
 
 def similar(x: np.ndarray, y: np.ndarray) -> bool:
@@ -275,26 +293,81 @@ def similar(x: np.ndarray, y: np.ndarray) -> bool:
     return 9 * int((y[at] == x).sum()) >= 4 * (len(x) + len(y))
 
 
-def leading(own: np.ndarray, common: np.ndarray, times: np.ndarray) -> np.ndarray:
-    """The shingles of a set that meet others: its first n - ceil(4n/5) + 1, by how common (sorted) they are."""
-    if len(common) and len(own):
-        at = np.minimum(np.searchsorted(common, own), len(common) - 1)
-        own = own[np.argsort(np.where(common[at] == own, times[at], 0), kind="stable")]
-    return own[: len(own) - (4 * len(own) + 4) // 5 + 1]
+def rare_ones(own: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Which shingles of a set aren't among the common ones (sorted)."""
+    if not len(common):
+        return np.ones(len(own), bool)
+    return common[np.minimum(np.searchsorted(common, own), len(common) - 1)] != own
+
+
+def rings(size: int) -> list[tuple[int, int]]:
+    """For each ring that a set of this size is on, its segments and from how many of them chains start.
+
+    A pair is on the ring of the larger set: tops are 1, 3, 7, 15, ..., and a set of n can be the smaller one up to 5n/4.
+    A ring has over 2 * top / 9 segments, and a set of n differs from others there in at most n / 4 and (n + top) / 9."""
+    top, out = (1 << size.bit_length()) - 1, []
+    while True:
+        out.append((top // 4 + 1, min(size // 4, (size + top) // 9) + 1))
+        if 5 * size // 4 <= top:
+            return out
+        top = 2 * top + 1
+
+
+def chain_keys(own: np.ndarray, rare: np.ndarray) -> np.ndarray:
+    """The buckets of a set (sorted hashes, and which of them are rare): what chains may have in common with another's.
+
+    A sum of mixed hashes stands for what is in common, so that shingles can be left out of it."""
+    size, out = len(own), [np.empty(0, np.uint64)]
+    mix = mixed(own)
+    sums, rares = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix, dtype=np.uint64)]), starts_of(rare)
+    for segments, starts in rings(size) if size else []:
+        edge = np.searchsorted((own >> np.uint64(32)) * np.uint64(segments) >> np.uint64(32), np.arange(segments + 1, dtype=np.uint64))
+        total, settled = sums[edge[1:]] - sums[edge[:-1]], (rares[edge[1:]] > rares[edge[:-1]])[:starts]
+        salt = mixed(np.uint64(segments << 32) | np.arange(starts, dtype=np.uint64))
+        out.append(mixed(total[settled.nonzero()[0]] ^ salt[settled]))
+        at, found = longer_chains(np.flatnonzero(~settled).tolist(), edge.tolist(), total.tolist(), mix.tolist(), size // 5)
+        out.append(mixed(np.array(found, np.uint64) ^ salt[np.array(at, np.int64)]))
+    return np.unique(np.concatenate(out))
+
+
+def longer_chains(starts: list[int], edge: list[int], total: list[int], mix: list[int], most: int) -> tuple[list[int], list[int]]:
+    """Starts and sums of what chains of two or more segments may have in common, each the shortest that leaves something;
+    a set of n shingles lacks at most most = n / 5 of its own in another."""
+    segments, at, found = len(total), [], []
+    for start in starts:
+        now = [(total[start], 0, edge[start + 1] > edge[start])]  # the sum, how many are left out, whether something stays
+        for length in range(2, segments + 1):
+            j = (start + length - 1) % segments
+            own, ahead = mix[edge[j] : edge[j + 1]], []
+            for kept, gone, some in now:
+                for out in range(min(length - 1, most, gone + len(own)) - gone + 1):
+                    for lacking in combinations(own, out):
+                        left = kept + total[j] - sum(lacking)
+                        if some or out < len(own):
+                            at.append(start)
+                            found.append(left & (1 << 64) - 1)
+                        else:
+                            ahead.append((left, gone + out, False))
+            now = ahead
+            if not now:
+                break
+        at += [start] * len(now)  # a ring of one segment
+        found += [kept & (1 << 64) - 1 for kept, _, _ in now]
+    return at, found
 
 
 def set_heads(docs: DataFrame, words: int) -> DataFrame:
-    """docs (key, row with text) with id, the set's digest, its size and its head h0, h1."""
+    """docs (key, row with text) with id, the set's digest, its size and SIGNS, its head and parities."""
     ship(docs.sparkSession)
-    schema = T.StructType([*docs.schema, *(T.StructField(c, T.LongType()) for c in ("id", "size", "h0", "h1"))])
+    schema = T.StructType([*docs.schema, *(T.StructField(c, T.LongType()) for c in ("id", "size", *SIGNS))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            found = np.zeros((batch.num_rows, 4), np.uint64)
+            found = np.zeros((batch.num_rows, 2 + len(SIGNS)), np.uint64)
             for i, text in enumerate(batch["row"].field("text").to_pylist()):
                 own = shingle_set(text, words)
-                found[i] = set_id(own), len(own), *head_of(own)
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(found[:, j].copy().view(np.int64)) for j in range(4))], schema.names)
+                found[i] = set_id(own), len(own), *head_of(own), *parities(own)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(found[:, j].copy().view(np.int64)) for j in range(found.shape[1]))], schema.names)
 
     return docs.mapInArrow(run, schema)
 
@@ -315,9 +388,8 @@ def sets_of(marked: DataFrame, words: int) -> DataFrame:
     return marked.select("id", "text").mapInArrow(run, "id bigint, shingles binary")
 
 
-def common_shingles(texts: DataFrame, ids: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes, sorted, of the shingles in COMMON or more of SAMPLE distinct sets (those of the smallest ids), and in how
-    many they are."""
+def common_shingles(texts: DataFrame, ids: DataFrame, words: int) -> np.ndarray:
+    """Hashes, sorted, of the shingles in COMMON or more of SAMPLE distinct sets (those of the smallest ids)."""
     last = ids.orderBy("id").limit(SAMPLE).agg(F.max("id")).first()[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -326,10 +398,8 @@ def common_shingles(texts: DataFrame, ids: DataFrame, words: int) -> tuple[np.nd
 
     few = sets_of(texts.where(F.col("id") <= F.lit(last).cast("bigint")), words).dropDuplicates(["id"])
     found = few.mapInArrow(run, "shingle bigint").groupBy("shingle").count().where(F.col("count") >= COMMON)
-    packs = found.select("shingle", F.col("count").cast("int").alias("times")).mapInArrow(packed_columns, "shingle binary, times binary").collect()
-    hashes, times = (np.frombuffer(b"".join(bytes(r[i]) for r in packs), kind) for i, kind in enumerate((np.uint64, np.int32)))
-    order = np.argsort(hashes)
-    return hashes[order], times[order]
+    packs = found.select("shingle").mapInArrow(packed_columns, "shingle binary").collect()
+    return np.sort(np.frombuffer(b"".join(bytes(r[0]) for r in packs), np.uint64))
 
 
 def packed_columns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,18 +408,18 @@ def packed_columns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([pa.array([np.asarray(c).tobytes()]) for c in batch.columns], batch.schema.names)
 
 
-def can_share(size: np.ndarray, place: np.ndarray, x: np.ndarray, y: np.ndarray | int) -> np.ndarray:
-    """Which pairs of rows have sizes that allow 4/5, and from the first shared shingle on enough others that may be."""
-    fits = 5 * np.minimum(size[x], size[y]) >= 4 * np.maximum(size[x], size[y])
-    return fits & (9 * np.minimum(size[x] - place[x], size[y] - place[y]) >= 4 * (size[x] + size[y]))
+def near(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray | np.int64) -> np.ndarray:
+    """Which pairs of SIGNS (the head at least) and sizes may be of similarity 4/5 or more."""
+    differ = np.bitwise_count(x ^ y)
+    return (5 * np.minimum(n, m) >= 4 * np.maximum(n, m)) & (differ[:, 0] <= FIRST_BITS) & (differ[:, :2].sum(1) <= HEAD_BITS) & (9 * differ[:, 2:].sum(1, dtype=np.int64) <= n + m)
 
 
-def near_rows(h: np.ndarray, size: np.ndarray, place: np.ndarray, label: np.ndarray, x: np.ndarray, y: np.ndarray | int) -> np.ndarray:
-    """Which pairs of rows have different labels, can share enough and have heads within HEAD_BITS."""
-    return can_share(size, place, x, y) & (label[x] != label[y]) & (np.bitwise_count(h[x] ^ h[y]).sum(-1) <= HEAD_BITS)
+def near_rows(h: np.ndarray, size: np.ndarray, label: np.ndarray, x: np.ndarray, y: np.ndarray | np.int64) -> np.ndarray:
+    """Which pairs of rows have different labels and are near."""
+    return (label[x] != label[y]) & near(h[x], h[y], size[x], size[y])
 
 
-def bucket_pairs(key: np.ndarray, h: np.ndarray, size: np.ndarray, place: np.ndarray, label: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def bucket_pairs(key: np.ndarray, h: np.ndarray, size: np.ndarray, label: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """All pairs of rows of different labels in whole buckets (sorted by key) that near_rows lets pass."""
     edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
     length = np.diff(edge)
@@ -358,27 +428,27 @@ def bucket_pairs(key: np.ndarray, h: np.ndarray, size: np.ndarray, place: np.nda
         at = np.flatnonzero((key[shift:] == key[:-shift]) & short[shift:])
         if not len(at):
             break
-        at = at[near_rows(h, size, place, label, at, at + shift)]
+        at = at[near_rows(h, size, label, at, at + shift)]
         yield at, at + shift
     for k in np.flatnonzero(length > LONG_BUCKET).tolist():
         rows = np.arange(edge[k], edge[k + 1])
-        for i in range(len(rows) - 1):
-            hit = rows[i + 1 :][near_rows(h, size, place, label, rows[i + 1 :], rows[i])]
+        for i in range(len(rows) - 1 if (label[rows] != label[rows[0]]).any() else 0):
+            hit = rows[i + 1 :][near_rows(h, size, label, rows[i + 1 :], rows[i])]
             yield np.full(len(hit), rows[i]), hit
 
 
-def bucket_leaders(key: np.ndarray, own: np.ndarray, h: np.ndarray, size: np.ndarray, place: np.ndarray, label: np.ndarray, seed: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def bucket_leaders(key: np.ndarray, own: np.ndarray, h: np.ndarray, size: np.ndarray, label: np.ndarray, seed: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For rows of whole buckets (sorted by key) a leader of another label that near_rows lets pass: fewer pairs than rows.
 
-    Leaders come by place, from the second seed on at random."""
+    Leaders come by how many rows have their label, so that a large group yields no more than its outliers, then at random
+    by the seed."""
     rank = own.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15 * (2 * seed + 1) % (1 << 64))
-    if not seed:
-        rank = place.astype(np.uint64) << np.uint64(38) | rank >> np.uint64(26)
     edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
     for lo, hi in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
-        rest = lo + np.argsort(rank[lo:hi])
+        _, kind, times = np.unique(label[lo:hi], return_inverse=True, return_counts=True)
+        rest = lo + np.lexsort((rank[lo:hi], -times[kind])) if len(times) > 1 else rank[:0]
         while len(rest) > 1:
-            hit = near_rows(h, size, place, label, rest[1:], rest[0])
+            hit = near_rows(h, size, label, rest[1:], rest[0])
             yield rest[1:][hit], np.full(int(hit.sum()), rest[0])
             rest = rest[1:][~hit]
 
@@ -397,86 +467,101 @@ def whole_buckets(batches: Iterator[pa.RecordBatch], columns: list[str], key: st
     release()
 
 
-def met_rows(texts: DataFrame, words: int, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(key, id, place, many) for the rows (id, size, h0, text) that meet another set of fitting size, place and h0 in a
-    bucket; many tells whether the bucket is a long one, whose rows all stay."""
+def met_rows(texts: DataFrame, words: int, common: np.ndarray) -> DataFrame:
+    """What meets in buckets, of the rows (id, size, h0, h1, text): rows (a, b) for the near pairs of short buckets, and rows
+    (key, a) for all rows of long ones."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in chunks(batches):
-            slots, owns, heads, places = ([np.empty(0, np.int64)] for _ in range(4))
-            for i, h, text in zip(*(batch[c].to_pylist() for c in ("id", "h0", "text")), strict=True):
+            columns: list[list[np.ndarray]] = [[np.empty(0, np.int64)] for _ in range(4)]
+            for i, h0, h1, text in zip(*(batch[c].to_pylist() for c in ("id", "h0", "h1", "text")), strict=True):
                 if i not in seen:
                     seen.add(i)
                     own = shingle_set(text, words)
-                    first = leading(own, *common)
-                    size = np.uint64(min(len(own), (1 << SIZE_BITS) - 1))
-                    slots.append(((first & ~np.uint64((1 << SIZE_BITS) - 1)) | size).view(np.int64))
-                    owns.append(np.full(len(first), i, np.int64))
-                    heads.append(np.full(len(first), h, np.int64))
-                    places.append(np.arange(len(first)) if len(own) == int(size) else np.zeros(len(first), np.int64))  # a size beyond its bits excludes nothing
-            yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(c)) for c in (slots, owns, heads)), pa.array(np.concatenate(places).astype(np.int32))], ["slot", "id", "h0", "place"])
+                    keys = chain_keys(own, rare_ones(own, common))
+                    slots = (keys & ~np.uint64((1 << SIZE_BITS) - 1)) | np.uint64(min(len(own), (1 << SIZE_BITS) - 1))
+                    for column, values in zip(columns, (slots.view(np.int64), *(np.full(len(keys), v, np.int64) for v in (i, h0, h1))), strict=True):
+                        column.append(values)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], ["slot", "id", "h0", "h1"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keyed = (pa.RecordBatch.from_arrays([pa.array(np.asarray(b["slot"]) >> SIZE_BITS), *b.columns], ["key", "slot", "id", "h0", "place"]) for b in batches)
-        for key, slot, own, h0, place in whole_buckets(keyed, ["key", "slot", "id", "h0", "place"], "key"):
+        def out(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+            pairs = np.unique(np.sort(np.stack([np.concatenate([f[j] for f in found]) for j in (0, 1)], 1), 1), axis=0)
+            return pa.RecordBatch.from_arrays([pa.nulls(len(pairs), pa.int64()), *(pa.array(pairs[:, j].copy()) for j in (0, 1))], ["key", "a", "b"])
+
+        keyed = (pa.RecordBatch.from_arrays([pa.array(np.asarray(b["slot"]) >> SIZE_BITS), *b.columns], ["key", "slot", "id", "h0", "h1"]) for b in batches)
+        found, held = [], 0
+        for key, slot, own, h0, h1 in whole_buckets(keyed, ["key", "slot", "id", "h0", "h1"], "key"):
             once = np.ones(len(key), bool)
             once[1:] = (slot[1:] != slot[:-1]) | (own[1:] != own[:-1])
-            key, size, own, h0, place = key[once], slot[once] & (1 << SIZE_BITS) - 1, own[once], h0[once].view(np.uint64), place[once].astype(np.int64)
+            key, size, own, h = key[once], slot[once] & (1 << SIZE_BITS) - 1, own[once], np.stack([h0[once], h1[once]], 1).view(np.uint64)
             length = np.diff(np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]])))
             many = np.repeat(length > LONG_BUCKET, length)
-            keep = many.copy()
             for shift in range(1, LONG_BUCKET):
                 at = np.flatnonzero((key[shift:] == key[:-shift]) & ~many[shift:] & (5 * size[:-shift] >= 4 * size[shift:]))
                 if not len(at):
                     break
-                at = at[can_share(size, place, at, at + shift)]
-                at = at[np.bitwise_count(h0[at] ^ h0[at + shift]) <= FIRST_BITS]
-                keep[at] = keep[at + shift] = True
-            if keep.any():
-                yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (key, own, place, many)], ["key", "id", "place", "many"])
+                at = at[near(h[at], h[at + shift], size[at], size[at + shift]) & (own[at] != own[at + shift])]
+                found.append((own[at], own[at + shift]))
+                held += len(at)
+            if many.any():
+                yield pa.RecordBatch.from_arrays([pa.array(key[many]), pa.array(own[many]), pa.nulls(int(many.sum()), pa.int64())], ["key", "a", "b"])
+            if held > 100_000:
+                yield out(found)
+                found, held = [], 0
+        if held:
+            yield out(found)
 
-    spread_out = texts.select("id", "h0", "text").mapInArrow(spread, "slot bigint, id bigint, h0 bigint, place int")
-    dealt = spread_out.repartition(F.shiftright("slot", SIZE_BITS)).sortWithinPartitions("slot", "id", "place")
-    return dealt.mapInArrow(meet, "key bigint, id bigint, place bigint, many boolean")
+    spread_out = texts.select("id", "h0", "h1", "text").mapInArrow(spread, "slot bigint, id bigint, h0 bigint, h1 bigint")
+    dealt = spread_out.repartition(F.shiftright("slot", SIZE_BITS)).sortWithinPartitions("slot", "id")
+    return dealt.mapInArrow(meet, "key bigint, a bigint, b bigint")
+
+
+def near_pairs(pairs: DataFrame, heads: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sizes and SIGNS (of heads by id) are near."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, 4096):
+            x, y = (np.stack([np.asarray(batch[f"{v}_{c}"]) for c in SIGNS], 1).view(np.uint64) for v in "ab")
+            yield batch.select(["a", "b"]).filter(pa.array(near(x, y, np.asarray(batch["a_size"]), np.asarray(batch["b_size"]))))
+
+    sided = lambda v: heads.select(F.col("id").alias(v), *(F.col(c).alias(f"{v}_{c}") for c in ("size", *SIGNS)))
+    return pairs.join(sided("a"), "a").join(sided("b"), "b").mapInArrow(run, "a bigint, b bigint")
 
 
 def near_met(met: DataFrame) -> DataFrame:
-    """The rows (key, id, h0, h1, size, place, many) that are in a candidate pair of a bucket."""
-    columns = ["key", "id", "h0", "h1", "size", "place", "many"]
+    """The rows (key, id, size, label, SIGNS) that are in a near pair of a bucket and of different labels."""
+    columns = ["key", "id", "size", "label", *SIGNS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wide = (b.set_column(6, "many", b["many"].cast(pa.int64())) for b in batches)
-        for found in whole_buckets(wide, columns, "key"):
-            key, own, h0, h1, size, place, many = found
+        for found in whole_buckets(batches, columns, "key"):
+            key, _, size, label, *signs = found
             keep = np.zeros(len(key), bool)
-            for x, y in bucket_pairs(key, np.stack([h0, h1], 1).view(np.uint64), size, place, own):
+            for x, y in bucket_pairs(key, np.stack(signs, 1).view(np.uint64), size, label):
                 keep[x] = keep[y] = True
-            yield pa.RecordBatch.from_arrays([*(pa.array(c[keep]) for c in found[:6]), pa.array(many[keep].astype(bool))], columns)
+            yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in found], columns)
 
-    schema = ", ".join(f"{c} {'boolean' if c == 'many' else 'bigint'}" for c in columns)
-    return met.select(columns).repartition("key").sortWithinPartitions("key").mapInArrow(run, schema)
+    return met.select(columns).repartition("key").sortWithinPartitions("key").mapInArrow(run, ", ".join(f"{c} bigint" for c in columns))
 
 
 def candidate_pairs(met: DataFrame, seed: int | None = None) -> DataFrame:
-    """Pairs (a, b) of different labels that meet in rows (key, id, h0, h1, size, place, label): all, or with a seed a
-    leader b for each a, the one of least place in its bucket."""
-    columns = ["key", "id", "h0", "h1", "size", "place", "label"]
+    """Pairs (a, b) of different labels that meet in rows (key, id, size, SIGNS, label): all, or with a seed those of rows and
+    their leaders, of which seed 0, when each row is a group of its own, keeps one for each a."""
+    columns = ["key", "id", "size", "label", *SIGNS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(found: list) -> pa.RecordBatch:
-            pairs = np.stack([np.concatenate([f[j] for f in found]) for j in (0, 1, 2)], 1)
-            if seed is None:
-                pairs = np.concatenate([np.sort(pairs[:, :2], 1), np.zeros((len(pairs), 1), np.int64)], 1)
-            pairs = np.unique(pairs, axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, j].copy()) for j in (0, 1, 2)], ["a", "b", "place"])
+            pairs = np.stack([np.concatenate([f[j] for f in found]) for j in (0, 1)], 1)
+            pairs = np.unique(np.sort(pairs, 1) if seed is None else pairs, axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, j].copy()) for j in (0, 1)], ["a", "b"])
 
         found, held = [], 0
-        for key, own, h0, h1, size, place, label in whole_buckets(batches, columns, "key"):
-            h = np.stack([h0, h1], 1).view(np.uint64)
-            for x, y in bucket_pairs(key, h, size, place, label) if seed is None else bucket_leaders(key, own, h, size, place, label, seed):
+        for key, own, size, label, *signs in whole_buckets(batches, columns, "key"):
+            h = np.stack(signs, 1).view(np.uint64)
+            for x, y in bucket_pairs(key, h, size, label) if seed is None else bucket_leaders(key, own, h, size, label, seed):
                 if len(x):
-                    found.append((own[x], own[y], place[y]))
+                    found.append((own[x], own[y]))
                     held += len(x)
                 if held > 100_000:
                     yield out(found)
@@ -484,11 +569,13 @@ def candidate_pairs(met: DataFrame, seed: int | None = None) -> DataFrame:
         if found:
             yield out(found)
 
-    pairs = met.select(columns).repartition("key").sortWithinPartitions("key").mapInArrow(run, "a bigint, b bigint, place bigint")
-    if seed is None:
-        return pairs.select("a", "b").distinct()
-    first = F.struct(F.lit(0).cast("bigint") if seed else F.col("place"), F.xxhash64("b", F.lit(seed)))
-    return pairs.groupBy("a").agg(F.min_by("b", first).alias("b"))
+    pairs = met.select(columns).repartition("key").sortWithinPartitions("key").mapInArrow(run, "a bigint, b bigint")
+    return one_each(pairs, seed) if seed == 0 else pairs.distinct()
+
+
+def one_each(pairs: DataFrame, seed: int) -> DataFrame:
+    """Of the pairs (a, b) one for each a."""
+    return pairs.groupBy("a").agg(F.min_by("b", F.xxhash64("b", F.lit(seed))).alias("b"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -508,9 +595,10 @@ def among(rows: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows whose id is among ids, and some others, as a map of bits lets them pass."""
     slot = F.col("id").bitwiseAND(F.lit((1 << MAP_BITS) - 1))
     bit = F.expr("shiftleft(1L, cast(id & 63 as int))")
-    found = ids.groupBy(F.shiftright(slot, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).collect()
+    found = ids.groupBy(F.shiftright(slot, 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
     bits = np.zeros(1 << MAP_BITS - 6, np.int64)
-    bits[[r["word"] for r in found]] = [r["bits"] for r in found]
+    for pack in found.mapInArrow(packed_columns, "word binary, bits binary").collect():
+        bits[np.frombuffer(bytes(pack["word"]), np.int64)] = np.frombuffer(bytes(pack["bits"]), np.int64)
 
     def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
@@ -529,22 +617,30 @@ def checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def similar_links(texts: DataFrame, heads: DataFrame, words: int) -> DataFrame:
-    """(node, label) of the ids that have others of similarity 4/5 or more: rows (id, size, h0, h1, text), and heads without
-    text, each id once."""
-    common = common_shingles(texts, heads, words)
-    met = written(near_met(met_rows(texts, words, common).join(heads, "id")))
-    sets = written(sets_of(among(texts.select("id", "text"), met.select("id")), words).dropDuplicates(["id"]))
-    drop_shuffles(texts.sparkSession)
-    named = lambda labels: met.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
-    labels = texts.sparkSession.createDataFrame([], "node bigint, label bigint")
-    links = texts.sparkSession.createDataFrame([], "a bigint, b bigint")
-    for seed in range(ROUNDS if met.where("many").limit(1).count() else 0):
-        more = checked(candidate_pairs(named(labels).where("many"), seed), sets)
-        if not more.limit(1).count():
+    """(node, label) of the ids that have others of similarity 4/5 or more: rows (id, h0, h1, text), and heads (id, size,
+    SIGNS), each id once."""
+    spark = texts.sparkSession
+    met = written(met_rows(texts, words, common_shingles(texts, heads, words)))
+    drop_shuffles(spark)
+    pairs = written(near_pairs(met.where("key is null").select("a", "b").distinct(), heads))
+    rows = written(near_met(met.where("key is not null").select("key", F.col("a").alias("id")).join(heads, "id").withColumn("label", F.col("id"))))
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).union(rows.select("id"))
+    sets = written(sets_of(among(texts.select("id", "text"), wanted), words).dropDuplicates(["id"]))
+    drop_shuffles(spark)
+    edges = spark.createDataFrame([], "a bigint, b bigint")
+    for seed in [*range(ROUNDS), None]:
+        more = checked((pairs if seed is None else one_each(pairs, seed)).union(candidate_pairs(rows, seed)).distinct(), sets)
+        labels = components(edges.union(more))
+        if seed is None:
+            break
+        of = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"label_{c}"))  # noqa: B023, E731
+        differ = F.coalesce("label_a", "a") != F.coalesce("label_b", "b")
+        pairs = written(pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").where(differ).select("a", "b"))
+        rows = written(near_met(rows.drop("label").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))))
+        if not pairs.limit(1).count() + rows.limit(1).count():
             break
-        links = links.union(more)
-        labels = components(links)
-    return components(links.union(checked(candidate_pairs(named(labels)), sets)))
+        edges = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+    return labels
 
 
 def without_near_duplicates(docs: DataFrame, words: int = 5) -> DataFrame:
@@ -554,8 +650,8 @@ def without_near_duplicates(docs: DataFrame, words: int = 5) -> DataFrame:
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.monotonically_increasing_id().alias("n")).alias("key")
     marked = written(set_heads(docs.select(key, row), words))
-    distinct = written(marked.groupBy("id").agg(F.min("key").alias("key"), *(F.min(c).alias(c) for c in ("size", "h0", "h1"))))
-    joined = similar_links(marked.select("id", "h0", F.col("row.text").alias("text")), distinct.select("id", "size", "h0", "h1"), words)
+    distinct = written(marked.groupBy("id").agg(F.min("key").alias("key"), *(F.min(c).alias(c) for c in ("size", *SIGNS))))
+    joined = similar_links(marked.select("id", "h0", "h1", F.col("row.text").alias("text")), distinct.select("id", "size", *SIGNS), words)
     rooted = distinct.join(joined.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("label", "id"))
     kept = rooted.groupBy("root").agg(F.min("key").alias("first")).select("first")
     return marked.join(kept, marked["key"] == kept["first"], "left_semi").select("row.*")

@@ -172,3 +172,32 @@ def test_stage_against_all_pairs_from_70_to_90(spark):
         texts += [" ".join(words), " ".join(words[: len(words) - cut] + [f"y{i}.{j}" for j in range(cut)])]
     want = wanted_ids(texts)
     assert 500 < len(want) < 750 and kept_ids(spark, texts) == want
+
+
+def test_sets_of_four_fifths_share_a_chain():
+    rng = np.random.default_rng(8)
+    draw = lambda k: np.unique(rng.integers(0, 1 << 64, k, dtype=np.uint64))
+    for turn in range(1500):
+        n = int(rng.choice([1, 2, 4, 5, 6, 7, 9, 13, 16, 26, 31, 32, 60, 64, 120, 127, 129, 250]))
+        both = draw(n)
+        allowed = len(both) // 4  # both of 4/5 of all: the most that the two may have besides
+        left = int(rng.integers(0, allowed + 1)) if turn % 3 else 0
+        x, y = np.union1d(both, draw(left)), np.union1d(both, draw(allowed - left))
+        assert simhash.similar(x, y)
+        for common in (np.empty(0, np.uint64), both, np.union1d(x, y), np.sort(rng.permutation(both)[: len(both) // 2])):
+            keys = [simhash.chain_keys(s, simhash.rare_ones(s, common)) for s in (x, y)]
+            assert len(np.intersect1d(*keys)), (len(both), left, allowed, len(common))
+        assert 9 * int(np.bitwise_count(simhash.parities(x) ^ simhash.parities(y)).sum()) <= len(x) + len(y)
+
+
+def test_stage_meets_small_sets_and_common_shingles(spark):
+    rng = random.Random(9)
+    lines = [" ".join(f"l{i}.{j}" for j in range(14)) for i in range(30)]
+    texts = []
+    for _ in range(120):  # texts of lines that many have, so that a shingle of their own is the exception
+        words = " ".join(rng.sample(lines, rng.randint(1, 12))).split()
+        texts += [" ".join(words), " ".join(words[: len(words) - rng.randint(0, 3)] + [f"z{rng.randrange(10**6)}"] * rng.randint(0, 2))]
+    texts += [" ".join(f"s{i}.{j}" for j in range(n)) for i, n in enumerate([1, 3, 5, 8, 9, 10, 12] * 4)]
+    texts += [t + " tail" for t in texts[-28:]]
+    want = wanted_ids(texts)
+    assert len(texts) // 4 < len(want) < len(texts) - 20 and kept_ids(spark, texts) == want
