@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from deltaloom.llm import language, mixing, packing, simhash, suffixes
-from deltaloom.llm.common import made_paths, remove, scratch, table, written
+from deltaloom.llm.common import made_paths, release, remove, scratch, table, written
 
 
 #: left: the scratch tables of the last stage that this thread called.
@@ -22,11 +22,12 @@ _own = threading.local()
 
 
 def stage(work: Callable) -> Callable:
-    """work, after the scratch tables of the stage before are gone."""
+    """work, after the scratch tables of the stage before are gone and the driver's Python has given back what it freed."""
 
     @functools.wraps(work)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         remove(spark, _own.__dict__.get("left", []))
+        release()
         before = len(made_paths())
         out = work(spark, docs, sf_dir)
         _own.left = made_paths()[before:]

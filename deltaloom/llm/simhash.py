@@ -22,8 +22,10 @@ sets decide by what they share. No pair of 4/5 or more misses its bucket.
 In a bucket pairs must have sizes that allow 4/5 and 128-bit SimHash fingerprints of the sets within HEAD_BITS (about 19 at 4/5,
 so 6 standard deviations), of the first 64 bits within FIRST_BITS. What is left must have parities within t: 512 bits, each
 the parity of the shingles that fall on it, differ in no more places than the sets do. Last come the sets. Pairs of short buckets
-are listed, rows of long ones stay: these are checked against a few leaders first, and labels of what is linked by then keep a
-large group from yielding its pairs; after that every pair of different labels is checked, so nothing rests on the leaders.
+are listed. Of long ones the rows stay that are near another by their fingerprints, and pairs of rows and a few leaders are listed:
+what these link has one label before the rows get their parities, and labels keep a large group from yielding its pairs. What is
+near with different labels then is listed where a bucket has few such pairs; the rows of other buckets go through more rounds of
+leaders, after which every pair of different labels is checked, so nothing rests on the leaders.
 
 Defined results: a null or empty text has fingerprint zero and is linked like any other (in the stage to its like only); rows with equal ids each have
 their own fingerprint, and ids don't link; a null id is never the smallest unless its component has no other; an empty
@@ -53,6 +55,10 @@ PARITY_BITS = 512
 SIGNS = ("h0", "h1", *(f"o{i}" for i in range(PARITY_BITS // 64)))
 #: Rows of longer buckets are linked to leaders before all pairs are compared, in so many rounds at most.
 LONG_BUCKET, ROUNDS = 32, 3
+#: Long buckets that have up to so many pairs a row yield them; a pair that meets in many of these is then one row.
+LISTED = 4
+#: Rows of buckets that a task sorts, about.
+SORTED = 400_000
 #: Distinct sets that are looked at for common shingles, and in how many of them a shingle is common.
 SAMPLE, COMMON = 16_384, 3
 #: Bits of the map that tells which sets may be candidates, and of a slot that hold the set's size.
@@ -372,13 +378,14 @@ def set_heads(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def sets_of(marked: DataFrame, words: int) -> DataFrame:
-    """(id, shingles as a binary) for rows (id, text), an id once in a task."""
+def sets_of(marked: DataFrame, words: int, ids: DataFrame | None = None) -> DataFrame:
+    """(id, shingles as a binary) for rows (id, text), an id once in a task; with ids, for these and some others."""
+    bits = None if ids is None else id_map(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in chunks(batches):
-            rows = []
+            rows, batch = [], batch if bits is None else batch.filter(in_map(bits, batch["id"]))
             for i, text in zip(batch["id"].to_pylist(), batch["text"].to_pylist(), strict=True):
                 if i not in seen:
                     seen.add(i)
@@ -431,8 +438,10 @@ def bucket_pairs(key: np.ndarray, h: np.ndarray, size: np.ndarray, label: np.nda
         at = at[near_rows(h, size, label, at, at + shift)]
         yield at, at + shift
     for k in np.flatnonzero(length > LONG_BUCKET).tolist():
-        rows = np.arange(edge[k], edge[k + 1])
-        for i in range(len(rows) - 1 if (label[rows] != label[rows[0]]).any() else 0):
+        _, kind, times = np.unique(label[edge[k] : edge[k + 1]], return_inverse=True, return_counts=True)
+        outlier = kind != times.argmax()
+        rows = edge[k] + np.concatenate([np.flatnonzero(outlier), np.flatnonzero(~outlier)])  # the largest group has no pairs of its own
+        for i in range(int(outlier.sum())):
             hit = rows[i + 1 :][near_rows(h, size, label, rows[i + 1 :], rows[i])]
             yield np.full(len(hit), rows[i]), hit
 
@@ -453,6 +462,17 @@ def bucket_leaders(key: np.ndarray, own: np.ndarray, h: np.ndarray, size: np.nda
             rest = rest[1:][~hit]
 
 
+def met_with(x: np.ndarray, y: np.ndarray, rows: np.ndarray, key: np.ndarray, h: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Which rows of whole buckets (sorted by key; rows is 0, 1, ...) are near another of theirs, given pairs (x, y) of them and
+    their leaders: of all rows, those in no pair are compared with their buckets."""
+    keep = np.zeros(len(key), bool)
+    keep[x] = keep[y] = True
+    for i in np.flatnonzero(~keep).tolist():
+        lo, hi = np.searchsorted(key, key[i]), np.searchsorted(key, key[i], "right")
+        keep[i] = near_rows(h, size, rows, rows[lo:hi], rows[i]).any()
+    return keep
+
+
 def whole_buckets(batches: Iterator[pa.RecordBatch], columns: list[str], key: str) -> Iterator[list[np.ndarray]]:
     """The columns of batches sorted by key, cut where no key goes on."""
     held: list[np.ndarray] = [np.empty(0, np.int64)] * len(columns)
@@ -467,9 +487,11 @@ def whole_buckets(batches: Iterator[pa.RecordBatch], columns: list[str], key: st
     release()
 
 
-def met_rows(texts: DataFrame, words: int, common: np.ndarray) -> DataFrame:
-    """What meets in buckets, of the rows (id, size, h0, h1, text): rows (a, b) for the near pairs of short buckets, and rows
-    (key, a) for all rows of long ones."""
+def met_rows(texts: DataFrame, words: int, common: np.ndarray, shingles: int) -> DataFrame:
+    """What meets in buckets, of the rows (id, h0, h1, text): rows (a, b) for the near pairs of short buckets and for near pairs of
+    rows and leaders of long ones, and rows (key, a) for all rows of long ones that are near another there. shingles of all the
+    sets tell how many rows the buckets have."""
+    parts = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), shingles // 2 // SORTED)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -506,7 +528,12 @@ def met_rows(texts: DataFrame, words: int, common: np.ndarray) -> DataFrame:
                 found.append((own[at], own[at + shift]))
                 held += len(at)
             if many.any():
-                yield pa.RecordBatch.from_arrays([pa.array(key[many]), pa.array(own[many]), pa.nulls(int(many.sum()), pa.int64())], ["key", "a", "b"])
+                key, own, h, size, rows = key[many], own[many], h[many], size[many], np.arange(int(many.sum()))
+                led = [np.concatenate([np.empty(0, np.int64), *side]) for side in zip(*bucket_leaders(key, own, h, size, rows, 0), strict=True)] or [rows[:0]] * 2
+                found.append((own[led[0]], own[led[1]]))
+                held += len(led[0])
+                stay = met_with(*led, rows, key, h, size)
+                yield pa.RecordBatch.from_arrays([pa.array(key[stay]), pa.array(own[stay]), pa.nulls(int(stay.sum()), pa.int64())], ["key", "a", "b"])
             if held > 100_000:
                 yield out(found)
                 found, held = [], 0
@@ -514,7 +541,7 @@ def met_rows(texts: DataFrame, words: int, common: np.ndarray) -> DataFrame:
             yield out(found)
 
     spread_out = texts.select("id", "h0", "h1", "text").mapInArrow(spread, "slot bigint, id bigint, h0 bigint, h1 bigint")
-    dealt = spread_out.repartition(F.shiftright("slot", SIZE_BITS)).sortWithinPartitions("slot", "id")
+    dealt = spread_out.repartition(parts, F.shiftright("slot", SIZE_BITS)).sortWithinPartitions("slot", "id")
     return dealt.mapInArrow(meet, "key bigint, a bigint, b bigint")
 
 
@@ -531,23 +558,37 @@ def near_pairs(pairs: DataFrame, heads: DataFrame) -> DataFrame:
 
 
 def near_met(met: DataFrame) -> DataFrame:
-    """The rows (key, id, size, label, SIGNS) that are in a near pair of a bucket and of different labels."""
-    columns = ["key", "id", "size", "label", *SIGNS]
+    """Of rows (key, id, size, label, SIGNS) what is in a near pair of a bucket and of different labels: rows (id, other) for the
+    pairs of buckets that have few, and of the others all columns."""
+    columns, most = ["key", "id", "size", "label", *SIGNS], LISTED
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for found in whole_buckets(batches, columns, "key"):
-            key, _, size, label, *signs = found
-            keep = np.zeros(len(key), bool)
-            for x, y in bucket_pairs(key, np.stack(signs, 1).view(np.uint64), size, label):
-                keep[x] = keep[y] = True
-            yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in found], columns)
+            key, own, size, label, *signs = found
+            h, keep, listed = np.stack(signs, 1).view(np.uint64), np.zeros(len(key), bool), [np.empty((0, 2), np.int64)]
+            edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]])).tolist()
+            for lo, hi in zip(edge[:-1], edge[1:], strict=True):
+                stay, pairs, held = np.zeros(hi - lo, bool), [], 0
+                for x, y in bucket_pairs(key[lo:hi], h[lo:hi], size[lo:hi], label[lo:hi]):
+                    stay[x] = stay[y] = True
+                    held += len(x)
+                    if held <= most * (hi - lo):
+                        pairs.append(np.sort(np.stack([own[lo:hi][x], own[lo:hi][y]], 1), 1))
+                if held <= most * (hi - lo):
+                    listed += pairs
+                else:
+                    keep[lo:hi] = stay
+            pairs = np.unique(np.concatenate(listed), axis=0)
+            nulls, none = pa.nulls(len(pairs), pa.int64()), pa.nulls(int(keep.sum()), pa.int64())
+            yield pa.RecordBatch.from_arrays([*(pa.array(c[keep]) for c in found), none], [*columns, "other"])
+            yield pa.RecordBatch.from_arrays([nulls, pa.array(pairs[:, 0].copy()), *[nulls] * (len(columns) - 2), pa.array(pairs[:, 1].copy())], [*columns, "other"])
 
-    return met.select(columns).repartition("key").sortWithinPartitions("key").mapInArrow(run, ", ".join(f"{c} bigint" for c in columns))
+    return met.select(columns).repartition("key").sortWithinPartitions("key").mapInArrow(run, ", ".join(f"{c} bigint" for c in [*columns, "other"]))
 
 
 def candidate_pairs(met: DataFrame, seed: int | None = None) -> DataFrame:
     """Pairs (a, b) of different labels that meet in rows (key, id, size, SIGNS, label): all, or with a seed those of rows and
-    their leaders, of which seed 0, when each row is a group of its own, keeps one for each a."""
+    their leaders."""
     columns = ["key", "id", "size", "label", *SIGNS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -569,13 +610,7 @@ def candidate_pairs(met: DataFrame, seed: int | None = None) -> DataFrame:
         if found:
             yield out(found)
 
-    pairs = met.select(columns).repartition("key").sortWithinPartitions("key").mapInArrow(run, "a bigint, b bigint")
-    return one_each(pairs, seed) if seed == 0 else pairs.distinct()
-
-
-def one_each(pairs: DataFrame, seed: int) -> DataFrame:
-    """Of the pairs (a, b) one for each a."""
-    return pairs.groupBy("a").agg(F.min_by("b", F.xxhash64("b", F.lit(seed))).alias("b"))
+    return met.select(columns).repartition("key").sortWithinPartitions("key").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -591,27 +626,40 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(check, "a bigint, b bigint")
 
 
-def among(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows whose id is among ids, and some others, as a map of bits lets them pass."""
+def id_map(ids: DataFrame) -> np.ndarray:
+    """A map of bits of the ids."""
     slot = F.col("id").bitwiseAND(F.lit((1 << MAP_BITS) - 1))
     bit = F.expr("shiftleft(1L, cast(id & 63 as int))")
     found = ids.groupBy(F.shiftright(slot, 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
     bits = np.zeros(1 << MAP_BITS - 6, np.int64)
     for pack in found.mapInArrow(packed_columns, "word binary, bits binary").collect():
         bits[np.frombuffer(bytes(pack["word"]), np.int64)] = np.frombuffer(bytes(pack["bits"]), np.int64)
+    return bits
+
+
+def in_map(bits: np.ndarray, ids: pa.Array) -> pa.Array:
+    """Which ids the map lets pass: those it is made of, and some others."""
+    i = np.asarray(ids)
+    return pa.array((bits[(i & (1 << MAP_BITS) - 1) >> 6] >> (i & 63) & 1).astype(bool))
+
+
+def among(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose id is among ids, and some others."""
+    bits = id_map(ids)
 
     def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            i = np.asarray(batch["id"])
-            yield batch.filter(pa.array((bits[(i & (1 << MAP_BITS) - 1) >> 6] >> (i & 63) & 1).astype(bool)))
+            yield batch.filter(in_map(bits, batch["id"]))
 
     return rows.mapInArrow(passing, rows.schema)
 
 
-def checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """verified pairs, for which only the sets of their ids are dealt out; written."""
+def checked(pairs: DataFrame, sets: DataFrame, few: bool) -> DataFrame:
+    """verified pairs, written; if they are few, only the sets of their ids are dealt out. No task runs two Python functions,
+    whose workers would all stay in the executor's memory."""
     pairs = written(pairs)
-    out = written(verified(pairs, among(sets, pairs.select(F.explode(F.array("a", "b")).alias("id")))))
+    own = written(among(sets, pairs.select(F.explode(F.array("a", "b")).alias("id")))) if few else sets
+    out = written(verified(pairs, own))
     drop_shuffles(pairs.sparkSession)
     return out
 
@@ -620,25 +668,26 @@ def similar_links(texts: DataFrame, heads: DataFrame, words: int) -> DataFrame:
     """(node, label) of the ids that have others of similarity 4/5 or more: rows (id, h0, h1, text), and heads (id, size,
     SIGNS), each id once."""
     spark = texts.sparkSession
-    met = written(met_rows(texts, words, common_shingles(texts, heads, words)))
+    met = written(met_rows(texts, words, common_shingles(texts, heads, words), heads.agg(F.sum("size")).first()[0] or 0))
     drop_shuffles(spark)
+    long = met.where("key is not null").select("key", F.col("a").alias("id"))
     pairs = written(near_pairs(met.where("key is null").select("a", "b").distinct(), heads))
-    rows = written(near_met(met.where("key is not null").select("key", F.col("a").alias("id")).join(heads, "id").withColumn("label", F.col("id"))))
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).union(rows.select("id"))
-    sets = written(sets_of(among(texts.select("id", "text"), wanted), words).dropDuplicates(["id"]))
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).union(long.select("id"))
+    sets = written(sets_of(texts, words, wanted).dropDuplicates(["id"]))
     drop_shuffles(spark)
-    edges = spark.createDataFrame([], "a bigint, b bigint")
-    for seed in [*range(ROUNDS), None]:
-        more = checked((pairs if seed is None else one_each(pairs, seed)).union(candidate_pairs(rows, seed)).distinct(), sets)
+    edges, rows = spark.createDataFrame([], "a bigint, b bigint"), None
+    for seed in range(ROUNDS + 1):
+        last = seed == ROUNDS or seed > 0 and rows is None
+        more = checked(pairs if rows is None else pairs.union(candidate_pairs(rows, None if last else seed)).distinct(), sets, seed > 0)
         labels = components(edges.union(more))
-        if seed is None:
+        if last:
             break
-        of = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"label_{c}"))  # noqa: B023, E731
-        differ = F.coalesce("label_a", "a") != F.coalesce("label_b", "b")
-        pairs = written(pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").where(differ).select("a", "b"))
-        rows = written(near_met(rows.drop("label").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))))
-        if not pairs.limit(1).count() + rows.limit(1).count():
+        labelled = lambda x: x.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))  # noqa: B023, E731
+        left = written(near_met(labelled(rows.drop("label")) if seed else long.join(labelled(heads), "id")))
+        if left.isEmpty():
             break
+        rows, pairs = left.where("key is not null").drop("other"), left.where("key is null").selectExpr("id as a", "other as b").distinct()
+        rows = None if rows.isEmpty() else rows
         edges = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
     return labels
 

@@ -201,3 +201,47 @@ def test_stage_meets_small_sets_and_common_shingles(spark):
     texts += [t + " tail" for t in texts[-28:]]
     want = wanted_ids(texts)
     assert len(texts) // 4 < len(want) < len(texts) - 20 and kept_ids(spark, texts) == want
+
+
+def family(seed, rows, most=9):
+    """Texts of which many are a little below 4/5 to each other, and all share most of their shingles."""
+    rng = random.Random(seed)
+    base, texts = [f"w{rng.randrange(10**6)}" for _ in range(300)], []
+    for i in range(rows):
+        own = list(base)
+        for at in rng.sample(range(300), rng.randint(2, most)):
+            own[at] = f"x{i}.{at}"
+        texts.append(" ".join(own))
+    return texts
+
+
+def test_stage_joins_rows_of_long_buckets_once(spark, monkeypatch):
+    given, real = [], simhash.near_met
+
+    def counted(met):
+        given.append(met.count())
+        return real(met)
+
+    monkeypatch.setattr(simhash, "near_met", counted)
+    texts = family(10, 60) + family(11, 60) + family(12, 60)
+    assert kept_ids(spark, texts) == wanted_ids(texts)
+    assert given[0] > 1000 and sum(given[1:]) <= given[0] // 10
+
+
+def test_stage_with_rounds_of_leaders(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "LISTED", 0)  # no bucket yields its pairs before the last round
+    texts = family(13, 120, 13)
+    want = wanted_ids(texts)
+    assert 1 < len(want) < 120 and kept_ids(spark, texts) == want
+
+
+def test_pairs_of_buckets_are_all_of_different_labels():
+    rng = np.random.default_rng(14)
+    key = np.sort(rng.integers(0, 4, 300))
+    h = rng.integers(0, 1 << 64, 10, dtype=np.uint64) ^ (np.uint64(1) << rng.integers(0, 64, (300, 10)).astype(np.uint64))
+    size, label = rng.integers(90, 130, 300), np.minimum(rng.integers(0, 12, 300), 6)
+    found = [np.stack(p, 1) for p in simhash.bucket_pairs(key, h, size, label)]
+    got = [tuple(sorted(p)) for p in np.concatenate(found).tolist()]
+    x, y = np.triu_indices(300, 1)
+    at = (key[x] == key[y]) & simhash.near_rows(h, size, label, x, y)
+    assert len(got) == len(set(got)) and set(got) == set(zip(x[at].tolist(), y[at].tolist(), strict=True))
