@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from deltaloom.llm import chat, language, mixing, ngrams, packing, simhash, suffixes, toxicity, vectors
+from deltaloom.llm import chat, language, mixing, ngrams, packing, resampling, simhash, suffixes, toxicity, vectors
 
 OP3_SQL = r"""
 WITH turns AS (
@@ -55,6 +55,42 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM ranked WHERE n <= 20
 """
 
+#: CRC-32 by the 256-entry table of its rule, byte by byte of each distinct feature.
+OP11_SQL = r"""
+WITH rule AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM range(256) r(i))),
+texts AS (SELECT row_number() OVER () AS n, doc_id, text FROM documents UNION ALL SELECT -row_number() OVER (), NULL, text FROM benchmark),
+words AS (
+  SELECT n, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM texts),
+runs AS (
+  SELECT n, unnest(w) AS f FROM words
+  UNION ALL SELECT n, unnest(list_transform(range(1, greatest(1, len(w))), lambda i: w[i] || ' ' || w[i + 1])) FROM words),
+counted AS (SELECT n, f, count(*) AS c FROM runs GROUP BY ALL),
+bytes AS (
+  SELECT f, list_transform(range(strlen(f)), lambda i: CAST('0x' || substr(hex(encode(f)), 2 * i + 1, 2) AS BIGINT)) AS b FROM (SELECT DISTINCT f FROM counted)),
+bucketed AS (
+  SELECT f, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, t[1 + (xor(c, x) & 255)])), 4294967295) % 10000 AS k FROM bytes, rule),
+totals AS (SELECT k, sum(c) FILTER (n > 0) AS s, sum(c) FILTER (n < 0) AS t FROM counted JOIN bucketed USING (f) GROUP BY k),
+sums AS (SELECT coalesce(sum(s), 0) AS ss, coalesce(sum(t), 0) AS tt FROM totals),
+gains AS (
+  SELECT k, CAST(floor(1000 * ln((CAST(coalesce(t, 0) AS DOUBLE) + 1) * CAST(ss + 10000 AS DOUBLE) / ((CAST(coalesce(s, 0) AS DOUBLE) + 1) * CAST(tt + 10000 AS DOUBLE)))) AS BIGINT) AS g
+  FROM totals, sums),
+weights AS (
+  SELECT n, CAST(sum(c) AS BIGINT) AS n_features, CAST(floor(sum(c * g) / sum(c)) AS BIGINT) AS weight
+  FROM counted JOIN bucketed USING (f) JOIN gains USING (k) WHERE n > 0 GROUP BY n),
+noise AS (SELECT n, doc_id, len(w) AS n_words, CAST('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h FROM words WHERE n > 0),
+scored AS (
+  SELECT n, doc_id, n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((h + 0.5) / 4294967296))) AS BIGINT) AS score
+  FROM noise LEFT JOIN weights USING (n)),
+placed AS (
+  SELECT n, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) AS r, count(*) OVER () AS many FROM scored WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= 25 * many // 100 THEN r END AS rank FROM scored LEFT JOIN placed USING (n)
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
@@ -68,8 +104,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": mixing.op8_mixing,
         "op9_ball_tree": vectors.op9_ball_tree,
         "op10_lm_scoring": ngrams.op10_lm_scoring,
+        "op11_importance": resampling.op11_importance,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_formatting": OP3_SQL, "op7_suffix_dedup": OP7_SQL, "op9_ball_tree": OP9_SQL}
+    return {"op3_chat_formatting": OP3_SQL, "op7_suffix_dedup": OP7_SQL, "op9_ball_tree": OP9_SQL, "op11_importance": OP11_SQL}
