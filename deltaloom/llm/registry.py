@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from deltaloom.llm import chat, language, mixing, ngrams, packing, resampling, simhash, suffixes, toxicity, vectors
+from deltaloom.llm import chat, hard_negatives, language, mixing, ngrams, packing, resampling, secret_scan, simhash, suffixes, toxicity, vectors
 
 OP3_SQL = r"""
 WITH turns AS (
@@ -91,6 +91,55 @@ placed AS (
 SELECT doc_id, n_features, weight, score, CASE WHEN r <= 25 * many // 100 THEN r END AS rank FROM scored LEFT JOIN placed USING (n)
 """
 
+OP12_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_inner_product(a.x, c.x) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND (a.label <> c.label OR c.vec_id <> a.vec_id)),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+windows AS (
+  SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS n
+  FROM positives JOIN scored USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, CAST(n AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM windows WHERE n <= 10
+"""
+
+#: Matches are put between two marks, at which texts are cut; the lengths of the pieces tell where matches begin. Of tokens with a checksum, CRC-32 bit by bit.
+OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS text FROM documents),
+kinds AS (SELECT * FROM (VALUES
+  (1, 'assign', '((?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+)'),
+  (2, 'access', '(AKIA[A-Z0-9]+)'), (3, 'hex', '([0-9a-f]+)'), (4, 'github', '(gh[pousr]_[0-9A-Za-z]+)'), (5, 'npm', '(npm_[0-9A-Za-z]+)')) k(o, kind, pattern)),
+cut AS (SELECT n, o, kind, string_split(regexp_replace(text, pattern, chr(1114108) || '\1' || chr(1114109), 'g'), chr(1114108)) AS parts FROM d, kinds),
+pieces AS (SELECT n, o, kind, unnest(parts) AS piece, unnest(range(len(parts))) AS i FROM cut WHERE len(parts) > 1),
+placed AS (
+  SELECT n, o, kind, i, split_part(piece, chr(1114109), 1) AS m,
+    coalesce(sum(length(piece) - (i > 0)::INT) OVER (PARTITION BY n, o ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a
+  FROM pieces),
+known AS (
+  SELECT n, o, kind, a, a + length(m) AS b, CASE WHEN o > 3 THEN substr(m, strpos(m, '_') + 1) END AS body, m FROM placed WHERE i > 0
+    AND CASE o WHEN 1 THEN length(regexp_extract(m, '[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)$', 1)) >= 8 WHEN 2 THEN length(m) >= 16 WHEN 3 THEN length(m) >= 32 ELSE length(m) = 36 + strpos(m, '_') END),
+summed AS (
+  SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(substr(body, 1, 30), ''), lambda c: [CAST(ascii(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+    lambda c, x: CASE WHEN xor(c, x) & 1 = 1 THEN xor(xor(c, x) >> 1, 3988292384) ELSE xor(c, x) >> 1 END)) AS crc
+  FROM known),
+good AS (
+  SELECT n, o, kind, a, b FROM summed
+  WHERE o <= 3 OR substr(body, 31) = array_to_string(list_transform([5, 4, 3, 2, 1, 0],
+    lambda p: substr('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz', CAST(crc // CAST(62 ** p AS BIGINT) % 62 AS INT) + 1, 1)), '')),
+told AS (
+  SELECT n, count(*) FILTER (o = 1) AS n1, count(*) FILTER (o = 2) AS n2, count(*) FILTER (o = 3) AS n3,
+    string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, o) FILTER (o <= 3) AS base, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, o) AS spans
+  FROM good GROUP BY n)
+SELECT doc_id, coalesce(n1, 0) AS n_assign, coalesce(n2, 0) AS n_access, coalesce(n3, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN told USING (n)
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
@@ -105,8 +154,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_ball_tree": vectors.op9_ball_tree,
         "op10_lm_scoring": ngrams.op10_lm_scoring,
         "op11_importance": resampling.op11_importance,
+        "op12_hard_negatives": hard_negatives.op12_hard_negatives,
+        "op13_secrets": secret_scan.op13_secrets,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_formatting": OP3_SQL, "op7_suffix_dedup": OP7_SQL, "op9_ball_tree": OP9_SQL, "op11_importance": OP11_SQL}
+    return {"op3_chat_formatting": OP3_SQL, "op7_suffix_dedup": OP7_SQL, "op9_ball_tree": OP9_SQL, "op11_importance": OP11_SQL, "op12_hard_negatives": OP12_SQL, "op13_secrets": OP13_SQL}
