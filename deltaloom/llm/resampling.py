@@ -247,17 +247,15 @@ def ranked(rows: DataFrame, good: Column, share: tuple[int, int]) -> DataFrame:
     Scores are integers of a bounded range, so their histogram is small. It tells which scores are drawn and how many rows
     come before each; a score's own rows are ordered in one task, of which noise leaves few to a score."""
     counts = rows.where(good).groupBy("score").agg(F.count(F.lit(1)).alias("n"))
+    most = rows.where(good).count() * share[0] // share[1]
     highest = Window.orderBy(F.desc("score"))  # one row for each distinct score
-    before = counts.select("score", (F.sum("n").over(highest) - F.col("n")).alias("before_"))
-    most = counts.agg(F.expr(f"sum(n) * {share[0]} div {share[1]}").alias("most_"))
-    first = before.join(F.broadcast(most), F.col("before_") < F.col("most_"))
-    drawn = rows.where(good).join(first, "score")
+    before = counts.select("score", (F.sum("n").over(highest) - F.col("n")).alias("before_")).where(F.col("before_") < most)
+    least = before.agg(F.min("score")).first()[0]
+    out = good & (F.col("score") >= least) if least is not None else F.lit(False)
     place = F.col("before_") + F.row_number().over(Window.partitionBy("score").orderBy(F.col("doc_id").asc_nulls_last(), "n_features", "weight"))
-    drawn = drawn.withColumn("rank", F.when(place <= F.col("most_"), place)).drop("before_", "most_")
-    least = F.broadcast(first.agg(F.min("score").alias("least_")))
+    drawn = rows.where(out).join(before, "score").withColumn("rank", F.when(place <= most, place)).drop("before_")
     # what lies below the last score drawn isn't shuffled at all
-    rest = rows.join(least, ~good | F.col("least_").isNull() | (F.col("score") < F.col("least_"))).drop("least_").withColumn("rank", F.lit(None).cast("bigint"))
-    return drawn.unionByName(rest)
+    return drawn.unionByName(rows.where(~out).withColumn("rank", F.lit(None).cast("bigint")))
 
 
 def resampled(docs: DataFrame, target: DataFrame, depth: int = 2, buckets: int = 10_000, seed: int = 7, least_words: int = 20, share: tuple[int, int] = (25, 100)) -> DataFrame:
