@@ -433,7 +433,7 @@ def coerced_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from deltaloom.plans import catalogue_rules  # noqa: F401  registers its own
+    from deltaloom.plans import catalogue_rules, catalogue_streams  # noqa: F401  register their own
 
     return dict(QUERIES)
 

@@ -215,11 +215,19 @@ def to_fluss(t: Type) -> str:
     return {"VARCHAR": "STRING", "VARBINARY": "BYTES"}.get(t.root, str(t.optional()))
 
 
+def to_standard(t: Type) -> str:
+    """Types that any SQL database has; texts of unknown length get what the least of them allow."""
+    if t.root in ("CHAR", "VARCHAR", "DECIMAL", "DATE", "BIGINT", "SMALLINT", "BOOLEAN"):
+        return str(t.optional())
+    plain = {"TINYINT": "SMALLINT", "INT": "INTEGER", "FLOAT": "REAL", "DOUBLE": "DOUBLE PRECISION", "TIME": "TIME", "TIMESTAMP": "TIMESTAMP", "TIMESTAMP_LTZ": "TIMESTAMP", "BINARY": "BLOB", "VARBINARY": "BLOB", "BYTES": "BLOB"}
+    return plain.get(t.root, "VARCHAR(32672)")
+
+
 def same_type(t: Type) -> str:
     return str(t.optional())
 
 
 SINK_DIALECTS: dict[str, Callable[..., str]] = {
     "doris": to_doris, "starrocks": to_starrocks, "oceanbase": to_oceanbase, "elasticsearch": to_elasticsearch, "maxcompute": to_maxcompute, "fluss": to_fluss,
-    "iceberg": same_type, "paimon": same_type, "hudi": same_type,
+    "iceberg": same_type, "paimon": same_type, "hudi": same_type, "jdbc": to_standard,
 }

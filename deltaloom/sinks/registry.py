@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,25 +19,35 @@ SINKS: dict[str, Callable[[SparkSession, Mapping[str, object]], Sink]] = {}
 
 
 class Sink:
-    """write() takes one table's changes of one batch; apply() a schema change; seen batches are written again with the
-    same outcome."""
+    """write() takes one table's changes of a part of a batch (parts are what schema changes cut a batch into); apply() a
+    schema change. What was seen is written again with the same outcome: a stream names itself as the sink's writer, and its
+    batches and parts only grow. apply() with again may follow an attempt that was cut short, and does what is missing."""
 
     #: Schema changes that the sink can apply.
     supported = frozenset({"create.table", "add.column", "alter.column.type", "drop.column", "rename.column", "table.comment", "truncate.table", "drop.table"})
     #: Whether the sink brings its own hash for partitioning.
     own_hash = False
+    #: Whether schema changes reach a system that refuses them a second time, so that a stream must note them.
+    keeps_schemas = False
+    #: The stream that writes, if one does.
+    writer: str | None = None
 
     def __init__(self, spark: SparkSession, options: Mapping[str, object]) -> None:
         self.spark, self.options = spark, options
 
-    def apply(self, change: Change) -> None:
+    def apply(self, change: Change, again: bool = False) -> None:
         if change.kind not in self.supported:
             raise ValueError(f"the sink can't apply {change.kind}")
 
-    def write(self, table: TableId, changes: DataFrame, schema: Schema, batch: int) -> None:
+    def write(self, table: TableId, changes: DataFrame, schema: Schema, batch: int, part: int = 0) -> None:
         raise NotImplementedError
 
 
+def numbered(batch: int, part: int) -> str:
+    """The name of a part of a batch."""
+    return f"{batch}.{part}" if part else str(batch)
+
+
 def sink(name: str) -> Callable:
     def add(made: type) -> type:
         SINKS[name] = made
@@ -57,16 +69,16 @@ class Values(Sink):
 
     def __init__(self, spark: SparkSession, options: Mapping[str, object]) -> None:
         super().__init__(spark, options)
-        self.batches: dict[str, dict[int, DataFrame]] = {}
+        self.batches: dict[str, dict[tuple[int, int], DataFrame]] = {}
         self.schemas: dict[str, Schema] = {}
         self.events: list[Change] = []
 
-    def apply(self, change: Change) -> None:
+    def apply(self, change: Change, again: bool = False) -> None:
         super().apply(change)
         self.events.append(change)
 
-    def write(self, table: TableId, changes: DataFrame, schema: Schema, batch: int) -> None:
-        self.batches.setdefault(str(table), {})[batch] = changes
+    def write(self, table: TableId, changes: DataFrame, schema: Schema, batch: int, part: int = 0) -> None:
+        self.batches.setdefault(str(table), {})[batch, part] = changes
         self.schemas[str(table)] = schema
 
     def changelog(self, table: str) -> DataFrame:
@@ -92,19 +104,20 @@ class Files(Sink):
         path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(text)
         return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def folders(self, table: TableId, kind: str) -> list[int]:
-        """The batches of a kind of folder (version or changes) that are written in full."""
+    def folders(self, table: TableId, kind: str) -> list[tuple[int, int]]:
+        """The (batch, part) of a kind of folder (version or changes) that are written in full."""
         path, fs = self._path(self.root(table))
         found = [x.getPath() for x in fs.listStatus(path)] if fs.exists(path) else []
         whole = [p for p in found if p.getName().startswith(f"{kind}=") and fs.exists(self._path(f"{p}/_SUCCESS")[0])]
-        return sorted(int(p.getName().partition("=")[2]) for p in whole)
+        told = [p.getName().partition("=")[2].partition(".") for p in whole]
+        return sorted((int(batch), int(part or 0)) for batch, _, part in told)
 
-    def versions(self, table: TableId) -> list[int]:
+    def versions(self, table: TableId) -> list[tuple[int, int]]:
         return self.folders(table, "version")
 
-    def pending(self, table: TableId) -> list[int]:
-        """The batches of changes that the newest version hasn't."""
-        last = max(self.versions(table), default=-1)
+    def pending(self, table: TableId) -> list[tuple[int, int]]:
+        """The (batch, part) of changes that the newest version hasn't."""
+        last = max(self.versions(table), default=(-1, 0))
         return [b for b in self.folders(table, "changes") if b > last]
 
     def read(self, table: TableId) -> DataFrame:
@@ -112,41 +125,42 @@ class Files(Sink):
         if not versions and not later:
             raise ValueError(f"{table} hasn't been written")
         if self.options.get("append"):
-            return self.spark.read.parquet(*[f"{self.root(table)}/version={v}" for v in versions])
-        layers = [(v, self.spark.read.parquet(f"{self.root(table)}/version={v}").withColumn("gone_", F.lit(0))) for v in versions[-1:]]
-        layers += [(b, self.spark.read.parquet(f"{self.root(table)}/changes={b}")) for b in later]
-        newest = layers[-1][1].drop("gone_")
+            return self.spark.read.parquet(*[f"{self.root(table)}/version={numbered(*v)}" for v in versions])
+        layers = [self.spark.read.parquet(f"{self.root(table)}/version={numbered(*v)}").withColumn("gone_", F.lit(0)) for v in versions[-1:]]
+        layers += [self.spark.read.parquet(f"{self.root(table)}/changes={numbered(*b)}") for b in later]
+        newest = layers[-1].drop("gone_")
         if not later:
             return newest
         target, kind = Schema.from_spark(newest.schema), T.StructType([T.StructField(f.name, f.dataType) for f in newest.schema])
         keys, merged = [f.name for f in newest.schema if f.metadata.get("key")], None
-        for batch, layer in layers:
+        for place, layer in enumerate(layers):
             own = layer.drop("gone_")
             row = coerced(F.struct(*[F.col(f"`{c}`") for c in own.columns]), Schema.from_spark(own.schema), target).cast(kind)
-            layer = layer.select(row.alias("row"), "gone_", F.lit(batch).alias("batch"))
+            layer = layer.select(row.alias("row"), "gone_", F.lit(place).alias("place"))
             merged = layer if merged is None else merged.unionByName(layer)
-        last = merged.groupBy(*[F.col(f"row.`{k}`").alias(f"k{i}_") for i, k in enumerate(keys)]).agg(F.max_by(F.struct("row", "gone_"), "batch").alias("l"))
+        last = merged.groupBy(*[F.col(f"row.`{k}`").alias(f"k{i}_") for i, k in enumerate(keys)]).agg(F.max_by(F.struct("row", "gone_"), "place").alias("l"))
         return last.where("l.gone_ = 0").select("l.row.*")
 
-    def write(self, table: TableId, changes: DataFrame, schema: Schema, batch: int) -> None:
+    def write(self, table: TableId, changes: DataFrame, schema: Schema, batch: int, part: int = 0) -> None:
+        number = numbered(batch, part)
         if not schema.primary_keys:
             sides = changelog.exploded(changes.where("op <> 'REPLACE'").unionByName(changes.where("op = 'REPLACE'").withColumn("op", F.lit("INSERT"))))
-            sides.write.mode("overwrite").parquet(f"{self.root(table)}/version={batch}")
+            sides.write.mode("overwrite").parquet(f"{self.root(table)}/version={number}")
             return
-        states(changes, schema).select(*marked_keys(schema.names, schema.primary_keys), "gone_").write.mode("overwrite").parquet(f"{self.root(table)}/changes={batch}")
+        states(changes, schema).select(*marked_keys(schema.names, schema.primary_keys), "gone_").write.mode("overwrite").parquet(f"{self.root(table)}/changes={number}")
         later = self.pending(table)
         if len(later) >= int(self.options.get("compact.batches", 8)):
             self.compact(table, schema, later[-1])
 
-    def compact(self, table: TableId, schema: Schema, batch: int) -> None:
-        """Makes the version of a batch, and deletes the folders that it stands for."""
+    def compact(self, table: TableId, schema: Schema, last: tuple[int, int]) -> None:
+        """Makes the version of a part of a batch, and deletes the folders that it stands for."""
         parts = list(schema.partition_keys)
         rows = self.read(table)
         rows = rows.select(*marked_keys(rows.columns, schema.primary_keys))
-        before = [("version", v) for v in self.versions(table) if v < batch] + [("changes", b) for b in self.folders(table, "changes") if b <= batch]
-        (rows.repartition(*parts) if parts else rows).write.mode("overwrite").partitionBy(*parts).parquet(f"{self.root(table)}/version={batch}")
+        before = [("version", v) for v in self.versions(table) if v < last] + [("changes", b) for b in self.folders(table, "changes") if b <= last]
+        (rows.repartition(*parts) if parts else rows).write.mode("overwrite").partitionBy(*parts).parquet(f"{self.root(table)}/version={numbered(*last)}")
         for kind, old in before:
-            path, fs = self._path(f"{self.root(table)}/{kind}={old}")
+            path, fs = self._path(f"{self.root(table)}/{kind}={numbered(*old)}")
             fs.delete(path, True)
 
 
@@ -161,23 +175,26 @@ class Kafka(Sink):
 
     own_hash = True
 
-    def write(self, table: TableId, changes: DataFrame, schema: Schema, batch: int) -> None:
+    def write(self, table: TableId, changes: DataFrame, schema: Schema, batch: int, part: int = 0) -> None:
         mapping = dict(x.split(":", 1) for x in str(self.options.get("sink.tableId-to-topic.mapping", "")).split(";") if ":" in x)
         rows = kafka_rows(
             changes, table, schema.primary_keys, str(self.options.get("value.format", "debezium-json")), str(self.options.get("key.format", "json")), self.options.get("topic"), mapping,
             str(self.options.get("partition.strategy", "all-to-zero")), str(self.options.get("sink.add-tableId-to-header-enabled", "false")).lower() == "true",
         )
         if self.options.get("path"):
-            rows.write.mode("overwrite").json(f"{str(self.options['path']).rstrip('/')}/{table}/batch={batch}")
+            rows.write.mode("overwrite").json(f"{str(self.options['path']).rstrip('/')}/{table}/batch={numbered(batch, part)}")
         else:
             rows.write.format("kafka").option("kafka.bootstrap.servers", str(self.options["properties.bootstrap.servers"])).save()
 
 
 class Database(Sink):
     """Upserts and deletions by JDBC: each key's last state goes to a staging table, from which one transaction deletes and
-    inserts. A batch that comes again leaves the same rows of a table with a key."""
+    inserts, and notes in a ledger how far the writing stream is with the table. A part that comes again is known by the
+    ledger and left out, so tables without a key, too, get its rows once."""
 
-    dialect, mark = "jdbc", '"'
+    dialect, mark, keeps_schemas = "jdbc", '"', True
+    #: (writer, target, batch, part): the last part that a stream has written to a table.
+    LEDGER = "deltaloom_ledger"
 
     def quoted(self, name: object) -> str:
         """A name, or a table's parts, in the dialect's marks."""
@@ -187,7 +204,7 @@ class Database(Sink):
         kind, q = SINK_DIALECTS.get(self.dialect, lambda t: str(t.optional())), self.quoted
         columns = ", ".join(f"{q(c.name)} {kind(c.type)}{'' if c.type.nullable else ' NOT NULL'}" for c in schema.columns)
         keys = f", PRIMARY KEY ({', '.join(map(q, schema.primary_keys))})" if schema.primary_keys else ""
-        return f"CREATE TABLE IF NOT EXISTS {q(table)} ({columns}{keys})"
+        return f"CREATE TABLE {'' if self.dialect == 'jdbc' else 'IF NOT EXISTS '}{q(table)} ({columns}{keys})"
 
     def statements(self, change: Change) -> list[str]:
         """The DDL of a schema change."""
@@ -207,17 +224,48 @@ class Database(Sink):
         if change.kind == "table.comment":
             text = str(change.comment or "").replace("'", "''")
             return [f"COMMENT ON TABLE {table} IS '{text}'" if self.mark == '"' else f"ALTER TABLE {table} COMMENT = '{text}'"]
-        return {"drop.table": [f"DROP TABLE IF EXISTS {table}"], "truncate.table": [f"TRUNCATE TABLE {table}"]}[change.kind]
+        return {"drop.table": [f"DROP TABLE {'' if self.dialect == 'jdbc' else 'IF EXISTS '}{table}"], "truncate.table": [f"TRUNCATE TABLE {table}"]}[change.kind]
 
-    def apply(self, change: Change) -> None:
+    def apply(self, change: Change, again: bool = False) -> None:
         super().apply(change)
+        if change.kind == "create.table" and self.columns(change.table):
+            return
+        if again and (change := self.missing(change)) is None:
+            return
         for text in self.statements(change):
             self.execute(text)
 
+    def missing(self, change: Change) -> Change | None:
+        """What of a change the database doesn't have yet, by its own catalog; changes of types and comments can be repeated."""
+        own = set(self.columns(change.table))
+        if change.kind == "add.column":
+            change = replace(change, added=tuple(a for a in change.added if a[0].name not in own))
+        elif change.kind == "drop.column":
+            change = replace(change, dropped=tuple(n for n in change.dropped if n in own))
+        elif change.kind == "rename.column":
+            change = replace(change, renamed=tuple((a, b) for a, b in change.renamed if a in own))
+        elif change.kind in ("drop.table", "truncate.table"):
+            return change if own else None
+        return None if change.kind in ("add.column", "drop.column", "rename.column") and not (change.added or change.dropped or change.renamed) else change
+
+    def connection(self) -> object:
+        return self.spark.sparkContext._jvm.java.sql.DriverManager.getConnection(str(self.options["url"]), str(self.options.get("user", "")), str(self.options.get("password", "")))
+
+    def columns(self, table: TableId) -> list[str]:
+        """A table's columns, none if there is no such table."""
+        connection = self.connection()
+        try:
+            catalog, schema = (table.namespace or table.schema, None) if self.mark == "`" else (table.namespace, table.schema)
+            found, out = connection.getMetaData().getColumns(catalog, schema, table.table, None), []
+            while found.next():
+                out.append(found.getString("COLUMN_NAME"))
+            return out
+        finally:
+            connection.close()
+
     def execute(self, *texts: str) -> None:
         """Statements in one transaction."""
-        manager = self.spark.sparkContext._jvm.java.sql.DriverManager
-        connection = manager.getConnection(str(self.options["url"]), str(self.options.get("user", "")), str(self.options.get("password", "")))
+        connection = self.connection()
         try:
             connection.setAutoCommit(False)
             for text in texts:
@@ -229,15 +277,43 @@ class Database(Sink):
         finally:
             connection.close()
 
-    def write(self, table: TableId, changes: DataFrame, schema: Schema, batch: int) -> None:
+    def reached(self, table: TableId) -> tuple[int, int]:
+        """The last (batch, part) that the writer has written to a table."""
+        ledger = TableId.parse(self.LEDGER)
+        if not self.columns(ledger):
+            texts = ", ".join(f"{self.quoted(c)} VARCHAR(500) NOT NULL" for c in ("writer", "target"))
+            numbers = ", ".join(f"{self.quoted(c)} BIGINT" for c in ("batch", "part"))
+            self.execute(f"CREATE TABLE {self.quoted(ledger)} ({texts}, {numbers}, PRIMARY KEY ({self.quoted('writer')}, {self.quoted('target')}))")
+        connection = self.connection()
+        try:
+            found = connection.createStatement().executeQuery(f"SELECT {self.quoted('batch')}, {self.quoted('part')} FROM {self.quoted(ledger)} WHERE {self.own(table)}")
+            return (found.getLong(1), found.getLong(2)) if found.next() else (-1, -1)
+        finally:
+            connection.close()
+
+    def own(self, table: TableId) -> str:
+        """The ledger's row of the writer and a table, as a predicate."""
+        return " AND ".join(f"{self.quoted(c)} = {text_of(v)}" for c, v in (("writer", self.writer), ("target", table)))
+
+    def write(self, table: TableId, changes: DataFrame, schema: Schema, batch: int, part: int = 0) -> None:
+        if self.writer and self.reached(table) >= (batch, part):
+            return
         q, keys = self.quoted, list(schema.primary_keys)
-        name, stage = q(table), q(TableId.parse(f"{table}_stage"))
+        name, stage, ledger = q(table), q(TableId.parse(f"{table}_stage")), q(TableId.parse(self.LEDGER))
         rows = states(changes, schema) if keys else changes.where("after is not null").select("after.*", F.lit(0).alias("gone_"))
         rows.write.format("jdbc").options(url=str(self.options["url"]), dbtable=stage, user=str(self.options.get("user", "")), password=str(self.options.get("password", ""))).mode("overwrite").save()
         names = ", ".join(map(q, schema.names))
-        delete = f"DELETE FROM {name} WHERE EXISTS (SELECT 1 FROM {stage} s WHERE {' AND '.join(f's.{q(k)} = {name}.{q(k)}' for k in keys)})"
-        self.execute(*[delete] * bool(keys), f"INSERT INTO {name} ({names}) SELECT {names} FROM {stage} WHERE {q('gone_')} = 0")
-        self.execute(f"DROP TABLE {stage}")
+        work = [f"DELETE FROM {name} WHERE EXISTS (SELECT 1 FROM {stage} s WHERE {' AND '.join(f's.{q(k)} = {name}.{q(k)}' for k in keys)})"] if keys else []
+        work.append(f"INSERT INTO {name} ({names}) SELECT {names} FROM {stage} WHERE {q('gone_')} = 0")
+        if self.writer:
+            work += [f"DELETE FROM {ledger} WHERE {self.own(table)}", f"INSERT INTO {ledger} VALUES ({text_of(self.writer)}, {text_of(table)}, {batch}, {part})"]
+        self.execute(*work)
+        with contextlib.suppress(Exception):  # the part is written; the next one overwrites the stage
+            self.execute(f"DROP TABLE {stage}")
+
+
+def text_of(value: object) -> str:
+    return "'" + str(value).replace("'", "''") + "'"
 
 
 def states(changes: DataFrame, schema: Schema) -> DataFrame:
@@ -254,7 +330,9 @@ for _name, _mark in (("jdbc", '"'), ("doris", "`"), ("starrocks", "`"), ("oceanb
 class Catalogued(Sink):
     """Tables of a catalog that has row-level MERGE: upserts and deletions in one MERGE of each key's last change."""
 
-    def write(self, table: TableId, changes: DataFrame, schema: Schema, batch: int) -> None:
+    keeps_schemas = True
+
+    def write(self, table: TableId, changes: DataFrame, schema: Schema, batch: int, part: int = 0) -> None:
         keys = list(schema.primary_keys)
         name = ".".join([str(self.options["catalog"]), *table.parts]) if self.options.get("catalog") else str(table)
         if not keys:
@@ -267,7 +345,7 @@ class Catalogued(Sink):
         values = {c: F.col(f"s.{c}") for c in schema.names}
         rows.mergeInto(name, on).whenMatched(F.col("s.gone_") == 1).delete().whenMatched().update(values).whenNotMatched(F.col("s.gone_") == 0).insert(values).merge()
 
-    def apply(self, change: Change) -> None:
+    def apply(self, change: Change, again: bool = False) -> None:
         super().apply(change)
         name = ".".join([str(self.options["catalog"]), *change.table.parts]) if self.options.get("catalog") else str(change.table)
         if change.kind == "create.table":
@@ -275,16 +353,18 @@ class Catalogued(Sink):
             fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in change.schema.spark())
             self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({fields}) USING {self.options.get('format', 'iceberg')}{parts}")
         elif change.kind == "add.column":
-            for c, w, a in change.added:
+            own = self.spark.table(name).columns if again else []
+            for c, w, a in (x for x in change.added if x[0].name not in own):
                 place = " FIRST" if w == "FIRST" else f" AFTER `{a}`" if w == "AFTER" else ""
                 self.spark.sql(f"ALTER TABLE {name} ADD COLUMN `{c.name}` {c.type.spark().simpleString()}{place}")
         elif change.kind == "alter.column.type":
             for n, t in change.types:
                 self.spark.sql(f"ALTER TABLE {name} ALTER COLUMN `{n}` TYPE {t.spark().simpleString()}")
         elif change.kind == "drop.column":
-            self.spark.sql(f"ALTER TABLE {name} DROP COLUMNS ({', '.join(f'`{n}`' for n in change.dropped)})")
+            self.spark.sql(f"ALTER TABLE {name} DROP COLUMNS {'IF EXISTS ' if again else ''}({', '.join(f'`{n}`' for n in change.dropped)})")
         elif change.kind == "rename.column":
-            for a, b in change.renamed:
+            own = self.spark.table(name).columns if again else None
+            for a, b in (x for x in change.renamed if own is None or x[0] in own):
                 self.spark.sql(f"ALTER TABLE {name} RENAME COLUMN `{a}` TO `{b}`")
         elif change.kind == "table.comment":
             self.spark.sql(f"COMMENT ON TABLE {name} IS '" + str(change.comment or "").replace("'", "\\'") + "'")
@@ -301,7 +381,7 @@ class Elasticsearch(Sink):
     """Bulk lines (an action, then its document) as text files, a folder for each batch: one action for each key's last
     state. The index may have a shard suffix from a column, of a deletion's key only if that column is part of it."""
 
-    def write(self, table: TableId, changes: DataFrame, schema: Schema, batch: int) -> None:
+    def write(self, table: TableId, changes: DataFrame, schema: Schema, batch: int, part: int = 0) -> None:
         suffix = dict(x.split(":", 1) for x in str(self.options.get("sharding.suffix.key", "")).split(";") if ":" in x).get(str(table))
         index = F.concat_ws(str(self.options.get("sharding.suffix.separator", "$")), F.lit(str(self.options.get("index") or table)), *([F.col(f"`{suffix}`").cast("string")] if suffix else []))
         key = F.concat_ws("_", *[F.col(f"`{k}`").cast("string") for k in schema.primary_keys])
@@ -311,4 +391,4 @@ class Elasticsearch(Sink):
         as_text = lambda c: SINK_DIALECTS["elasticsearch"](c.type) == "STRING" and c.type.root not in ("MAP", "ROW")
         text = F.struct(*[(F.col(f"`{c.name}`").cast("string") if as_text(c) else F.col(f"`{c.name}`")).alias(c.name) for c in schema.columns])
         lines = F.when(gone, action).otherwise(F.concat_ws("\n", action, F.to_json(text)))
-        states(changes, schema).select(lines.alias("value")).write.mode("overwrite").text(f"{str(self.options['path']).rstrip('/')}/{table}/batch={batch}")
+        states(changes, schema).select(lines.alias("value")).write.mode("overwrite").text(f"{str(self.options['path']).rstrip('/')}/{table}/batch={numbered(batch, part)}")

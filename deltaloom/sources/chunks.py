@@ -83,12 +83,15 @@ def chunks(rows: DataFrame, key: str, size: int = CHUNK_ROWS) -> DataFrame:
     return uneven_chunks(rows, key, size)
 
 
-def predicates(bounds: Sequence[tuple], key: str, unbounded_first: bool = False) -> list[str]:
-    """SQL predicates of (low, high) bounds for a partitioned JDBC read."""
+def predicates(bounds: Sequence[tuple], key: str, unbounded_first: bool = False, nulls: bool = False) -> list[str]:
+    """SQL predicates of (low, high) bounds for a partitioned JDBC read; with nulls, rows without a key are in the chunk
+    that has no low bound. Without bounds there is one chunk of all rows."""
     def shown(v: object) -> str:
         return str(v) if isinstance(v, int | float) else "'" + str(v).replace("'", "''") + "'"
 
-    out = [" AND ".join([f"{key} >= {shown(a)}"] * (a is not None) + [f"{key} < {shown(b)}"] * (b is not None)) or "1 = 1" for a, b in bounds]
+    out = [" AND ".join([f"{key} >= {shown(a)}"] * (a is not None) + [f"{key} < {shown(b)}"] * (b is not None)) or "1 = 1" for a, b in bounds or [(None, None)]]
+    if nulls:
+        out = [f"{p} OR {key} IS NULL" if a is None and p != "1 = 1" else p for p, (a, _) in zip(out, bounds or [(None, None)], strict=True)]
     return [out[-1], *out[:-1]] if unbounded_first and out else out
 
 

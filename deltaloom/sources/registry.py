@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 from deltaloom.catalog import Change, Schema, TableId
 from deltaloom.operators import changelog
 from deltaloom.sinks.formats import SOURCE_DIALECTS
-from deltaloom.sources.chunks import CHUNK_ROWS, STARTUP_MODES, is_even, predicates, started, uneven_chunks
+from deltaloom.sources.chunks import CHUNK_ROWS, STARTUP_MODES, predicates, started
+from deltaloom.sources.probes import chunk_bounds
 from deltaloom.sources.selectors import Selectors
 
 SOURCES: dict[str, Callable[[SparkSession, Mapping[str, object]], Source]] = {}
@@ -87,21 +88,19 @@ def files(spark: SparkSession, options: Mapping[str, object]) -> Source:
     return Source(tables, schemas)
 
 
-def jdbc_snapshot(spark: SparkSession, options: Mapping[str, object], table: str, key: str | None, schema: T.StructType | None = None) -> DataFrame:
-    """A table read in chunks of its key: one query for bounds, then a partitioned read with a predicate a chunk."""
-    base = spark.read.format("jdbc").options(**{k: str(v) for k, v in options.items() if k in ("url", "user", "password", "driver", "fetchsize")})
+def jdbc_snapshot(spark: SparkSession, options: Mapping[str, object], table: str, key: str | None, bounds: list[tuple] | None = None) -> DataFrame:
+    """A table, or its chunks of these bounds, read by one query a chunk of the key. Bounds are probed for in the database
+    (see probes); rows without a key are in the chunk that is open below."""
     where = (options.get("scan.snapshot.filters") or {}).get(table)
-    whole = base.option("dbtable", f"(SELECT * FROM {table} WHERE {where}) t" if where else table).load()
+    source = f"(SELECT * FROM {table} WHERE {where}) t" if where else table
+    whole = spark.read.format("jdbc").options(**{k: str(v) for k, v in options.items() if k in ("url", "user", "password", "driver", "fetchsize")}).option("dbtable", source).load()
     if not key:
         return whole
-    size = int(options.get("scan.incremental.snapshot.chunk.size", CHUNK_ROWS))
-    if is_even(whole, key):
-        low, high = whole.agg(F.min(key), F.max(key)).first()
-        parts = max(1, -(-(int(high) - int(low) + 1) // size))
-        return base.option("dbtable", f"(SELECT * FROM {table} WHERE {where}) t" if where else table).option("partitionColumn", key).option("lowerBound", low).option("upperBound", high).option("numPartitions", min(parts, 10_000)).load()
-    bounds = [(r["low"], r["high"]) for r in uneven_chunks(whole, key, size).orderBy("chunk_id").collect()]
-    props = {k: str(options[k]) for k in ("user", "password", "driver") if options.get(k)}
-    return spark.read.jdbc(str(options["url"]), f"(SELECT * FROM {table} WHERE {where}) t" if where else table, predicates=predicates(bounds, key, bool(options.get("scan.incremental.snapshot.unbounded-chunk-first.enabled"))), properties=props)
+    if bounds is None:
+        bounds = chunk_bounds(spark, options, table, key, whole.schema[key].dataType, int(options.get("scan.incremental.snapshot.chunk.size", CHUNK_ROWS)), where)
+    props = {k: str(options[k]) for k in ("user", "password", "driver", "fetchsize") if options.get(k)}
+    first = str(options.get("scan.incremental.snapshot.unbounded-chunk-first.enabled", "false")).lower() == "true"
+    return spark.read.jdbc(str(options["url"]), source, predicates=predicates(bounds, key, first, nulls=True), properties=props)
 
 
 def column_types(spark: SparkSession, options: Mapping[str, object], table: TableId) -> list[tuple[str, str, bool]]:

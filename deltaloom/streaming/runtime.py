@@ -4,10 +4,14 @@ The stream is one DataFrame of (table_id, seq, kind, payload): a row's kind is d
 {op, before, after}; or schema, its payload a schema change (see sources.registry.control_row). Payloads stay text until
 a batch reads them with the schema that holds for their place: schema changes cut a batch into segments, which are
 written in order, so a sink has all rows before a change when it is applied. The registry of schemas is kept as JSON
-beside the checkpoint, with the batch it is of: a batch that comes again starts from the registry before it."""
+beside the checkpoint, with the batch it is of: a batch that comes again starts from the registry before it. What it sends
+to a sink that keeps schemas is noted there as well, before (meant) and after (done): a change that was done isn't sent
+again, one that was meant is taken up where the sink's own catalog says it was left, and one that the sink refused is
+refused again."""
 
 from __future__ import annotations
 
+import itertools
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +26,7 @@ from deltaloom.operators.evolve import Registry, SchemaEvolution, coerced
 from deltaloom.operators.transform import Transform, has_wildcard, referenced_columns, rule_for
 from deltaloom.plans.definition import PipelineDef
 from deltaloom.sinks.registry import Sink
-from deltaloom.sources.registry import control_change
+from deltaloom.sources.registry import control_change, control_row
 
 ROW = "table_id string, seq bigint, kind string, payload string"
 
@@ -38,12 +42,17 @@ class Store:
         return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
     def write(self, name: str, text: str) -> None:
-        path, fs = self._open(name)
-        out = fs.create(path, True)
+        """Under another name first, so that a text is there in full or as it was."""
+        (made, fs), (path, _) = self._open(f"_{name}"), self._open(name)
+        out = fs.create(made, True)
         try:
             out.write(bytearray(text.encode()))
         finally:
             out.close()
+        hadoop, gateway = self.spark.sparkContext._jvm.org.apache.hadoop.fs, self.spark.sparkContext._gateway
+        over = gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+        over[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+        hadoop.FileContext.getFileContext(fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration()).rename(made, path, over)
 
     def read(self, name: str) -> str | None:
         path, fs = self._open(name)
@@ -55,9 +64,14 @@ class Store:
         finally:
             source.close()
 
+    def delete(self, name: str) -> None:
+        path, fs = self._open(name)
+        fs.delete(path, False)
+
     def names(self) -> list[str]:
         path, fs = self._open("")
-        return sorted(s.getPath().getName() for s in fs.listStatus(path)) if fs.exists(path) else []
+        found = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+        return sorted(n for n in found if n[:1] not in "._")
 
 
 class Runtime:
@@ -67,6 +81,7 @@ class Runtime:
         self.spark, self.definition, self.sink = spark, definition, sink
         self.store = Store(spark, f"{checkpoint.rstrip('/')}/registry")
         self.udfs = registered(definition.udfs, definition.models)
+        sink.writer = checkpoint.rstrip("/")
 
     def registry_before(self, batch: int) -> Registry:
         found = [int(n) for n in self.store.names() if n.isdigit() and int(n) < batch]
@@ -89,7 +104,7 @@ class Runtime:
                     self.segment(rows, evolution, table, since[table], seq, number, part)
                 if table in since:
                     since[table] = seq
-                self.schema_change(evolution, change)
+                self.schema_change(evolution, change, number, part)
                 part += 1
             for table in tables:
                 self.segment(rows, evolution, table, since[table], None, number, part)
@@ -97,8 +112,32 @@ class Runtime:
             rows.unpersist()
         registry.version = number
         self.store.write(str(number), registry.dump())
-
-    def schema_change(self, evolution: SchemaEvolution, change: Change) -> None:
+        for name in self.store.names():
+            if name.startswith("change-") and int(name.split("-")[1]) < number:
+                self.store.delete(name)
+
+    def send(self, step: Change, number: int, part: int, turn: int) -> None:
+        """A sink's change, once; turn tells apart the changes that one of the source becomes."""
+        if not self.sink.keeps_schemas:
+            self.sink.apply(step)
+            return
+        name, text = f"change-{number}-{part}-{step.table}-{turn}", control_row(step)
+        noted, _, state = (self.store.read(name) or "").partition("\n")
+        known = noted == text
+        if known and state == "done":
+            return
+        if known and state.startswith("refused"):
+            raise ValueError(state)
+        self.store.write(name, f"{text}\nmeant")
+        try:
+            self.sink.apply(step, again=known)
+        except Exception as wrong:
+            if self.definition.config["schema.change.behavior"] == "TRY_EVOLVE":
+                self.store.write(name, f"{text}\nrefused: {str(wrong)[:200]}")
+            raise
+        self.store.write(name, f"{text}\ndone")
+
+    def schema_change(self, evolution: SchemaEvolution, change: Change, number: int, part: int) -> None:
         """A source's change as its transform lets it through, for each sink table."""
         source, d = str(change.table), self.definition
         rule = rule_for(change.table, d.transforms)
@@ -117,7 +156,8 @@ class Runtime:
                 own = Registry({source: registry.sources.get(f"{source}>{sink}")} if registry.sources.get(f"{source}>{sink}") else {}, registry.sinks)
                 step = SchemaEvolution(evolution.behavior, registry=own)
                 step.accepted = evolution.accepted
-                step.arrive(seen, sink, self.sink.apply)
+                turns = itertools.count()
+                step.arrive(seen, sink, lambda one, turns=turns: self.send(one, number, part, next(turns)))
                 if own.sources.get(source):
                     registry.sources[f"{source}>{sink}"] = own.sources[source]
 
@@ -145,7 +185,7 @@ class Runtime:
         for sink in route.targets(source, self.definition.routes, self.definition.config["route-mode"]):
             target = registry.sinks[str(sink)]
             sides = {s: F.when(F.col(s).isNotNull(), coerced(F.col(s), out, target, evolution.behavior != "EVOLVE")).alias(s) for s in ("before", "after")}
-            self.sink.write(sink, made.select("op", sides["before"], sides["after"], "meta", "seq"), target, number * 1000 + part)
+            self.sink.write(sink, made.select("op", sides["before"], sides["after"], "meta", "seq"), target, number, part)
 
 
 def start(spark: SparkSession, stream: DataFrame, definition: PipelineDef, sink: Sink, checkpoint: str, available_now: bool = False) -> StreamingQuery:
