@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from deltaloom import package
 from deltaloom.catalog import TableId
-from deltaloom.plans.catalogue import query, read
+from deltaloom.plans.catalogue import CHANGES_SQL, flat, query, read, user_changes
 from deltaloom.plans.definition import parse
 from deltaloom.sinks.registry import open_sink
 from deltaloom.sources.follow import Follower, TableOfFiles, follow
+from deltaloom.streaming.normalize import ROCKSDB, normalized
 from deltaloom.streaming.runtime import Runtime
 
 ORDERS, CUSTOMERS = TableId.parse("shop.orders"), TableId.parse("shop.customer")
@@ -104,3 +105,44 @@ def table_added_later(spark: SparkSession, sf_dir: str) -> DataFrame:
     until_done(again, root, chunks_per_batch=2, segments_per_batch=1)
     rows = sink.read(CUSTOMERS).select(F.lit("customer").alias("of"), F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("amount"))
     return rows.unionByName(sink.read(ORDERS).select(F.lit("orders").alias("of"), F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("amount")))
+
+
+NORMALIZED = CHANGES_SQL + """SELECT op, CAST(2 * seq AS BIGINT) AS seq, CASE WHEN op <> 'INSERT' THEN user_id END AS b_user_id, p_event_id AS b_event_id, p_type AS b_event_type, p_value AS b_value,
+  CASE WHEN op <> 'DELETE' THEN user_id END AS a_user_id, CASE WHEN op <> 'DELETE' THEN event_id END AS a_event_id, CASE WHEN op <> 'DELETE' THEN event_type END AS a_event_type, CASE WHEN op <> 'DELETE' THEN value END AS a_value
+  FROM changes"""
+
+
+def user_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users' changes as a log of upserts has them: no rows before, deletions with the key only, and every third said twice."""
+    changes = user_changes(spark, sf_dir)
+    gone, names = F.col("op") == "DELETE", changes.schema["before"].dataType.names
+    key = F.struct(*[(F.col(f"before.{c}") if c == "user_id" else F.lit(None).cast(changes.schema["before"].dataType[c].dataType)).alias(c) for c in names])
+    said = F.explode(F.when(F.coalesce(F.col("after.event_id"), F.lit(1)) % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("said")
+    told = changes.select(F.when(gone, "DELETE").otherwise("REPLACE").alias("op"), F.when(gone, key).alias("before"), "after", "meta", "seq", said)
+    return told.withColumn("seq", 2 * F.col("seq") + F.col("said")).drop("said")
+
+
+@query(NORMALIZED)
+def normalized_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flat(normalized(user_upserts(spark, sf_dir), ["user_id"]))
+
+
+@query(NORMALIZED)
+def normalized_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by keyed state: a stream over each user's first changes, and its restart over the others."""
+    root = package.scratch(spark)
+    upserts = user_upserts(spark, sf_dir)
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    try:
+        for part in ("seq < 8", "seq >= 8"):
+            upserts.where(part).write.mode("append").parquet(f"{root}/in")
+            stream = spark.readStream.schema(upserts.schema).parquet(f"{root}/in")
+            writer = normalized(stream, ["user_id"]).writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/cp")
+            writer.trigger(availableNow=True).start().awaitTermination()
+    finally:
+        if before is None:
+            spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+        else:
+            spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+    return flat(spark.read.parquet(f"{root}/out"))

@@ -33,6 +33,7 @@ from deltaloom.operators import changelog
 from deltaloom.sources.chunks import CHUNK_ROWS, chunks
 from deltaloom.sources.probes import chunk_bounds
 from deltaloom.sources.registry import control_row, jdbc_snapshot, typed_rows
+from deltaloom.streaming.normalize import JSON
 from deltaloom.streaming.runtime import Runtime, Store
 
 WORK = "kind string, name string, a bigint, b bigint"
@@ -243,7 +244,7 @@ class Follower:
     def snapshot(self, table: TableId, reader: Reader, bounds: list[tuple], files: list[str]) -> DataFrame:
         """Chunks of a table as (seq, kind, payload), with what its log has on them since the snapshot was taken."""
         rows = changelog.envelope(reader.rows(bounds), seq=F.lit(SNAPSHOT))
-        out = rows.select("seq", F.lit("data").alias("kind"), F.to_json(F.struct("op", "before", "after", "meta"), {"ignoreNullFields": "false"}).alias("payload"))
+        out = rows.select("seq", F.lit("data").alias("kind"), F.to_json(F.struct("op", "before", "after", "meta"), JSON).alias("payload"))
         if reader.position is None or reader.position >= len(files):
             return out
         events, low, high = self.events(files[reader.position :], table), bounds[0][0], bounds[-1][1]
