@@ -10,8 +10,10 @@ from deltaloom.catalog import TableId
 from deltaloom.plans.catalogue import CHANGES_SQL, flat, query, read, user_changes
 from deltaloom.plans.definition import parse
 from deltaloom.sinks.registry import open_sink
+from deltaloom.sources import positions as P
 from deltaloom.sources.follow import Follower, TableOfFiles, follow
 from deltaloom.streaming.normalize import ROCKSDB, normalized
+from deltaloom.streaming.resolved import Resolver
 from deltaloom.streaming.runtime import Runtime
 
 ORDERS, CUSTOMERS = TableId.parse("shop.orders"), TableId.parse("shop.customer")
@@ -75,7 +77,7 @@ def snapshot_then_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     segmented(order_log(orders), f"{root}/log", 4)
     follower, sink = follower_of(spark, root, 2000)
-    follower.begin(0)
+    follower.begin()
     follower.add(ORDERS, TableOfFiles(orders, "o_orderkey", ["o_orderkey"]), first=True)
     until_done(follower, root, chunks_per_batch=32, segments_per_batch=2)
     return sink.read(ORDERS)
@@ -94,12 +96,12 @@ def table_added_later(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = order_log(orders).unionByName(risen)
     segmented(log.where("at < 1200000000"), f"{root}/log", 3)
     follower, _ = follower_of(spark, root, 2000)
-    follower.begin(0)
+    follower.begin()
     follower.add(ORDERS, TableOfFiles(orders, "o_orderkey", ["o_orderkey"]), first=True)
     until_done(follower, root, chunks_per_batch=32, segments_per_batch=1)
     segmented(log.where("at >= 1200000000"), f"{root}/log", 3, turn=1)
     again, sink = follower_of(spark, root, 500)
-    again.begin(0)
+    again.begin()
     again.add(ORDERS, TableOfFiles(orders, "o_orderkey", ["o_orderkey"]))
     again.add(CUSTOMERS, TableOfFiles(customers, "c_custkey", ["c_custkey"]))
     until_done(again, root, chunks_per_batch=2, segments_per_batch=1)
@@ -146,3 +148,63 @@ def normalized_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         else:
             spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
     return flat(spark.read.parquet(f"{root}/out"))
+
+
+# Positions that aren't one number: servers of a cluster by event_id, shards by user
+
+SERVERS = "SELECT *, 's' || ((event_id // 700) % 3) AS server, event_id AS txn FROM events WHERE user_id % 50 <> 0"
+
+
+def server_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "events").where("user_id % 50 <> 0")
+    return rows.withColumns({"server": F.expr("concat('S', (event_id div 700) % 3)"), "txn": F.col("event_id")})
+
+
+@query(
+    f"""WITH l AS (SELECT DISTINCT server, txn FROM ({SERVERS})), r AS (SELECT server, txn, txn - row_number() OVER (PARTITION BY server ORDER BY txn) AS run FROM l)
+    SELECT server, min(txn) AS low, max(txn) AS high FROM r GROUP BY server, run"""
+)
+def transactions_executed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.executed(server_log(spark, sf_dir), "server", "txn")
+
+
+@query(
+    f"""SELECT event_id, server FROM ({SERVERS}) WHERE NOT ((server = 's0' AND (txn BETWEEN 0 AND 4000 OR txn BETWEEN 4500 AND 7000)) OR (server = 's1' AND (txn BETWEEN 700 AND 799 OR txn BETWEEN 901 AND 8000)))"""
+)
+def transactions_to_come(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a reader still lacks after a failover, by the set it had on two servers, less what it lost."""
+    known = P.Transactions.parse("s0:0-4000,s1:700-8000").union(P.Transactions.parse("S0:4500-7000")).minus(P.Transactions.parse("s1:800-900"))
+    return P.to_come(server_log(spark, sf_dir), known, "server", "txn").select("event_id", F.lower("server").alias("server"))
+
+
+@query("SELECT user_id, max(event_id) AS event_id, max_by(value, event_id) AS value FROM events GROUP BY user_id")
+def shards_followed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two shards of users in any order, of which one is split; what it repeats after its end is left out."""
+    rows = read(spark, sf_dir, "events").select("user_id", "event_id", "value")
+    later = (F.col("user_id") % 2 == 0) & (F.col("event_id") > 3000)
+    shard = F.when(F.col("user_id") % 2 == 1, "80-").when(~later, "-80").when(F.col("user_id") % 4 == 0, "-40").otherwise("40-80")
+    told = rows.select("*", shard.alias("shard"), F.when(later, F.col("event_id") - 3000).otherwise(F.col("event_id")).alias("position"))
+    stale = rows.where(later).select("user_id", "event_id", (-F.col("value") - 1).alias("value"), F.lit("-80").alias("shard"), F.col("event_id").alias("position"))
+    changes = [P.Reshard({"-80": 3000}, ("-40", "40-80"))]
+    ordered = P.by_vector(told.unionByName(stale), "shard", "position", changes)
+    return ordered.groupBy("user_id").agg(F.max_by(F.struct("event_id", "value"), "seq").alias("last")).select("user_id", "last.*")
+
+
+@query(
+    """WITH w AS (SELECT max(event_id) // 6 + 1 AS w FROM events)
+    SELECT event_id, CAST(event_id // w + 2 AS BIGINT) AS batch FROM events, w WHERE event_id // w + 2 <= 6"""
+)
+def regions_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four regions' events, some a batch late and some twice; the last region promises a batch later than the others."""
+    root = package.scratch(spark)
+    rows = read(spark, sf_dir, "events").select(F.col("event_id").alias("commit"), "user_id")
+    width = rows.agg(F.max("commit")).first()[0] // 6 + 1
+    late = (F.col("user_id") % 7 == 0).cast("int")
+    at = F.explode(F.when(F.col("user_id") % 11 == 0, F.array(late, F.lit(1))).otherwise(F.array(late)))
+    rows = rows.select("commit", (F.col("user_id") % 4).alias("region"), F.lit(None).cast("bigint").alias("resolved"), at.alias("late")).withColumn("batch", F.expr(f"commit div {width}") + F.col("late"))
+    promised = spark.range(28).selectExpr("cast(null as bigint) as commit", "id % 4 as region", f"(id div 4 - if(id % 4 = 3, 1, 0)) * {width} - 1 as resolved", "id div 4 as batch")
+    log = rows.drop("late").unionByName(promised)
+    resolver = Resolver(spark, f"{root}/state", 4, lambda changes, batch: changes.write.mode("overwrite").parquet(f"{root}/out/batch={batch}"))
+    for number in range(7):
+        resolver.batch(log.where(F.col("batch") == number).drop("batch"), number)
+    return spark.read.parquet(f"{root}/out").select(F.col("commit").alias("event_id"), F.col("batch").cast("bigint").alias("batch"))

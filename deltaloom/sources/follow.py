@@ -33,6 +33,7 @@ from deltaloom.operators import changelog
 from deltaloom.sources.chunks import CHUNK_ROWS, chunks
 from deltaloom.sources.probes import chunk_bounds
 from deltaloom.sources.registry import control_row, jdbc_snapshot, typed_rows
+from deltaloom.sources.segments import Segments
 from deltaloom.streaming.normalize import JSON
 from deltaloom.streaming.runtime import Runtime, Store
 
@@ -193,10 +194,14 @@ class Follower:
     def segments(self) -> list[str]:
         return Store(self.spark, self.log).names() if self.log else []
 
-    def begin(self, position: int) -> None:
-        """Notes where the log begins, unless the stream has begun before."""
+    def begin(self, mode: str = "initial", offset: int | None = None, millis: int | None = None) -> None:
+        """Notes where the log begins, unless the stream has begun before: for a snapshot, where its tables stand now, or at the
+        beginning where they stand still (see add); else by the startup mode."""
         if self.store.read("start.json") is None:
-            self.store.write("start.json", json.dumps({"log": position}))
+            place = Segments(self.spark, self.log).start(mode, offset, millis) if self.log else 0
+            self.store.write("start.json", json.dumps({"log": place}))
+            self.store.write("since.json", json.dumps([offset if mode == "specific-offset" else None, millis if mode == "timestamp" else None]))
+        self.since = json.loads(self.store.read("since.json"))
 
     def add(self, table: TableId, reader: Reader, first: bool = False, snapshot: bool = True) -> None:
         """Makes a table known: planned once, and from the next batch on read and followed."""
@@ -228,6 +233,9 @@ class Follower:
     def changes(self, events: DataFrame, before: Column, after: Column) -> DataFrame:
         """Events as (seq, kind, payload), judged side by side; changes of the schema as they are."""
         op = F.when(F.col("op").isin("c", "r"), "INSERT").when(F.col("op") == "u", "UPDATE").when(F.col("op") == "d", "DELETE")
+        offset, millis = self.since
+        events = events if offset is None else events.where(F.coalesce("source.pos", "ts_ms") >= offset)
+        events = events if millis is None else events.where(F.col("ts_ms") >= millis)
         moved = events.select(op.alias("op"), "before", "after", "ts_ms", F.coalesce("source.pos", "ts_ms").alias("seq"), "ddl", before.alias("b_"), after.alias("a_"))
         rows = moved.where("ddl is null and op is not null")
         rows = changelog.filtered(rows, F.col("b_"), F.col("a_"))

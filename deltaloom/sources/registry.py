@@ -14,7 +14,9 @@ from deltaloom.catalog import Change, Schema, TableId
 from deltaloom.operators import changelog
 from deltaloom.sinks.formats import SOURCE_DIALECTS
 from deltaloom.sources.chunks import CHUNK_ROWS, STARTUP_MODES, predicates, started
+from deltaloom.sources.positions import Transactions
 from deltaloom.sources.probes import chunk_bounds
+from deltaloom.sources.segments import Segments
 from deltaloom.sources.selectors import Selectors
 
 SOURCES: dict[str, Callable[[SparkSession, Mapping[str, object]], Source]] = {}
@@ -154,9 +156,15 @@ def database(dialect: str) -> None:
             rows, schemas[table] = typed_rows(spark, options, table, rows, dialect, keys.get(name, []))
             parts = [changelog.envelope(rows, seq=F.lit(-1))] if mode in ("initial", "snapshot") else []
             if options.get("log.path") and mode != "snapshot":
-                log = log_events(spark.read.text(str(options["log.path"])), table, rows.schema)
+                segments = Segments(spark, str(options["log.path"]))
+                offset, millis = options.get("scan.startup.specific-offset.pos", options.get("scan.startup.offset")), options.get("scan.startup.timestamp-millis")
+                # of the newest segment what comes after the last position known is still read
+                lines = segments.lines(0 if mode == "latest-offset" else segments.start(mode, offset, millis))
+                if options.get("scan.startup.specific-offset.gtid-set"):
+                    lines = after_transactions(lines, str(options["scan.startup.specific-offset.gtid-set"]))
+                log = log_events(lines, table, rows.schema)
                 skips = (int(options.get(f"scan.startup.specific-offset.skip-{x}", 0)) for x in ("events", "rows"))
-                parts.append(started(log, mode, options.get("scan.startup.offset"), options.get("scan.startup.timestamp-millis"), next(skips), options.get("scan.startup.latest"), next(skips)))
+                parts.append(started(log, mode, offset, millis, next(skips), options.get("scan.startup.latest"), next(skips)))
             out = None
             for p in parts:
                 out = p if out is None else out.unionByName(p)
@@ -221,6 +229,12 @@ def log_events(lines: DataFrame, table: TableId, row: T.StructType, column: str
     return read.select(op.alias("op"), "e.before", "e.after", F.create_map(F.lit("op_ts"), F.col("e.ts_ms").cast("string")).alias("meta"), F.coalesce("e.source.pos", "e.ts_ms").alias("seq"))
 
 
+def after_transactions(lines: DataFrame, known: str) -> DataFrame:
+    """The events of a log (JSON lines whose source.gtid is server:number) that a set of transactions lacks."""
+    gtid = F.from_json("value", "source struct<gtid: string>")["source"]["gtid"]
+    return lines.where(~Transactions.parse(known).has(F.substring_index(gtid, ":", 1), F.substring_index(gtid, ":", -1).try_cast("bigint")))
+
+
 def discovered(spark: SparkSession, options: Mapping[str, object], column: str, table: str | None = None, where: str | None = None) -> list[TableId]:
     """Tables named by the rows of a JDBC query; names that aren't tables are left out."""
     query = str(options["query"]) if options.get("query") else f"SELECT {column} FROM {table}" + (f" WHERE {where}" if where else "")

@@ -1,5 +1,6 @@
 """Snapshots that become streams: probes, NULL keys, runs that are killed, tables that come later, sinks' ledgers and journals."""
 
+import datetime as dt
 import json
 
 import pytest
@@ -7,10 +8,14 @@ import pytest
 from deltaloom.catalog import Change, Column, Schema, TableId, Type
 from deltaloom.plans.definition import parse
 from deltaloom.sinks.registry import Database, Files, open_sink
-from deltaloom.sources import chunks
+from deltaloom.sources import chunks, positions
 from deltaloom.sources.follow import Follower, TableOfDatabase, TableOfFiles, follow
+from deltaloom.sources.positions import Transactions
 from deltaloom.sources.probes import Probes, chunk_bounds
-from deltaloom.sources.registry import control_row, jdbc_snapshot
+from deltaloom.sources.registry import control_row, jdbc_snapshot, open_source
+from deltaloom.sources.segments import Segments
+from deltaloom.streaming.normalize import ROCKSDB, normalized
+from deltaloom.streaming.resolved import Resolver
 from deltaloom.streaming.runtime import ROW, Runtime
 
 ITEMS = TableId.parse("app.items")
@@ -98,7 +103,7 @@ def definition(kind="files", behavior="EVOLVE", more=""):
 def followed(spark, tmp_path, sink, tables, size=10, **options):
     """Runs the stream until it is done or fails; says which."""
     made = Follower(spark, Runtime(spark, definition(), sink, f"{tmp_path}/cp"), f"{tmp_path}/state", f"{tmp_path}/log", size)
-    made.begin(0)
+    made.begin()
     for first, (table, reader) in enumerate(tables):
         made.add(table, reader, first=not first)
     running = follow(made, f"{tmp_path}/cp", interval="0 seconds", **options)
@@ -154,7 +159,7 @@ def test_a_table_joins_while_the_stream_runs(spark, tmp_path):
     segment(tmp_path, 0, event("u", 1, row(5, "n5"), row(5, "x")))
     sink = Files(spark, {"path": f"{tmp_path}/sink"})
     made = Follower(spark, Runtime(spark, definition(), sink, f"{tmp_path}/cp"), f"{tmp_path}/state", f"{tmp_path}/log", 10)
-    made.begin(0)
+    made.begin()
     made.add(ITEMS, TableOfFiles(rows, "id", ["id"]), first=True)
     running = follow(made, f"{tmp_path}/cp", interval="0 seconds")
     try:
@@ -181,6 +186,102 @@ def test_a_database_is_read_in_chunks_and_followed(spark, tmp_path):
     assert {r["ID"]: (r["NAME"], r["QTY"]) for r in sink.read(table).collect()} == want
 
 
+def test_startup_opens_only_the_segments_that_it_needs(spark, tmp_path):
+    for n in range(64):
+        segment(tmp_path, n, *([event("c", 10 * n + i, None, row(10 * n + i, "x")) for i in range(10)] if n % 9 else []))
+    found = Segments(spark, f"{tmp_path}/log")
+    assert found.at_position(355) == 35 and len(found.looked) <= 9
+    assert found.lines(found.at_position(355)).inputFiles() != [] and len(found.lines(35).inputFiles()) == 29
+    assert [found.at_position(x) for x in (0, 10, 11, 9999)] == [0, 0, 1, 62] and found.at_time(100) == 8
+    assert [found.start(m) for m in ("earliest-offset", "latest-offset")] == [0, 64]
+    options = {"type": "mysql", "url": derby(spark, tmp_path, "CREATE TABLE APP.ITEMS (ID INT NOT NULL PRIMARY KEY, NAME VARCHAR(9))")[0], "names": ["APP.ITEMS"], "keys": {"APP.ITEMS": ["ID"]}, "log.path": f"{tmp_path}/log"}
+    segment(tmp_path, 63, *[event("c", 630 + i, None, {"ID": i, "NAME": "y"}, "ITEMS") | {"source": {"table": "ITEMS", "pos": 630 + i, "gtid": f"S:{i}"}} for i in range(10)])
+    rows = open_source(spark, options | {"scan.startup.mode": "specific-offset", "scan.startup.offset": 637}).tables[TableId.parse("APP.ITEMS")]
+    assert sorted(r["after"]["ID"] for r in rows.collect()) == [7, 8, 9] and len(rows.inputFiles()) == 1
+    rows = open_source(spark, options | {"scan.startup.mode": "earliest-offset", "scan.startup.specific-offset.gtid-set": "s:0-3:9"}).tables[TableId.parse("APP.ITEMS")]
+    assert sorted(r["after"]["ID"] for r in rows.collect()) == [4, 5, 6, 7, 8]
+
+
+def test_a_stream_that_starts_in_the_middle_of_its_log(spark, tmp_path):
+    for n in range(6):
+        segment(tmp_path, n, *[event("c", 10 * n + i, None, row(10 * n + i, "x")) for i in range(10)])
+    sink = Files(spark, {"path": f"{tmp_path}/sink"})
+    made = Follower(spark, Runtime(spark, definition(), sink, f"{tmp_path}/cp"), f"{tmp_path}/state", f"{tmp_path}/log")
+    made.begin("specific-offset", offset=34)
+    made.add(ITEMS, TableOfFiles(spark.createDataFrame([], "id bigint, name string"), "id", ["id"]), snapshot=False)
+    running = follow(made, f"{tmp_path}/cp", interval="0 seconds")
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    assert sorted(r["id"] for r in sink.read(ITEMS).collect()) == list(range(34, 60))
+
+
+def test_sets_of_transactions():
+    parse = Transactions.parse
+    a, b = parse("u:1-5:7:8,V:3"), parse("u:4-9,w:1")
+    assert str(a) == "u:1-5:7-8,v:3" and str(a.union(b)) == "u:1-9,v:3,w:1"
+    assert str(a.minus(b)) == "u:1-3,v:3" and str(b.minus(a)) == "u:6:9,w:1" and str(a.minus(a)) == ""
+    assert a.union(b).contains(a) and not a.contains(b) and a.contains(parse(""))
+    for wrong in ("u", "u:x", "u:1-y"):
+        with pytest.raises(ValueError):
+            parse(wrong)
+
+
+def test_transactions_over_ranges_of_numbers(spark, monkeypatch):
+    monkeypatch.setattr(positions, "RANGE", 10)
+    own = [*range(5, 45), *range(50, 51), *range(60, 80), 99, 99]
+    log = spark.createDataFrame([("A", i) for i in own] + [("b", 7), (None, 1), ("b", None)], "s string, n bigint")
+    have = positions.transactions_of(log, "s", "n")
+    assert str(have) == "a:5-44:50:60-79:99,b:7"
+    assert positions.to_come(log, Transactions.parse("a:1-98"), "s", "n").count() == 5
+
+
+def test_vectors_over_shards():
+    at = positions.Shards({"-80": 5, "80-": 3})
+    assert at.merged(positions.Shards({"80-": 9})).positions == {"-80": 5, "80-": 9}
+    split = positions.Reshard({"-80": 6}, ("-40", "40-80"))
+    with pytest.raises(ValueError):
+        at.resharded(split)
+    assert at.merged(positions.Shards({"-80": 6})).resharded(split).positions == {"80-": 3, "-40": 0, "40-80": 0}
+    assert positions.generations([split, positions.Reshard({"-40": 2, "40-80": 3}, ("-80",))]) == {"-40": 1, "40-80": 1, "-80": 2}
+
+
+def test_regions_wait_for_the_slowest_and_batches_repeat(spark, tmp_path):
+    out, kind = {}, "region bigint, commit bigint, resolved bigint, v string"
+    made = Resolver(spark, str(tmp_path), 2, lambda changes, batch: out.update({batch: [(r["commit"], r["v"]) for r in changes.collect()]}))
+    made.batch(spark.createDataFrame([(0, 5, None, "a"), (1, 2, None, "b"), (0, None, 9, None)], kind), 0)
+    assert out[0] == []  # the other region has promised nothing
+    second = spark.createDataFrame([(1, 7, None, "c"), (1, None, 6, None), (0, 12, None, "d"), (1, 2, None, "b")], kind)
+    for _ in range(2):
+        made.batch(second, 1)
+        assert out[1] == [(2, "b"), (5, "a")]
+    made.batch(spark.createDataFrame([(0, None, 20, None), (1, None, 11, None)], kind), 2)
+    assert out[2] == [(7, "c")]
+
+
+@pytest.mark.parametrize("stream", [False, True])
+def test_upserts_become_a_full_changelog(spark, tmp_path, stream):
+    kind = "op string, before struct<id:bigint,at:timestamp_ntz,n:double>, after struct<id:bigint,at:timestamp_ntz,n:double>, meta map<string,string>, seq bigint"
+    t = dt.datetime(2020, 1, 2, 3, 4, 5, 678901)
+    up, gone = lambda i, n, s, at=t: ("REPLACE", None, (i, at, n), None, s), lambda i, s: ("DELETE", (i, None, None), None, None, s)
+    batches = [[up(1, 1.5, 1), up(2, None, 1), up(1, 1.5, 2), up(1, 2.5, 3), gone(9, 1)], [gone(1, 5), gone(1, 6), up(2, 3.5, 2), up(2, 3.5, 3), up(1, 7.5, 8)]]
+    want = [("INSERT", None, (1, t, 1.5), 1), ("UPDATE", (1, t, 1.5), (1, t, 2.5), 3), ("DELETE", (1, t, 2.5), None, 5), ("INSERT", None, (1, t, 7.5), 8), ("INSERT", None, (2, t, None), 1), ("UPDATE", (2, t, None), (2, t, 3.5), 2)]
+    if stream:
+        batches[1].append(up(1, 99.5, 2))  # older than what the key has seen
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+        for rows in batches:
+            spark.createDataFrame(rows, kind).write.mode("append").parquet(f"{tmp_path}/in")
+            writer = normalized(spark.readStream.schema(kind).parquet(f"{tmp_path}/in"), ["id"]).writeStream.format("parquet")
+            writer.option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start().awaitTermination()
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+        got = spark.read.schema(kind).parquet(f"{tmp_path}/out")
+    else:
+        got = normalized(spark.createDataFrame(batches[0] + batches[1], kind), ["id"])
+    told = [(r["op"], r["before"] and tuple(r["before"]), r["after"] and tuple(r["after"]), r["seq"]) for r in got.collect()]
+    assert sorted(told, key=str) == sorted(want, key=str)
+
+
 KEYED, LOOSE = Schema.of(("id", "BIGINT"), ("name", "STRING"), keys=["id"]), Schema.of(("id", "BIGINT"), ("name", "STRING"))
 
 
