@@ -1,8 +1,10 @@
-"""More of the query catalogue: further functions, startup modes, and what the planner decides about types and schemas as
-rows."""
+"""More of the query catalogue: further functions and startup modes; and rules: what the planner decides about types and schemas,
+as rows with the SQL that lists them. Rules read no table's rows, so they are checked by the tests and are no queries."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,17 @@ from deltaloom.sources import chunks as C
 from deltaloom.sources.registry import log_events, open_source
 from deltaloom.sources.selectors import Selectors
 
+RULES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {}
+
+
+def rule(sql: str) -> Callable:
+    def add(made: Callable) -> Callable:
+        RULES[made.__name__] = made, sql
+        return made
+
+    return add
+
+
 # Functions
 
 transformed(
@@ -117,14 +130,14 @@ def event_messages_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(log_events(formats.debezium_json(changes, table), table, changes.schema["after"].dataType)).drop("seq")
 
 
-@query("SELECT 'UPDATE' AS op, 1 AS b_id, 'x' AS b_name, 1 AS a_id, 'y' AS a_name UNION ALL SELECT 'INSERT', NULL, NULL, 1, 'x' UNION ALL SELECT 'DELETE', 1, 'y', NULL, NULL")
+@rule("SELECT 'UPDATE' AS op, 1 AS b_id, 'x' AS b_name, 1 AS a_id, 'y' AS a_name UNION ALL SELECT 'INSERT', NULL, NULL, 1, 'x' UNION ALL SELECT 'DELETE', 1, 'y', NULL, NULL")
 def values_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = [["INSERT", None, [1, "x"]], ["UPDATE", [1, "x"], [1, "y"]], ["DELETE", [1, "y"], None]]
     events = [{"table": "app.t", "schema": [["id", "INT"], ["name", "STRING"]], "keys": ["id"], "rows": rows}]
     return flat(open_source(spark, {"type": "values", "events": events}).tables[TableId.parse("app.t")]).drop("seq")
 
 
-@query("SELECT 'app.orders_' || i AS table_id FROM range(0, 20) r(i) WHERE i % 10 <> 3 AND i <> 7 UNION ALL SELECT 'app.users'")
+@rule("SELECT 'app.orders_' || i AS table_id FROM range(0, 20) r(i) WHERE i % 10 <> 3 AND i <> 7 UNION ALL SELECT 'app.users'")
 def selected_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = [TableId.parse(f"{a}.{b}") for a in ("app", "old") for b in ("users", "stock", *(f"orders_{i}" for i in range(20)))]
     kept = Selectors(r"app.orders_\.*, app.users", r"app.orders_\.?3, \.*.orders_7").select(tables)
@@ -183,7 +196,7 @@ def typed(kind: str, dialects: dict, pairs: dict, read_type: object) -> None:
             return listed(spark, [(a, str(dialects[name](read_type(a)))) for a, _ in own], "given string, becomes string")
 
         run.__name__ = f"{kind}_{name}"
-        query(rows_sql("given, becomes", own))(run)
+        rule(rows_sql("given, becomes", own))(run)
 
 
 typed("type_from", formats.SOURCE_DIALECTS, SOURCE_TYPES, str)
@@ -196,7 +209,7 @@ COMMON = [
 ]
 
 
-@query(rows_sql("a, b, common", COMMON))
+@rule(rows_sql("a, b, common", COMMON))
 def least_common_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listed(spark, [(a, b, str(S.least_common_type(Type.parse(a), Type.parse(b)))) for a, b, _ in COMMON], "a string, b string, common string")
 
@@ -217,7 +230,7 @@ def described(schema: Schema) -> str:
     return ", ".join(f"{c.name} {c.type}" for c in schema.columns) + f" / {', '.join(schema.primary_keys)} / {schema.comment or ''}"
 
 
-@query(
+@rule(
     rows_sql(
         "change, becomes",
         [
@@ -230,12 +243,12 @@ def applied_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listed(spark, [(k, described(S.apply_change(BASE, c))) for k, c in CHANGES.items()], "change string, becomes string")
 
 
-@query(rows_sql("change, lenient", [("add first", "add.column"), ("add after", "add.column"), ("alter", "alter.column.type"), ("drop", ""), ("rename", "add.column, alter.column.type"), ("comment", "table.comment")]))
+@rule(rows_sql("change, lenient", [("add first", "add.column"), ("add after", "add.column"), ("alter", "alter.column.type"), ("drop", ""), ("rename", "add.column, alter.column.type"), ("comment", "table.comment")]))
 def lenient_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listed(spark, [(k, ", ".join(x.kind for x in S.lenient(BASE, c))) for k, c in CHANGES.items()], "change string, lenient string")
 
 
-@query(rows_sql("change, before, after", [("add first", False, True), ("add after", False, True), ("alter", False, True), ("drop", False, True), ("rename", False, True), ("comment", False, False)]))
+@rule(rows_sql("change, before, after", [("add first", False, True), ("add after", False, True), ("alter", False, True), ("drop", False, True), ("rename", False, True), ("comment", False, False)]))
 def redundant_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether a change is redundant before it has been applied, and after."""
     return listed(spark, [(k, S.is_redundant(BASE, c), S.is_redundant(S.apply_change(BASE, c), c)) for k, c in CHANGES.items()], "change string, before boolean, after boolean")
@@ -244,14 +257,14 @@ def redundant_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 OTHER = Schema.of(("id", "BIGINT"), ("age", "DOUBLE"), ("city", "STRING"), keys=["id"])
 
 
-@query(rows_sql("what, found", [("common", "id BIGINT NOT NULL, name STRING, age DOUBLE, city STRING / id / "), ("compatible", "True"), ("narrow", "False"), ("steps", "add.column, alter.column.type, drop.column")]))
+@rule(rows_sql("what, found", [("common", "id BIGINT NOT NULL, name STRING, age DOUBLE, city STRING / id / "), ("compatible", "True"), ("narrow", "False"), ("steps", "add.column, alter.column.type, drop.column")]))
 def schemas_compared(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = S.least_common_schema(BASE, OTHER)
     rows = [("common", described(both)), ("compatible", str(S.is_compatible(both, OTHER))), ("narrow", str(S.is_compatible(BASE, OTHER))), ("steps", ", ".join(c.kind for c in S.difference(PEOPLE, BASE, OTHER)))]
     return listed(spark, rows, "what string, found string")
 
 
-@query(
+@rule(
     rows_sql(
         "behavior, columns",
         [("LENIENT", "id, name, age, x"), ("EVOLVE", "x, id, age"), ("TRY_EVOLVE", "id, name, age"), ("IGNORE", "id, name, age"), ("EXCEPTION", "fails")],
@@ -276,13 +289,13 @@ def behaviors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listed(spark, rows, "behavior string, columns string")
 
 
-@query(rows_sql("tags, kinds", [("column without drop", "add.column, alter.column.type, create.table, rename.column"), ("default", "add.column, alter.column.type, create.table, drop.column, rename.column, table.comment"), ("table", "create.table, drop.table, table.comment, truncate.table")]))
+@rule(rows_sql("tags, kinds", [("column without drop", "add.column, alter.column.type, create.table, rename.column"), ("default", "add.column, alter.column.type, create.table, drop.column, rename.column, table.comment"), ("table", "create.table, drop.table, table.comment, truncate.table")]))
 def accepted_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = {"column without drop": (["column"], ["drop"]), "default": (None, None), "table": (["table"], [])}
     return listed(spark, [(k, ", ".join(sorted(S.accepted_kinds(*v)))) for k, v in given.items()], "tags string, kinds string")
 
 
-@query(rows_sql("wildcard, change, passes", [(True, "add first", "add.column BEFORE id"), (True, "drop", "drop.column"), (False, "add first", None), (False, "alter", "alter.column.type"), (False, "drop", None)]))
+@rule(rows_sql("wildcard, change, passes", [(True, "add first", "add.column BEFORE id"), (True, "drop", "drop.column"), (False, "add first", None), (False, "alter", "alter.column.type"), (False, "drop", None)]))
 def changes_through_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = []
     for wild, name in ((True, "add first"), (True, "drop"), (False, "add first"), (False, "alter"), (False, "drop")):
@@ -291,11 +304,11 @@ def changes_through_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listed(spark, rows, "wildcard boolean, change string, passes string")
 
 
-@query(rows_sql("what, found", [("columns", "user_id BIGINT, event_id BIGINT, event_type STRING, value DOUBLE, loud STRING NOT NULL"), ("keys", "loud"), ("partitions", "event_type"), ("options", "a=1"), ("reads", "user_id, value"), ("rows", "0")]))
+@rule(rows_sql("what, found", [("columns", "user_id BIGINT, event_id BIGINT, event_type STRING, value DOUBLE, loud STRING NOT NULL"), ("keys", "loud"), ("partitions", "event_type"), ("options", "a=1"), ("reads", "user_id, value"), ("rows", "0")]))
 def planned_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys, partition keys, options and types of a transform's output, though its filter lets nothing pass."""
-    rule = TransformRule("app.events", "*, UPPER(event_type) AS loud", "FALSE", primary_keys=("loud",), partition_keys=("event_type",), table_options={"a": "1"})
-    made = Transform(rule, TableId.parse("app.events"), EVENTS, user_changes(spark, sf_dir))
+    made_by = TransformRule("app.events", "*, UPPER(event_type) AS loud", "FALSE", primary_keys=("loud",), partition_keys=("event_type",), table_options={"a": "1"})
+    made = Transform(made_by, TableId.parse("app.events"), EVENTS, user_changes(spark, sf_dir))
     out = made.output_schema()
     reads = referenced_columns(TransformRule("app.events", "user_id, value * 2 AS twice", "twice > 3"), EVENTS)
     columns = ", ".join(f"{c.name} {c.type}" for c in out.columns)
@@ -354,7 +367,7 @@ PROJECTIONS = [
 ]
 
 
-@query(rows_sql("projection, refused", PROJECTIONS))
+@rule(rows_sql("projection, refused", PROJECTIONS))
 def refused_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which projections planning refuses: an expression without a name, names twice or reserved, unknown columns."""
     from deltaloom.exprs import Compiler, compile_projection
@@ -371,14 +384,14 @@ DEFINITIONS = [
 ]
 
 
-@query(rows_sql("name, refused", [(n, r) for n, _, r in DEFINITIONS]))
+@rule(rows_sql("name, refused", [(n, r) for n, _, r in DEFINITIONS]))
 def refused_definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     from deltaloom.plans.definition import parse
 
     return listed(spark, [(n, refused(parse, text)) for n, text, _ in DEFINITIONS], "name string, refused boolean")
 
 
-@query(rows_sql("option, setting", [("name", "own"), ("parallelism", "4"), ("route-mode", "ALL_MATCH"), ("streaming", "False"), ("a", "1"), ("b", "2")]))
+@rule(rows_sql("option, setting", [("name", "own"), ("parallelism", "4"), ("route-mode", "ALL_MATCH"), ("streaming", "False"), ("a", "1"), ("b", "2")]))
 def merged_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Defaults under the global settings under the definition's own, and a table's options by a delimiter of its own."""
     from deltaloom.operators.transform import options_of
@@ -389,7 +402,7 @@ def merged_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listed(spark, rows, "option string, setting string")
 
 
-@query(rows_sql("table_id, mode, sinks", [("db.t_1", "ALL_MATCH", "ods.every, copy.t_1"), ("db.t_2", "ALL_MATCH", "ods.every, db_t_2.x"), ("db.t_1", "FIRST_MATCH", "ods.every"), ("db.u", "ALL_MATCH", "db.u")]))
+@rule(rows_sql("table_id, mode, sinks", [("db.t_1", "ALL_MATCH", "ods.every, copy.t_1"), ("db.t_2", "ALL_MATCH", "ods.every, db_t_2.x"), ("db.t_1", "FIRST_MATCH", "ods.every"), ("db.u", "ALL_MATCH", "db.u")]))
 def route_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from deltaloom.operators import route
 

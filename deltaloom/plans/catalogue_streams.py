@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deltaloom import package
-from deltaloom.catalog import TableId
+from deltaloom.catalog import Change, Column, Schema, TableId, Type
 from deltaloom.plans.catalogue import CHANGES_SQL, flat, query, read, user_changes
 from deltaloom.plans.definition import parse
-from deltaloom.sinks.registry import open_sink
+from deltaloom.sinks.registry import Files, open_sink
 from deltaloom.sources import positions as P
+from deltaloom.sources.registry import control_row
 from deltaloom.sources.follow import Follower, TableOfFiles, follow
 from deltaloom.streaming.normalize import ROCKSDB, normalized
 from deltaloom.streaming.resolved import Resolver
@@ -208,3 +209,51 @@ def regions_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     for number in range(7):
         resolver.batch(log.where(F.col("batch") == number).drop("batch"), number)
     return spark.read.parquet(f"{root}/out").select(F.col("commit").alias("event_id"), F.col("batch").cast("bigint").alias("batch"))
+
+
+# A table that changes its schema in the middle, by behaviour
+
+
+class NoDrops(Files):
+    supported = Files.supported - {"drop.column"}
+
+
+#: How a definition ends, and the sink.
+BEHAVIORS = {
+    "LENIENT": ("LENIENT", "", Files), "EVOLVE": ("EVOLVE", "", Files), "IGNORE": ("IGNORE", "", Files), "TRY_EVOLVE": ("TRY_EVOLVE", "", NoDrops),
+    "NO_DROPS": ("EVOLVE", ", exclude.schema.changes: [drop.column]", Files),
+}
+
+
+@query(
+    """WITH c AS (SELECT *, c_custkey % 3 = 0 AS later FROM customer), b AS (SELECT unnest(['LENIENT', 'EVOLVE', 'IGNORE', 'TRY_EVOLVE', 'NO_DROPS']) AS behavior)
+    SELECT behavior, c_custkey, CASE behavior WHEN 'LENIENT' THEN 'c_custkey c_name c_segment c_nationkey segment' WHEN 'EVOLVE' THEN 'c_custkey c_nationkey segment' WHEN 'IGNORE' THEN 'c_custkey c_name c_segment' ELSE 'c_custkey c_nationkey c_name segment' END AS columns,
+      CASE WHEN NOT later AND behavior <> 'EVOLVE' THEN c_name END AS c_name, CASE WHEN later AND behavior <> 'IGNORE' THEN c_nationkey END AS c_nationkey,
+      CASE WHEN later AND behavior <> 'IGNORE' OR NOT later AND behavior NOT IN ('LENIENT', 'IGNORE') THEN c_mktsegment END AS segment, CASE WHEN NOT later AND behavior IN ('LENIENT', 'IGNORE') THEN c_mktsegment END AS c_segment
+    FROM c, b"""
+)
+def evolved_by_behavior(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers through a stream in which, before the last third, a column comes, one goes and one changes its name."""
+    root, table = package.scratch(spark), TableId.parse("shop.customer")
+    customers = read(spark, sf_dir, "customer").select("c_custkey", "c_name", F.col("c_mktsegment").alias("c_segment"), "c_nationkey")
+    nation = Type("BIGINT") if dict(customers.dtypes)["c_nationkey"] == "bigint" else Type("INT")
+    old = Schema.of(("c_custkey", "BIGINT"), ("c_name", "STRING"), ("c_segment", "STRING"), keys=["c_custkey"])
+    steps = [
+        Change(table, "create.table", schema=old), Change(table, "add.column", added=((Column("c_nationkey", nation), "AFTER", "c_custkey"),)), Change(table, "drop.column", dropped=("c_name",)),
+        Change(table, "rename.column", renamed=(("c_segment", "segment"),)),
+    ]
+    told = spark.createDataFrame([(str(table), 0 if i == 0 else 10 + i, "schema", control_row(s)) for i, s in enumerate(steps)], "table_id string, seq bigint, kind string, payload string")
+    later = F.col("c_custkey") % 3 == 0
+    row = F.when(later, F.to_json(F.struct("c_custkey", "c_nationkey", F.col("c_segment").alias("segment")))).otherwise(F.to_json(F.struct("c_custkey", "c_name", "c_segment")))
+    payload = F.concat(F.lit('{"op":"INSERT","after":'), row, F.lit("}"))
+    rows = customers.select(F.lit(str(table)).alias("table_id"), F.when(later, 20).otherwise(5).cast("bigint").alias("seq"), F.lit("data").alias("kind"), payload.alias("payload")).unionByName(told)
+    out = None
+    for name, (behavior, more, kind) in BEHAVIORS.items():
+        definition = parse(f"source: {{type: values}}\nsink: {{type: files{more}}}\npipeline: {{name: evolve, schema.change.behavior: {behavior}}}")
+        sink = kind(spark, {"path": f"{root}/{name}"})
+        Runtime(spark, definition, sink, f"{root}/cp-{name}").batch(rows, 0)
+        found = sink.read(table)
+        own = [F.col(c) if c in found.columns else F.lit(None).cast(t).alias(c) for c, t in (("c_name", "string"), ("c_nationkey", "bigint"), ("segment", "string"), ("c_segment", "string"))]
+        found = found.select(F.lit(name).alias("behavior"), "c_custkey", F.lit(" ".join(found.columns)).alias("columns"), *own)
+        out = found if out is None else out.unionByName(found)
+    return out

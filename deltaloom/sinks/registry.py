@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import contextlib
+import json
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ from deltaloom.catalog import Change, Schema, TableId
 from deltaloom.operators import changelog
 from deltaloom.operators.evolve import coerced
 from deltaloom.sinks.formats import SINK_DIALECTS, kafka_rows
+from deltaloom.store import Store
 
 SINKS: dict[str, Callable[[SparkSession, Mapping[str, object]], Sink]] = {}
 
@@ -95,7 +98,31 @@ class Values(Sink):
 class Files(Sink):
     """A folder for each table. Tables without a key hold appended changes. Of those with one a batch writes only what it
     changes, each key's last state; after compact.batches such folders (8) they are merged into a new version of the table, and what
-    it replaces is deleted. read() is the newest version with the later changes on top."""
+    it replaces is deleted. read() is the newest version with the later changes on top. A column's new name or end, and a
+    table's, are noted beside the folders with the last of these, and hold for all up to it."""
+
+    keeps_schemas = True
+    HISTORY = "_history"
+
+    def history(self, table: TableId) -> list[dict]:
+        return json.loads(Store(self.spark, self.root(table)).read(self.HISTORY) or "[]")
+
+    def apply(self, change: Change, again: bool = False) -> None:
+        super().apply(change)
+        if change.kind not in ("rename.column", "drop.column", "drop.table", "truncate.table"):
+            return
+        known, last = self.history(change.table), max((*self.versions(change.table), *self.folders(change.table, "changes")), default=None)
+        note = {"upto": last, "renamed": [list(r) for r in change.renamed], "dropped": list(change.dropped), "cleared": change.kind.endswith("table")}
+        if last is not None and not (again and known and known[-1] == json.loads(json.dumps(note))):
+            Store(self.spark, self.root(change.table)).write(self.HISTORY, json.dumps([*known, note]))
+
+    def layer(self, table: TableId, kind: str, number: tuple[int, int], history: list[dict]) -> DataFrame:
+        """A folder's rows under the names that its columns have now."""
+        rows = self.spark.read.parquet(f"{self.root(table)}/{kind}={numbered(*number)}")
+        for note in (n for n in history if tuple(n["upto"]) >= number):
+            rows = rows.withColumnsRenamed(dict(note["renamed"])).drop(*note["dropped"])
+            rows = rows.limit(0) if note["cleared"] else rows
+        return rows
 
     def root(self, table: TableId) -> str:
         return f"{str(self.options['path']).rstrip('/')}/{table}"
@@ -124,10 +151,11 @@ class Files(Sink):
         versions, later = self.versions(table), self.pending(table)
         if not versions and not later:
             raise ValueError(f"{table} hasn't been written")
+        history = self.history(table)
         if self.options.get("append"):
-            return self.spark.read.parquet(*[f"{self.root(table)}/version={numbered(*v)}" for v in versions])
-        layers = [self.spark.read.parquet(f"{self.root(table)}/version={numbered(*v)}").withColumn("gone_", F.lit(0)) for v in versions[-1:]]
-        layers += [self.spark.read.parquet(f"{self.root(table)}/changes={numbered(*b)}") for b in later]
+            return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [self.layer(table, "version", v, history) for v in versions])
+        layers = [self.layer(table, "version", v, history).withColumn("gone_", F.lit(0)) for v in versions[-1:]]
+        layers += [self.layer(table, "changes", b, history) for b in later]
         newest = layers[-1].drop("gone_")
         if not later:
             return newest
