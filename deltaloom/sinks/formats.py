@@ -172,7 +172,7 @@ def from_sqlserver(text: str) -> Type:
     return Type(*plain.get(root, ("STRING",)))
 
 
-SOURCE_DIALECTS: dict[str, Callable[..., Type]] = {"mysql": from_mysql, "postgres": from_postgres, "oracle": from_oracle, "sqlserver": from_sqlserver}
+SOURCE_DIALECTS: dict[str, Callable[..., Type]] = {"mysql": from_mysql, "postgres": from_postgres, "oracle": from_oracle, "sqlserver": from_sqlserver, "oceanbase": from_mysql}
 
 
 def to_doris(t: Type) -> str:

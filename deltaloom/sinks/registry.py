@@ -34,6 +34,8 @@ class Sink:
     keeps_schemas = False
     #: The stream that writes, if one does.
     writer: str | None = None
+    #: How many tables may be written at a time.
+    together = 8
 
     def __init__(self, spark: SparkSession, options: Mapping[str, object]) -> None:
         self.spark, self.options = spark, options
@@ -224,6 +226,10 @@ class Database(Sink):
     #: (writer, target, batch, part): the last part that a stream has written to a table.
     LEDGER = "deltaloom_ledger"
 
+    @property
+    def together(self) -> int:
+        return int(self.options.get("sink.parallel.tables", 1))
+
     def quoted(self, name: object) -> str:
         """A name, or a table's parts, in the dialect's marks."""
         return ".".join(f"{self.mark}{part.replace(self.mark, 2 * self.mark)}{self.mark}" for part in (name.parts if isinstance(name, TableId) else [str(name)]))

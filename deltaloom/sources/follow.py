@@ -31,6 +31,7 @@ from deltaloom import package
 from deltaloom.catalog import Change, Schema, TableId
 from deltaloom.operators import changelog
 from deltaloom.sources.chunks import CHUNK_ROWS, chunks
+from deltaloom.sources.metrics import Snapshot
 from deltaloom.sources.probes import chunk_bounds
 from deltaloom.sources.registry import control_row, jdbc_snapshot, typed_rows
 from deltaloom.sources.segments import Segments
@@ -203,10 +204,12 @@ class Follower:
             self.store.write("since.json", json.dumps([offset if mode == "specific-offset" else None, millis if mode == "timestamp" else None]))
         self.since = json.loads(self.store.read("since.json"))
 
-    def add(self, table: TableId, reader: Reader, first: bool = False, snapshot: bool = True) -> None:
-        """Makes a table known: planned once, and from the next batch on read and followed."""
+    def add(self, table: TableId, reader: Reader, first: bool | None = None, snapshot: bool = True) -> None:
+        """Makes a table known: planned once, and from the next batch on read and followed. first: whether the log waits for it, by
+        default if the stream hasn't begun."""
         name = str(table)
         self.readers[name] = reader
+        first = self.store.read("proposed.json") is None if first is None else first
         known = {json.loads(self.tables.read(n))["table"]: n for n in self.tables.names() if n.endswith(".json")}
         if name not in known:
             bounds = [[None if v is None else v if isinstance(v, int | float | str) else str(v) for v in b] for b in (reader.bounds(self.size) if snapshot else [])]
@@ -219,10 +222,17 @@ class Follower:
             self.plans[table] = [tuple(b) for b in json.loads(self.store.read(f"bounds-{table}"))]
         return self.plans[table]
 
-    def phases(self) -> dict[str, str]:
-        """pending, snapshotting or following, by table, by the last offset that was proposed."""
+    def progress(self) -> Snapshot:
+        """By the last offset that was proposed."""
         last = json.loads(self.store.read("proposed.json") or "{}")
-        return {t: "following" if last.get(t, 0) >= (n := len(self.bounds(t))) else "snapshotting" if last.get(t, 0) else "pending" for t in self.readers}
+        all_ = {t: len(self.bounds(t)) for t in self.readers}
+        done = {t: min(last.get(t, 0), n) for t, n in all_.items()}
+        phase = lambda t: "following" if done[t] == all_[t] else "snapshotting" if done[t] else "pending"
+        return Snapshot({t: phase(t) for t in all_}, done, {t: all_[t] - done[t] for t in all_}, last.get("log", 0))
+
+    def phases(self) -> dict[str, str]:
+        """pending, snapshotting or following, by table."""
+        return self.progress().phases
 
     def events(self, files: list[str], table: TableId) -> DataFrame:
         """A table's events of some segments, sides as texts."""

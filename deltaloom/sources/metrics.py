@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
@@ -35,6 +37,19 @@ class Progress(StreamingQueryListener):
         pass
 
 
+@dataclass
+class Snapshot:
+    """How far the tables of a followed source are: tables by phase, chunks done and left, and segments of the log read."""
+
+    phases: dict[str, str]
+    chunks_done: dict[str, int]
+    chunks_left: dict[str, int]
+    segments: int
+
+    def tables(self, phase: str) -> list[str]:
+        return sorted(t for t, p in self.phases.items() if p == phase)
+
+
 def newly_added(known: list[TableId], found: list[TableId]) -> list[TableId]:
     """Tables that a restart sees for the first time: they are snapshotted before their log is read."""
     return sorted(set(found) - set(known))

@@ -139,6 +139,14 @@ def typed_rows(spark: SparkSession, options: Mapping[str, object], table: TableI
     return out, Schema.of(*named, keys=keys)
 
 
+def table_names(spark: SparkSession, options: Mapping[str, object]) -> list[str]:
+    """The tables that a database source's options name, or that rows of its database do (discover: a query, or a table and a
+    column, and a condition)."""
+    if options.get("discover"):
+        return [str(t) for t in discovered(spark, {**options, "query": None, **options["discover"]}, str(options["discover"].get("column", "")), options["discover"].get("table"), options["discover"].get("where"))]
+    return list(options.get("names") or [x for x in str(options.get("tables", "")).split(",") if x])
+
+
 def database(dialect: str) -> None:
     def made(spark: SparkSession, options: Mapping[str, object]) -> Source:
         """Snapshot by JDBC, log by a change-event stream (see log_events), by the startup mode."""
@@ -147,7 +155,7 @@ def database(dialect: str) -> None:
             raise ValueError(f"no startup mode {mode}; one of {', '.join(STARTUP_MODES)}")
         tables, schemas = {}, {}
         keys = options.get("keys") or {}
-        for name in options.get("names") or [x for x in str(options.get("tables", "")).split(",") if x]:
+        for name in table_names(spark, options):
             table = TableId.parse(name.strip())
             key = (options.get("chunk-key") or {}).get(name) or (keys.get(name) or [None])[0]
             if key is None and not options.get("allow-no-key"):

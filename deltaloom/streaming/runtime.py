@@ -13,7 +13,9 @@ from __future__ import annotations
 
 import itertools
 import os
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,7 +37,9 @@ ROW = "table_id string, seq bigint, kind string, payload string"
 class Runtime:
     """Applies a definition to batches of the stream."""
 
-    def __init__(self, spark: SparkSession, definition: PipelineDef, sink: Sink, checkpoint: str) -> None:
+    def __init__(self, spark: SparkSession, definition: PipelineDef, sink: Sink, checkpoint: str, writers: int = 8) -> None:
+        """writers: how many tables are written at a time."""
+        self.writers = writers
         self.spark, self.definition, self.sink = spark, definition, sink
         self.store = Store(spark, f"{checkpoint.rstrip('/')}/registry")
         self.udfs = registered(definition.udfs, definition.models)
@@ -50,7 +54,8 @@ class Runtime:
         registry = self.registry_before(number)
         d = self.definition
         evolution = SchemaEvolution(d.config["schema.change.behavior"], list(d.sink.include) if d.sink.include else None, list(d.sink.exclude) if d.sink.exclude is not None else None, registry)
-        rows = rows.persist()
+        # a table's rows lie together, so a job for one table skips the cached batches of others
+        rows = rows.sortWithinPartitions("table_id", "kind").persist()
         try:
             # schema changes are few; they cut the batch
             changes = [(r["table_id"], r["seq"], control_change(r["payload"])) for r in rows.where("kind = 'schema'").orderBy("seq", "table_id").collect()]
@@ -64,8 +69,11 @@ class Runtime:
                     since[table] = seq
                 self.schema_change(evolution, change, number, part)
                 part += 1
-            for table in tables:
-                self.segment(rows, evolution, table, since[table], None, number, part)
+            last = [(table, since[table]) for table in tables]
+            with ThreadPoolExecutor(max(1, min(self.writers, self.sink.together, len(last)))) as pool:  # no schema changes any more: tables don't wait for one another
+                done = [pool.submit(inheritable_thread_target(self.spark)(self.segment), rows, evolution, table, at, None, number, part) for table, at in last]
+            for one in done:
+                one.result()
         finally:
             rows.unpersist()
         registry.version = number

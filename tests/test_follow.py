@@ -5,6 +5,7 @@ import json
 
 import pytest
 
+from deltaloom.__main__ import main
 from deltaloom.catalog import Change, Column, Schema, TableId, Type
 from deltaloom.plans.definition import parse
 from deltaloom.sinks.registry import Database, Files, open_sink
@@ -352,3 +353,53 @@ def test_points_of_being_killed_leave_the_same_rows(spark, tmp_path, behavior, w
         assert len(sink.altered) - 2 <= (what == "before"), (at, sink.altered)
         at += step
     assert points > 6
+
+
+STREAM = """
+source: {{type: mysql, url: "{url}", keys: {{APP.ITEMS: [ID]}}, discover: {{table: APP.NAMES, column: NAME, where: "WANTED = 1"}}, log.path: "{root}/log", scan.incremental.snapshot.chunk.size: 4, chunks.per.batch: 2}}
+sink: {{type: files, path: "{root}/sink"}}
+transform: [{{source-table: APP.ITEMS, projection: "ID, UPPER(NAME) AS NAME", filter: "ID > 2"}}]
+route: [{{source-table: APP.ITEMS, sink-table: ods.items}}]
+pipeline: {{name: stream, schema.change.behavior: EVOLVE, execution.runtime-mode: STREAMING}}
+"""
+
+
+def test_a_definition_runs_as_a_stream_from_the_command_line(spark, tmp_path, capsys):
+    url, source = derby(
+        spark, tmp_path, "CREATE TABLE APP.ITEMS (ID BIGINT NOT NULL PRIMARY KEY, NAME VARCHAR(20))", "CREATE TABLE APP.NAMES (NAME VARCHAR(20), WANTED INT)",
+        f"INSERT INTO APP.ITEMS VALUES {', '.join(f'({i}, {chr(39)}n{i}{chr(39)})' for i in range(20))}", "INSERT INTO APP.NAMES VALUES ('APP.ITEMS', 1), ('APP.OTHERS', 0), ('a.b.c.d.e', 1)",
+    )
+    up = lambda i, name: {"ID": i, "NAME": name}
+    segment(tmp_path, 0, event("u", 1, up(5, "n5"), up(5, "x"), "ITEMS"), event("u", 2, up(6, "n6"), up(1, "n6"), "ITEMS"))
+    made = tmp_path / "stream.yaml"
+    made.write_text(STREAM.format(url=url, root=tmp_path))
+    assert main(["run", str(made), "--check"]) == 0
+    assert main(["run", str(made)]) == 2 and "--checkpoint" in capsys.readouterr().err
+    assert main(["run", str(tmp_path / "none.yaml")]) == 2
+    assert main(["run", str(made), "--checkpoint", f"{tmp_path}/cp", "--until-done"]) == 0
+    sink = Files(spark, {"path": f"{tmp_path}/sink"})
+    rows = lambda: {r["ID"]: r["NAME"] for r in sink.read(TableId.parse("ods.items")).collect()}
+    want = {i: f"N{i}" for i in range(3, 20) if i != 6} | {5: "X"}
+    assert rows() == want
+    segment(tmp_path, 1, event("d", 3, up(5, "x"), None, "ITEMS"))
+    assert main(["run", str(made), "--checkpoint", f"{tmp_path}/cp", "--until-done"]) == 0
+    del want[5]
+    assert rows() == want
+    made.write_text(STREAM.format(url=f"jdbc:derby:{tmp_path}/absent", root=tmp_path))
+    assert main(["run", str(made), "--checkpoint", f"{tmp_path}/cp2", "--until-done"]) == 1
+
+
+def test_how_far_a_stream_is(spark, tmp_path):
+    rows = spark.createDataFrame([(i, f"n{i}") for i in range(30)], "id bigint, name string")
+    made = Follower(spark, Runtime(spark, definition(), Files(spark, {"path": f"{tmp_path}/sink"}), f"{tmp_path}/cp"), f"{tmp_path}/state", None, 10)
+    made.begin()
+    made.add(ITEMS, TableOfFiles(rows, "id", ["id"]))
+    told = made.progress()
+    assert told.tables("pending") == ["app.items"] and told.chunks_left == {"app.items": 4} and told.segments == 0
+    running = follow(made, f"{tmp_path}/cp", interval="0 seconds", chunks_per_batch=3)
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    told = made.progress()
+    assert told.tables("following") == ["app.items"] and told.chunks_done == {"app.items": 4} and not sum(told.chunks_left.values())
