@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import json
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import replace
 from functools import reduce
@@ -12,10 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from deltaloom import package
 from deltaloom.catalog import Change, Schema, TableId
 from deltaloom.operators import changelog
 from deltaloom.operators.evolve import coerced
 from deltaloom.sinks.formats import SINK_DIALECTS, kafka_rows
+from deltaloom.sinks.loads import Loads, label_of
 from deltaloom.store import Store
 
 SINKS: dict[str, Callable[[SparkSession, Mapping[str, object]], Sink]] = {}
@@ -262,6 +265,8 @@ class Database(Sink):
 
     def apply(self, change: Change, again: bool = False) -> None:
         super().apply(change)
+        if not self.options.get("url"):  # loads only: tables are made elsewhere
+            return
         if change.kind == "create.table" and self.columns(change.table):
             return
         if again and (change := self.missing(change)) is None:
@@ -330,6 +335,9 @@ class Database(Sink):
         return " AND ".join(f"{self.quoted(c)} = {text_of(v)}" for c, v in (("writer", self.writer), ("target", table)))
 
     def write(self, table: TableId, changes: DataFrame, schema: Schema, batch: int, part: int = 0) -> None:
+        if self.options.get("load.url"):
+            self.load(table, changes, schema, batch, part)
+            return
         if self.writer and self.reached(table) >= (batch, part):
             return
         q, keys = self.quoted, list(schema.primary_keys)
@@ -346,6 +354,25 @@ class Database(Sink):
             self.execute(f"DROP TABLE {stage}")
 
 
+    def load(self, table: TableId, changes: DataFrame, schema: Schema, batch: int, part: int) -> None:
+        """By HTTP (see loads): each key's last state with a mark of deletions, or, without a key, the rows after."""
+        mark = {"doris": "__DORIS_DELETE_SIGN__", "starrocks": "__op"}[self.dialect]
+        rows = states(changes, schema) if schema.primary_keys else changes.where("after is not null").select("after.*", F.lit(0).alias("gone_"))
+        line = F.to_json(F.struct(*[F.col(f"`{c}`") for c in schema.names], F.col("gone_").alias(mark)), {"ignoreNullFields": "false", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"})
+        lines = rows.select(line.alias("value"), *[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(schema.primary_keys)])
+        loaded(self, lines, self.dialect, {"database": str(table.schema or table.namespace), "table": table.table}, label_of(self.writer or uuid.uuid4().hex, table, batch, part))
+
+
+def loaded(sink: Sink, lines: DataFrame, kind: str, options: Mapping[str, str], label: str) -> None:
+    """Lines (value, and columns to deal them by) in as many shares as sink.parallelism says (8); a share that comes again has the
+    same lines, as its label wants."""
+    package.ship(sink.spark)
+    sink.spark.dataSource.register(Loads)
+    shares, by = int(sink.options.get("sink.parallelism", 8)), [c for c in lines.columns if c != "value"] or ["value"]
+    given = {k: str(sink.options[o]) for k, o in (("url", "load.url"), ("user", "user"), ("password", "password"), ("bytes", "sink.buffer-flush.max-bytes")) if sink.options.get(o)}
+    lines.repartition(shares, *by).sortWithinPartitions("value").select("value").write.format("deltaloom-load").mode("append").options(kind=kind, label=f"{label}-{shares}", **given, **options).save()
+
+
 def text_of(value: object) -> str:
     return "'" + str(value).replace("'", "''") + "'"
 
@@ -412,8 +439,8 @@ for _name in ("iceberg", "paimon", "hudi", "fluss"):
 
 @sink("elasticsearch")
 class Elasticsearch(Sink):
-    """Bulk lines (an action, then its document) as text files, a folder for each batch: one action for each key's last
-    state. The index may have a shard suffix from a column, of a deletion's key only if that column is part of it."""
+    """Bulk lines (an action, then its document), sent to load.url or as text files, a folder for each batch: one action for each
+    key's last state. The index may have a shard suffix from a column, of a deletion's key only if that column is part of it."""
 
     def write(self, table: TableId, changes: DataFrame, schema: Schema, batch: int, part: int = 0) -> None:
         suffix = dict(x.split(":", 1) for x in str(self.options.get("sharding.suffix.key", "")).split(";") if ":" in x).get(str(table))
@@ -425,4 +452,11 @@ class Elasticsearch(Sink):
         as_text = lambda c: SINK_DIALECTS["elasticsearch"](c.type) == "STRING" and c.type.root not in ("MAP", "ROW")
         text = F.struct(*[(F.col(f"`{c.name}`").cast("string") if as_text(c) else F.col(f"`{c.name}`")).alias(c.name) for c in schema.columns])
         lines = F.when(gone, action).otherwise(F.concat_ws("\n", action, F.to_json(text)))
+        if self.options.get("load.url"):
+            # a document's version is the batch's place, so it can come again, and an older one can't come after
+            head = F.struct(index.alias("_index"), key.alias("_id"), F.lit(batch * (1 << 20) + part + 1).cast("bigint").alias("version"), F.lit("external_gte").alias("version_type"))
+            action = F.when(gone, F.to_json(F.struct(head.alias("delete")))).otherwise(F.to_json(F.struct(head.alias("index"))))
+            sent = F.when(gone, action).otherwise(F.concat_ws("\n", action, F.to_json(text)))
+            loaded(self, states(changes, schema).select(sent.alias("value"), key.alias("k0")), "elasticsearch", {}, label_of(self.writer or "bulk", table, batch, part))
+            return
         states(changes, schema).select(lines.alias("value")).write.mode("overwrite").text(f"{str(self.options['path']).rstrip('/')}/{table}/batch={numbered(batch, part)}")
