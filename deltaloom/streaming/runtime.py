@@ -14,6 +14,7 @@ from __future__ import annotations
 import itertools
 import os
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from deltaloom.catalog import Change, Schema, TableId, apply_change, is_redundant, transformed_change
+from deltaloom.catalog import Change, Schema, TableId, apply_change, difference, is_redundant, least_common_schema, transformed_change
 from deltaloom.functions.udfs import registered
 from deltaloom.operators import changelog, route
 from deltaloom.operators.evolve import Registry, SchemaEvolution, coerced
@@ -34,8 +35,16 @@ from deltaloom.store import Store
 ROW = "table_id string, seq bigint, kind string, payload string"
 
 
+def table_of(origin: str) -> TableId:
+    return TableId.parse(origin.rpartition("|")[2])
+
+
 class Runtime:
-    """Applies a definition to batches of the stream."""
+    """Applies a definition to batches of the stream.
+
+    Rows may name the reader they come from (a column reader): parallel readers of one table each have its schema as they know
+    it, and change it in any order. Their rows are read by the schema that held for them there, and written by the least common
+    one of all readers."""
 
     def __init__(self, spark: SparkSession, definition: PipelineDef, sink: Sink, checkpoint: str, writers: int = 8) -> None:
         """writers: how many tables are written at a time."""
@@ -54,24 +63,37 @@ class Runtime:
         registry = self.registry_before(number)
         d = self.definition
         evolution = SchemaEvolution(d.config["schema.change.behavior"], list(d.sink.include) if d.sink.include else None, list(d.sink.exclude) if d.sink.exclude is not None else None, registry)
-        # a table's rows lie together, so a job for one table skips the cached batches of others
-        rows = rows.sortWithinPartitions("table_id", "kind").persist()
+        # a reader's rows of a table lie together, so a job for them skips the cached batches of others
+        origin = F.concat_ws("|", "reader", "table_id") if "reader" in rows.columns else F.col("table_id")
+        rows, self.ends = rows.withColumn("origin", origin).sortWithinPartitions("origin", "kind").persist(), {}
         try:
             # schema changes are few; they cut the batch
-            changes = [(r["table_id"], r["seq"], control_change(r["payload"])) for r in rows.where("kind = 'schema'").orderBy("seq", "table_id").collect()]
-            firsts = dict(sorted(map(tuple, rows.where("kind = 'data'").groupBy("table_id").agg(F.min("seq")).collect())))
-            tables = list(firsts)
-            part, since = 0, {t: None for t in tables}
-            for table, seq, change in changes:
-                if table in since and firsts[table] < seq:
-                    self.segment(rows, evolution, table, since[table], seq, number, part)
-                if table in since:
-                    since[table] = seq
-                self.schema_change(evolution, change, number, part)
+            changes = [(r["origin"], r["seq"], control_change(r["payload"])) for r in rows.where("kind = 'schema'").orderBy("seq", "origin").collect()]
+            firsts = dict(sorted(map(tuple, rows.where("kind = 'data'").groupBy("origin").agg(F.min("seq")).collect())))
+            part, since = 0, dict.fromkeys(firsts)
+            for origin, seq, change in changes:
+                # the sink of parallel readers only ever gets wider, so their rows wait for the end
+                if origin in since and firsts[origin] < seq and "|" not in origin:
+                    self.segment(rows, evolution, origin, since[origin], seq, number, part)
+                    part += 1
+                if origin in since and "|" not in origin:
+                    since[origin] = seq
+                elif origin in since:
+                    self.ends.setdefault(origin, []).append((seq, registry.sources.get(origin + "/raw")))
+                self.schema_change(evolution, change, number, part, origin)
                 part += 1
-            last = [(table, since[table]) for table in tables]
+            last: list[list[tuple]] = []
+            for origin in firsts:
+                pieces = [(origin, since[origin], None, None)]
+                if origin in self.ends:
+                    cuts = [None, *(seq for seq, _ in self.ends[origin]), None]
+                    schemas = [*(schema for _, schema in self.ends[origin]), None]
+                    pieces = [(origin, a, b, schema) for a, b, schema in zip(cuts[:-1], cuts[1:], schemas, strict=True) if schema or b is None]
+                last.append([(*p, part + i) for i, p in enumerate(pieces)])
+                part += len(pieces)
             with ThreadPoolExecutor(max(1, min(self.writers, self.sink.together, len(last)))) as pool:  # no schema changes any more: tables don't wait for one another
-                done = [pool.submit(inheritable_thread_target(self.spark)(self.segment), rows, evolution, table, at, None, number, part) for table, at in last]
+                work = inheritable_thread_target(self.spark)(lambda group: [self.segment(rows, evolution, o, a, b, number, at, schema) for o, a, b, schema, at in group])
+                done = [pool.submit(work, group) for group in self.apart(last)]
             for one in done:
                 one.result()
         finally:
@@ -82,6 +104,17 @@ class Runtime:
             if name.startswith("change-") and int(name.split("-")[1]) < number:
                 self.store.delete(name)
 
+    def apart(self, pieces: list[list[tuple]]) -> list[list[tuple]]:
+        """Pieces of work in groups that write to different sink tables."""
+        groups: list[tuple[set[str], list[tuple]]] = []
+        for own in pieces:
+            sinks, work = {str(t) for t in route.targets(table_of(own[0][0]), self.definition.routes, self.definition.config["route-mode"])}, list(own)
+            for group in [g for g in groups if g[0] & sinks]:
+                groups.remove(group)
+                sinks, work = sinks | group[0], group[1] + work
+            groups.append((sinks, sorted(work, key=lambda w: w[-1])))
+        return [work for _, work in groups]
+
     def send(self, step: Change, number: int, part: int, turn: int) -> None:
         """A sink's change, once; turn tells apart the changes that one of the source becomes."""
         if not self.sink.keeps_schemas or step.kind == "create.table":  # a table that is there isn't made again
@@ -103,9 +136,9 @@ class Runtime:
             raise
         self.store.write(name, f"{text}\ndone")
 
-    def schema_change(self, evolution: SchemaEvolution, change: Change, number: int, part: int) -> None:
+    def schema_change(self, evolution: SchemaEvolution, change: Change, number: int, part: int, source: str) -> None:
         """A source's change as its transform lets it through, for each sink table."""
-        source, d = str(change.table), self.definition
+        d = self.definition
         rule = rule_for(change.table, d.transforms)
         registry = evolution.registry
         if rule is None:
@@ -119,13 +152,34 @@ class Runtime:
             registry.sources[source + "/raw"] = apply_change(raw, change)
         if seen is not None:
             for sink in route.targets(change.table, d.routes, d.config["route-mode"]):
-                own = Registry({source: registry.sources.get(f"{source}>{sink}")} if registry.sources.get(f"{source}>{sink}") else {}, registry.sinks)
+                if "|" in source:
+                    self.widen(evolution, seen, source, sink, number, part)
+                    continue
+                change_of = str(change.table)
+                own = Registry({change_of: registry.sources.get(f"{source}>{sink}")} if registry.sources.get(f"{source}>{sink}") else {}, registry.sinks)
                 step = SchemaEvolution(evolution.behavior, registry=own)
                 step.accepted = evolution.accepted
                 turns = itertools.count()
                 step.arrive(seen, sink, lambda one, turns=turns: self.send(one, number, part, next(turns)))
-                if own.sources.get(source):
-                    registry.sources[f"{source}>{sink}"] = own.sources[source]
+                if own.sources.get(change_of):
+                    registry.sources[f"{source}>{sink}"] = own.sources[change_of]
+
+    def widen(self, evolution: SchemaEvolution, change: Change, source: str, sink: TableId, number: int, part: int) -> None:
+        """One of parallel readers has changed its schema: the sink's becomes the least common one of all readers'. Readers may
+        do so in any order, so nothing is dropped."""
+        registry, name = evolution.registry, f"{source}>{sink}"
+        if change.kind != "create.table" and evolution.behavior == "EXCEPTION":
+            raise ValueError(f"{change.kind} of {change.table}: schema changes aren't allowed")
+        if not is_redundant(registry.sources.get(name), change):
+            registry.sources[name] = apply_change(registry.sources.get(name), change)
+        if change.kind != "create.table" and evolution.behavior == "IGNORE":
+            return
+        own = registry.sinks.get(str(sink))
+        everyone = [schema for key, schema in sorted(registry.sources.items()) if key.endswith(f">{sink}")]
+        for turn, step in enumerate(difference(sink, own, reduce(least_common_schema, everyone, own))):
+            if step.kind != "drop.column" and step.kind in evolution.accepted:
+                self.send(step, number, part, turn)
+                registry.sinks[str(sink)] = apply_change(registry.sinks.get(str(sink)), step)
 
     def empty(self, schema: Schema) -> DataFrame:
         row = T.StructType([T.StructField(f.name, f.dataType) for f in schema.spark()])
@@ -135,14 +189,14 @@ class Runtime:
         rule = rule_for(table, self.definition.transforms)
         return schema if rule is None else Transform(rule, table, schema, self.empty(schema), self.udfs).output_schema()
 
-    def segment(self, rows: DataFrame, evolution: SchemaEvolution, table: str, after: int | None, before: int | None, number: int, part: int) -> None:
-        """Writes a table's rows between two schema changes."""
-        own, registry, source = rows.where((F.col("table_id") == table) & (F.col("kind") == "data")), evolution.registry, TableId.parse(table)
+    def segment(self, rows: DataFrame, evolution: SchemaEvolution, origin: str, after: int | None, before: int | None, number: int, part: int, schema: Schema | None = None) -> None:
+        """Writes a table's rows between two schema changes; schema is the one they were written under, by default the newest."""
+        own, registry, source = rows.where((F.col("origin") == origin) & (F.col("kind") == "data")), evolution.registry, table_of(origin)
         own = own if after is None else own.where(F.col("seq") >= after)
         own = own if before is None else own.where(F.col("seq") < before)
-        schema = registry.sources.get(table + "/raw")
+        schema = schema or registry.sources.get(origin + "/raw")
         if schema is None:
-            raise ValueError(f"rows of {table} came before its creation")
+            raise ValueError(f"rows of {source} came before its creation")
         row = T.StructType([T.StructField(f.name, f.dataType) for f in schema.spark()])
         kind = T.StructType([T.StructField("op", T.StringType()), T.StructField("before", row), T.StructField("after", row), T.StructField("meta", changelog.META)])
         changes = own.select(F.from_json("payload", kind).alias("c"), "seq").select("c.*", "seq")

@@ -2,8 +2,10 @@
 
 import datetime as dt
 import json
+from functools import reduce
 
 import pytest
+from pyspark.sql import functions as F
 
 from deltaloom.__main__ import main
 from deltaloom.catalog import Change, Column, Schema, TableId, Type
@@ -303,6 +305,35 @@ def test_a_batch_of_more_than_a_thousand_schema_changes(spark, tmp_path):
     assert sorted(map(tuple, sink.read(TableId.parse("app.t7")).collect())) == [(1, "n1"), (2, "n2")]
 
 
+def test_tables_of_one_batch_that_share_a_sink(spark, tmp_path):
+    sink = Files(spark, {"path": f"{tmp_path}/sink"})
+    routed = definition(more="route: [{source-table: app.t\\.*, sink-table: ods.all}, {source-table: app.t1, sink-table: ods.one}]")
+    tables = [TableId.parse(f"app.t{i}") for i in range(4)]
+    rows = [(str(t), 0, "schema", Change(t, "create.table", schema=KEYED)) for t in tables] + [inserted(str(t), 1, i) for i, t in enumerate(tables)] + [inserted("app.other", 1, 9), ("app.other", 0, "schema", Change(TableId.parse("app.other"), "create.table", schema=KEYED))]
+    runtime = Runtime(spark, routed, sink, f"{tmp_path}/cp")
+    for number in (0, 0):
+        runtime.batch(stream_rows(spark, *rows), number)
+        assert sorted(r["id"] for r in sink.read(TableId.parse("ods.all")).collect()) == [0, 1, 2, 3]
+        assert [r["id"] for r in sink.read(TableId.parse("ods.one")).collect()] == [1] and [r["id"] for r in sink.read(TableId.parse("app.other")).collect()] == [9]
+
+
+def test_parallel_readers_that_evolve_in_different_order(spark, tmp_path):
+    table = TableId.parse("app.t")
+    add = lambda name, kind: Change(table, "add.column", added=((Column(name, Type(kind)), "LAST", None),))
+    first = [("app.t", 0, "schema", Change(table, "create.table", schema=KEYED)), inserted("app.t", 1, 1), ("app.t", 2, "schema", add("age", "INT")), inserted("app.t", 3, 2, age=7), ("app.t", 4, "schema", add("city", "STRING")), inserted("app.t", 5, 3, age=8, city="Bern")]
+    second = [("app.t", 0, "schema", Change(table, "create.table", schema=KEYED)), ("app.t", 1, "schema", add("city", "STRING")), inserted("app.t", 2, 11, city="Rome"), ("app.t", 3, "schema", Change(table, "drop.column", dropped=("name",))), ("app.t", 4, "schema", add("age", "BIGINT")), inserted("app.t", 6, 12, age=1 << 40)]
+    want = [(1, "n1", None, None), (2, "n2", 7, None), (3, "n3", 8, "Bern"), (11, "n11", None, "Rome"), (12, None, 1 << 40, None)]
+    for way, batches in enumerate(([(first, second)], [(first, []), ([], second)], [([], second), (first, [])], [(first[:4], second[:3]), (first[4:], second[3:])])):
+        sink = Files(spark, {"path": f"{tmp_path}/sink{way}"})
+        runtime = Runtime(spark, definition(), sink, f"{tmp_path}/cp{way}")
+        for number, (a, b) in enumerate(batches):
+            parts = [stream_rows(spark, *own).withColumn("reader", F.lit(name)) for name, own in (("a", a), ("b", b)) if own]
+            runtime.batch(reduce(lambda x, y: x.unionByName(y), parts), number)
+        got = sink.read(table)
+        assert sorted(map(tuple, got.select("id", "name", "age", "city").collect())) == want, way
+        assert dict(got.dtypes)["age"] == "bigint"
+
+
 class Cut(Database):
     """Counts the changes of the schema it is sent, and is killed once at a point: before or after the nth statement batch, or
     after a schema change."""
