@@ -257,3 +257,13 @@ def evolved_by_behavior(spark: SparkSession, sf_dir: str) -> DataFrame:
         found = found.select(F.lit(name).alias("behavior"), "c_custkey", F.lit(" ".join(found.columns)).alias("columns"), *own)
         out = found if out is None else out.unionByName(found)
     return out
+
+
+@query("SELECT DISTINCT o_custkey, CAST(1 AS BIGINT) AS buckets, true AS placed FROM orders")
+def sink_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders dealt to a sink's buckets: each customer's lie in one, and each bucket in the task of its number."""
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    made = open_sink(spark, {"type": "fluss", "bucket.key": "shop.orders:o_custkey;shop.others:x", "bucket.num": "shop.orders:6"})
+    dealt = made.dealt(ORDERS, orders, Schema.from_spark(orders.schema, ["o_orderkey", "o_custkey"]))
+    placed = (F.spark_partition_id() == F.col("bucket")) & F.col("bucket").between(0, 5)
+    return dealt.withColumn("placed", placed).groupBy("o_custkey").agg(F.count_distinct("bucket").alias("buckets"), F.bool_and("placed").alias("placed"))

@@ -393,13 +393,17 @@ class Catalogued(Sink):
 
     keeps_schemas = True
 
+    def dealt(self, table: TableId, rows: DataFrame, schema: Schema) -> DataFrame:
+        """rows as the sink wants them in tasks."""
+        return rows
+
     def write(self, table: TableId, changes: DataFrame, schema: Schema, batch: int, part: int = 0) -> None:
         keys = list(schema.primary_keys)
         name = ".".join([str(self.options["catalog"]), *table.parts]) if self.options.get("catalog") else str(table)
         if not keys:
             changes.where("after is not null").select("after.*").writeTo(name).append()
             return
-        rows = states(changes, schema).alias("s")
+        rows = self.dealt(table, states(changes, schema), schema).alias("s")
         on = F.lit(True)
         for k in keys:
             on = on & (F.col(f"{name}.{k}") == F.col(f"s.{k}"))
@@ -433,10 +437,38 @@ class Catalogued(Sink):
             self.spark.sql(f"{'DROP TABLE IF EXISTS' if change.kind == 'drop.table' else 'TRUNCATE TABLE'} {name}")
 
 
-for _name in ("iceberg", "paimon", "hudi", "fluss"):
+for _name in ("iceberg", "paimon", "hudi"):
     SINKS[_name] = type(_name.title(), (Catalogued,), {})
 
 
+def by_table(text: object) -> dict[str, str]:
+    """Options of the form table:value;table:value."""
+    return {t.strip(): v.strip() for t, _, v in (x.partition(":") for x in str(text or "").split(";")) if t.strip()}
+
+
+@sink("fluss")
+class Fluss(Catalogued):
+    """Tables in buckets: rows go to tasks by the bucket they lie in, so a bucket has one writer and a writer whole buckets.
+
+    bucket.key (table:key,key;...) must be of a table's primary key without its partition keys, which is what is taken where it
+    isn't given; rows of a table without a key are dealt at random. bucket.num is table:number;..."""
+
+    own_hash = True
+
+    def bucket_keys(self, table: TableId, schema: Schema) -> list[str]:
+        allowed = [k for k in schema.primary_keys if k not in schema.partition_keys]
+        given = [k.strip() for k in by_table(self.options.get("bucket.key")).get(str(table), "").split(",") if k.strip()]
+        if given and schema.primary_keys and not set(given) <= set(allowed):
+            raise ValueError(f"bucket keys {given} of {table} must be of {allowed}")
+        return given or allowed
+
+    def dealt(self, table: TableId, rows: DataFrame, schema: Schema) -> DataFrame:
+        """rows with bucket, each in the task of its bucket's number."""
+        count, keys = int(by_table(self.options.get("bucket.num")).get(str(table), 1)), self.bucket_keys(table, schema)
+        number = F.pmod(F.hash(*[F.col(f"`{k}`") for k in keys]), F.lit(count)) if keys else F.floor(F.rand() * count).cast("int")
+        return rows.withColumn("bucket", number).repartitionById(count, F.col("bucket"))
+
+
 @sink("elasticsearch")
 class Elasticsearch(Sink):
     """Bulk lines (an action, then its document), sent to load.url or as text files, a folder for each batch: one action for each

@@ -159,3 +159,15 @@ def test_a_server_that_is_not_there(spark):
     sink = open_sink(spark, {"type": "doris", "load.url": "http://127.0.0.1:9", "sink.parallelism": 1})
     with pytest.raises(Exception, match="stream_load"):
         sink.write(TABLE, changes(spark, *inserts(1)), KEYED, 0)
+
+
+def test_buckets_of_a_sink(spark):
+    sink = open_sink(spark, {"type": "fluss", "bucket.key": "shop.items:id,name; shop.bad:name", "bucket.num": "shop.items:4"})
+    both = Schema.of(("id", "BIGINT"), ("name", "STRING"), keys=["id", "name"])
+    assert sink.bucket_keys(TABLE, both) == ["id", "name"] and sink.bucket_keys(TableId.parse("shop.more"), both) == ["id", "name"]
+    with pytest.raises(ValueError, match="must be of"):
+        sink.bucket_keys(TableId.parse("shop.bad"), KEYED)
+    assert sink.bucket_keys(TableId.parse("shop.more"), LOOSE) == []
+    rows = spark.range(100).selectExpr("id", "cast(id as string) as name")
+    assert sink.dealt(TABLE, rows, both).rdd.getNumPartitions() == 4
+    assert sink.dealt(TableId.parse("shop.more"), rows, LOOSE).count() == 100
