@@ -14,10 +14,11 @@ from deltaloom.catalog import Change, Schema, TableId
 from deltaloom.operators import changelog
 from deltaloom.sinks.formats import SOURCE_DIALECTS
 from deltaloom.sources.chunks import CHUNK_ROWS, STARTUP_MODES, predicates, started
-from deltaloom.sources.positions import Transactions
+from deltaloom.sources.positions import Reshard, Shards, Transactions, by_vector
 from deltaloom.sources.probes import chunk_bounds
 from deltaloom.sources.segments import Segments
 from deltaloom.sources.selectors import Selectors
+from deltaloom.streaming.normalize import normalized
 
 SOURCES: dict[str, Callable[[SparkSession, Mapping[str, object]], Source]] = {}
 
@@ -182,15 +183,59 @@ def database(dialect: str) -> None:
     SOURCES[dialect] = made
 
 
-for _name in ("mysql", "postgres", "oracle", "sqlserver", "oceanbase", "db2", "tidb", "vitess", "jdbc"):
+for _name in ("mysql", "postgres", "oracle", "sqlserver", "oceanbase", "db2", "jdbc"):
     database(_name)
 
 
+def placed_events(spark: SparkSession, options: Mapping[str, object], place: str) -> dict[TableId, tuple[DataFrame, Schema]]:
+    """By table the events of a log whose source names a place and a position in it: (op, before, after, meta, place, position).
+    names, schemas ({name: [[column, type]]}), keys and log.path."""
+    lines, out = spark.read.text(str(options["log.path"])), {}
+    for name in options.get("names") or list(options.get("schemas") or {}):
+        table, schema = TableId.parse(name), Schema.of(*map(tuple, options["schemas"][name]), keys=(options.get("keys") or {}).get(name, []))
+        row = T.StructType([T.StructField(f.name, f.dataType) for f in schema.spark()])
+        fields = [("before", row), ("after", row), ("op", T.StringType()), ("ts_ms", T.LongType()), ("source", T.StructType([T.StructField("table", T.StringType()), T.StructField(place, T.StringType()), T.StructField("pos", T.LongType())]))]
+        e = lines.select(F.from_json("value", T.StructType([T.StructField(*f) for f in fields])).alias("e")).select("e.*").where(F.col("source.table") == table.table)
+        op = F.when(F.col("op").isin("c", "r"), "INSERT").when(F.col("op") == "u", "UPDATE").when(F.col("op") == "d", "DELETE")
+        meta = F.create_map(F.lit("op_ts"), F.col("ts_ms").cast("string"))
+        out[table] = e.select(op.alias("op"), "before", "after", meta.alias("meta"), F.col(f"source.{place}").alias(place), F.col("source.pos").alias("position")), schema
+    return out
+
+
+@source("vitess")
+def vitess(spark: SparkSession, options: Mapping[str, object]) -> Source:
+    """A log of shards, each with positions of its own, in whatever order they arrive: since ({shard: position}) is what a reader has,
+    reshards ([{ended: {shard: position}, begun: [shard]}]) what became of shards."""
+    changes = [Reshard({k: int(v) for k, v in r["ended"].items()}, tuple(r["begun"])) for r in options.get("reshards") or []]
+    since, tables, schemas = options.get("since"), {}, {}
+    for table, (events, schema) in placed_events(spark, options, "shard").items():
+        ordered = by_vector(events, "shard", "position", changes, Shards({k: int(v) for k, v in since.items()}) if since else None)
+        tables[table], schemas[table] = ordered.select("op", "before", "after", "meta", "seq"), schema
+    return Source(tables, schemas, metadata={"op_ts": "BIGINT"})
+
+
+@source("tidb")
+def tidb(spark: SparkSession, options: Mapping[str, object]) -> Source:
+    """A log of regions: changes by their commits' times, up to the time that every region has resolved (lines {region, resolved}); a
+    change that came twice counts once. regions is how many there are, by default those that the log names."""
+    promised = spark.read.text(str(options["log.path"])).select(F.from_json("value", "region string, resolved bigint, source struct<region: string>").alias("e")).select(F.coalesce("e.region", "e.source.region").alias("region"), "e.resolved")
+    by_region = promised.where("region is not null").groupBy("region").agg(F.max("resolved").alias("resolved"))
+    least, seen, named = by_region.agg(F.min("resolved"), F.count("resolved"), F.count(F.lit(1))).first()
+    least = least if seen >= int(options.get("regions", named)) else None
+    tables, schemas = {}, {}
+    for table, (events, schema) in placed_events(spark, options, "region").items():
+        ready = events.where(F.lit(False) if least is None else F.col("position") <= least)
+        once = ready.withColumn("meta", F.map_entries("meta")).distinct().withColumn("meta", F.map_from_entries("meta"))
+        tables[table], schemas[table] = once.select("op", "before", "after", "meta", F.col("position").alias("seq")), schema
+    return Source(tables, schemas, metadata={"op_ts": "BIGINT"})
+
+
 @source("mongodb")
 def mongodb(spark: SparkSession, options: Mapping[str, object]) -> Source:
     """Collections of documents: names, schemas ({name: [[column, type]]}), snapshot.path (a folder of <name>.json, a document
     a line) and log.path (change-stream events, one a line). _id is the key. A change whose document before isn't in the
-    event replaces what stood there; a deletion then has the key only."""
+    event replaces what stood there, and a deletion then has the key only; scan.full-changelog makes them updates and deletions
+    of the document before."""
     mode = str(options.get("scan.startup.mode", "initial"))
     if mode not in STARTUP_MODES:
         raise ValueError(f"no startup mode {mode}; one of {', '.join(STARTUP_MODES)}")
@@ -207,6 +252,8 @@ def mongodb(spark: SparkSession, options: Mapping[str, object]) -> Source:
         if not parts:
             raise ValueError(f"{name}: give a snapshot.path or a log.path")
         tables[table] = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        if str(options.get("scan.full-changelog", "false")).lower() == "true":
+            tables[table] = normalized(tables[table], ["_id"])
     return Source(tables, schemas, metadata={"op_ts": "BIGINT"})
 
 

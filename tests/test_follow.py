@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import random
 from functools import reduce
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from deltaloom.__main__ import main
 from deltaloom.catalog import Change, Column, Schema, TableId, Type
+from deltaloom.operators.changelog import materialized
 from deltaloom.plans.definition import parse
 from deltaloom.sinks.registry import Database, Files, open_sink
 from deltaloom.sources import chunks, positions
@@ -434,3 +436,42 @@ def test_how_far_a_stream_is(spark, tmp_path):
         running.stop()
     told = made.progress()
     assert told.tables("following") == ["app.items"] and told.chunks_done == {"app.items": 4} and not sum(told.chunks_left.values())
+
+
+def log_source(spark, tmp_path, kind, lines, **options):
+    (tmp_path / "log.json").write_text("\n".join(map(json.dumps, lines)))
+    source = open_source(spark, {"type": kind, "log.path": f"{tmp_path}/log.json", "names": ["app.items"], "schemas": {"app.items": [["id", "BIGINT"], ["name", "STRING"]]}, "keys": {"app.items": ["id"]}, **options})
+    return source.tables[ITEMS]
+
+
+def placed(op, place, pos, before, after, **where):
+    return {"op": op, "before": before, "after": after, "ts_ms": 7, "source": {"table": "items", "pos": pos} | where}
+
+
+def test_shards_in_any_order_give_one_table(spark, tmp_path):
+    lines = [
+        placed("c", "shard", 1, None, row(1, "a"), shard="-80"), placed("u", "shard", 2, row(1, "a"), row(1, "b"), shard="-80"), placed("c", "shard", 1, None, row(2, "a"), shard="80-"),
+        placed("u", "shard", 1, row(1, "b"), row(1, "c"), shard="-40"), placed("u", "shard", 9, row(1, "b"), row(1, "stale"), shard="-80"), placed("d", "shard", 2, row(2, "a"), None, shard="80-"), placed("c", "shard", 3, None, row(3, "z"), shard="80-"),
+    ]
+    for seed in range(3):
+        random.Random(seed).shuffle(lines)
+        changes = log_source(spark, tmp_path, "vitess", lines, reshards=[{"ended": {"-80": 2}, "begun": ["-40", "40-80"]}])
+        assert sorted(map(tuple, materialized(changes, ["id"]).collect())) == [(1, "c"), (3, "z")]
+    assert log_source(spark, tmp_path, "vitess", lines, reshards=[{"ended": {"-80": 2}, "begun": ["-40"]}], since={"-80": 2, "80-": 2}).count() == 2
+
+
+def test_regions_up_to_what_all_have_resolved(spark, tmp_path):
+    lines = [placed("u", "region", 9, row(1, "a"), row(1, "late"), region="r2"), placed("u", "region", 5, row(1, "a"), row(1, "b"), region="r1"), placed("c", "region", 3, None, row(1, "a"), region="r1"), placed("c", "region", 3, None, row(1, "a"), region="r1"), {"region": "r1", "resolved": 20}, {"region": "r2", "resolved": 8}, {"region": "r2", "resolved": 2}]
+    changes = log_source(spark, tmp_path, "tidb", lines)
+    assert sorted((r["seq"], r["op"]) for r in changes.collect()) == [(3, "INSERT"), (5, "UPDATE")]
+    assert log_source(spark, tmp_path, "tidb", lines, regions=3).count() == 0
+
+
+def test_documents_with_those_before_them(spark, tmp_path):
+    (tmp_path / "shop.items.json").write_text('{"_id": "a", "n": 1}\n{"_id": "b", "n": 2}')
+    stamp = lambda t: {"$timestamp": {"t": t, "i": 1}}
+    told = [("update", "a", {"_id": "a", "n": 5}, 1), ("update", "a", {"_id": "a", "n": 5}, 2), ("delete", "b", None, 3), ("insert", "c", {"_id": "c", "n": 9}, 4)]
+    (tmp_path / "log.json").write_text("\n".join(json.dumps({"operationType": k, "ns": {"db": "shop", "coll": "items"}, "documentKey": {"_id": i}, "fullDocument": d, "clusterTime": stamp(t)}) for k, i, d, t in told))
+    source = open_source(spark, {"type": "mongodb", "names": ["shop.items"], "schemas": {"shop.items": [["_id", "STRING"], ["n", "INT"]]}, "snapshot.path": str(tmp_path), "log.path": f"{tmp_path}/log.json", "scan.full-changelog": "true"})
+    got = sorted((r["op"], r["before"] and tuple(r["before"]), r["after"] and tuple(r["after"])) for r in source.tables[TableId.parse("shop.items")].collect() if r["seq"] >= 0)
+    assert got == [("DELETE", ("b", 2), None), ("INSERT", None, ("c", 9)), ("UPDATE", ("a", 1), ("a", 5))]
