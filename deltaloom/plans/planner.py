@@ -14,6 +14,7 @@ from deltaloom.operators.evolve import SchemaEvolution
 from deltaloom.operators.transform import Transform, TransformRule, rule_for
 from deltaloom.plans.definition import PipelineDef, parse
 from deltaloom.sinks.registry import Sink, open_sink
+from deltaloom.sources.metrics import observed
 from deltaloom.sources.registry import Source, open_source
 
 
@@ -70,5 +71,7 @@ def run(spark: SparkSession, definition: PipelineDef | str, sink: Sink | None =
     evolution = SchemaEvolution(definition.config["schema.change.behavior"], list(definition.sink.include) if definition.sink.include else None, list(definition.sink.exclude) if definition.sink.exclude is not None else None)
     for table, (changes, schema) in planned(spark, definition, sink=sink).tables.items():
         evolution.arrive(Change(table, "create.table", schema=schema), table, sink.apply)
+        if not sink.lazy:  # counted as the rows are written, at no extra pass
+            changes, sink.seen[str(table)] = observed(changes, f"{definition.config['name']}: {table}")
         sink.write(table, changes, schema, batch)
     return sink

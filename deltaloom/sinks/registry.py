@@ -9,7 +9,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,9 +39,13 @@ class Sink:
     writer: str | None = None
     #: How many tables may be written at a time.
     together = 8
+    #: Whether write() only keeps what it is given.
+    lazy = False
 
     def __init__(self, spark: SparkSession, options: Mapping[str, object]) -> None:
         self.spark, self.options = spark, options
+        #: What a bounded run has seen of each table (rows by kind, last seq), once it is written.
+        self.seen: dict[str, Observation] = {}
 
     def apply(self, change: Change, again: bool = False) -> None:
         if change.kind not in self.supported:
@@ -75,6 +79,8 @@ def open_sink(spark: SparkSession, options: Mapping[str, object]) -> Sink:
 class Values(Sink):
     """Keeps changelogs as given, in the driver's memory of plans; for tests and shells. materialized() is the table."""
 
+    lazy = True
+
     def __init__(self, spark: SparkSession, options: Mapping[str, object]) -> None:
         super().__init__(spark, options)
         self.batches: dict[str, dict[tuple[int, int], DataFrame]] = {}

@@ -341,6 +341,7 @@ def test_whole_run(spark, tmp_path):
     assert sorted(map(tuple, values.materialized("ods.users").collect())) == [(2, "BOB", None), (7, "eve", "Bonn")]
     assert [c.kind for c in values.events] == ["create.table"]
     files = run(spark, DEFINITION % ("files", tmp_path))
+    assert files.seen["ods.users"].get["rows"] > 0 and values.seen == {}
     run(spark, DEFINITION % ("files", tmp_path), sink=files, batch=1)
     assert sorted(map(tuple, files.read(TableId.parse("ods.users")).collect())) == [(2, "BOB", None), (7, "eve", "Bonn")]
     with pytest.raises(ValueError, match="own hash"):
