@@ -21,7 +21,7 @@ def cast(c: Column, source: T.DataType, target: T.DataType) -> Column:
     if isinstance(target, T.ByteType | T.ShortType | T.IntegerType | T.LongType):
         return integer(c, source, target)
     if isinstance(target, T.FloatType | T.DoubleType):
-        return c.cast("int").cast(target) if isinstance(source, T.BooleanType) else c.try_cast(target)
+        return c.cast("int").cast(target) if isinstance(source, T.BooleanType) else number(c, source).try_cast(target)
     if isinstance(target, T.DecimalType):
         return decimal(c, source, target)
     if isinstance(target, T.TimestampNTZType):
@@ -66,7 +66,12 @@ def decimal(c: Column, source: T.DataType, target: T.DecimalType) -> Column:
     """Rounded half up to the scale; NULL where the digits don't fit."""
     if isinstance(source, T.BooleanType):
         return c.cast("int").cast(target)
-    return F.round(c.try_cast(T.DecimalType(38, min(18, target.scale + 10))), target.scale).try_cast(target)
+    return F.round(number(c, source).try_cast(T.DecimalType(38, min(18, target.scale + 10))), target.scale).try_cast(target)
+
+
+def number(c: Column, source: T.DataType) -> Column:
+    """c, without texts that are no number."""
+    return F.when(F.rlike(c, F.lit(NUMBER)), c) if isinstance(source, T.StringType) else c
 
 
 def is_zoned(kind: T.DataType) -> bool:
