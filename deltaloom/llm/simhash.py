@@ -19,10 +19,12 @@ differs in at most l - 1 shingles. Sets meet in buckets that fix what a chain ha
 a sample, and otherwise goes on until a segment after the first leaves something in common. The sample only moves work, as both
 sets decide by what they share. No pair of 4/5 or more misses its bucket.
 
-In a bucket pairs must have sizes that allow 4/5 and 128-bit SimHash fingerprints of the sets within HEAD_BITS (about 19 at 4/5,
-so 6 standard deviations), of the first 64 bits within FIRST_BITS. What is left must have parities within t: 512 bits, each
+In a bucket pairs must have sizes that allow 4/5 and, unless they are small (TELLING), 128-bit SimHash fingerprints of the sets
+within HEAD_BITS (about 19 at 4/5, so 6 standard deviations: of larger sets a share of 6e-8 at 4/5 is lost here), of the first 64
+bits within FIRST_BITS. What is left must have parities within t: 512 bits, each
 the parity of the shingles that fall on it, differ in no more places than the sets do. Last come the sets. Pairs of short buckets
-are listed. Of long ones the rows stay that are near another by their fingerprints, and pairs of rows and a few leaders are listed:
+are listed. Rows of a crowded one, most of which are near none of some leaders (unrelated texts that share a shingle), go on to
+the buckets of longer chains: their segment and the next, which may differ in one shingle. Of other long ones the rows stay that are near another by their fingerprints, and pairs of rows and a few leaders are listed:
 what these link has one label before the rows get their parities, and labels keep a large group from yielding its pairs. What is
 near with different labels then is listed where a bucket has few such pairs; the rows of other buckets go through more rounds of
 leaders, after which every pair of different labels is checked, so nothing rests on the leaders.
@@ -35,6 +37,7 @@ table gives an empty one; other columns play no part.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 from itertools import combinations
 
 import numpy as np
@@ -44,12 +47,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from deltaloom.llm.common import WORD_BYTES, chunks, drop_shuffles, lower_ascii, release, ship, starts_of, table, utf8, written
+from deltaloom.llm.common import WORD_BYTES, chunks, lower_ascii, release, ship, starts_of, table, utf8, written
 from deltaloom.llm.graph import components
 
 SEED = 42
-#: The most bits that two sets of similarity 4/5 are taken to differ in, of the first 64 and of all 128.
-FIRST_BITS, HEAD_BITS = 27, 44
+#: The most bits that two sets of similarity 4/5 are taken to differ in, of the first 64 and of all 128, where the sets have
+#: together at least so many shingles that these bits tell; smaller ones are told by their parities and themselves.
+FIRST_BITS, HEAD_BITS, TELLING = 27, 44, 64
 #: Bits of a set's parities, and the columns of a set that pairs are compared by.
 PARITY_BITS = 512
 SIGNS = ("h0", "h1", *(f"o{i}" for i in range(PARITY_BITS // 64)))
@@ -59,6 +63,10 @@ LONG_BUCKET, ROUNDS = 32, 3
 LISTED = 4
 #: Rows of buckets that a task sorts, about.
 SORTED = 400_000
+#: A bucket of which over CROWD rows are near none of LEADERS leaders is crowded: its rows meet in longer chains instead.
+CROWD, LEADERS = 2048, 64
+#: Kinds of what meets: pairs, rows of long buckets, rows of crowded ones.
+PAIR, LONG, CROWDED = 0, 1, 2
 #: Distinct sets that are looked at for common shingles, and in how many of them a shingle is common.
 SAMPLE, COMMON = 16_384, 3
 #: Bits of the map that tells which sets may be candidates, and of a slot that hold the set's size.
@@ -336,12 +344,50 @@ def chain_keys(own: np.ndarray, rare: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate(out))
 
 
-def longer_chains(starts: list[int], edge: list[int], total: list[int], mix: list[int], most: int) -> tuple[list[int], list[int]]:
+def settled_chains(own: np.ndarray, rare: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each ring of a set (key, start, edge, sums, mixes): the buckets of chains that are one segment, where each starts, and
+    where the segments begin, their sums, and the mixed hashes."""
+    mix = mixed(own)
+    sums, rares = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix, dtype=np.uint64)]), starts_of(rare)
+    for segments, starts in rings(len(own)) if len(own) else []:
+        edge = np.searchsorted((own >> np.uint64(32)) * np.uint64(segments) >> np.uint64(32), np.arange(segments + 1, dtype=np.uint64))
+        total, at = sums[edge[1:]] - sums[edge[:-1]], np.flatnonzero((rares[edge[1:]] > rares[edge[:-1]])[:starts])
+        salt = mixed(np.uint64(segments << 32) | np.arange(starts, dtype=np.uint64))
+        yield mixed(total[at] ^ salt[at]), at, edge, total, mix
+
+
+def lengthened_keys(own: np.ndarray, rare: np.ndarray, crowded: np.ndarray) -> np.ndarray:
+    """The buckets that a set goes to instead of crowded ones (keys without their low SIZE_BITS, sorted).
+
+    A chain of one segment, in which nothing may differ, goes on until a later segment leaves something in common, as one whose
+    segment has no rare shingle does. Other chains stay where they are."""
+    out, known = [np.empty(0, np.uint64)], [np.empty(0, np.uint64)]
+    for keys, at, edge, total, mix in settled_chains(own, rare):
+        some = np.isin(keys >> np.uint64(SIZE_BITS), crowded)
+        known.append(keys[some] >> np.uint64(SIZE_BITS))
+        start, found = longer_chains(at[some].tolist(), edge.tolist(), total.tolist(), mix.tolist(), len(own) // 5, False)
+        salt = mixed(~mixed(np.uint64(len(total) << 32) | np.array(start, np.uint64)))
+        out.append(mixed(np.array(found, np.uint64) ^ salt))
+    stay = np.setdiff1d(crowded, np.concatenate(known))
+    return np.unique(np.concatenate([*out, stay << np.uint64(SIZE_BITS)]))
+
+
+def crowd(h: np.ndarray, size: np.ndarray, seed: np.ndarray, leaders: int) -> int:
+    """How many rows of a bucket are near none of some leaders."""
+    rest = np.argsort(seed.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15), kind="stable")
+    for _ in range(leaders):
+        if len(rest) < 2:
+            break
+        rest = rest[1:][~near(h[rest[1:]], h[rest[0]], size[rest[1:]], size[rest[0]])]
+    return len(rest)
+
+
+def longer_chains(starts: list[int], edge: list[int], total: list[int], mix: list[int], most: int, first: bool = True) -> tuple[list[int], list[int]]:
     """Starts and sums of what chains of two or more segments may have in common, each the shortest that leaves something;
-    a set of n shingles lacks at most most = n / 5 of its own in another."""
+    a set of n shingles lacks at most most = n / 5 of its own in another. first: whether the first segment counts as something."""
     segments, at, found = len(total), [], []
     for start in starts:
-        now = [(total[start], 0, edge[start + 1] > edge[start])]  # the sum, how many are left out, whether something stays
+        now = [(total[start], 0, first and edge[start + 1] > edge[start])]  # the sum, how many are left out, whether something stays
         for length in range(2, segments + 1):
             j = (start + length - 1) % segments
             own, ahead = mix[edge[j] : edge[j + 1]], []
@@ -418,7 +464,8 @@ def packed_columns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def near(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray | np.int64) -> np.ndarray:
     """Which pairs of SIGNS (the head at least) and sizes may be of similarity 4/5 or more."""
     differ = np.bitwise_count(x ^ y)
-    return (5 * np.minimum(n, m) >= 4 * np.maximum(n, m)) & (differ[:, 0] <= FIRST_BITS) & (differ[:, :2].sum(1) <= HEAD_BITS) & (9 * differ[:, 2:].sum(1, dtype=np.int64) <= n + m)
+    close = (n + m < TELLING) | (differ[:, 0] <= FIRST_BITS) & (differ[:, :2].sum(1) <= HEAD_BITS)
+    return (5 * np.minimum(n, m) >= 4 * np.maximum(n, m)) & close & (9 * differ[:, 2:].sum(1, dtype=np.int64) <= n + m)
 
 
 def near_rows(h: np.ndarray, size: np.ndarray, label: np.ndarray, x: np.ndarray, y: np.ndarray | np.int64) -> np.ndarray:
@@ -464,12 +511,13 @@ def bucket_leaders(key: np.ndarray, own: np.ndarray, h: np.ndarray, size: np.nda
 
 def met_with(x: np.ndarray, y: np.ndarray, rows: np.ndarray, key: np.ndarray, h: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Which rows of whole buckets (sorted by key; rows is 0, 1, ...) are near another of theirs, given pairs (x, y) of them and
-    their leaders: of all rows, those in no pair are compared with their buckets."""
-    keep = np.zeros(len(key), bool)
-    keep[x] = keep[y] = True
+    their leaders: of all rows, those in no pair have met all others in none but those that a leader took before them."""
+    keep, taken = np.zeros(len(key), bool), np.zeros(len(key), bool)
+    keep[x] = keep[y] = taken[x] = True
     for i in np.flatnonzero(~keep).tolist():
         lo, hi = np.searchsorted(key, key[i]), np.searchsorted(key, key[i], "right")
-        keep[i] = near_rows(h, size, rows, rows[lo:hi], rows[i]).any()
+        others = rows[lo:hi][taken[lo:hi]]
+        keep[i] = len(others) > 0 and near_rows(h, size, rows, others, rows[i]).any()
     return keep
 
 
@@ -488,29 +536,37 @@ def whole_buckets(batches: Iterator[pa.RecordBatch], columns: list[str], key: st
 
 
 def met_rows(texts: DataFrame, words: int, common: np.ndarray, shingles: int) -> DataFrame:
-    """What meets in buckets, of the rows (id, h0, h1, text): rows (a, b) for the near pairs of short buckets and for near pairs of
-    rows and leaders of long ones, and rows (key, a) for all rows of long ones that are near another there. shingles of all the
-    sets tell how many rows the buckets have."""
+    """What meets in buckets, of the rows (id, h0, h1, text), by kind: PAIR (a, b) for the near pairs of short buckets and for near
+    pairs of rows and leaders of long ones, and LONG (key, a) for all rows of long ones that are near another there. shingles of
+    all the sets tell how many rows the buckets have. Rows of crowded buckets meet once more, in those of longer chains."""
     parts = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), shingles // 2 // SORTED)
+    most, leaders = CROWD, LEADERS
+    schema = "slot bigint, id bigint, h0 bigint, h1 bigint"
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in chunks(batches):
             columns: list[list[np.ndarray]] = [[np.empty(0, np.int64)] for _ in range(4)]
-            for i, h0, h1, text in zip(*(batch[c].to_pylist() for c in ("id", "h0", "h1", "text")), strict=True):
+            crowded = batch["crowded"].to_pylist() if "crowded" in batch.schema.names else [None] * batch.num_rows
+            for i, h0, h1, text, full in zip(*(batch[c].to_pylist() for c in ("id", "h0", "h1", "text")), crowded, strict=True):
                 if i not in seen:
                     seen.add(i)
                     own = shingle_set(text, words)
-                    keys = chain_keys(own, rare_ones(own, common))
+                    rare = rare_ones(own, common)
+                    keys = chain_keys(own, rare) if full is None else lengthened_keys(own, rare, np.sort(np.array(full, np.int64).view(np.uint64) & np.uint64((1 << 64 - SIZE_BITS) - 1)))
                     slots = (keys & ~np.uint64((1 << SIZE_BITS) - 1)) | np.uint64(min(len(own), (1 << SIZE_BITS) - 1))
                     for column, values in zip(columns, (slots.view(np.int64), *(np.full(len(keys), v, np.int64) for v in (i, h0, h1))), strict=True):
                         column.append(values)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], ["slot", "id", "h0", "h1"])
 
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-            pairs = np.unique(np.sort(np.stack([np.concatenate([f[j] for f in found]) for j in (0, 1)], 1), 1), axis=0)
-            return pa.RecordBatch.from_arrays([pa.nulls(len(pairs), pa.int64()), *(pa.array(pairs[:, j].copy()) for j in (0, 1))], ["key", "a", "b"])
+    def meet(last: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(kind: int, key: np.ndarray | None, a: np.ndarray, b: np.ndarray | None) -> pa.RecordBatch:
+            columns = [pa.nulls(len(a), pa.int64()) if c is None else pa.array(c.copy()) for c in (key, a, b)]
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), *columns], ["kind", "key", "a", "b"])
+
+        def pairs(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+            own = np.unique(np.sort(np.stack([np.concatenate([f[j] for f in found]) for j in (0, 1)], 1), 1), axis=0)
+            return out(PAIR, None, own[:, 0], own[:, 1])
 
         keyed = (pa.RecordBatch.from_arrays([pa.array(np.asarray(b["slot"]) >> SIZE_BITS), *b.columns], ["key", "slot", "id", "h0", "h1"]) for b in batches)
         found, held = [], 0
@@ -518,7 +574,8 @@ def met_rows(texts: DataFrame, words: int, common: np.ndarray, shingles: int) ->
             once = np.ones(len(key), bool)
             once[1:] = (slot[1:] != slot[:-1]) | (own[1:] != own[:-1])
             key, size, own, h = key[once], slot[once] & (1 << SIZE_BITS) - 1, own[once], np.stack([h0[once], h1[once]], 1).view(np.uint64)
-            length = np.diff(np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]])))
+            edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
+            length = np.diff(edge)
             many = np.repeat(length > LONG_BUCKET, length)
             for shift in range(1, LONG_BUCKET):
                 at = np.flatnonzero((key[shift:] == key[:-shift]) & ~many[shift:] & (5 * size[:-shift] >= 4 * size[shift:]))
@@ -527,22 +584,34 @@ def met_rows(texts: DataFrame, words: int, common: np.ndarray, shingles: int) ->
                 at = at[near(h[at], h[at + shift], size[at], size[at + shift]) & (own[at] != own[at + shift])]
                 found.append((own[at], own[at + shift]))
                 held += len(at)
+            for k in [] if last else np.flatnonzero(length > most).tolist():
+                lo, hi = edge[k], edge[k + 1]
+                if crowd(h[lo:hi], size[lo:hi], own[lo:hi], leaders) > most:
+                    many[lo:hi] = False
+                    yield out(CROWDED, key[lo:hi], own[lo:hi], None)
             if many.any():
                 key, own, h, size, rows = key[many], own[many], h[many], size[many], np.arange(int(many.sum()))
                 led = [np.concatenate([np.empty(0, np.int64), *side]) for side in zip(*bucket_leaders(key, own, h, size, rows, 0), strict=True)] or [rows[:0]] * 2
                 found.append((own[led[0]], own[led[1]]))
                 held += len(led[0])
                 stay = met_with(*led, rows, key, h, size)
-                yield pa.RecordBatch.from_arrays([pa.array(key[stay]), pa.array(own[stay]), pa.nulls(int(stay.sum()), pa.int64())], ["key", "a", "b"])
+                yield out(LONG, key[stay], own[stay], None)
             if held > 100_000:
-                yield out(found)
+                yield pairs(found)
                 found, held = [], 0
         if held:
-            yield out(found)
+            yield pairs(found)
+
+    def met(rows: DataFrame, last: bool) -> DataFrame:
+        dealt = rows.mapInArrow(spread, schema).repartition(parts, F.shiftright("slot", SIZE_BITS)).sortWithinPartitions("slot", "id")
+        return written(dealt.mapInArrow(partial(meet, last), "kind int, key bigint, a bigint, b bigint"))
 
-    spread_out = texts.select("id", "h0", "h1", "text").mapInArrow(spread, "slot bigint, id bigint, h0 bigint, h1 bigint")
-    dealt = spread_out.repartition(parts, F.shiftright("slot", SIZE_BITS)).sortWithinPartitions("slot", "id")
-    return dealt.mapInArrow(meet, "key bigint, a bigint, b bigint")
+    first = met(texts.select("id", "h0", "h1", "text"), False)
+    crowded = first.where(F.col("kind") == CROWDED).groupBy(F.col("a").alias("id")).agg(F.collect_set("key").alias("crowded"))  # a set has half as many keys as shingles
+    if crowded.isEmpty():
+        return first
+    again = among(texts.select("id", "h0", "h1", "text"), crowded.select("id")).join(crowded, "id")
+    return first.where(F.col("kind") != CROWDED).unionByName(met(written(again), True))
 
 
 def near_pairs(pairs: DataFrame, heads: DataFrame) -> DataFrame:
@@ -659,22 +728,18 @@ def checked(pairs: DataFrame, sets: DataFrame, few: bool) -> DataFrame:
     whose workers would all stay in the executor's memory."""
     pairs = written(pairs)
     own = written(among(sets, pairs.select(F.explode(F.array("a", "b")).alias("id")))) if few else sets
-    out = written(verified(pairs, own))
-    drop_shuffles(pairs.sparkSession)
-    return out
+    return written(verified(pairs, own))
 
 
 def similar_links(texts: DataFrame, heads: DataFrame, words: int) -> DataFrame:
     """(node, label) of the ids that have others of similarity 4/5 or more: rows (id, h0, h1, text), and heads (id, size,
     SIGNS), each id once."""
     spark = texts.sparkSession
-    met = written(met_rows(texts, words, common_shingles(texts, heads, words), heads.agg(F.sum("size")).first()[0] or 0))
-    drop_shuffles(spark)
-    long = met.where("key is not null").select("key", F.col("a").alias("id"))
-    pairs = written(near_pairs(met.where("key is null").select("a", "b").distinct(), heads))
+    met = met_rows(texts, words, common_shingles(texts, heads, words), heads.agg(F.sum("size")).first()[0] or 0)
+    long = met.where(F.col("kind") == LONG).select("key", F.col("a").alias("id"))
+    pairs = written(near_pairs(met.where(F.col("kind") == PAIR).select("a", "b").distinct(), heads))
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).union(long.select("id"))
     sets = written(sets_of(texts, words, wanted).dropDuplicates(["id"]))
-    drop_shuffles(spark)
     edges, rows = spark.createDataFrame([], "a bigint, b bigint"), None
     for seed in range(ROUNDS + 1):
         last = seed == ROUNDS or seed > 0 and rows is None

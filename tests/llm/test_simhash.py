@@ -245,3 +245,61 @@ def test_pairs_of_buckets_are_all_of_different_labels():
     x, y = np.triu_indices(300, 1)
     at = (key[x] == key[y]) & simhash.near_rows(h, size, label, x, y)
     assert len(got) == len(set(got)) and set(got) == set(zip(x[at].tolist(), y[at].tolist(), strict=True))
+
+
+def test_no_pair_of_small_sets_at_four_fifths_is_lost():
+    """Whatever its bits are, such a pair passes; parities differ in no more places than the sets do."""
+    rng = np.random.default_rng(9)
+    for n, m in ((4, 5), (8, 9), (8, 10), (12, 15)):
+        for _ in range(5000):
+            whole = rng.integers(0, 1 << 64, m, dtype=np.uint64)
+            lacks = (n + m) // 9 - (m - n)  # further shingles that only one of the two has, in pairs
+            x, y = np.sort(whole[: n]), np.sort(np.concatenate([whole[lacks // 2 :], rng.integers(0, 1 << 64, lacks // 2, dtype=np.uint64)]))
+            signs = [np.concatenate([simhash.head_of(s), simhash.parities(s)])[None] for s in (x, y)]
+            if simhash.similar(x, y):
+                assert simhash.near(*signs, np.array([len(x)]), np.array([len(y)]))[0]
+
+
+def test_crowded_buckets_lose_no_pair_to_longer_chains():
+    """As test_sets_of_four_fifths_share_a_chain, where every bucket of both is crowded."""
+    rng = np.random.default_rng(18)
+    draw = lambda k: np.unique(rng.integers(0, 1 << 64, k, dtype=np.uint64))
+    for turn in range(1500):
+        n = int(rng.choice([1, 2, 4, 5, 6, 7, 9, 13, 16, 26, 31, 32, 60, 64, 120, 127, 129, 250]))
+        both = draw(n)
+        allowed = len(both) // 4
+        left = int(rng.integers(0, allowed + 1)) if turn % 3 else 0
+        x, y = np.union1d(both, draw(left)), np.union1d(both, draw(allowed - left))
+        for common in (np.empty(0, np.uint64), both, np.sort(rng.permutation(both)[: len(both) // 2])):
+            keys = []
+            for s in (x, y):
+                rare = simhash.rare_ones(s, common)
+                keys.append(simhash.lengthened_keys(s, rare, np.unique(simhash.chain_keys(s, rare) >> np.uint64(simhash.SIZE_BITS))) >> np.uint64(simhash.SIZE_BITS))
+            assert len(np.intersect1d(*keys)), (len(both), left, allowed, len(common))
+
+
+def test_unrelated_sets_that_share_a_shingle_part_in_longer_chains():
+    """Their one bucket has all of them; the buckets after it have few, so few pairs are compared."""
+    rng = np.random.default_rng(19)
+    shared, sets = np.array([1 << 40], np.uint64), []
+    for _ in range(2000):
+        sets.append(np.union1d(shared, rng.integers(1 << 59, 1 << 64, 80, dtype=np.uint64)))  # the first of 32 segments has no other
+    own = [simhash.chain_keys(s, np.ones(len(s), bool)) >> np.uint64(simhash.SIZE_BITS) for s in sets]
+    keys, times = np.unique(np.concatenate(own), return_counts=True)
+    crowded = keys[times > 200]
+    assert len(crowded)
+    pairs = lambda n: int((n * (n - 1) // 2).sum())
+    longer = [simhash.lengthened_keys(s, np.ones(len(s), bool), np.intersect1d(k, crowded)) for s, k in zip(sets, own, strict=True)]
+    _, after = np.unique(np.concatenate(longer), return_counts=True)
+    assert pairs(after) < pairs(times[times > 200]) // 20
+
+
+def test_stage_with_crowded_buckets(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "CROWD", 40)
+    monkeypatch.setattr(simhash, "LEADERS", 8)
+    rng = random.Random(20)
+    line = " ".join(f"c{i}" for i in range(6))
+    texts = [line + " " + " ".join(f"u{rng.randrange(10**7)}" for _ in range(rng.randint(3, 40))) for _ in range(300)]
+    texts += [t + f" z{i}" for i, t in enumerate(texts[:60])] + family(21, 60)
+    want = wanted_ids(texts)
+    assert len(want) < 400 and kept_ids(spark, texts) == want
