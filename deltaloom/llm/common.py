@@ -4,18 +4,16 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
-import gc
 import re
 import tempfile
 import threading
-import time
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 
 from deltaloom import package
@@ -29,6 +27,23 @@ WORD_BYTES = re.compile(rb"[^\x20\x09-\x0D]+")
 BATCH_ROWS, BATCH_KEY = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
+CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A setting of the session for as long as this lasts."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def ship(spark: SparkSession) -> None:
     """Makes the package known to the executors, and batches modest unless their size has been set."""
     package.ship(spark)
@@ -82,27 +97,16 @@ def written(df: DataFrame, path: str | None = None) -> DataFrame:
     lose them with an executor."""
     ship(df.sparkSession)
     path = path or scratch(df.sparkSession)
-    df.write.mode("overwrite").option("parquet.block.size", 32 << 20).parquet(path)  # rows may be large: small row groups
+    with setting(df.sparkSession, CLEANUP_KEY, "true"):  # what the rows were shuffled by isn't needed once they are written
+        df.write.mode("overwrite").option("parquet.block.size", 32 << 20).parquet(path)  # rows may be large: small row groups
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_shuffles(spark: SparkSession) -> None:
-    """Lets Spark's cleaner delete the shuffle files of steps that are written and no longer referred to, and waits until
-    it has begun and come to rest, a few seconds at most: the next step should not write beside them."""
-    jvm = spark.sparkContext._jvm
-    known = jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
-    first = last = known.size()
-    if not first:
-        return
-    spark.range(1).collect()  # the scheduler refers to its last job until there is another
-    gc.collect()
-    jvm.System.gc()
-    for turn in range(40):
-        time.sleep(0.25)
-        now = known.size()
-        if now == last and (now < first or turn >= 8):
-            break
-        last = now
+def by_parts(rows: DataFrame, parts: int, per_task: int = 16) -> GroupedData:
+    """rows (with part, from 0) grouped by part, parts dealt out evenly: about per_task to a task, or fewer where the session has
+    more shuffle partitions, so a task's share doesn't grow with the input."""
+    tasks = max(1, min(parts, max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-parts // per_task))))
+    return rows.withColumn("task", (F.col("part") % tasks).cast("int")).repartitionById(tasks, "task").groupBy("task", "part")
 
 
 def learned_from(key: Column, mod: int, held: int) -> Column:

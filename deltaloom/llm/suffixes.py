@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from deltaloom.llm.common import chunks, release, ship, table, utf8, written
+from deltaloom.llm.common import by_parts, chunks, release, ship, table, utf8, written
 from deltaloom.llm.ngrams import _runs, _word_part, restored, squeezed
 
 GRAM = 48
@@ -218,7 +218,7 @@ def repeated_hashes(made: DataFrame, parts: int, hot: int) -> DataFrame:
         return pd.DataFrame({"block": frame["block"], "part": frame["part"], "flags": [squeezed(x) for x in np.split(flags, cuts)]})
 
     asked = made.select("block", "hashes", "times").mapInArrow(ask, "part bigint, block bigint, hashes binary, times binary")
-    return asked.groupBy("part").applyInPandas(count, "block bigint, part bigint, flags binary")
+    return by_parts(asked, parts).applyInPandas(count, "block bigint, part bigint, flags binary")
 
 
 def packed_rows(rows: pa.Table) -> bytes:
@@ -480,7 +480,7 @@ def deduplicated(docs: DataFrame, length: int = 100, block_bytes: int = 4 << 20,
                 yield pa.RecordBatch.from_arrays([pa.array([v]) for v in values], columns)
 
     exchanged = runs.select("block", "shared", "tails", "rest", *PLACE).mapInArrow(cut, "part bigint, block bigint, " + ", ".join(f"{c} binary" for c in ("at", "shared", "tails", "rest", *PLACE)))
-    settled = exchanged.groupBy("part").applyInPandas(lambda frame: settle(frame.sort_values("block"), length, groups > 1), f"block bigint, part bigint, at binary, masks binary, firsts {FIRSTS}")
+    settled = by_parts(exchanged, many_ranges * deal * groups).applyInPandas(lambda frame: settle(frame.sort_values("block"), length, groups > 1), f"block bigint, part bigint, at binary, masks binary, firsts {FIRSTS}")
     settled = written(settled) if groups > 1 else settled
     answers = settled.groupBy("block").agg(F.collect_list(F.struct("at", "masks")).alias("answers"))
     told = runs.select("block", *kept).join(answers, "block", "left").withColumn("late", F.expr("cast(array() as array<bigint>)"))
