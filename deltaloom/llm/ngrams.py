@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deltaloom.llm.common import WORD_BYTES, chunks, drop_shuffles, learned_from, lower_ascii, release, ship, starts_of, table, utf8, written
+from deltaloom.llm.common import WORD_BYTES, by_parts, chunks, learned_from, lower_ascii, release, ship, starts_of, table, utf8, written
 
 #: The hash that stands for the end of a document.
 END = np.uint64(0)
@@ -429,7 +429,7 @@ def vocabulary_parts(made: DataFrame, parts: int, hot: int | None = None) -> Dat
         return pd.DataFrame(out, columns=["block", "part", "numbers", "totals", "distinct", "tokens"])
 
     asked = made.select("block", "vocabulary", "counts").mapInArrow(ask, "part bigint, block bigint, words binary, counts binary")
-    return asked.groupBy("part").applyInPandas(count, "block bigint, part bigint, numbers binary, totals binary, distinct bigint, tokens bigint")
+    return by_parts(asked, parts).applyInPandas(count, "block bigint, part bigint, numbers binary, totals binary, distinct bigint, tokens bigint")
 
 
 def _word_part(words: np.ndarray, parts: int) -> np.ndarray:
@@ -511,7 +511,6 @@ def score(docs: DataFrame, held: object = None, order: int = 3, backoff: tuple =
     many = made.count()
     parts, word_parts = max(12, 2 * many), max(6, -(-many // part_blocks))
     words = written(vocabulary_parts(made, word_parts, hot))
-    drop_shuffles(docs.sparkSession)
     known = words.where("block = -1").agg(F.sum("distinct"), F.sum("tokens")).first()
     distinct_words, tokens = int(known[0] or 0), int(known[1] or 0)
     limit = max(hot, tokens >> 23)
@@ -640,9 +639,7 @@ def score(docs: DataFrame, held: object = None, order: int = 3, backoff: tuple =
         return pd.concat(out)
 
     asked = base.groupBy("block").cogroup(both.groupBy("block")).applyInPandas(ask, "part bigint, block bigint, symbols array<binary>, children array<binary>, counts binary, given array<binary>")
-    answers = written(asked.groupBy("part").applyInPandas(answer, "block bigint, part bigint, chances binary"))
-    del asked, contexts, both
-    drop_shuffles(docs.sparkSession)
+    answers = written(by_parts(asked, parts).applyInPandas(answer, "block bigint, part bigint, chances binary"))
     replies = told.select("block", F.struct("part", "numbers", "totals").alias("word"), F.lit(None).cast("struct<part:bigint,chances:binary>").alias("reply")).unionByName(
         answers.select("block", F.lit(None).cast("struct<part:bigint,numbers:binary,totals:binary>").alias("word"), F.struct("part", "chances").alias("reply"))
     )
