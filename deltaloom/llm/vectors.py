@@ -105,9 +105,9 @@ def nearest_neighbours(
 
     There are about as many lists as the square root of the rows, 4096 at most. The index is fitted on sample rows, or 16
     for each list if that is more, of least hash; all rows are indexed. probes is what finds a share goal of the
-    sample's neighbours. A list is cut into shards of about shard_rows rows, so a hot one has many; queries go in blocks
-    of about block, and a task has one block's queries and one shard. A shard ranks its codes by the query's distance
-    table and reranks the best by cosines of the vectors themselves."""
+    sample's neighbours. A list is cut into shards of about shard_rows rows, so a hot one has many, and what asks it into
+    blocks of about block queries; a task has one block's queries and one shard, and a shard goes to its own list's blocks
+    only. A shard ranks its codes by the query's distance table and reranks the best by cosines of the vectors themselves."""
     count = rows.count()
     lists = lists or int(min(4096, max(1, 1 << round(float(np.log2(max(1, count)) / 2)))))
     sample = min(most_sample, max(sample, 16 * lists))
@@ -126,23 +126,16 @@ def nearest_neighbours(
             yield pa.RecordBatch.from_arrays([batch["vec_id"], batch["v"], pa.array(own), pa.array([c.tobytes() for c in q.codes(unit, own)], pa.binary())], ["vec_id", "v", "list", "code"])
 
     index = written(rows.mapInArrow(place, "vec_id bigint, v array<double>, list bigint, code binary"))
-    shards = index.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / shard_rows).cast("int").alias("shards"))
-    blocks = max(1, -(-queries.count() // block))
-    # by the row's place in the written table: rows that repeat an id spread like all others
-    shard = F.pmod(F.xxhash64(F.lit(32), F.monotonically_increasing_id()), F.col("shards")).cast("int")
-    index = index.join(F.broadcast(shards), "list").withColumn("shard", shard).drop("shards").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, 1024):
             x = matrix(batch["v"])
             unit = x / np.linalg.norm(x, axis=1, keepdims=True)
             near = np.argsort((q.centres**2).sum(1) - 2 * unit @ q.centres.T, axis=1, kind="stable")[:, :probes]
-            at = np.repeat(np.arange(len(x)), near.shape[1])
-            yield pa.RecordBatch.from_arrays([batch["vec_id"].take(pa.array(at)), batch["v"].take(pa.array(at)), pa.array(near.ravel())], ["query_id", "v", "list"])
+            yield pa.RecordBatch.from_arrays([batch["vec_id"], batch["v"], pa.array(list(near), pa.list_(pa.int64()))], ["query_id", "v", "lists"])
 
-    every_shard = F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard")
-    own_block = F.pmod(F.xxhash64(F.lit(33), "query_id", "v"), F.lit(blocks)).cast("int").alias("block")
-    asked = queries.mapInArrow(probe, "query_id bigint, v array<double>, list bigint").join(F.broadcast(shards), "list").select("query_id", "v", "list", own_block, every_shard)
+    probed = written(queries.mapInArrow(probe, "query_id bigint, v array<double>, lists array<bigint>"))
+    asked, index = dealt(probed, index, shard_rows, block)
 
     def search(asked: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0)})
@@ -175,6 +168,20 @@ def nearest_neighbours(
     return _best(found, k, F.desc("score"))
 
 
+def dealt(probed: DataFrame, index: DataFrame, shard_rows: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """What is asked of each (list, shard, block), from queries and the lists they probe, and the rows that each holds: a list's
+    rows in shards of about shard_rows, once for each of the blocks of about block queries that probe the list."""
+    own = index.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / shard_rows).cast("int").alias("shards"))
+    asking = probed.select(F.explode("lists").alias("list")).groupBy("list").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    sizes = F.broadcast(own.join(asking, "list"))  # a row for each list
+    # by the row's place in the written table: rows that repeat an id spread like all others
+    shard = F.pmod(F.xxhash64(F.lit(32), F.monotonically_increasing_id()), F.col("shards")).cast("int").alias("shard")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    rows = index.join(sizes, "list").select("vec_id", "v", "list", "code", shard, each("blocks").alias("block"))
+    own_block = F.pmod(F.xxhash64(F.lit(33), "query_id", "v"), F.col("blocks")).cast("int").alias("block")
+    return probed.select("query_id", "v", F.explode("lists").alias("list")).join(sizes, "list").select("query_id", "v", "list", own_block, each("shards").alias("shard")), rows
+
+
 def _best(found: DataFrame, k: int, *order: object) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(*order, "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
