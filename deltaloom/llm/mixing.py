@@ -77,9 +77,9 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int =
     )
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, block_words: int = 16, shard_words: int = 250_000, shard_rows: int = 5000, group_shards: int = 4096, seed: int = SEED) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken for each row of docs (doc_id, source, text), and tag, a number
-    that is carried along, if docs has it.
+def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, block_words: int = 16, shard_words: int = 250_000, shard_rows: int = 5000, group_shards: int = 4096, seed: int = SEED, carry: str | None = None) -> DataFrame:
+    """doc_id, source, size, source_size, target, taken for each row of docs (doc_id, source, text), and tag, the numbers of the
+    column that carry names, if it names one.
 
     A source has a shard for each shard_words words or shard_rows rows, and a group for each group_shards shards, so
     neither the documents of a shard nor the shards of a group pile up; documents are dealt to shards by a seeded hash of
@@ -92,7 +92,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, blo
             F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("-")).alias("key"),
             F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
             order.alias("_order"),
-            (F.col("tag") if "tag" in docs.columns else F.lit(0).cast("long")).alias("tag"),
+            (F.col(f"`{carry}`") if carry else F.lit(0)).cast("long").alias("tag"),
         )
     )
     sources = sized.groupBy("key").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_rows"))
@@ -122,7 +122,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, blo
         .withColumns({"_before": before, "_passes": passes})
         .withColumn("_to", F.col("_from") + F.col("_words") - F.col("_passes") * F.col("_size"))
         .select(
-            "doc_id", *["tag"] * ("tag" in docs.columns), "source", "size", "source_size", "target",
+            "doc_id", *["tag"] * bool(carry), "source", "size", "source_size", "target",
             (F.col("_passes") * F.col("size") + inside(F.col("_from"), F.col("_to")) + inside(F.lit(0), F.col("_to") - F.col("_size"))).cast("long").alias("taken"),
         )
     )
@@ -135,7 +135,7 @@ def mixed_documents(docs: DataFrame, **options: object) -> DataFrame:
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     kept = written(docs.select(row, F.monotonically_increasing_id().alias("tag")))
     copies = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(F.lit(0)).cast("int")
-    plan = mix(kept.select("tag", *[F.col(f"row.{c}").alias(c) for c in ("doc_id", "source", "text")]), **options).select("tag", copies.alias("copies")).where("copies > 0")
+    plan = mix(kept.select("tag", *[F.col(f"row.{c}").alias(c) for c in ("doc_id", "source", "text")]), carry="tag", **options).select("tag", copies.alias("copies")).where("copies > 0")
     return kept.join(plan, "tag").select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*")
 
 
