@@ -10,7 +10,7 @@ The temperature is what makes the likelihood of the former greatest. A text is r
 ``rejects`` of the former pass, or midway between the two where they lie apart.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; documents without a lang or a key are
-predicted, not learned from; with no language to learn all are ``und``; rows that repeat are predicted one by one; an
+predicted, not learned from; rows that repeat an id are learned from once; with no language to learn all are ``und``; rows that repeat are predicted one by one; an
 empty table gives an empty one; other columns play no part.
 """
 
@@ -107,9 +107,12 @@ def stretches(docs: DataFrame, size: int, each: int) -> DataFrame:
 
 
 def fit(docs: DataFrame, sample: int = 16_000, size: int = 300, width: int = 16, passes: int = 5, rate: float = 2.0, rejects: float = 0.001, seed: int = 5) -> Model:
-    """From docs (doc_id, lang, text): at most sample stretches of size characters, of the sample documents of least hash."""
-    ids = docs.where("lang is not null and doc_id is not null").select("doc_id").withColumn("h", F.xxhash64(F.lit(20), "doc_id")).orderBy("h", "doc_id").limit(sample // 2)
-    chosen = docs.join(F.broadcast(ids.select("doc_id").distinct()), "doc_id", "left_semi")
+    """From docs (doc_id, lang, text): at most sample stretches of size characters, of the sample / 2 documents of least hash, each
+    id once: of rows that repeat an id the one whose text and lang have the least hash."""
+    good = docs.where("lang is not null and doc_id is not null and text is not null")
+    ids = good.select("doc_id").distinct().withColumn("h", F.xxhash64(F.lit(20), "doc_id")).orderBy("h", "doc_id").limit(sample // 2)
+    chosen = good.join(F.broadcast(ids.select("doc_id")), "doc_id", "left_semi")
+    chosen = chosen.groupBy("doc_id").agg(F.min_by(F.struct("lang", "text"), F.struct(F.xxhash64("text", "lang"), "lang", "text")).alias("row")).select("doc_id", "row.*")
     rows = stretches(chosen, size, 4).orderBy("h", "lang", "part").limit(sample).select("lang", "part", "back").collect()
     rows = [(r["lang"], r["part"], r["back"], np.concatenate(own)) for r in rows if (own := [*subwords(r["part"])])]
     languages = sorted({r[0] for r in rows})
