@@ -251,3 +251,22 @@ def test_calibrated_confidence_and_junk(spark):
     assert 0.005 < model.temperature < 50 and (sure >= model.threshold).mean() >= 0.99
     junk = ["".join(rng.choice("bcdfghjknpqvwxyß") for _ in range(80)) for _ in range(50)]
     assert np.mean([model.probabilities(t).max() < model.threshold for t in junk]) >= 0.5
+
+
+def test_a_repeated_id_is_learned_from_once(spark):
+    """Four languages and many copies of one id: the copies don't crowd the others out."""
+    rng = random.Random(6)
+    words = {"en": "the and of with house water", "de": "der und von mit haus wasser", "fr": "le et de avec maison eau", "es": "el y con casa agua los"}
+    rows = [(i, lang, " ".join(rng.choice(own.split()) for _ in range(60))) for i, (lang, own) in enumerate(list(words.items()) * 50)]
+    least = 0
+    copies = [(least, "en", "the and of " + "x" * (i % 7)) for i in range(4000)]
+    docs = spark.createDataFrame(rows + copies, "doc_id bigint, lang string, text string")
+    model = language.fit(docs, sample=400)
+    assert model.languages == ["de", "en", "es", "fr"]
+    again = language.fit(docs.repartition(7), sample=400)
+    assert (again.logits == model.logits).all()
+
+
+def test_each_reading_of_a_digit_in_disguised_words():
+    lexicon = toxicity.Lexicon({"=twit": 2, "=idiot": 2, "=liar": 2})
+    assert [toxicity.features(t, lexicon)[5] for t in ("7w17 said so", "1d10t said so", "l1ar said so", "|iar said so", "7777 said so")] == [1, 1, 1, 1, 0]

@@ -335,3 +335,20 @@ def test_sql_gives_the_same_rows(spark, tmp_path, name):
     want, got = db.sql(registry.oracle_sql()[name]), registry.queries()[name](spark, str(tmp_path))
     assert sorted(want.columns) == sorted(got.columns)
     assert sorted(want.fetchall(), key=str) == sorted((tuple(r[c] for c in want.columns) for r in got.collect()), key=str)
+
+
+def test_a_list_goes_only_to_the_blocks_that_ask_it(spark):
+    """Copies of indexed rows: a list's rows times its own blocks, none of a list that nobody asks."""
+    index = spark.createDataFrame([(i, [1.0], i % 5, b"c") for i in range(1000)], "vec_id bigint, v array<double>, list bigint, code binary")
+    probed = spark.createDataFrame([(i, [1.0], [0] if i % 2 else [0, 1]) for i in range(100)] + [(200, [1.0], [3])], "query_id bigint, v array<double>, lists array<bigint>")
+    asked, rows = vectors.dealt(probed, index, 50, 30)
+    assert {r["list"]: r["n"] for r in rows.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()} == {0: 200 * 4, 1: 200 * 2, 3: 200}
+    assert asked.select("query_id", "list", "shard").distinct().count() == asked.count() == 4 * (100 + 50 + 1)
+    pairs = lambda df: {tuple(r) for r in df.select("list", "shard", "block").distinct().collect()}
+    assert pairs(asked) - pairs(rows) == set() and len(pairs(rows)) <= 4 * (4 + 2 + 1)
+
+
+def test_a_column_of_the_callers_named_tag_is_no_matter(spark):
+    docs = spark.createDataFrame([(i, f"s{i % 2}", "a b c " * (i + 1)) for i in range(20)], "doc_id bigint, source string, text string")
+    plain, tagged = (mixing.mix(d).orderBy("doc_id") for d in (docs, docs.selectExpr("*", "'q' as tag")))
+    assert plain.columns == tagged.columns and plain.collect() == tagged.collect()
