@@ -30,7 +30,8 @@ from deltaloom.llm.common import chunks, learned_from, ship, table, written
 TOKEN = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 #: Words with a digit, symbol or dot between or before letters, which may hide a lexicon word, of any length.
 DISGUISED = re.compile(r"(?<!\S)(?=\S*[A-Za-z])(?=\S*[0-9@$!*.\-_|+])[\w@$!*.\-|+]{3,}")
-LEET = str.maketrans("013457@$!|+", "oleasias" "iit")
+#: What these stand for in disguised words; 1 and the bar are read both ways.
+READINGS = tuple(str.maketrans("013457@$!|+", f"o{i}eastasi{i}t") for i in "li")
 #: Second-person words of the corpus's languages.
 SECOND_PERSON = frozenset("you your yours yourself u ur tu te toi ton ta tes vous votre vos du dich dir dein deine sie ihr ihnen usted ustedes ti tus vosotros".split())
 NEAR = 5
@@ -79,8 +80,7 @@ def features(text: object, lexicon: Lexicon) -> list[float]:
     for w in mixed:
         plain = w.lower().strip(".!-_*")
         if lexicon.tier(plain) < 2:
-            open_word = plain.translate(LEET)
-            hidden += lexicon.tier(open_word) == 2 or lexicon.tier(re.sub(r"[^a-z]", "", open_word)) == 2
+            hidden += any(lexicon.tier(w) == 2 or lexicon.tier(re.sub(r"[^a-z]", "", w)) == 2 for w in {plain.translate(r) for r in READINGS})
     size = max(1, len(raw))
     capitals = len(raw) - len(raw.translate(None, UPPER))
     marks = len(raw) - len(raw.translate(None, PUNCTUATION))
