@@ -34,8 +34,10 @@ from deltaloom.llm.common import chunks, ship, table, written
 DIGIT = 8
 #: A state has, for each block, its anchors and these arrays, an entry for each window: the anchor's place, the least and
 #: largest score, what the digits known so far begin at (counted down from the largest score), the bits that are open, how
-#: many rows lie above, and the positive's id and score. open tells how many windows have bits to refine.
+#: many rows lie above, and the positive's id and score. open tells how many windows have bits to refine. A shard has the
+#: arrays of SHARDS.
 ANCHORS = {"ids": np.int64, "labels": np.int64, "x": np.float64}
+SHARDS = {"ids": np.int64, "labels": np.int64, "x": np.float64}
 WINDOWS = {"place": np.int32, "low": np.int64, "high": np.int64, "base": np.int64, "bits": np.int32, "above": np.int64, "todo": np.bool_, "positive": np.int64, "score": np.int64}
 STATE = "block int, " + ", ".join(f"{c} binary" for c in [*ANCHORS, *WINDOWS]) + ", open bigint"
 RESULT = "anchor_id bigint, positive_id bigint, rank int, negative_id bigint, positive_score bigint, negative_score bigint"
@@ -90,22 +92,26 @@ def eligible(state: dict[str, np.ndarray], shard: dict[str, np.ndarray], same: b
                 yield w, scores[inside], ids[inside]
 
 
+def meetings(state: DataFrame, shards: DataFrame, count: int) -> DataFrame:
+    """Each block of a state beside each of count shards (columns shard_...), a row for each two.
+
+    The rows of both sides are shuffled: what Spark expects of the blocks' size is that of one copy, so it would broadcast
+    the copies for all shards, whose size grows with the square of the input, by way of the driver."""
+    every = state.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(count - 1))))
+    own = shards.select("shard", *[F.col(c).alias(f"shard_{c}") for c in SHARDS])
+    return every.repartition(2 * count, "shard").join(own.hint("merge"), "shard").drop("shard", "open")
+
+
 def select(state: DataFrame, shards: DataFrame, count: int, k: int, same: bool, most: int) -> DataFrame:
     """block, w, vec_id, score: the first k rows of each window, by the largest score, then the smallest id.
 
     state: rows of STATE. A window is refined until at most most rows lie in or above its digit."""
-    kinds, shard_kinds = ANCHORS | WINDOWS, {"ids": np.int64, "labels": np.int64, "x": np.float64}
-    blocks = max(1, state.count())
-    own = shards.select("shard", *[F.col(c).alias(f"shard_{c}") for c in shard_kinds])
-
-    def met(now: DataFrame) -> DataFrame:
-        every = now.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(count - 1))))
-        return every.repartition(2 * min(count, blocks * count), "shard").join(own, "shard").drop("shard", "open")
+    kinds = ANCHORS | WINDOWS
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict, dict]]:
         for batch in chunks(batches, 1):
             row = {c: batch[c][0].as_py() for c in batch.schema.names}
-            yield row["block"], unpacked(row, kinds), unpacked({c: row[f"shard_{c}"] for c in shard_kinds}, shard_kinds)
+            yield row["block"], unpacked(row, kinds), unpacked({c: row[f"shard_{c}"] for c in SHARDS}, SHARDS)
 
     def count_digits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, windows, shard in parts(batches):
@@ -161,10 +167,10 @@ def select(state: DataFrame, shards: DataFrame, count: int, k: int, same: bool,
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(which), block, np.int32)), pa.array(which), pa.array(np.concatenate(ids)), pa.array(np.concatenate(found))], ["block", "w", "vec_id", "score"])
 
     while state.agg(F.sum("open")).first()[0]:
-        digits = met(state.where("open > 0")).mapInArrow(count_digits, "block int, w int, digit int, n bigint").groupBy("block", "w", "digit").agg(F.sum("n").alias("n"))
+        digits = meetings(state.where("open > 0"), shards, count).mapInArrow(count_digits, "block int, w int, digit int, n bigint").groupBy("block", "w", "digit").agg(F.sum("n").alias("n"))
         refined = state.where("open > 0").groupBy("block").cogroup(digits.groupBy("block")).applyInPandas(refine, STATE)
         state = written(refined.unionByName(state.where("open = 0")))
-    found = met(state).mapInArrow(gather, "block int, w int, vec_id bigint, score bigint")
+    found = meetings(state, shards, count).mapInArrow(gather, "block int, w int, vec_id bigint, score bigint")
     turn = F.row_number().over(Window.partitionBy("block", "w").orderBy(F.desc("score"), "vec_id"))
     return written(found.withColumn("turn", turn).where(F.col("turn") <= k))
 

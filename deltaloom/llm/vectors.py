@@ -354,8 +354,9 @@ def top_products(rows: DataFrame, queries: DataFrame, k: int = 20, shard_rows: i
         more = min(max(1, done), shards - done)
         # a block's order of shards starts at its own number
         turn = F.pmod(F.col("block") + F.col("turn"), F.lit(shards)).cast("int")
-        met = asked.join(state.select("block", "floor", "last"), "block").withColumn("turn", F.explode(F.sequence(F.lit(done), F.lit(done + more - 1)))).withColumn("shard", turn)
-        found = met.repartition(2 * min(shards, blocks_ * more), "shard").join(trees, "shard").select("ids", "x", "nodes", "centres", "radii", "block", "query_ids", "q", "floor", "last")
+        # all sides shuffled: Spark expects one copy of what is asked, not one for each shard, and would broadcast them by way of the driver
+        met = asked.join(state.select("block", "floor", "last").hint("merge"), "block").withColumn("turn", F.explode(F.sequence(F.lit(done), F.lit(done + more - 1)))).withColumn("shard", turn)
+        found = met.repartition(2 * min(shards, blocks_ * more), "shard").join(trees.hint("merge"), "shard").select("ids", "x", "nodes", "centres", "radii", "block", "query_ids", "q", "floor", "last")
         found = found.mapInArrow(run, "block int, place binary, vec_id binary, score binary")
         every = found.union(state.select(*result).where("place is not null")).join(sizes, "block")
         state = written(every.groupBy("block").applyInPandas(best, "block int, place binary, vec_id binary, score binary, floor binary, last binary"))
@@ -367,7 +368,7 @@ def top_products(rows: DataFrame, queries: DataFrame, k: int = 20, shard_rows: i
             score = numbers(batch["score"][0], np.float64).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(who), pa.array(numbers(batch["vec_id"][0], np.int64)), pa.array(score)], ["query_id", "vec_id", "score"])
 
-    found = state.join(asked, "block").select("query_ids", "place", "vec_id", "score").mapInArrow(unpack, "query_id bigint, vec_id bigint, score bigint")
+    found = state.join(asked.hint("merge"), "block").select("query_ids", "place", "vec_id", "score").mapInArrow(unpack, "query_id bigint, vec_id bigint, score bigint")
     return _best(found, k, F.desc("score"))
 
 

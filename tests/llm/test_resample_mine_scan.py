@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from deltaloom.llm import hard_negatives, registry, resampling, secret_scan
+from deltaloom.llm.common import written
 
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -110,6 +111,15 @@ def test_hard_negatives_are_the_plain_ones(spark, k, most):
     assert sorted(map(tuple, got.collect())) == mined_plain(rows, 4, k, (30, 90))
 
 
+def test_blocks_and_shards_meet_without_the_driver(spark):
+    """What meets is blocks times shards, which Spark takes for as small as the blocks: nothing of it may be broadcast."""
+    state = written(spark.range(3).selectExpr("cast(id as int) as block", *[f"cast('x' as binary) as {c}" for c in [*hard_negatives.ANCHORS, *hard_negatives.WINDOWS]], "1L as open"))
+    shards = written(spark.range(5).selectExpr("cast(id as int) as shard", *[f"cast('y' as binary) as {c}" for c in hard_negatives.SHARDS]))
+    met = hard_negatives.meetings(state, shards, 5)
+    assert met.count() == 15 and "shard_ids" in met.columns
+    assert "Broadcast" not in met._jdf.queryExecution().executedPlan().toString()
+
+
 def test_hard_negatives_of_nothing(spark):
     rows = vectors(spark, [(4, [1.0, 2.0, 3.0], 1, 1, 1, "s")])
     for some in (rows.limit(0), rows):
