@@ -124,10 +124,19 @@ def last_effects(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def partitioned(changes: DataFrame, strategy: str, keys: Sequence[str] = (), count: int | None = None) -> DataFrame:
-    """Changes dealt so that a key's (PRIMARY_KEY), or a table's (TABLE_ID), stay in order in one partition."""
+    """Changes dealt so that a key's stay in order in one partition (PRIMARY_KEY), or so that a table's stay in order (TABLE_ID).
+
+    A table may be larger than a task should hold, so TABLE_ID deals tables as ranges of seq: a table's partitions follow one
+    another by number, each in the order of seq. Changes of one seq, which have no order, may lie in several."""
     if strategy not in ("PRIMARY_KEY", "TABLE_ID", "SINK_DEFINED"):
         raise ValueError(f"no partition strategy {strategy}")
     by = [F.col("table_id")] if "table_id" in changes.columns else []
+    if strategy == "TABLE_ID" and by:
+        sides = F.struct("before", "after")
+        if any(kind in changes.select(sides).schema.simpleString() for kind in ("map<", "variant")):  # which Spark doesn't hash
+            sides = F.to_json(sides)
+        by += [F.col("seq"), F.xxhash64(sides)]
+        return (changes.repartitionByRange(count, *by) if count else changes.repartitionByRange(*by)).sortWithinPartitions("table_id", "seq")
     if strategy != "TABLE_ID":
         by += [F.coalesce(F.col(f"before.`{k}`"), F.col(f"after.`{k}`")) for k in keys]
     if not by:

@@ -249,6 +249,16 @@ def test_chunks(spark):
     assert chunks.uneven_chunks(rows.limit(0), "k").count() == 1 and chunks.even_chunks(spark.range(0), "id", 5).count() == 0
 
 
+def test_a_table_is_dealt_in_order_to_several_tasks(spark):
+    side = F.struct("id", F.create_map(F.lit("k"), "id").alias("m"))
+    for row in (side, F.struct("id")):
+        log = spark.range(4000).select(F.lit("app.t").alias("table_id"), F.lit("INSERT").alias("op"), F.lit(None).cast(spark.range(1).select(row.alias("r")).schema["r"].dataType).alias("before"), row.alias("after"), F.expr("least(id div 10, 200L)").alias("seq"))
+        dealt = changelog.partitioned(log, "TABLE_ID", count=4)
+        parts = [[(r["seq"], r["after"]["id"]) for r in p] for p in dealt.rdd.glom().collect()]
+        assert sorted(k for p in parts for _, k in p) == list(range(4000)) and max(map(len, parts)) < 2000
+        assert [q for p in parts for q, _ in p] == sorted(q for p in parts for q, _ in p)
+
+
 def test_backfill_and_log(spark):
     snapshot = spark.sql("select 1L id, 'a' name, 1 age union all select 2L, 'b', 2")
     log = users(spark, [["UPDATE", [1, "a", 1], [1, "z", 1]], ["DELETE", [2, "b", 2], None], ["INSERT", None, [4, "d", 4]]])
