@@ -13,8 +13,9 @@ from deltaloom.operators.changelog import materialized
 CHUNK_ROWS = 8096
 #: Chunk bounds that one task numbers.
 GROUP = 1 << 16
-#: Ranges of keys in which a log's changes look for their chunks.
-CELLS = 256
+#: Ranges of keys in which a log's changes look for their chunks, and the least number of tasks that share a range: where
+#: there are fewer ranges, as many as make CELLS in all.
+CELLS, SHARED = 256, 8
 #: Rows per step of keys within which a numeric key counts as even.
 FACTOR_LOW, FACTOR_HIGH = 0.05, 1000.0
 
@@ -121,7 +122,8 @@ def after_snapshot(log: DataFrame, marks: DataFrame, key: str) -> DataFrame:
 
     marks: (low, high, high_mark) for each chunk, low and high bounds of the key, of which no two overlap. Marks and changes
     are dealt to CELLS ranges of keys, whose bounds are those of some chunks, a chunk to each range that it touches; in a
-    range a change's chunk is the last one that begins before its key. A change without a key is in no chunk."""
+    range a change's chunk is the last one that begins before its key. A change without a key is in no chunk. Few chunks make
+    few ranges, and one of them may have all changes, so its changes are shared out, and each share has the range's marks."""
     k = F.coalesce(F.col(f"after.`{key}`"), F.col(f"before.`{key}`"))
     edges = sorted(r[0] for r in marks.where("low is not null").select("low").orderBy(F.xxhash64("low"), "low").limit(CELLS - 1).collect())
     kind = log.select(k.alias("k")).schema["k"].dataType
@@ -130,10 +132,12 @@ def after_snapshot(log: DataFrame, marks: DataFrame, key: str) -> DataFrame:
     first = F.when(F.col("low").isNull(), F.lit(0)).otherwise(cell(F.col("low")))
     chunk = F.struct(F.col("high").cast(kind).alias("high"), F.col("high_mark").cast("bigint").alias("mark")).alias("chunk")
     row = F.struct(*[F.col(f"`{c}`") for c in log.columns])
-    begun = marks.select(F.explode(F.sequence(first, last)).alias("cell"), F.col("low").cast(kind).alias("at"), F.lit(0).alias("side"), chunk)
+    shares = max(SHARED, -(-CELLS // (len(edges) + 1)))
+    every = F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("share")
+    begun = marks.select("*", F.explode(F.sequence(first, last)).alias("cell")).select("cell", every, F.col("low").cast(kind).alias("at"), F.lit(0).alias("side"), chunk)
     begun = begun.withColumn("row", F.lit(None).cast(log.select(row.alias("row")).schema["row"].dataType))
-    asked = log.where(k.isNotNull()).select(cell(k).alias("cell"), k.alias("at"), F.lit(1).alias("side"), F.lit(None).cast(begun.schema["chunk"].dataType).alias("chunk"), row.alias("row"))
-    before = Window.partitionBy("cell").orderBy(F.col("at").asc_nulls_first(), "side").rowsBetween(Window.unboundedPreceding, 0)
+    asked = log.where(k.isNotNull()).select(cell(k).alias("cell"), F.pmod(F.xxhash64(k, "seq"), F.lit(shares)).cast("int").alias("share"), k.alias("at"), F.lit(1).alias("side"), F.lit(None).cast(begun.schema["chunk"].dataType).alias("chunk"), row.alias("row"))
+    before = Window.partitionBy("cell", "share").orderBy(F.col("at").asc_nulls_first(), "side").rowsBetween(Window.unboundedPreceding, 0)
     met = begun.unionByName(asked).withColumn("chunk", F.last("chunk", ignorenulls=True).over(before)).where("side = 1 and chunk is not null")
     return met.where((F.col("chunk.high").isNull() | (F.col("at") < F.col("chunk.high"))) & (F.col("row.seq") > F.col("chunk.mark"))).select("row.*")
 

@@ -259,6 +259,19 @@ def test_a_table_is_dealt_in_order_to_several_tasks(spark):
         assert [q for p in parts for q, _ in p] == sorted(q for p in parts for q, _ in p)
 
 
+def test_changes_of_one_chunk_are_shared_out(spark):
+    log = spark.range(1000).select(F.lit("INSERT").alias("op"), F.lit(None).cast("struct<id:bigint>").alias("before"), F.struct("id").alias("after"), F.col("id").alias("seq"))
+    marks = spark.createDataFrame([(None, 5, 3), (5, None, 100)], "low bigint, high bigint, high_mark bigint")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        got = chunks.after_snapshot(log, marks, "id").select("seq", F.spark_partition_id().alias("part")).collect()
+    finally:
+        spark.conf.unset(key)
+    assert sorted(r["seq"] for r in got) == [4, *range(101, 1000)]
+    assert len({r["part"] for r in got}) == 4  # all of the session
+
+
 def test_backfill_and_log(spark):
     snapshot = spark.sql("select 1L id, 'a' name, 1 age union all select 2L, 'b', 2")
     log = users(spark, [["UPDATE", [1, "a", 1], [1, "z", 1]], ["DELETE", [2, "b", 2], None], ["INSERT", None, [4, "d", 4]]])
