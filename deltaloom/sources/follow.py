@@ -41,6 +41,9 @@ from deltaloom.streaming.runtime import Runtime, Store
 WORK = "kind string, name string, a bigint, b bigint"
 #: Places of what a snapshot yields, before all that a log can have: a table's creation, then its rows.
 CREATED, SNAPSHOT = -(1 << 62), -(1 << 62) + 1
+#: In how many batches a snapshot is read at most: a batch has its fixed costs, so a large table's batches take more chunks
+#: than chunks.per.batch.
+BATCHES = 16
 #: What an event of a log holds; sides stay text until the schema that holds for them is known.
 EVENT = "before string, after string, op string, ts_ms bigint, ddl string, source struct<db: string, table: string, pos: bigint>"
 
@@ -73,7 +76,8 @@ def text_at(root: str, name: str, text: str | None = None) -> str | None:
 
 
 class Work(DataSource):
-    """Format deltaloom-work; options state (a folder), log (a folder of segments), chunks.per.batch, segments.per.batch and
+    """Format deltaloom-work; options state (a folder), log (a folder of segments), chunks.per.batch, segments.per.batch,
+    snapshot.batches (the most that a table's snapshot takes, whose batches have more chunks if need be; 0: no limit) and
     follow (false: the snapshot is all)."""
 
     @classmethod
@@ -91,6 +95,7 @@ class WorkReader(DataSourceStreamReader):
     def __init__(self, options: Mapping[str, str]) -> None:
         self.state, self.log = options["state"], options.get("log", "")
         self.chunks, self.segments = int(options.get("chunks.per.batch", 64)), int(options.get("segments.per.batch", 1024))
+        self.batches = int(options.get("snapshot.batches", BATCHES))
         self.follow = str(options.get("follow", "true")) == "true"
 
     def plans(self) -> list[dict]:
@@ -108,8 +113,9 @@ class WorkReader(DataSourceStreamReader):
         plans = self.plans()
         for plan in plans:
             done = last.get(plan["table"], 0)
-            more = min(room, plan["chunks"] - done)
-            now[plan["table"]], room = done + more, room - more
+            share = -(-plan["chunks"] // self.batches) if self.batches and room else 0
+            more = min(max(room, share), plan["chunks"] - done)
+            now[plan["table"]], room = done + more, max(0, room - more)
         if self.follow and all(last.get(p["table"], 0) >= p["chunks"] for p in plans if p["first"]):
             now["log"] = max(last["log"], min(len(listed(self.log)) if self.log else 0, last["log"] + self.segments))
         if now != last:
@@ -237,6 +243,8 @@ class Follower:
     def events(self, files: list[str], table: TableId) -> DataFrame:
         """A table's events of some segments, sides as texts."""
         lines = self.spark.read.text([f"{self.log}/{f}" for f in files])
+        if re.fullmatch(r"\w+", table.table, re.ASCII):  # only lines that can name the table are parsed: such a name has no escapes but \u
+            lines = lines.where(F.col("value").contains(table.table) | F.col("value").contains("\\u"))
         e = lines.select(F.from_json("value", EVENT).alias("e")).select("e.*").where(F.col("source.table") == table.table)
         return e.where(F.col("source.db").isNull() | F.col("source.db").isin([p for p in (table.namespace, table.schema) if p])) if table.schema else e
 

@@ -14,7 +14,7 @@ from deltaloom.operators.changelog import materialized
 from deltaloom.plans.definition import parse
 from deltaloom.sinks.registry import Database, Files, open_sink
 from deltaloom.sources import chunks, positions
-from deltaloom.sources.follow import Follower, TableOfDatabase, TableOfFiles, follow
+from deltaloom.sources.follow import Follower, TableOfDatabase, TableOfFiles, WorkReader, follow
 from deltaloom.sources.positions import Transactions
 from deltaloom.sources.probes import Probes, chunk_bounds
 from deltaloom.sources.registry import control_row, jdbc_snapshot, open_source
@@ -422,6 +422,36 @@ def test_a_definition_runs_as_a_stream_from_the_command_line(spark, tmp_path, ca
     assert main(["run", str(made), "--checkpoint", f"{tmp_path}/cp2", "--until-done"]) == 1
 
 
+def test_large_snapshots_take_no_more_batches(spark, tmp_path):
+    """Of one chunk a batch, 200 chunks would take 200 batches; a small table's batches stay as small as they are told to be."""
+    def ends(chunks, **options):
+        state = tmp_path / f"{'-'.join(map(str, chunks))}-{len(options)}"
+        (state / "tables").mkdir(parents=True)
+        (state / "start.json").write_text('{"log": 0}')
+        for i, n in enumerate(chunks):
+            (state / "tables" / f"{i:06}.json").write_text(json.dumps({"table": f"t{i}", "chunks": n, "first": True}))
+        reader, out = WorkReader({"state": str(state), "chunks.per.batch": "1", **options}), []
+        while True:
+            now = reader.latestOffset()
+            if out and now == out[-1]:
+                return out
+            out.append(now)
+
+    large = ends([200, 3])
+    assert len(large) <= 16 + 3 and large[-1] == {"log": 0, "t0": 200, "t1": 3}
+    assert all(b["t0"] - a["t0"] <= 13 for a, b in zip(large[:-1], large[1:], strict=True)) and all(o["t0"] == 200 for o in large if o["t1"])
+    assert [o["t0"] for o in ends([5])] == [1, 2, 3, 4, 5]
+    assert len(ends([200], **{"snapshot.batches": "0"})) == 200
+
+
+def test_events_whose_table_is_escaped_are_found(spark, tmp_path):
+    (tmp_path / "log").mkdir()
+    lines = [json.dumps(event("c", 1, None, row(1, "x"))), json.dumps(event("c", 2, None, row(2, "y"))).replace('"items"', '"\\u0069tems"'), json.dumps(event("c", 3, None, row(3, "items"), "others"))]
+    (tmp_path / "log" / "0").write_text("\n".join(lines))
+    made = Follower(spark, Runtime(spark, definition(), Files(spark, {"path": f"{tmp_path}/sink"}), f"{tmp_path}/cp"), f"{tmp_path}/state", f"{tmp_path}/log")
+    assert sorted(r["source"]["pos"] for r in made.events(["0"], ITEMS).collect()) == [1, 2]
+
+
 def test_how_far_a_stream_is(spark, tmp_path):
     rows = spark.createDataFrame([(i, f"n{i}") for i in range(30)], "id bigint, name string")
     made = Follower(spark, Runtime(spark, definition(), Files(spark, {"path": f"{tmp_path}/sink"}), f"{tmp_path}/cp"), f"{tmp_path}/state", None, 10)
