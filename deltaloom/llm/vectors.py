@@ -83,29 +83,78 @@ class Quantiser:
             out.append(((book**2).sum(1) - 2 * rest[:, a:b] @ book.T).argmin(1))
         return np.stack(out, 1).astype(np.uint8)
 
+    def gaps(self, unit: np.ndarray, own: int, codes: np.ndarray) -> np.ndarray:
+        """By how much each code's row of a list lies from each query, squared, up to a term of the query's own."""
+        rest, gap = unit - self.centres[own], np.zeros((len(unit), len(codes)))
+        for j, (a, b, book) in enumerate(zip(self.cuts[:-1], self.cuts[1:], self.books, strict=True)):
+            gap += ((book**2).sum(1) - 2 * rest[:, a:b] @ book.T)[:, codes[:, j]]
+        return gap
+
+
+def measured(q: Quantiser, index: DataFrame, queries: DataFrame, k: int, goal: float, most: int = 256) -> tuple[int, int]:
+    """How many lists a query must probe, and how many of a list's rows by code be reranked, for a share goal of the k nearest
+    rows: of most queries of least hash, against all rows. Of rows alone nothing follows for queries that lie elsewhere.
+
+    Two passes over the index: the first yields these queries' k nearest rows by brute force, the second how many rows
+    come before each of them by code in its list."""
+    asked = queries.orderBy(F.xxhash64(F.lit(34), "vec_id"), "vec_id").limit(most).toPandas()
+    if not len(asked):
+        return 1, 1
+    who, y = asked["vec_id"].to_numpy(np.int64), matrix(asked["v"])
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, lists = np.empty((len(who), 0), np.int64), np.empty((len(who), 0), np.int64)
+        score, codes = np.empty((len(who), 0)), np.empty((len(who), 0), object)
+        for batch in chunks(batches, 4096):
+            x, own = matrix(batch["v"]), batch["vec_id"].to_numpy()
+            cosine = y @ (x / np.linalg.norm(x, axis=1, keepdims=True)).T
+            cosine[who[:, None] == own] = -np.inf
+            wide = np.broadcast_to
+            ids = np.concatenate([ids, wide(own, cosine.shape)], 1)
+            lists = np.concatenate([lists, wide(batch["list"].to_numpy(), cosine.shape)], 1)
+            codes = np.concatenate([codes, wide(np.array([*batch["code"].to_pylist(), None], object)[:-1], cosine.shape)], 1)
+            score = np.concatenate([score, cosine], 1)
+            top = np.lexsort((ids, -score), axis=1)[:, :k]
+            ids, lists, codes, score = (np.take_along_axis(v, top, 1) for v in (ids, lists, codes, score))
+        at, place = np.nonzero(score > -np.inf)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(ids[at, place]), pa.array(lists[at, place]), pa.array(list(codes[at, place]), pa.binary()), pa.array(score[at, place])], ["at", "vec_id", "list", "code", "score"])
+
+    found = index.mapInArrow(near, "at bigint, vec_id bigint, list bigint, code binary, score double")
+    turn = F.row_number().over(Window.partitionBy("at").orderBy(F.desc("score"), "vec_id"))
+    found = found.withColumn("turn", turn).where(F.col("turn") <= k).toPandas()  # k rows for each of these queries
+    if not len(found):
+        return 1, 1
+    at, ids, lists = (found[c].to_numpy(np.int64) for c in ("at", "vec_id", "list"))
+    order = np.argsort(np.argsort((q.centres**2).sum(1) - 2 * y @ q.centres.T, axis=1, kind="stable"), axis=1)
+    probes = int(np.quantile(order[at, lists], goal, method="higher")) + 1
+    own_gap = np.array([q.gaps(y[[a]], int(c), np.frombuffer(code, np.uint8)[None])[0, 0] for a, c, code in zip(at, lists, found["code"], strict=True)])
+
+    def before(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = np.zeros(len(at), np.int64)
+        for batch in chunks(batches, 4096):
+            of, own = batch["list"].to_numpy(), batch["vec_id"].to_numpy()
+            codes = np.frombuffer(b"".join(batch["code"].to_pylist()), np.uint8).reshape(len(of), -1)
+            for one in np.intersect1d(of, lists).tolist():
+                rows, asks = np.flatnonzero(of == one), np.flatnonzero(lists == one)
+                gap = q.gaps(y[at[asks]], one, codes[rows])
+                slack = 1e-9 * (1 + np.abs(own_gap[asks, None]))  # rows of the same code tie whatever the rounding
+                count[asks] += ((gap < own_gap[asks, None] - slack) | (np.abs(gap - own_gap[asks, None]) <= slack) & (own[rows] < ids[asks, None])).sum(1)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(at))), pa.array(count)], ["place", "n"])
 
-def probes_for(q: Quantiser, sample: np.ndarray, k: int, goal: float, queries: int = 256) -> int:
-    """How many lists a query must probe for a share goal of its k nearest rows of the sample. All rows' nearest lie
-    nearer than the sample's, so as a rule in lists that come earlier."""
-    unit = sample / np.linalg.norm(sample, axis=1, keepdims=True)
-    asked, own = unit[:queries], q.nearest(unit)
-    cosine = asked @ unit.T
-    cosine[np.arange(len(asked)), np.arange(len(asked))] = -np.inf
-    best = np.argsort(-cosine, axis=1, kind="stable")[:, : min(k, len(unit) - 1)]
-    turn = np.argsort(np.argsort((q.centres**2).sum(1) - 2 * asked @ q.centres.T, axis=1, kind="stable"), axis=1)
-    need = np.take_along_axis(turn, own[best], 1)
-    return int(np.quantile(need, goal, method="higher")) + 1 if need.size else len(q.centres)
+    counts = index.mapInArrow(before, "place bigint, n bigint").groupBy("place").agg(F.sum("n").alias("n")).toPandas()
+    return probes, int(np.quantile(counts["n"].to_numpy(np.int64), max(goal, 0.99), method="higher")) + 1
 
 
 def nearest_neighbours(
     rows: DataFrame, queries: DataFrame, k: int = 5, lists: int | None = None, probes: int | None = None, parts: int = 16, sample: int = 16_000, most_sample: int = 65_536, goal: float = 0.97,
-    shard_rows: int = 4096, rerank: int = 64, block: int = 4096,
+    shard_rows: int = 4096, rerank: int | None = None, block: int = 4096,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest rows found for each query by cosine, from usable vectors.
 
     There are about as many lists as the square root of the rows, 4096 at most. The index is fitted on sample rows, or 16
-    for each list if that is more, of least hash; all rows are indexed. probes is what finds a share goal of the
-    sample's neighbours. A list is cut into shards of about shard_rows rows, so a hot one has many, and what asks it into
+    for each list if that is more, of least hash; all rows are indexed. probes and rerank (64 at least) are what finds a share
+    goal of the nearest rows of 256 queries, measured by brute force over all rows. A list is cut into shards of about shard_rows rows, so a hot one has many, and what asks it into
     blocks of about block queries; a task has one block's queries and one shard, and a shard goes to its own list's blocks
     only. A shard ranks its codes by the query's distance table and reranks the best by cosines of the vectors themselves."""
     count = rows.count()
@@ -116,7 +165,6 @@ def nearest_neighbours(
         return rows.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     fitted = matrix(fitted["v"])
     q = Quantiser(fitted, lists, parts)
-    probes = probes or probes_for(q, fitted, k, goal)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, 4096):
@@ -127,6 +175,10 @@ def nearest_neighbours(
 
     index = written(rows.mapInArrow(place, "vec_id bigint, v array<double>, list bigint, code binary"))
 
+    if probes is None or rerank is None:
+        lists_needed, rows_needed = measured(q, index, queries, k, goal)
+        probes, rerank = probes or lists_needed, rerank or max(64, rows_needed)
+
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, 1024):
             x = matrix(batch["v"])
@@ -145,15 +197,14 @@ def nearest_neighbours(
         ids, x = own["vec_id"].to_numpy(), matrix(own["v"])
         length = np.sqrt((x * x).sum(1))
         codes = np.frombuffer(b"".join(own["code"]), np.uint8).reshape(len(ids), -1)
-        out, centre = [empty], q.centres[int(own["list"].iloc[0])]
+        out, of = [empty], int(own["list"].iloc[0])
         query_ids, all_queries = asked["query_id"].to_numpy(), matrix(asked["v"])
         keep = min(rerank + 1, len(ids))
-        for at in range(0, len(query_ids), 256):
-            who, y = query_ids[at : at + 256], all_queries[at : at + 256]
+        step = max(1, min(256, (1 << 23) // (keep * x.shape[1])))  # of the rows that are reranked 64 MB at a time
+        for at in range(0, len(query_ids), step):
+            who, y = query_ids[at : at + step], all_queries[at : at + step]
             size = np.sqrt((y * y).sum(1))
-            rest, gap = y / size[:, None] - centre, np.zeros((len(who), len(ids)))
-            for j, (a, b, book) in enumerate(zip(q.cuts[:-1], q.cuts[1:], q.books, strict=True)):
-                gap += ((book**2).sum(1) - 2 * rest[:, a:b] @ book.T)[:, codes[:, j]]
+            gap = q.gaps(y / size[:, None], of, codes)
             gap[who[:, None] == ids] = np.inf
             best = np.argsort(gap, axis=1, kind="stable")[:, :keep]
             cosine = (x[best] * y[:, None]).sum(2) / (length[best] * size[:, None])

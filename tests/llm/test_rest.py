@@ -226,6 +226,22 @@ def test_ball_trees_leave_far_nodes_closed():
     assert not len(none[0]) and not none[3]
 
 
+def test_nearest_neighbours_of_queries_unlike_the_rows(spark):
+    """Rows lie in tight groups, queries anywhere: their neighbours are in other lists than the rows' own, and far down by code."""
+    rng = np.random.default_rng(4)
+    groups = rng.normal(size=(40, 32))
+    x = groups[rng.integers(0, 40, 3000)] + 0.02 * rng.normal(size=(3000, 32))
+    asked = np.arange(0, 3000, 50)
+    x[asked] = rng.normal(size=(len(asked), 32))
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id bigint, embedding array<double>")
+    good = vectors.usable(rows, zero=False)
+    found = vectors.nearest_neighbours(good, good.where("vec_id % 50 = 0")).toPandas()
+    cosine = (x / np.linalg.norm(x, axis=1, keepdims=True))[asked] @ (x / np.linalg.norm(x, axis=1, keepdims=True)).T
+    cosine[np.arange(len(asked)), asked] = -np.inf
+    best = {(q, i) for q, ids in zip(asked.tolist(), np.argsort(-cosine, 1)[:, :5].tolist(), strict=True) for i in ids}
+    assert len(best & set(zip(found["query_id"], found["vec_id"], strict=True))) >= 0.93 * len(best)
+
+
 def test_nearest_neighbours_in_ties_and_many_blocks(spark):
     rng = np.random.default_rng(6)
     x = rng.integers(-2, 3, size=(40, 6)).astype(float) + 0.25
